@@ -129,6 +129,58 @@ def partners(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .operators.props import parse_properties
+
+    return parse_properties(prop_text(spark, sf_dir), "id", "product_properties")
+
+
+def legacy_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Property rows as the old parser left them: a leading ``| `` on the keys of
+    every third product (except Brand), and for every sixth product an older
+    clean ``Type`` row that collides with the repaired key."""
+    p = props(spark, sf_dir)
+    pid, key = F.col("product_id"), F.col("prop_key")
+    piped = p.select(
+        "product_id",
+        F.when((pid % 3 == 0) & (key != "Brand"), F.concat(F.lit("| "), key)).otherwise(key).alias("prop_key"),
+        "prop_value",
+        ts(TARGET_LOADED_AT).alias("updated_at"),
+    )
+    older = p.filter((pid % 6 == 0) & (key == "Type")).select(
+        "product_id", "prop_key", F.concat(F.col("prop_value"), F.lit(" old")).alias("prop_value"),
+        ts(TARGET_LOADED_AT).alias("updated_at"),
+    )
+    return piped.unionByName(older)
+
+
+def old_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yesterday's property table: Size differs for every 4th product and every
+    5th product has a Color key the text no longer has."""
+    p = props(spark, sf_dir)
+    pid, key = F.col("product_id"), F.col("prop_key")
+    base = p.select(
+        "product_id", "prop_key",
+        F.when((pid % 4 == 0) & (key == "Size"), F.concat(F.col("prop_value"), F.lit("0"))).otherwise(F.col("prop_value")).alias("prop_value"),
+        ts(TARGET_LOADED_AT).alias("updated_at"),
+    )
+    color = p.filter((pid % 5 == 0) & (key == "Type")).select(
+        "product_id", F.lit("Color").alias("prop_key"), F.lit("red").alias("prop_value"), ts(TARGET_LOADED_AT).alias("updated_at")
+    )
+    return base.unionByName(color)
+
+
+def prop_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs to upsert: today's pairs of even products plus a new Weight key for every 8th."""
+    p = props(spark, sf_dir)
+    pid = F.col("product_id")
+    even = p.filter(pid % 2 == 0)
+    weight = p.filter((pid % 8 == 0) & (F.col("prop_key") == "Type")).select(
+        "product_id", F.lit("Weight").alias("prop_key"), F.lit("1 kg").alias("prop_value")
+    )
+    return even.unionByName(weight)
+
+
 # ---------------------------------------------------------------------------
 # The same views as SQL (DuckDB dialect) for the oracle queries.
 # ---------------------------------------------------------------------------
@@ -188,7 +240,43 @@ partners AS (
   FROM customer)""",
 }
 
+FIXTURE_SQL.update({
+    "props": """
+props AS (
+  SELECT product_id, prop_key, prop_value FROM (
+    SELECT id AS product_id, pos, trim(substr(seg, 1, strpos(seg, ':') - 1)) AS prop_key,
+           trim(substr(seg, strpos(seg, ':') + 1)) AS prop_value
+    FROM (SELECT id, unnest(string_split(product_properties, '|')) AS seg,
+                 unnest(range(1, len(string_split(product_properties, '|')) + 1)) AS pos FROM prop_text)
+    WHERE strpos(seg, ':') > 0)
+  WHERE prop_key <> '' AND prop_value <> ''
+  QUALIFY row_number() OVER (PARTITION BY product_id, prop_key ORDER BY pos DESC) = 1)""",
+    "legacy_props": f"""
+legacy_props AS (
+  SELECT product_id, CASE WHEN product_id % 3 = 0 AND prop_key <> 'Brand' THEN concat('| ', prop_key) ELSE prop_key END AS prop_key,
+         prop_value, TIMESTAMP '{TARGET_LOADED_AT}' AS updated_at FROM props
+  UNION ALL
+  SELECT product_id, prop_key, concat(prop_value, ' old'), TIMESTAMP '{TARGET_LOADED_AT}' FROM props
+  WHERE product_id % 6 = 0 AND prop_key = 'Type')""",
+    "old_props": f"""
+old_props AS (
+  SELECT product_id, prop_key,
+         CASE WHEN product_id % 4 = 0 AND prop_key = 'Size' THEN concat(prop_value, '0') ELSE prop_value END AS prop_value,
+         TIMESTAMP '{TARGET_LOADED_AT}' AS updated_at FROM props
+  UNION ALL
+  SELECT product_id, 'Color', 'red', TIMESTAMP '{TARGET_LOADED_AT}' FROM props WHERE product_id % 5 = 0 AND prop_key = 'Type')""",
+    "prop_updates": """
+prop_updates AS (
+  SELECT product_id, prop_key, prop_value FROM props WHERE product_id % 2 = 0
+  UNION ALL
+  SELECT product_id, 'Weight', '1 kg' FROM props WHERE product_id % 8 = 0 AND prop_key = 'Type')""",
+})
+
 _DEPENDS = {
+    "props": ["catalog", "prop_text"],
+    "legacy_props": ["catalog", "prop_text", "props"],
+    "old_props": ["catalog", "prop_text", "props"],
+    "prop_updates": ["catalog", "prop_text", "props"],
     "cat_target": ["catalog"],
     "cat_source": ["catalog"],
     "cat_source_guard": ["catalog"],

@@ -95,7 +95,7 @@ def upsert(
     for k in keys:
         if k not in target.columns or k not in source.columns:
             raise ValueError(f"key column {k!r} must exist in target and source")
-    src = source.drop(flag_col) if flag_col in source.columns else source
+    src = source.drop(flag_col) if flag_col and flag_col in source.columns else source
     if on_duplicate != "last" and order_col and order_col in src.columns:
         src = src.drop(order_col)
     if reject_null_keys:
@@ -123,6 +123,8 @@ def upsert(
         change_cols = [c for c in DEFAULT_CHANGE_COLS if c in s_cols]
     else:
         change_cols = [c for c in change_cols if c in s_cols and c not in keys and c != flag_col]
+    flag_col = flag_col or None
+    stamp_col = stamp_col or None
     diffs = [
         ~F.col(f"__t_{c}").eqNullSafe(F.col(f"__s_{c}")) if c in t_types else F.col(f"__s_{c}").isNotNull()
         for c in change_cols
@@ -135,9 +137,9 @@ def upsert(
     for c in target.columns:
         if c in keys:
             continue
-        if c == flag_col:
+        if flag_col and c == flag_col:
             out.append(F.when(~in_t | F.col("__changed"), F.lit(False)).otherwise(F.col(f"__t_{c}")).alias(c))
-        elif c == stamp_col and c not in s_cols:
+        elif stamp_col and c == stamp_col and c not in s_cols:
             out.append(F.when(~in_t | F.col("__changed"), now_c).otherwise(F.col(f"__t_{c}")).alias(c))
         elif c in s_cols:
             out.append(F.when(in_s, F.col(f"__s_{c}")).otherwise(F.col(f"__t_{c}")).alias(c))
@@ -146,9 +148,9 @@ def upsert(
     for c in s_cols:
         if c not in t_types:
             out.append(F.col(f"__s_{c}").alias(c))
-    if flag_col not in t_types:
+    if flag_col and flag_col not in t_types:
         out.append(F.when(~in_t | F.col("__changed"), F.lit(False)).alias(flag_col))
-    if stamp_col not in t_types and stamp_col not in s_cols:
+    if stamp_col and stamp_col not in t_types and stamp_col not in s_cols:
         out.append(F.when(~in_t | F.col("__changed"), now_c).cast("timestamp_ntz").alias(stamp_col))
     if with_action:
         action = (
