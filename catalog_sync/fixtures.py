@@ -181,6 +181,36 @@ def prop_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return even.unionByName(weight)
 
 
+def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reconciliation tasks shaped from orders: month cycle = year-month of the
+    order date; status F -> completed, O -> in_progress, else pending; priority
+    from the order priority word (some fall outside the allowed list)."""
+    o = table(spark, sf_dir, "orders")
+    st = F.col("o_orderstatus")
+    return o.select(
+        F.col("o_orderkey").alias("task_id"),
+        F.col("o_custkey").alias("supplier_id"),
+        F.date_format("o_orderdate", "yyyy-MM").alias("month_cycle"),
+        F.when(st == "F", "completed").when(st == "O", "in_progress").otherwise("pending").alias("status"),
+        F.lower(F.substring_index("o_orderpriority", "-", -1)).alias("priority"),
+        F.col("o_orderdate").alias("deadline"),
+    )
+
+
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Supplier messages shaped from conversations: user -> inbound, others -> outbound."""
+    c = table(spark, sf_dir, "conversations")
+    return c.select(
+        F.concat(F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("message_id"),
+        F.col("conv_id").cast("string").alias("thread_id"),
+        F.when(F.col("role") == "user", "inbound").otherwise("outbound").alias("direction"),
+        F.when(F.col("role") == "user", "email_received").when(F.col("role") == "assistant", "email_sent")
+        .otherwise(F.col("role")).alias("message_type"),
+        F.col("text").alias("body"),
+        F.substring("text", 1, 80).alias("subject"),
+    )
+
+
 # ---------------------------------------------------------------------------
 # The same views as SQL (DuckDB dialect) for the oracle queries.
 # ---------------------------------------------------------------------------
@@ -272,6 +302,22 @@ prop_updates AS (
   SELECT product_id, 'Weight', '1 kg' FROM props WHERE product_id % 8 = 0 AND prop_key = 'Type')""",
 })
 
+FIXTURE_SQL.update({
+    "tasks": """
+tasks AS (
+  SELECT o_orderkey AS task_id, o_custkey AS supplier_id, strftime(o_orderdate, '%Y-%m') AS month_cycle,
+         CASE WHEN o_orderstatus = 'F' THEN 'completed' WHEN o_orderstatus = 'O' THEN 'in_progress' ELSE 'pending' END AS status,
+         lower(split_part(o_orderpriority, '-', -1)) AS priority, o_orderdate AS deadline
+  FROM orders)""",
+    "messages": """
+messages AS (
+  SELECT concat(CAST(conv_id AS VARCHAR), '-', CAST(turn AS VARCHAR)) AS message_id, CAST(conv_id AS VARCHAR) AS thread_id,
+         CASE WHEN role = 'user' THEN 'inbound' ELSE 'outbound' END AS direction,
+         CASE WHEN role = 'user' THEN 'email_received' WHEN role = 'assistant' THEN 'email_sent' ELSE role END AS message_type,
+         text AS body, substr(text, 1, 80) AS subject
+  FROM conversations)""",
+})
+
 _DEPENDS = {
     "props": ["catalog", "prop_text"],
     "legacy_props": ["catalog", "prop_text", "props"],
