@@ -1,0 +1,118 @@
+import datetime as dt
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from catalog_sync.operators import sync
+
+NOW = "2024-06-01 00:00:00"
+OLD = dt.datetime(2024, 1, 1)
+T_SCHEMA = "id long, description string, brand string, on_order boolean, is_vector boolean, updated_at timestamp_ntz"
+
+
+def target(spark):
+    return spark.createDataFrame(
+        [(1, "a", "x", True, True, OLD), (2, "b", None, False, True, OLD), (3, "c", "z", None, True, OLD)], T_SCHEMA
+    )
+
+
+def rows(df):
+    return {r["id"]: r.asDict() for r in df.collect()}
+
+
+def test_matched_overwrites_and_flags_only_on_change(spark):
+    src = spark.createDataFrame([(1, "a", "x", None), (2, "b2", None, True), (4, "d", "w", True)],
+                                "id long, description string, brand string, is_vector boolean")
+    out = rows(sync.upsert(target(spark), src, "id", now=NOW))
+    # 1: unchanged business columns -> flag and stamp kept; target-only column kept
+    assert out[1]["is_vector"] is True and out[1]["updated_at"] == OLD and out[1]["on_order"] is True
+    # 2: description changed -> flag reset, stamp now
+    assert out[2]["description"] == "b2" and out[2]["is_vector"] is False
+    assert out[2]["updated_at"] == dt.datetime(2024, 6, 1)
+    # 3: no source row -> untouched
+    assert out[3] == {"id": 3, "description": "c", "brand": "z", "on_order": None, "is_vector": True, "updated_at": OLD}
+    # 4: insert with flag False, stamp now, incoming is_vector ignored
+    assert out[4]["is_vector"] is False and out[4]["updated_at"] == dt.datetime(2024, 6, 1)
+
+
+def test_null_overwrites_and_is_distinct(spark):
+    src = spark.createDataFrame([(1, "a", None), (2, "b", None)], "id long, description string, brand string")
+    out = rows(sync.upsert(target(spark), src, "id", now=NOW))
+    assert out[1]["brand"] is None and out[1]["is_vector"] is False  # x -> NULL is a change
+    assert out[2]["is_vector"] is True  # NULL -> NULL is not
+
+
+def test_non_change_columns_do_not_reset(spark):
+    src = spark.createDataFrame([(1, "a", "x", False)], "id long, description string, brand string, on_order boolean")
+    out = rows(sync.upsert(target(spark), src, "id", now=NOW))
+    assert out[1]["on_order"] is False and out[1]["is_vector"] is True
+    out2 = rows(sync.upsert(target(spark), src, "id", change_cols=["on_order"], now=NOW))
+    assert out2[1]["is_vector"] is False
+    out3 = rows(sync.upsert(target(spark), src.withColumn("description", F.lit("zz")), "id", change_cols=[], now=NOW))
+    assert out3[1]["is_vector"] is True
+
+
+def test_duplicate_and_null_keys(spark):
+    dup = spark.createDataFrame([(1, "a", 1), (1, "b", 2)], "id long, description string, seq int")
+    with pytest.raises(Exception):
+        sync.upsert(target(spark), dup, "id", now=NOW).collect()
+    out = rows(sync.upsert(target(spark), dup, "id", now=NOW, on_duplicate="last", order_col="seq"))
+    assert out[1]["description"] == "b"
+    nul = spark.createDataFrame([(None, "a")], "id long, description string")
+    with pytest.raises(Exception):
+        sync.upsert(target(spark), nul, "id", now=NOW).collect()
+
+
+def test_upsert_idempotent_and_counts(spark):
+    src = spark.createDataFrame([(1, "a2", "x"), (5, "e", "y")], "id long, description string, brand string")
+    once = sync.upsert(target(spark), src, "id", now=NOW)
+    twice = sync.upsert(once, src, "id", now="2024-07-01 00:00:00")
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
+    st = sync.merge_stats(sync.upsert(target(spark), src, "id", now=NOW, with_action=True)).first()
+    assert st["inserted"] + st["matched"] == st["source_rows"] == 2
+    assert st["changed"] == 1 and st["untouched"] == 2
+
+
+def _keys(spark, ids):
+    return spark.createDataFrame([(i,) for i in ids], "id long")
+
+
+def test_cleanup_guard_edge(spark):
+    tgt = _keys(spark, range(100))
+    ok = sync.cleanup_orphans(tgt, _keys(spark, range(10)), "id")  # 10 % common -> allowed
+    assert ok.status == "success" and ok.deleted == 90 and ok.table.count() == 10
+    bad = sync.cleanup_orphans(tgt, _keys(spark, range(9)), "id")
+    assert bad.status == "error" and bad.deleted == 0 and bad.table.count() == 100
+    none = sync.cleanup_orphans(tgt, _keys(spark, range(100)), "id")
+    assert none.status == "success" and none.deleted == 0
+
+
+def test_cleanup_empty_snapshot_and_missing_key(spark):
+    tgt = _keys(spark, range(5))
+    empty = spark.createDataFrame([], "x int").select()
+    res = sync.cleanup_orphans(tgt, empty, "id")
+    assert res.status == "failed" and res.table.count() == 5
+    with pytest.raises(ValueError):
+        sync.cleanup_orphans(tgt, spark.createDataFrame([(1,)], "other long"), "id")
+
+
+def test_orphans_compare_as_strings_and_ignore_null(spark):
+    tgt = spark.createDataFrame([("ABC",), ("def",)], "id string")
+    src = spark.createDataFrame([(" abc ",), (None,)], "id string")
+    assert [r[0] for r in sync.find_orphans(tgt, src, "id", as_string=True).collect()] == ["def"]
+
+
+def test_validate_rules(spark):
+    prof = spark.createDataFrame([(0, 0, 0), (5, 0, 0), (5, 5, 0)], "total_products long, products_with_description long, products_with_brand long")
+    got = [r["status"] for r in sync.validate_load(prof, "A").collect()]
+    assert got == ["error", "warning", "success"]
+    prof_b = spark.createDataFrame([(3, 3), (3, 2), (0, 0)], "total_count long, unique_ids long")
+    assert [r["status"] for r in sync.validate_load(prof_b, "B").collect()] == ["success", "warning", "warning"]
+
+
+def test_diff_snapshots(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id long, d string")
+    new = spark.createDataFrame([(1, "a"), (2, "B"), (3, None), (4, "d")], "id long, d string")
+    got = {r["id"]: r["status"] for r in sync.diff_snapshots(old, new).collect()}
+    assert got == {1: "unchanged", 2: "changed", 3: "unchanged", 4: "new"}
