@@ -136,14 +136,22 @@ def with_property_map(products: DataFrame, props: DataFrame, id_col: str = "id")
     return products.join(m, id_col, "left")
 
 
-def property_stats(props: DataFrame, rows_processed: DataFrame | None = None) -> DataFrame:
-    """total properties, products with properties, distinct keys (+ rows processed)."""
-    s = props.agg(
+def property_stats(props: DataFrame) -> DataFrame:
+    """total properties, products with properties, distinct keys."""
+    return props.agg(
         F.count(F.lit(1)).alias("total_properties"),
         F.count_distinct("product_id").alias("products_with_properties"),
         F.count_distinct("prop_key").alias("unique_keys"),
     )
-    return s
+
+
+def property_run_stats(snapshot: DataFrame, text_col: str = "product_properties") -> DataFrame:
+    """Statistics of one property load: rows processed and properties parsed, one pass, no explode."""
+    n = F.size(last_per_key(property_pairs(text_col)))
+    return snapshot.agg(
+        F.count(F.lit(1)).alias("updated_rows"),
+        F.coalesce(F.sum(F.when(n > 0, n)), F.lit(0)).cast("bigint").alias("properties_processed"),
+    )
 
 
 def property_keys(props: DataFrame) -> DataFrame:

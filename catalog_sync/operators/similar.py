@@ -98,6 +98,31 @@ _PAIR_SCHEMA = T.StructType([
 ])
 
 
+def _exact_topk_mask(sort_score: np.ndarray, dist: np.ndarray, cand_ids: np.ndarray, valid: np.ndarray, k: int) -> np.ndarray:
+    """Per row, mark exactly the k best valid columns by (score desc, distance asc, id asc).
+
+    Rows strictly above the k-th score are kept; ties at the k-th score are
+    ranked by distance and id, so at most k columns per row survive even when
+    many scores are equal (e.g. category weight 1.0).
+    """
+    rows, cols = sort_score.shape
+    kk = min(k, cols)
+    part = np.argpartition(-sort_score, kk - 1, axis=1)[:, :kk]
+    kth = np.take_along_axis(sort_score, part, axis=1).min(axis=1)
+    better = (sort_score > kth[:, None]) & valid
+    need = kk - better.sum(axis=1)
+    tie = (sort_score == kth[:, None]) & valid
+    ti, tj = np.nonzero(tie)
+    if len(ti):
+        order = np.lexsort((cand_ids[tj], dist[ti, tj], ti))
+        ti, tj = ti[order], tj[order]
+        starts = np.searchsorted(ti, np.arange(rows))
+        pos = np.arange(len(ti)) - starts[ti]
+        sel = pos < need[ti]
+        better[ti[sel], tj[sel]] = True
+    return better
+
+
 def _block_topk(k: int, w: float, exclude_same_brand: bool):
     """pandas function for one (query block, candidate block) group."""
 
@@ -126,11 +151,7 @@ def _block_topk(k: int, w: float, exclude_same_brand: bool):
         # rank key: NaN scores first (PostgreSQL DESC), then score desc, distance asc, id asc
         sort_score = np.where(np.isnan(score), np.inf, score)
         sort_score = np.where(valid, sort_score, -np.inf)
-        kk = min(k, sort_score.shape[1])
-        # generous pre-cut keeps every row tied with the k-th, exact order fixed by the window later
-        part = np.argpartition(-sort_score, kk - 1, axis=1)[:, :kk]
-        kth = np.take_along_axis(sort_score, part, axis=1).min(axis=1)
-        keep = (sort_score >= kth[:, None]) & valid
+        keep = _exact_topk_mask(sort_score, dist, c["id"].to_numpy(), valid, k)
         qi, ci = np.nonzero(keep)
         return pd.DataFrame({
             "id": q["id"].to_numpy()[qi].astype("int64"),
@@ -167,3 +188,70 @@ def similar_for_all(df: DataFrame, k: int = 4, exclude_same_brand: bool = False,
         F.col("combined_score").desc_nulls_first(), F.col("vector_distance").asc(), F.col("neighbor_id").asc()
     )
     return pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+
+def _hyperplanes(dim: int, bands: int, bits: int, seed: int) -> np.ndarray:
+    return np.random.default_rng(seed).normal(size=(dim, bands * bits))
+
+
+def lsh_codes(vector_col: str, dim: int, bands: int = 4, bits: int = 8, seed: int = 17) -> Column:
+    """Random-hyperplane (SimHash) bucket code per band, ``array<int>`` of length ``bands``.
+
+    Computed with an Arrow-batched pandas UDF: one matrix product per batch.
+    """
+    planes = _hyperplanes(dim, bands, bits, seed)
+    weights = (1 << np.arange(bits)).astype(np.int64)
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def codes(vecs: pd.Series) -> pd.Series:
+        if len(vecs) == 0:
+            return pd.Series([], dtype=object)
+        m = np.vstack(vecs.to_numpy()).astype(np.float64)
+        signs = (m @ planes >= 0).reshape(len(m), bands, bits).astype(np.int64)
+        return pd.Series(list((signs * weights).sum(axis=2).astype(np.int32)))
+
+    return codes(F.col(vector_col))
+
+
+def similar_for_all_lsh(df: DataFrame, k: int = 4, exclude_same_brand: bool = False, w: float = 1.0,
+                        bands: int = 4, bits: int = 8, block_rows: int = 4096, seed: int = 17,
+                        id_col: str = "id", vector_col: str = "vector", flag_col: str = "is_vector") -> DataFrame:
+    """Approximate top-k neighbours of every product (same output as :func:`similar_for_all`).
+
+    Candidates are the products sharing a SimHash bucket in at least one of
+    ``bands`` bands. Each bucket is scanned exactly with the bounded block
+    scheme: a bucket larger than ``block_rows`` (a hot bucket can hold a big
+    share of the rows) is split into several blocks, so no group exceeds two
+    blocks. The bucket-size table has at most ``bands * 2**bits`` rows, which
+    bounds the broadcast. Found scores are exact; recall depends on bands/bits.
+    """
+    items = df.filter(F.col(flag_col) == F.lit(True)).select(
+        F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"), "brand", "category"
+    )
+    first = items.select(F.size("vector")).first()
+    if first is None:
+        return similar_for_all(df, k, exclude_same_brand, w, block_rows, id_col, vector_col, flag_col)
+    dim = int(first[0])
+    keyed = items.withColumn("__codes", lsh_codes("vector", dim, bands, bits, seed)).select(
+        "id", "vector", "brand", "category", F.posexplode("__codes").alias("band", "code")
+    )
+    spark = df.sparkSession
+    sizes = keyed.groupBy("band", "code").agg(F.count(F.lit(1)).alias("n")).collect()
+    subs = spark.createDataFrame(
+        [(r["band"], r["code"], max(1, math.ceil(r["n"] / block_rows))) for r in sizes] or [(0, 0, 1)],
+        "band int, code int, __nsub int",
+    )
+    keyed = keyed.join(F.broadcast(subs), ["band", "code"])
+    b = F.pmod(F.xxhash64("id"), F.col("__nsub")).cast("int")
+    every = F.sequence(F.lit(0), F.col("__nsub") - 1)
+    cols = ["id", "vector", "brand", "category", "band", "code"]
+    queries = keyed.select(*cols, b.alias("__qb"), F.explode(every).alias("__cb"), F.lit(0).alias("__side"))
+    cands = keyed.select(*cols, F.explode(every).alias("__qb"), b.alias("__cb"), F.lit(1).alias("__side"))
+    pairs = queries.unionByName(cands).groupBy("band", "code", "__qb", "__cb").applyInPandas(
+        _block_topk(k, w, exclude_same_brand), _PAIR_SCHEMA
+    )
+    pairs = pairs.dropDuplicates(["id", "neighbor_id"])
+    order = Window.partitionBy("id").orderBy(
+        F.col("combined_score").desc_nulls_first(), F.col("vector_distance").asc(), F.col("neighbor_id").asc()
+    )
+    return pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
