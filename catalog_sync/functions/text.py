@@ -5,6 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: the characters Python's str.strip() treats as whitespace (str.isspace).
+PY_WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
@@ -15,6 +23,17 @@ def strip_ws(col, chars: str = "") -> Column:
     return F.regexp_replace(_c(col), f"(?U)^{cls}+|{cls}+$", "")
 
 
+def trim_ws(col, extra_left: str = "", extra_right: str = "") -> Column:
+    """Python-style ``strip()`` with plain trims (no regex): whitespace, then
+    ``extra_left`` / ``extra_right`` characters from that side, then whitespace."""
+    c = F.trim(_c(col), F.lit(PY_WHITESPACE))
+    if extra_left:
+        c = F.trim(F.ltrim(c, F.lit(extra_left)), F.lit(PY_WHITESPACE))
+    if extra_right:
+        c = F.trim(F.rtrim(c, F.lit(extra_right)), F.lit(PY_WHITESPACE))
+    return c
+
+
 def clean_text(col) -> Column:
     """CRLF/CR/LF -> space, drop control chars below 32 except tab/newline/CR,
     collapse whitespace runs to one space, trim. Order of steps matters."""

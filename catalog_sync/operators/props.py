@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import strip_ws
+from ..functions.text import strip_ws, trim_ws
 from . import sync
 
 # Fixed value: the documented pattern for "key: value | key: value" text.
@@ -30,20 +30,38 @@ def property_pairs(text: Column | str) -> Column:
     pairs = F.transform(
         F.arrays_zip(keys.alias("k"), vals.alias("v")),
         lambda p, i: F.struct(
-            strip_ws(F.regexp_replace(strip_ws(p["k"]), r"^\|+", "")).alias("prop_key"),
+            trim_ws(p["k"], extra_left="|").alias("prop_key"),
             i.alias("pos"),  # (key, pos) lead the struct so array_sort orders by them
-            strip_ws(F.regexp_replace(strip_ws(p["v"]), r"\|+$", "")).alias("prop_value"),
+            trim_ws(p["v"], extra_right="|").alias("prop_value"),
         ),
     )
     return F.filter(pairs, lambda p: (p["prop_key"] != "") & (p["prop_value"] != ""))
 
 
-def last_per_key(pairs: Column) -> Column:
-    """Keep the last occurrence of each key inside one array: sort by (key, pos) and
-    keep an element when the next one has another key. O(n log n) per row."""
-    srt = F.array_sort(pairs)
-    n = F.size(srt)
-    return F.filter(srt, lambda p, i: (i == n - 1) | (F.get(srt, i + 1)["prop_key"] != p["prop_key"]))
+def last_per_key(sorted_pairs: Column) -> Column:
+    """Keep the last occurrence of each key in an array already sorted by (key, pos):
+    an element survives when the next one has another key.
+
+    Pass a column *reference* to an array that was sorted in an earlier
+    projection: the lambda reads the array at ``i + 1``, and an expression in
+    its place would be re-evaluated for every element.
+    """
+    n = F.size(sorted_pairs)
+    return F.filter(sorted_pairs, lambda p, i: (i == n - 1) | (F.get(sorted_pairs, i + 1)["prop_key"] != p["prop_key"]))
+
+
+def _staged_pairs(df: DataFrame, text_col: str, dedupe: bool, keep: list[Column]) -> DataFrame:
+    """Rows with ``__pairs``: parsed (and, with ``dedupe``, last-per-key) pairs of ``text_col``.
+
+    Sorting happens in its own projection so the de-duplication lambda reads a
+    materialised array (O(n log n) per text).
+    """
+    pairs = property_pairs(text_col)
+    if not dedupe:
+        return df.select(*keep, pairs.alias("__pairs"))
+    staged = df.select(*keep, F.sort_array(pairs).alias("__sorted"))
+    return staged.select(*[F.col(c) for c in staged.columns if c != "__sorted"],
+                         last_per_key(F.col("__sorted")).alias("__pairs"))
 
 
 def parse_properties(df: DataFrame, id_col: str = "id", text_col: str = "product_properties",
@@ -54,10 +72,11 @@ def parse_properties(df: DataFrame, id_col: str = "id", text_col: str = "product
     are stripped, and a repeated key keeps its last value (per input row; the
     product id is expected to be unique per row, as after an upsert).
     """
-    pairs = property_pairs(text_col)
-    if dedupe:
-        pairs = last_per_key(pairs)
-    out = df.select(F.col(id_col).alias("product_id"), F.explode(pairs).alias("p"))
+    staged = _staged_pairs(df, text_col, dedupe, [F.col(id_col).alias("product_id")])
+    # explode_outer + NULL filter: an inner explode makes Catalyst infer
+    # size(__pairs) > 0 and push it below the projections with the whole parse
+    # expression inlined (and re-run per element inside the lambda)
+    out = staged.select("product_id", F.explode_outer("__pairs").alias("p")).filter(F.col("p").isNotNull())
     cols = [F.col("product_id"), F.col("p.prop_key").alias("prop_key"), F.col("p.prop_value").alias("prop_value")]
     if keep_pos:
         cols.append(F.col("p.pos").alias("pos"))
@@ -147,8 +166,8 @@ def property_stats(props: DataFrame) -> DataFrame:
 
 def property_run_stats(snapshot: DataFrame, text_col: str = "product_properties") -> DataFrame:
     """Statistics of one property load: rows processed and properties parsed, one pass, no explode."""
-    n = F.size(last_per_key(property_pairs(text_col)))
-    return snapshot.agg(
+    n = F.size("__pairs")
+    return _staged_pairs(snapshot, text_col, True, []).agg(
         F.count(F.lit(1)).alias("updated_rows"),
         F.coalesce(F.sum(F.when(n > 0, n)), F.lit(0)).cast("bigint").alias("properties_processed"),
     )

@@ -190,7 +190,9 @@ def schema_drift(rows: DataFrame, required: T.StructType | list[tuple[str, str]]
     req_df = spark.createDataFrame(req_all, "column string, type string")
     fcol = F.col(file_col) if file_col else F.col("_metadata.file_name")
     keys = (
-        rows.select(fcol.alias("file"), F.explode(F.json_object_keys(F.col(json_col))).alias("column"))
+        # explode_outer: an inner explode would make Catalyst re-parse the JSON in an inferred size() filter
+        rows.select(fcol.alias("file"), F.explode_outer(F.json_object_keys(F.col(json_col))).alias("column"))
+        .filter(F.col("column").isNotNull())
         .distinct()
     )
     files = rows.select(fcol.alias("file")).distinct()

@@ -233,8 +233,8 @@ def similar_for_all_lsh(df: DataFrame, k: int = 4, exclude_same_brand: bool = Fa
         return similar_for_all(df, k, exclude_same_brand, w, block_rows, id_col, vector_col, flag_col)
     dim = int(first[0])
     keyed = items.withColumn("__codes", lsh_codes("vector", dim, bands, bits, seed)).select(
-        "id", "vector", "brand", "category", F.posexplode("__codes").alias("band", "code")
-    )
+        "id", "vector", "brand", "category", F.posexplode_outer("__codes").alias("band", "code")
+    ).filter(F.col("code").isNotNull())  # outer: no inferred size() filter that would run the UDF twice
     spark = df.sparkSession
     sizes = keyed.groupBy("band", "code").agg(F.count(F.lit(1)).alias("n")).collect()
     subs = spark.createDataFrame(

@@ -282,6 +282,39 @@ def cleanup_orphans(
     return CleanupResult(table, stats, status, deleted)
 
 
+def cleanup_after_upsert(merged_with_action: DataFrame, min_overlap: float = 0.1,
+                         max_orphan_share: float = 0.9) -> CleanupResult:
+    """Orphan cleanup fused with the preceding upsert (no second join).
+
+    After ``upsert(target, source, with_action=True)`` every key is in the
+    table, so existing = all rows, new = common = source rows and orphans =
+    untouched rows. The guard is decided from one aggregate; the kept table is
+    a filter of the same plan. Checkpoint the merged plan first when it is
+    expensive to recompute.
+    """
+    spark = merged_with_action.sparkSession
+    a = F.col("_action")
+    row = merged_with_action.agg(
+        F.count(F.lit(1)).alias("existing"), F.count_if(a != ACTION_KEEP).alias("common"),
+        F.count_if(a == ACTION_KEEP).alias("orphans"),
+    ).first()
+    existing, common, orphans = row["existing"], row["common"], row["orphans"]
+    table = merged_with_action.drop("_action")
+    if existing > 0 and orphans > max_orphan_share * existing and common < min_overlap * existing:
+        status, deleted = "error", 0
+        msg = f"Cleanup cancelled: only {common} common IDs found, possible key column mismatch"
+    elif orphans == 0:
+        status, deleted, msg = "success", 0, "No orphaned records found"
+    else:
+        table = merged_with_action.filter(a != ACTION_KEEP).drop("_action")
+        status, deleted, msg = "success", orphans, f"Successfully deleted {orphans} orphaned records"
+    stats = spark.createDataFrame(
+        [(existing, common, common, orphans, deleted, existing - deleted, status, msg)],
+        "total_existing long, total_new long, common long, orphans long, deleted_records long, final_count long, status string, message string",
+    )
+    return CleanupResult(table, stats, status, deleted)
+
+
 def validate_load(profile: DataFrame, rules: str = "A") -> DataFrame:
     """Status over a one-row profile.
 

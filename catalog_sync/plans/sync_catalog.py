@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import aggregate, schema, sync
+from ..session import ensure_checkpoint_dir
 
 
 @dataclass
@@ -22,24 +23,27 @@ class SyncRun:
 
 def sync_catalog(target: DataFrame, export_rows: DataFrame, now, mapping: dict[str, str] | None = None,
                  types: dict[str, str] | None = None, key: str = "id", change_cols=None,
-                 ignore_absent: bool = False, min_overlap: float = 0.1, checkpoint: bool = False) -> SyncRun:
+                 ignore_absent: bool = False, min_overlap: float = 0.1, checkpoint: bool = True) -> SyncRun:
     """extract -> map -> cast -> upsert -> validate -> cleanup as one lazy job.
 
-    With ``checkpoint=True`` the merged table is written to the shared
-    checkpoint folder (``spark.checkpoint.dir``) before the statistics and the
-    cleanup read it, so a lost executor re-reads that copy instead of
-    recomputing the join.
+    The upsert is the only join: merge statistics, the cleanup guard and the
+    cleaned table all derive from its action column. With ``checkpoint=True``
+    (default) the merged table is written once to the shared checkpoint folder
+    (``spark.checkpoint.dir``) and everything after reads that copy, so the
+    join is not recomputed per action and a lost executor re-reads files
+    instead of re-running the shuffle.
     """
     mapping = mapping or schema.PRODUCT_MAPPING
     mapped = schema.map_columns(export_rows, mapping, extracted_at=now, ignore_absent=ignore_absent)
     typed = schema.cast_columns(mapped, types or {"count_rows": "int"})
     merged = sync.upsert(target, typed, key, change_cols=change_cols, now=now, with_action=True)
     if checkpoint:
+        ensure_checkpoint_dir(merged.sparkSession)
         merged = merged.checkpoint(eager=True)
     stats = sync.merge_stats(merged)
     table = merged.drop("_action")
     validation = sync.validate_load(aggregate.profile_completeness(table), "A")
-    cleaned = sync.cleanup_orphans(table, typed, key, min_overlap=min_overlap)
+    cleaned = sync.cleanup_after_upsert(merged, min_overlap=min_overlap)
     ops = stats.select(
         F.lit("export").alias("source"), F.lit("catalog").alias("target"),
         F.col("source_rows").alias("total_rows"), F.col("source_rows").alias("processed_rows"),
