@@ -126,7 +126,8 @@ def search_by_properties(products: DataFrame, props: DataFrame, filters: dict[st
         hits = (
             props.filter(_pair_cond(filters))
             .groupBy("product_id")
-            .agg(F.count_distinct("prop_key").alias("__n"))
+            # the set holds at most len(filters) keys: one shuffle, partial aggregation map-side
+            .agg(F.size(F.collect_set("prop_key")).alias("__n"))
             .filter(F.col("__n") == len(filters))
             .select(F.col("product_id").alias(id_col))
         )

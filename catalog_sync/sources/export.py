@@ -8,8 +8,6 @@ pretty-printed one-document-per-file exports (one task per file).
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,13 +20,14 @@ class ExportFormatError(ValueError):
 def write_export(rows: DataFrame, path: str, rows_per_page: int = 50_000, mode: str = "overwrite") -> None:
     """Write ``rows`` as envelope pages (JSON lines), explicit nulls kept.
 
-    Rows are spread over pages by a content hash (deterministic on retry), so
-    pages are even and each page is one bounded group.
+    A page is a run of at most ``rows_per_page`` consecutive rows of one input
+    partition (``monotonically_increasing_id`` = partition offset + position,
+    stable for a re-read file scan), so pages are bounded whatever the data
+    holds, even many identical rows.
     """
-    n = rows.count()
-    pages = max(1, math.ceil(n / rows_per_page))
-    page = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(pages))
-    packed = rows.select(page.alias("__page"), F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("r"))
+    cols = [F.col(f"`{c}`") for c in rows.columns]
+    page = F.floor(F.monotonically_increasing_id() / F.lit(rows_per_page))
+    packed = rows.select(page.alias("__page"), F.struct(*cols).alias("r"))
     env = packed.groupBy("__page").agg(F.collect_list("r").alias("rows")).select(
         F.to_json(
             F.struct(F.array(F.struct(F.array(F.struct(F.col("rows").alias("rows"))).alias("tables"))).alias("results")),
