@@ -2,9 +2,10 @@
 with category match: ``(1 - distance) * (1 - w) + category_match * w``.
 
 * :func:`find_similar` — neighbours of one reference product: the reference
-  vector (one row) becomes a literal, every candidate is scored by codegen'd
-  higher-order functions, and ``orderBy.limit`` keeps k rows per partition
-  before the single merge task.
+  vector (one row) is shipped with the task, candidates are filtered in the
+  scan, scored per Arrow batch with one numpy matrix-vector product (or with
+  higher-order functions, ``engine="hof"``), and ``orderBy.limit`` keeps k rows
+  per partition before the single merge task.
 * :func:`similar_for_all` — top-k neighbours of every product, exact. Rows are
   hashed into blocks of at most ``block_rows``; each (query block, candidate
   block) pair is one Arrow task that multiplies the two matrices with numpy
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.vectors import dot, norm
+from ..functions.vectors import cosine_distance_to, dot, norm
 from .filters import search_text
 
 
@@ -38,7 +39,8 @@ def reference_row(df: DataFrame, ref_id, id_col: str = "id", flag_col: str = "is
 
 
 def find_similar(df: DataFrame, ref_id, k: int = 4, exclude_same_brand: bool = False, w: float = 1.0,
-                 id_col: str = "id", vector_col: str = "vector", flag_col: str = "is_vector") -> DataFrame:
+                 id_col: str = "id", vector_col: str = "vector", flag_col: str = "is_vector",
+                 engine: str = "arrow") -> DataFrame:
     """Top-k products similar to ``ref_id`` among rows with a current embedding.
 
     ``exclude_same_brand`` drops candidates whose brand equals the reference's,
@@ -60,8 +62,11 @@ def find_similar(df: DataFrame, ref_id, k: int = 4, exclude_same_brand: bool = F
     cand = df.filter((F.col(flag_col) == F.lit(True)) & (F.col(id_col) != F.lit(ref_id)))
     if exclude_same_brand:
         cand = cand.filter(F.col("brand") != F.lit(ref["brand"]))
-    denom = norm(vector_col) * F.lit(ref_norm)
-    distance = F.lit(1.0) - F.when(denom == 0, F.lit(float("nan"))).otherwise(dot(vector_col, lit_vec) / denom)
+    if engine == "arrow":
+        distance = cosine_distance_to(vector_col, ref_vec)
+    else:  # JVM higher-order functions
+        denom = norm(vector_col) * F.lit(ref_norm)
+        distance = F.lit(1.0) - F.when(denom == 0, F.lit(float("nan"))).otherwise(dot(vector_col, lit_vec) / denom)
     match = F.when(F.col("category") == F.lit(ref["category"]), F.lit(1.0)).otherwise(F.lit(0.0))
     scored = cand.select(id_col, "description", "brand", "category", distance.alias("vector_distance"),
                          match.alias("category_match"))

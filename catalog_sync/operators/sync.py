@@ -41,23 +41,22 @@ def _all(cols: list[Column]) -> Column:
 
 
 def dedupe_source(source: DataFrame, keys: list[str], on_duplicate: str = "error", order_col: str | None = None) -> DataFrame:
-    """One row per key. ``error`` raises on a repeated key; ``last`` keeps the
-    row with the highest ``order_col``.
-
-    ``error`` runs a key-only aggregate first (column-pruned scan, partial
-    counts map-side, so even a key holding a third of the rows is cheap).
-    ``last`` is a ``row_number() = 1`` window over the key: its exchange and
-    sort are the ones the following sort-merge join needs, and the window
-    group limit also runs before the shuffle, cutting a hot key to one row per
-    map task.
+    """One row per key. ``error`` fails the job on a repeated key (inside the
+    plan, no extra action); ``last`` keeps the row with the highest ``order_col``.
+
+    Both are windows over the key whose exchange and sort are the ones the
+    following sort-merge join on the same key needs, so with unique keys (the
+    normal case) the check costs no shuffle, no sort and no extra scan. A
+    separate key-only aggregate would shuffle every key a second time. A hot
+    duplicated key only occurs when ``error`` fails the run anyway; under
+    ``last`` the ``row_number() = 1`` window group limit also runs before the
+    shuffle, cutting a hot key to one row per map task.
     """
     if on_duplicate == "error":
-        # key-only scan with map-side partial counts: a hot duplicated key collapses
-        # to one row per map task instead of being buffered in one window task
-        dup = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1).limit(1).collect()
-        if dup:
-            raise ValueError(f"duplicate source key in upsert: {dup[0].asDict()}")
-        return source
+        n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+        checked = source.withColumn("__n", n)
+        check = F.assert_true(F.col("__n") == 1, F.lit("duplicate source key in upsert"))
+        return checked.filter(check.isNull()).drop("__n")
     if on_duplicate == "last":
         if not order_col:
             raise ValueError("on_duplicate='last' needs order_col")

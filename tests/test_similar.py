@@ -33,8 +33,9 @@ def brute(rows, ref, k, w, excl):
 def test_find_similar_matches_brute_force(spark):
     df, rows = frame(spark)
     for w, excl, k in [(1.0, False, 4), (0.5, True, 7), (0.0, False, 5)]:
-        got = [r["id"] for r in sim.find_similar(df, 1, k=k, exclude_same_brand=excl, w=w).collect()]
-        assert got == brute(rows, 1, k, w, excl)
+        for engine in ("arrow", "hof"):
+            got = [r["id"] for r in sim.find_similar(df, 1, k=k, exclude_same_brand=excl, w=w, engine=engine).collect()]
+            assert got == brute(rows, 1, k, w, excl)
 
 
 def test_unknown_or_unvectorised_reference_is_empty(spark):
