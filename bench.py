@@ -51,6 +51,13 @@ def main() -> None:
         results[name] = round(statistics.median(times), 4)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
+    # scaling check: the same queries on the 10x smaller TESTDATA, if present
+    small_dir = os.path.join(os.path.dirname(sf_dir.rstrip("/")), f"sf{sf / 10:g}") if sf else None
+    small = {}
+    if small_dir and os.path.isdir(small_dir) and os.environ.get("BENCH_SCALING", "1") == "1":
+        for name in HEADLINE:
+            run_once(spark, name, small_dir)
+            small[name] = round(statistics.median(run_once(spark, name, small_dir) for _ in range(3)), 4)
     print(json.dumps({
         "metric": "headline_total_median_sec",
         "value": round(sum(results.values()), 4),
@@ -59,6 +66,8 @@ def main() -> None:
         "sf": sf,
         "cpus": cpus,
         "runs": runs,
+        "queries_at_sf_div_10": small,
+        "time_ratio_10x_rows": round(sum(results.values()) / sum(small.values()), 3) if small else None,
     }))
     spark.stop()
 
