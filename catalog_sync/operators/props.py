@@ -99,7 +99,9 @@ def repair_property_keys(props: DataFrame, now, stamp_col: str = "updated_at") -
         F.when(F.col("__bad"), now_c).otherwise(F.col(stamp_col)).alias(stamp_col),
         "__bad",
     )
-    w = Window.partitionBy("product_id", "prop_key").orderBy(F.col(stamp_col).desc_nulls_last(), F.col("__bad").desc())
+    w = Window.partitionBy("product_id", "prop_key").orderBy(
+        F.col(stamp_col).desc_nulls_last(), F.col("__bad").desc(), F.col("prop_value").asc_nulls_last()
+    )  # full order: a retried task keeps the same row
     table = fixed.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn", "__bad")
     stats = fixed.agg(
         F.count_if(F.col("__bad")).alias("found"),

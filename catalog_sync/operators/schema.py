@@ -202,6 +202,7 @@ def schema_drift(rows: DataFrame, required: T.StructType | list[tuple[str, str]]
     add = wanted.join(keys, ["file", "column"], "left_anti").select(
         "file", F.lit("add").alias("action"), "column", "type"
     )
+    # broadcast bound: the required-column list is an argument (a schema), not data
     extra = keys.join(F.broadcast(req_df), "column", "left_anti").select(
         "file", F.lit("extra").alias("action"), "column", F.lit(None).cast("string").alias("type")
     )

@@ -246,7 +246,7 @@ def similar_for_all_lsh(df: DataFrame, k: int = 4, exclude_same_brand: bool = Fa
         [(r["band"], r["code"], max(1, math.ceil(r["n"] / block_rows))) for r in sizes] or [(0, 0, 1)],
         "band int, code int, __nsub int",
     )
-    keyed = keyed.join(F.broadcast(subs), ["band", "code"])
+    keyed = keyed.join(F.broadcast(subs), ["band", "code"])  # at most bands * 2**bits rows
     b = F.pmod(F.xxhash64("id"), F.col("__nsub")).cast("int")
     every = F.sequence(F.lit(0), F.col("__nsub") - 1)
     cols = ["id", "vector", "brand", "category", "band", "code"]

@@ -60,7 +60,9 @@ def dedupe_source(source: DataFrame, keys: list[str], on_duplicate: str = "error
     if on_duplicate == "last":
         if not order_col:
             raise ValueError("on_duplicate='last' needs order_col")
-        w = Window.partitionBy(*keys).orderBy(F.col(order_col).desc_nulls_last())
+        # a content hash breaks ties so a retried task picks the same row
+        others = [F.col(c) for c in source.columns if c not in keys]
+        w = Window.partitionBy(*keys).orderBy(F.col(order_col).desc_nulls_last(), F.xxhash64(*others).desc())
         return source.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
     if on_duplicate == "assume_unique":
         return source
