@@ -193,7 +193,10 @@ def update_properties(props: DataFrame, updates: DataFrame, now) -> DataFrame:
 
 
 def products_without_properties(products: DataFrame, props: DataFrame, id_col: str = "id") -> DataFrame:
-    return products.join(props.select(F.col("product_id").alias(id_col)), id_col, "left_anti")
+    """Products with no property row. The property side is reduced to distinct
+    ids first (partial aggregation map-side), so a product with very many
+    property rows sends one row per map task to the anti-join, not all of them."""
+    return products.join(props.select(F.col("product_id").alias(id_col)).distinct(), id_col, "left_anti")
 
 
 def duplicate_properties(props: DataFrame) -> DataFrame:

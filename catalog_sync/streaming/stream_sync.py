@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import sync
+from ..session import ensure_checkpoint_dir
 from ..sources.files import current_version, read_snapshot, set_current, write_snapshot
 
 
@@ -35,10 +36,20 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def apply_snapshot(current: DataFrame, snapshot: DataFrame, key: str, now, change_cols=None,
-                   min_overlap: float = 0.1) -> tuple[DataFrame, sync.CleanupResult]:
-    """One snapshot onto the current table: upsert, then guarded orphan cleanup."""
-    merged = sync.upsert(current, snapshot, key, change_cols=change_cols, now=now)
-    return merged, sync.cleanup_orphans(merged, snapshot, key, min_overlap=min_overlap)
+                   min_overlap: float = 0.1, checkpoint: bool = True) -> tuple[DataFrame, sync.CleanupResult]:
+    """One snapshot onto the current table: upsert, then guarded orphan cleanup.
+
+    The cleanup is fused with the upsert (its counts and the kept rows come
+    from the upsert's action column, no second join). With ``checkpoint`` the
+    merged table is written once to the shared checkpoint folder, so the guard
+    aggregate and the version write read that copy instead of re-running the
+    join, and a lost executor costs a file re-read, not the shuffle.
+    """
+    merged = sync.upsert(current, snapshot, key, change_cols=change_cols, now=now, with_action=True)
+    if checkpoint:
+        ensure_checkpoint_dir(merged.sparkSession)
+        merged = merged.checkpoint(eager=True)
+    return merged.drop("_action"), sync.cleanup_after_upsert(merged, min_overlap=min_overlap)
 
 
 def stream_sync(spark: SparkSession, snapshot_dir: str, schema: T.StructType, table_base: str, checkpoint: str,
