@@ -7,11 +7,12 @@ with category match: ``(1 - distance) * (1 - w) + category_match * w``.
   higher-order functions, ``engine="hof"``), and ``orderBy.limit`` keeps k rows
   per partition before the single merge task.
 * :func:`similar_for_all` — top-k neighbours of every product, exact. Rows are
-  hashed into blocks of at most ``block_rows``; each (query block, candidate
-  block) pair is one Arrow task that multiplies the two matrices with numpy
-  and emits only the k best candidates per query; a window group limit merges
-  the per-block winners. No group ever holds more than two blocks and no task
-  emits all pairs.
+  hashed into blocks of at most ``block_rows``; each unordered block pair is
+  one Arrow group that multiplies the two matrices once with numpy (the score
+  is symmetric, so the product serves both directions) and emits only the k
+  best candidates per row; a window group limit merges the per-pair winners.
+  A row is shuffled once per block, no group holds more than two blocks and
+  no task emits all pairs.
 """
 
 from __future__ import annotations
@@ -128,47 +129,76 @@ def _exact_topk_mask(sort_score: np.ndarray, dist: np.ndarray, cand_ids: np.ndar
     return better
 
 
-def _block_topk(k: int, w: float, exclude_same_brand: bool):
-    """pandas function for one (query block, candidate block) group."""
+def _empty_pairs() -> pd.DataFrame:
+    return pd.DataFrame({f.name: pd.Series(dtype="float64" if f.dataType == T.DoubleType() else "int64") for f in _PAIR_SCHEMA})
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        q = pdf[pdf["__side"] == 0]
-        c = pdf[pdf["__side"] == 1]
-        if q.empty or c.empty:
-            return pd.DataFrame({f.name: pd.Series(dtype="float64" if f.dataType == T.DoubleType() else "int64") for f in _PAIR_SCHEMA})
-        qv = np.vstack(q["vector"].to_numpy()).astype(np.float64)
-        cv = np.vstack(c["vector"].to_numpy()).astype(np.float64)
-        qn = np.linalg.norm(qv, axis=1)
-        cn = np.linalg.norm(cv, axis=1)
+
+def _topk_rows(q_ids, c_ids, score, dist, match, valid, k: int) -> pd.DataFrame:
+    """The k best candidates (columns) of every query (row) of one score matrix."""
+    # rank key: NaN scores first (PostgreSQL DESC), then score desc, distance asc, id asc
+    sort_score = np.where(np.isnan(score), np.inf, score)
+    sort_score = np.where(valid, sort_score, -np.inf)
+    keep = _exact_topk_mask(sort_score, dist, c_ids, valid, k)
+    qi, ci = np.nonzero(keep)
+    return pd.DataFrame({
+        "id": q_ids[qi].astype("int64"),
+        "neighbor_id": c_ids[ci].astype("int64"),
+        "vector_distance": dist[qi, ci],
+        "category_match": match[qi, ci],
+        "combined_score": score[qi, ci],
+    })
+
+
+def _block_pair_topk(k: int, w: float, exclude_same_brand: bool):
+    """pandas function for one unordered block pair ``(lo, hi)``.
+
+    The score is symmetric (cosine, category match and the brand rule all
+    are), so the matrix between blocks ``lo`` and ``hi`` is computed once and
+    read both ways: rows of ``lo`` against ``hi`` and, when the blocks differ,
+    rows of ``hi`` against ``lo``. Each group holds at most two blocks.
+    """
+
+    def run(key, pdf):
+        lo, hi = int(key[-2]), int(key[-1])
+        a = pdf[pdf["__b"] == lo]
+        b = pdf[pdf["__b"] == hi] if hi != lo else a
+        if a.empty or b.empty:
+            return _empty_pairs()
+        av = np.vstack(a["vector"].to_numpy()).astype(np.float64)
+        bv = np.vstack(b["vector"].to_numpy()).astype(np.float64)
         with np.errstate(divide="ignore", invalid="ignore"):
-            sim = (qv @ cv.T) / np.outer(qn, cn)
+            sim = (av @ bv.T) / np.outer(np.linalg.norm(av, axis=1), np.linalg.norm(bv, axis=1))
         sim[~np.isfinite(sim)] = np.nan
         dist = 1.0 - sim
-        qcat = q["category"].to_numpy(dtype=object)
-        ccat = c["category"].to_numpy(dtype=object)
-        match = ((qcat[:, None] == ccat[None, :]) & pd.notna(qcat)[:, None] & pd.notna(ccat)[None, :]).astype(np.float64)
+        acat = a["category"].to_numpy(dtype=object)
+        bcat = b["category"].to_numpy(dtype=object)
+        match = ((acat[:, None] == bcat[None, :]) & pd.notna(acat)[:, None] & pd.notna(bcat)[None, :]).astype(np.float64)
         score = (1.0 - dist) * (1.0 - w) + match * w
-        valid = q["id"].to_numpy()[:, None] != c["id"].to_numpy()[None, :]
+        a_ids, b_ids = a["id"].to_numpy(), b["id"].to_numpy()
+        valid = a_ids[:, None] != b_ids[None, :]
         if exclude_same_brand:
-            qb = q["brand"].to_numpy(dtype=object)
-            cb = c["brand"].to_numpy(dtype=object)
-            valid &= (qb[:, None] != cb[None, :]) & pd.notna(qb)[:, None] & pd.notna(cb)[None, :]
-        # rank key: NaN scores first (PostgreSQL DESC), then score desc, distance asc, id asc
-        sort_score = np.where(np.isnan(score), np.inf, score)
-        sort_score = np.where(valid, sort_score, -np.inf)
-        keep = _exact_topk_mask(sort_score, dist, c["id"].to_numpy(), valid, k)
-        qi, ci = np.nonzero(keep)
-        return pd.DataFrame({
-            "id": q["id"].to_numpy()[qi].astype("int64"),
-            "neighbor_id": c["id"].to_numpy()[ci].astype("int64"),
-            "vector_distance": dist[qi, ci],
-            "category_match": match[qi, ci],
-            "combined_score": score[qi, ci],
-        })
+            ab = a["brand"].to_numpy(dtype=object)
+            bb = b["brand"].to_numpy(dtype=object)
+            valid &= (ab[:, None] != bb[None, :]) & pd.notna(ab)[:, None] & pd.notna(bb)[None, :]
+        out = _topk_rows(a_ids, b_ids, score, dist, match, valid, k)
+        if hi != lo:
+            out = pd.concat([out, _topk_rows(b_ids, a_ids, score.T, dist.T, match.T, valid.T, k)], ignore_index=True)
+        return out
 
     return run
 
 
+def _pair_groups(items: DataFrame, block: Column, n_blocks: Column) -> DataFrame:
+    """Send each row to the unordered block pairs it belongs to: ``n_blocks`` copies,
+    one per partner block, keyed ``(__lo, __hi)`` with ``__lo <= __hi``."""
+    partner = F.explode(F.sequence(F.lit(0), n_blocks - 1))
+    spread = items.select("*", block.alias("__b"), partner.alias("__x"))
+    return spread.select(
+        *[c for c in spread.columns if c != "__x"],
+        F.least("__b", "__x").alias("__lo"), F.greatest("__b", "__x").alias("__hi"),
+    )
+
+
 def similar_for_all(df: DataFrame, k: int = 4, exclude_same_brand: bool = False, w: float = 1.0,
                     block_rows: int = 4096, id_col: str = "id", vector_col: str = "vector",
                     flag_col: str = "is_vector") -> DataFrame:
@@ -183,11 +213,8 @@ def similar_for_all(df: DataFrame, k: int = 4, exclude_same_brand: bool = False,
     n = items.count()
     blocks = max(1, math.ceil(n / block_rows))
     b = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    everyone = F.sequence(F.lit(0), F.lit(blocks - 1))
-    queries = items.select("*", b.alias("__qb"), F.explode(everyone).alias("__cb"), F.lit(0).alias("__side"))
-    cands = items.select("*", F.explode(everyone).alias("__qb"), b.alias("__cb"), F.lit(1).alias("__side"))
-    pairs = queries.unionByName(cands).groupBy("__qb", "__cb").applyInPandas(
-        _block_topk(k, w, exclude_same_brand), _PAIR_SCHEMA
+    pairs = _pair_groups(items, b, F.lit(blocks)).groupBy("__lo", "__hi").applyInPandas(
+        _block_pair_topk(k, w, exclude_same_brand), _PAIR_SCHEMA
     )
     order = Window.partitionBy("id").orderBy(
         F.col("combined_score").desc_nulls_first(), F.col("vector_distance").asc(), F.col("neighbor_id").asc()
@@ -248,12 +275,9 @@ def similar_for_all_lsh(df: DataFrame, k: int = 4, exclude_same_brand: bool = Fa
     )
     keyed = keyed.join(F.broadcast(subs), ["band", "code"])  # at most bands * 2**bits rows
     b = F.pmod(F.xxhash64("id"), F.col("__nsub")).cast("int")
-    every = F.sequence(F.lit(0), F.col("__nsub") - 1)
-    cols = ["id", "vector", "brand", "category", "band", "code"]
-    queries = keyed.select(*cols, b.alias("__qb"), F.explode(every).alias("__cb"), F.lit(0).alias("__side"))
-    cands = keyed.select(*cols, F.explode(every).alias("__qb"), b.alias("__cb"), F.lit(1).alias("__side"))
-    pairs = queries.unionByName(cands).groupBy("band", "code", "__qb", "__cb").applyInPandas(
-        _block_topk(k, w, exclude_same_brand), _PAIR_SCHEMA
+    keyed = keyed.select("id", "vector", "brand", "category", "band", "code", "__nsub")
+    pairs = _pair_groups(keyed, b, F.col("__nsub")).drop("__nsub").groupBy("band", "code", "__lo", "__hi").applyInPandas(
+        _block_pair_topk(k, w, exclude_same_brand), _PAIR_SCHEMA
     )
     pairs = pairs.dropDuplicates(["id", "neighbor_id"])
     order = Window.partitionBy("id").orderBy(
