@@ -29,6 +29,7 @@ HEADLINE = [
     "sync_catalog",
     "find_similar",
     "similar_for_all",
+    "similar_for_all_lsh",
 ]
 
 

@@ -22,8 +22,18 @@ def ts(value: str):
     return F.lit(value).cast("timestamp_ntz")
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """A TESTDATA table. The read (file listing, footer schema) is resolved once
+    per application and path; every action still scans the files."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (spark.sparkContext.applicationId, path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:

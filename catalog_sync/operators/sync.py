@@ -96,10 +96,11 @@ def upsert(
     that exist in the source; pass ``[]`` for "no change detection".
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
+    t_names, s_names = set(target.columns), set(source.columns)
     for k in keys:
-        if k not in target.columns or k not in source.columns:
+        if k not in t_names or k not in s_names:
             raise ValueError(f"key column {k!r} must exist in target and source")
-    src = source.drop(flag_col) if flag_col and flag_col in source.columns else source
+    src = source.drop(flag_col) if flag_col and flag_col in s_names else source
     if on_duplicate != "last" and order_col and order_col in src.columns:
         src = src.drop(order_col)
     if reject_null_keys:
@@ -110,13 +111,16 @@ def upsert(
     if order_col and order_col in src.columns and order_col not in target.columns:
         src = src.drop(order_col)
 
+    # schemas fetched once: every .dtypes / .columns is a round trip to the JVM
     t_types = dict(target.dtypes)
-    s_cols = [c for c in src.columns if c not in keys]
+    t_cols = list(t_types)
+    s_types = dict(src.dtypes)
+    s_cols = [c for c in s_types if c not in keys]
     # Typed like the target column when both have it (the reference casts to the column type).
-    t_side = target.select(*[F.col(c).alias(c) for c in keys], *[F.col(c).alias(f"__t_{c}") for c in target.columns if c not in keys], F.lit(True).alias("__in_t"))
+    t_side = target.select(*[F.col(c).alias(c) for c in keys], *[F.col(c).alias(f"__t_{c}") for c in t_cols if c not in keys], F.lit(True).alias("__in_t"))
     s_side = src.select(
-        *[(F.col(k).cast(t_types[k]) if dict(src.dtypes)[k] != t_types[k] else F.col(k)).alias(k) for k in keys],
-        *[(F.col(c).cast(t_types[c]) if c in t_types and dict(src.dtypes)[c] != t_types[c] else F.col(c)).alias(f"__s_{c}") for c in s_cols],
+        *[(F.col(k).cast(t_types[k]) if s_types[k] != t_types[k] else F.col(k)).alias(k) for k in keys],
+        *[(F.col(c).cast(t_types[c]) if c in t_types and s_types[c] != t_types[c] else F.col(c)).alias(f"__s_{c}") for c in s_cols],
         F.lit(True).alias("__in_s"),
     )
     j = t_side.join(s_side, keys, "full_outer")
@@ -138,7 +142,7 @@ def upsert(
     now_c = _now(now)
 
     out: list[Column] = [F.col(k) for k in keys]
-    for c in target.columns:
+    for c in t_cols:
         if c in keys:
             continue
         if flag_col and c == flag_col:

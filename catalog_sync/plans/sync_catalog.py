@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import aggregate, schema, sync
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 
 
 @dataclass
@@ -28,18 +28,17 @@ def sync_catalog(target: DataFrame, export_rows: DataFrame, now, mapping: dict[s
 
     The upsert is the only join: merge statistics, the cleanup guard and the
     cleaned table all derive from its action column. With ``checkpoint=True``
-    (default) the merged table is written once to the shared checkpoint folder
-    (``spark.checkpoint.dir``) and everything after reads that copy, so the
-    join is not recomputed per action and a lost executor re-reads files
-    instead of re-running the shuffle.
+    (default) the merged table is written once as Parquet to the shared
+    checkpoint folder (``spark.checkpoint.dir``) and everything after reads
+    that copy, so the join is not recomputed per action and a lost executor
+    re-reads files instead of re-running the shuffle.
     """
     mapping = mapping or schema.PRODUCT_MAPPING
     mapped = schema.map_columns(export_rows, mapping, extracted_at=now, ignore_absent=ignore_absent)
     typed = schema.cast_columns(mapped, types or {"count_rows": "int"})
     merged = sync.upsert(target, typed, key, change_cols=change_cols, now=now, with_action=True)
     if checkpoint:
-        ensure_checkpoint_dir(merged.sparkSession)
-        merged = merged.checkpoint(eager=True)
+        merged = materialize(merged, "sync-merged")
     stats = sync.merge_stats(merged)
     table = merged.drop("_action")
     validation = sync.validate_load(aggregate.profile_completeness(table), "A")

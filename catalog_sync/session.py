@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -24,6 +24,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "cat
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # no per-call Python call-site capture (several JVM round trips per DataFrame/Column call)
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "16g")
         .getOrCreate()
     )
@@ -53,3 +55,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage by writing ``df`` as Parquet under the shared checkpoint folder
+    and reading it back.
+
+    One job computes and writes the plan (a reliable ``checkpoint()`` runs it
+    twice unless cached, and stores Java-serialized rows); the copy is
+    columnar, survives lost executors, and later stages get real file
+    statistics for join planning.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import sync
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 from ..sources.files import current_version, read_snapshot, set_current, write_snapshot
 
 
@@ -41,14 +41,13 @@ def apply_snapshot(current: DataFrame, snapshot: DataFrame, key: str, now, chang
 
     The cleanup is fused with the upsert (its counts and the kept rows come
     from the upsert's action column, no second join). With ``checkpoint`` the
-    merged table is written once to the shared checkpoint folder, so the guard
+    merged table is written once as Parquet to the shared checkpoint folder, so the guard
     aggregate and the version write read that copy instead of re-running the
     join, and a lost executor costs a file re-read, not the shuffle.
     """
     merged = sync.upsert(current, snapshot, key, change_cols=change_cols, now=now, with_action=True)
     if checkpoint:
-        ensure_checkpoint_dir(merged.sparkSession)
-        merged = merged.checkpoint(eager=True)
+        merged = materialize(merged, "stream-merged")
     return merged.drop("_action"), sync.cleanup_after_upsert(merged, min_overlap=min_overlap)
 
 
