@@ -149,41 +149,54 @@ def _topk_rows(q_ids, c_ids, score, dist, match, valid, k: int) -> pd.DataFrame:
     })
 
 
-def _block_pair_topk(k: int, w: float, exclude_same_brand: bool):
+# rows of one block scored per matrix product: bounds a task's matrices to
+# CHUNK_ROWS x block_rows doubles (about 32 MB each at 1024 x 4096)
+CHUNK_ROWS = 1024
+
+
+def _block_pair_topk(k: int, w: float, exclude_same_brand: bool, chunk_rows: int = CHUNK_ROWS):
     """pandas function for one unordered block pair ``(lo, hi)``.
 
     The score is symmetric (cosine, category match and the brand rule all
-    are), so the matrix between blocks ``lo`` and ``hi`` is computed once and
-    read both ways: rows of ``lo`` against ``hi`` and, when the blocks differ,
-    rows of ``hi`` against ``lo``. Each group holds at most two blocks.
+    are), so each matrix between blocks ``lo`` and ``hi`` is computed once and
+    read both ways: rows of ``lo`` against all of ``hi`` (a complete top-k)
+    and, when the blocks differ, rows of ``hi`` against this chunk of ``lo``
+    (a partial top-k that the final window merges). Block ``lo`` is taken
+    ``chunk_rows`` rows at a time, so memory per task stays bounded. Each group
+    holds at most two blocks.
     """
 
     def run(key, pdf):
         lo, hi = int(key[-2]), int(key[-1])
-        a = pdf[pdf["__b"] == lo]
-        b = pdf[pdf["__b"] == hi] if hi != lo else a
-        if a.empty or b.empty:
+        a_all = pdf[pdf["__b"] == lo]
+        b = pdf[pdf["__b"] == hi] if hi != lo else a_all
+        if a_all.empty or b.empty:
             return _empty_pairs()
-        av = np.vstack(a["vector"].to_numpy()).astype(np.float64)
         bv = np.vstack(b["vector"].to_numpy()).astype(np.float64)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            sim = (av @ bv.T) / np.outer(np.linalg.norm(av, axis=1), np.linalg.norm(bv, axis=1))
-        sim[~np.isfinite(sim)] = np.nan
-        dist = 1.0 - sim
-        acat = a["category"].to_numpy(dtype=object)
+        bn = np.linalg.norm(bv, axis=1)
         bcat = b["category"].to_numpy(dtype=object)
-        match = ((acat[:, None] == bcat[None, :]) & pd.notna(acat)[:, None] & pd.notna(bcat)[None, :]).astype(np.float64)
-        score = (1.0 - dist) * (1.0 - w) + match * w
-        a_ids, b_ids = a["id"].to_numpy(), b["id"].to_numpy()
-        valid = a_ids[:, None] != b_ids[None, :]
-        if exclude_same_brand:
-            ab = a["brand"].to_numpy(dtype=object)
-            bb = b["brand"].to_numpy(dtype=object)
-            valid &= (ab[:, None] != bb[None, :]) & pd.notna(ab)[:, None] & pd.notna(bb)[None, :]
-        out = _topk_rows(a_ids, b_ids, score, dist, match, valid, k)
-        if hi != lo:
-            out = pd.concat([out, _topk_rows(b_ids, a_ids, score.T, dist.T, match.T, valid.T, k)], ignore_index=True)
-        return out
+        b_ids = b["id"].to_numpy()
+        bb = b["brand"].to_numpy(dtype=object)
+        outs = []
+        for start in range(0, len(a_all), chunk_rows):
+            a = a_all.iloc[start:start + chunk_rows]
+            av = np.vstack(a["vector"].to_numpy()).astype(np.float64)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                sim = (av @ bv.T) / np.outer(np.linalg.norm(av, axis=1), bn)
+            sim[~np.isfinite(sim)] = np.nan
+            dist = 1.0 - sim
+            acat = a["category"].to_numpy(dtype=object)
+            match = ((acat[:, None] == bcat[None, :]) & pd.notna(acat)[:, None] & pd.notna(bcat)[None, :]).astype(np.float64)
+            score = (1.0 - dist) * (1.0 - w) + match * w
+            a_ids = a["id"].to_numpy()
+            valid = a_ids[:, None] != b_ids[None, :]
+            if exclude_same_brand:
+                ab = a["brand"].to_numpy(dtype=object)
+                valid &= (ab[:, None] != bb[None, :]) & pd.notna(ab)[:, None] & pd.notna(bb)[None, :]
+            outs.append(_topk_rows(a_ids, b_ids, score, dist, match, valid, k))
+            if hi != lo:
+                outs.append(_topk_rows(b_ids, a_ids, score.T, dist.T, match.T, valid.T, k))
+        return pd.concat(outs, ignore_index=True)
 
     return run
 
@@ -201,7 +214,7 @@ def _pair_groups(items: DataFrame, block: Column, n_blocks: Column) -> DataFrame
 
 def similar_for_all(df: DataFrame, k: int = 4, exclude_same_brand: bool = False, w: float = 1.0,
                     block_rows: int = 4096, id_col: str = "id", vector_col: str = "vector",
-                    flag_col: str = "is_vector") -> DataFrame:
+                    flag_col: str = "is_vector", chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Exact top-k neighbours of every product with a current embedding.
 
     Output (id, neighbor_id, vector_distance, category_match, combined_score,
@@ -214,7 +227,7 @@ def similar_for_all(df: DataFrame, k: int = 4, exclude_same_brand: bool = False,
     blocks = max(1, math.ceil(n / block_rows))
     b = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
     pairs = _pair_groups(items, b, F.lit(blocks)).groupBy("__lo", "__hi").applyInPandas(
-        _block_pair_topk(k, w, exclude_same_brand), _PAIR_SCHEMA
+        _block_pair_topk(k, w, exclude_same_brand, chunk_rows), _PAIR_SCHEMA
     )
     order = Window.partitionBy("id").orderBy(
         F.col("combined_score").desc_nulls_first(), F.col("vector_distance").asc(), F.col("neighbor_id").asc()
@@ -247,7 +260,8 @@ def lsh_codes(vector_col: str, dim: int, bands: int = 4, bits: int = 8, seed: in
 
 def similar_for_all_lsh(df: DataFrame, k: int = 4, exclude_same_brand: bool = False, w: float = 1.0,
                         bands: int = 4, bits: int = 8, block_rows: int = 4096, seed: int = 17,
-                        id_col: str = "id", vector_col: str = "vector", flag_col: str = "is_vector") -> DataFrame:
+                        id_col: str = "id", vector_col: str = "vector", flag_col: str = "is_vector",
+                        chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Approximate top-k neighbours of every product (same output as :func:`similar_for_all`).
 
     Candidates are the products sharing a SimHash bucket in at least one of
@@ -262,7 +276,7 @@ def similar_for_all_lsh(df: DataFrame, k: int = 4, exclude_same_brand: bool = Fa
     )
     first = items.select(F.size("vector")).first()
     if first is None:
-        return similar_for_all(df, k, exclude_same_brand, w, block_rows, id_col, vector_col, flag_col)
+        return similar_for_all(df, k, exclude_same_brand, w, block_rows, id_col, vector_col, flag_col, chunk_rows)
     dim = int(first[0])
     keyed = items.withColumn("__codes", lsh_codes("vector", dim, bands, bits, seed)).select(
         "id", "vector", "brand", "category", F.posexplode_outer("__codes").alias("band", "code")
@@ -277,7 +291,7 @@ def similar_for_all_lsh(df: DataFrame, k: int = 4, exclude_same_brand: bool = Fa
     b = F.pmod(F.xxhash64("id"), F.col("__nsub")).cast("int")
     keyed = keyed.select("id", "vector", "brand", "category", "band", "code", "__nsub")
     pairs = _pair_groups(keyed, b, F.col("__nsub")).drop("__nsub").groupBy("band", "code", "__lo", "__hi").applyInPandas(
-        _block_pair_topk(k, w, exclude_same_brand), _PAIR_SCHEMA
+        _block_pair_topk(k, w, exclude_same_brand, chunk_rows), _PAIR_SCHEMA
     )
     pairs = pairs.dropDuplicates(["id", "neighbor_id"])
     order = Window.partitionBy("id").orderBy(

@@ -55,6 +55,18 @@ def test_similar_for_all_exact_across_blocks(spark):
             assert by.get(row[0], []) == brute(rows, row[0], 3, 0.5, True)
 
 
+def test_similar_for_all_exact_in_chunks(spark):
+    # several chunks per block: the reverse direction is merged from partial per-chunk cuts
+    df, rows = frame(spark, n=90)
+    got = sim.similar_for_all(df, k=4, w=0.3, exclude_same_brand=False, block_rows=20, chunk_rows=6)
+    by = {}
+    for r in got.orderBy("id", "rank").collect():
+        by.setdefault(r["id"], []).append(r["neighbor_id"])
+    for row in rows:
+        if row[4]:
+            assert by.get(row[0], []) == brute(rows, row[0], 4, 0.3, False)
+
+
 def test_search_then_similar_formats(spark):
     df, _ = frame(spark)
     out = sim.search_then_similar(df, "item 1", k=2, w=0.5).collect()
