@@ -293,8 +293,15 @@ def similar_for_all_lsh(df: DataFrame, k: int = 4, exclude_same_brand: bool = Fa
     pairs = _pair_groups(keyed, b, F.col("__nsub")).drop("__nsub").groupBy("band", "code", "__lo", "__hi").applyInPandas(
         _block_pair_topk(k, w, exclude_same_brand, chunk_rows), _PAIR_SCHEMA
     )
-    pairs = pairs.dropDuplicates(["id", "neighbor_id"])
     order = Window.partitionBy("id").orderBy(
         F.col("combined_score").desc_nulls_first(), F.col("vector_distance").asc(), F.col("neighbor_id").asc()
     )
-    return pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    # A pair is found at most once per band, so the k * bands best rows of an id
+    # hold at least k distinct neighbours. That cut runs map-side (window group
+    # limit) before the one shuffle on id; the duplicate merge and the final
+    # rank reuse that partitioning (no second shuffle of the candidates).
+    cut = pairs.withColumn("__r", F.row_number().over(order)).filter(F.col("__r") <= k * bands)
+    best = cut.groupBy("id", "neighbor_id").agg(
+        F.min(F.struct("vector_distance", "category_match", "combined_score")).alias("__m")
+    ).select("id", "neighbor_id", "__m.*")
+    return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

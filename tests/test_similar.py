@@ -108,3 +108,13 @@ def test_lsh_recall_on_clustered_vectors(spark):
     assert len({r["id"] for r in approx}) > 200
     recall = len(exact & {(r["id"], r["neighbor_id"]) for r in approx}) / len(exact)
     assert recall >= 0.8, recall
+    # every pair found carries its exact distance and distinct neighbours ranked 1..n
+    vec = {row[0]: np.array(row[5]) for row in rows}
+    for r in approx:
+        a, b = vec[r["id"]], vec[r["neighbor_id"]]
+        assert np.isclose(r["vector_distance"], 1 - a @ b / (np.linalg.norm(a) * np.linalg.norm(b)), atol=1e-9)
+    ranks = {}
+    for r in approx:
+        ranks.setdefault(r["id"], []).append((r["rank"], r["neighbor_id"]))
+    for got in ranks.values():
+        assert sorted(x for x, _ in got) == list(range(1, len(got) + 1)) and len({n for _, n in got}) == len(got)
