@@ -52,16 +52,37 @@ def read_table(spark: SparkSession, name_or_query: str) -> DataFrame:
 _POINTER = "_current"
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop_path(spark, path)
+    return bool(fs.exists(p))
+
+
+def is_committed(spark: SparkSession, path: str) -> bool:
+    """A folder a Spark write job finished: the committer's ``_SUCCESS`` marker is there."""
+    fs, p = _hadoop_path(spark, path)
+    return bool(fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+
 def write_snapshot(df: DataFrame, base: str, version: str | None = None) -> str:
     """Write ``df`` as a new version under ``base`` and switch the pointer to it.
 
     The data lands in its own folder first; only then the small pointer is
     replaced, so readers see the old or the new version, never a mix, and a
-    table can be rewritten from a plan that reads its current version.
+    table can be rewritten from a plan that reads its current version. A
+    committed version is never overwritten; the leftovers of a failed attempt
+    at the same version (no ``_SUCCESS`` marker) are replaced.
     """
     spark = df.sparkSession
     version = version or f"v-{_dt.datetime.now(_dt.timezone.utc).strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}"
-    df.write.mode("errorifexists").parquet(os.path.join(base, version))
+    path = os.path.join(base, version)
+    partial = path_exists(spark, path) and not is_committed(spark, path)
+    df.write.mode("overwrite" if partial else "errorifexists").parquet(path)
     set_current(spark, base, version)
     return version
 

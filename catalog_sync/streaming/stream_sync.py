@@ -5,8 +5,9 @@ at ``table_base`` exactly once: ``readStream`` (one file per micro-batch) ->
 ``foreachBatch`` (upsert with change detection + guarded orphan cleanup) ->
 ``write_snapshot``. The streaming checkpoint remembers which files were done,
 so a second run processes nothing. A batch writes a version named after its
-batch id, so a batch replayed after a failure finds its version and only
-re-points to it instead of applying the snapshot twice.
+batch id, so a batch replayed after a failure finds its committed version and
+only re-points to it instead of applying the snapshot twice; a version left
+half-written by the failure is written again.
 """
 
 from __future__ import annotations
@@ -20,21 +21,13 @@ from pyspark.sql import types as T
 
 from ..operators import sync
 from ..session import materialize
-from ..sources.files import current_version, read_snapshot, set_current, write_snapshot
+from ..sources.files import current_version, is_committed, read_snapshot, set_current, write_snapshot
 
 
 def _version_name(batch_id: int, idx: int) -> str:
     return f"batch-{batch_id:08d}-{idx:03d}"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - touch the metadata only
-        return True
-    except Exception:  # noqa: BLE001
-        return False
-
-
 def apply_snapshot(current: DataFrame, snapshot: DataFrame, key: str, now, change_cols=None,
                    min_overlap: float = 0.1, checkpoint: bool = True) -> tuple[DataFrame, sync.CleanupResult]:
     """One snapshot onto the current table: upsert, then guarded orphan cleanup.
@@ -67,8 +60,8 @@ def stream_sync(spark: SparkSession, snapshot_dir: str, schema: T.StructType, ta
         for idx, f in enumerate(files):
             version = _version_name(batch_id, idx)
             path = os.path.join(table_base, version)
-            if _exists(spark, path):
-                # replayed batch: the version was written before the failure
+            if is_committed(spark, path):
+                # replayed batch: the version was committed before the failure
                 set_current(spark, table_base, version)
                 reports.append({"batch_id": batch_id, "file": f, "status": "replayed"})
                 continue

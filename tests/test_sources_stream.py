@@ -65,3 +65,34 @@ def test_stream_sync_once_per_file(spark):
     spark.createDataFrame([(1, "a"), (4, "d")], "id long, description string").coalesce(1).write.parquet(os.path.join(snaps, "d=2"))
     third = stream_sync(spark, os.path.join(snaps, "d=*"), schema, base, ck, now="2024-06-02 00:00:00")
     assert len(third) == 1 and sorted(r["id"] for r in fs.read_snapshot(spark, base).collect()) == [1, 4]
+
+
+def test_half_written_version_is_replaced_committed_one_kept(spark):
+    base = scratch_path(spark, "t-partial")
+    os.makedirs(os.path.join(base, "v1", "_temporary", "0"))  # a failed attempt's leftovers
+    df = spark.range(4).withColumnRenamed("id", "k")
+    fs.write_snapshot(df, base, "v1")
+    assert fs.is_committed(spark, os.path.join(base, "v1")) and fs.read_snapshot(spark, base).count() == 4
+    with pytest.raises(Exception):
+        fs.write_snapshot(df.filter("k > 1"), base, "v1")  # never clobber a committed version
+    assert fs.read_snapshot(spark, base).count() == 4
+
+
+def test_stream_replay_after_a_crash_mid_write(spark):
+    root = scratch_path(spark, "t-stream-crash")
+    tgt = spark.createDataFrame([(1, "a", True), (2, "b", True)], "id long, description string, is_vector boolean")
+    base = os.path.join(root, "table")
+    fs.write_snapshot(tgt, base, "initial")
+    snaps = os.path.join(root, "snaps")
+    spark.createDataFrame([(1, "a"), (2, "B")], "id long, description string").coalesce(1).write.parquet(os.path.join(snaps, "d=1"))
+    schema = spark.read.parquet(os.path.join(snaps, "d=1")).schema
+    # the first attempt of batch 0 died while writing its version
+    os.makedirs(os.path.join(base, "batch-00000000-000", "_temporary", "0"))
+    rep = stream_sync(spark, os.path.join(snaps, "d=*"), schema, base, os.path.join(root, "ck"), now="2024-06-01 00:00:00")
+    assert [r["status"] for r in rep] == ["success"]
+    got = {r["id"]: (r["description"], r["is_vector"]) for r in fs.read_snapshot(spark, base).collect()}
+    assert got == {1: ("a", True), 2: ("B", False)}
+    # a batch replayed after its version was committed only re-points to it
+    fs.set_current(spark, base, "initial")
+    rep2 = stream_sync(spark, os.path.join(snaps, "d=*"), schema, base, os.path.join(root, "ck2"), now="2024-06-01 00:00:00")
+    assert [r["status"] for r in rep2] == ["replayed"] and fs.current_version(spark, base) == "batch-00000000-000"
