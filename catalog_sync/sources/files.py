@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,7 +50,8 @@ def read_table(spark: SparkSession, name_or_query: str) -> DataFrame:
     return spark.table(text)
 
 
-_POINTER = "_current"
+_POINTERS = "_pointers"
+_POINTER_SCHEMA = "switched_at string, version string"
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -88,16 +90,23 @@ def write_snapshot(df: DataFrame, base: str, version: str | None = None) -> str:
 
 
 def set_current(spark: SparkSession, base: str, version: str) -> None:
-    """Point ``base`` at ``version`` (a one-line text file)."""
-    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(os.path.join(base, _POINTER))
+    """Point ``base`` at ``version``: append one line to the pointer log.
+
+    An append becomes visible only when its job commits, and nothing is
+    deleted, so a crash during the switch leaves the previous pointer in force
+    (an overwrite would delete the old pointer before writing the new one).
+    """
+    entry = (f"{time.time_ns():020d}", version)
+    spark.createDataFrame([entry], _POINTER_SCHEMA).coalesce(1).write.mode("append").json(os.path.join(base, _POINTERS))
 
 
 def current_version(spark: SparkSession, base: str) -> str | None:
-    try:
-        row = spark.read.text(os.path.join(base, _POINTER)).first()
-    except Exception:  # noqa: BLE001 - no pointer yet
+    """The version of the latest committed pointer entry (the log is tiny)."""
+    path = os.path.join(base, _POINTERS)
+    if not path_exists(spark, path):
         return None
-    return row[0] if row else None
+    latest = spark.read.schema(_POINTER_SCHEMA).json(path).orderBy(F.col("switched_at").desc()).limit(1).collect()
+    return latest[0]["version"] if latest else None
 
 
 def read_snapshot(spark: SparkSession, base: str, version: str | None = None) -> DataFrame:
