@@ -60,12 +60,21 @@ def topn_with_ties(df: DataFrame, n: int, keys: list[str], desc: bool | list[boo
     driver); the table is then filtered by a literal predicate, which prunes
     Parquet row groups. DAX's default direction is descending.
     """
+    return df.filter(ties_cut(df, n, keys, desc))
+
+
+def ties_cut(df: DataFrame, n: int, keys: list[str], desc: bool | list[bool] = True) -> Column:
+    """The TOPN-with-ties cut of ``df`` as a literal predicate on ``keys``.
+
+    Runs one job to fetch the n-th row (one row reaches the driver). The
+    predicate can filter ``df`` or any other plan with the same key columns,
+    e.g. the raw table under a join, where it is pushed into the scan.
+    """
     spec = _orders(keys, desc)
     cut = df.select(*keys).orderBy(*_sort_cols(spec)).limit(n).tail(1)
     if not cut:
-        return df.limit(0)
-    cut_row = cut[0].asDict()
-    return df.filter(_before_or_at(spec, cut_row))
+        return F.lit(False)
+    return _before_or_at(spec, cut[0].asDict())
 
 
 def topn_per_group(df: DataFrame, group: str | list[str], n: int, order: str, desc: bool = True,

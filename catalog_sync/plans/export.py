@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.aggregate import concat_ordered
-from ..operators.topn import topn_with_ties
+from ..operators.topn import ties_cut
 
 EXPORT_COLS = ("id", "description", "brand", "category", "withdrawn_from_range", "item_number")
 
@@ -20,17 +20,31 @@ def product_export(products: DataFrame, characteristics: DataFrame, article_col:
     article once and joined (no per-product query). With ``drop_blank`` a product
     without characteristics drops out, as a group whose measures are all blank
     does. ``top`` keeps the N highest ids, ties included.
+
+    Plan order: a product's text is blank exactly when its article has no
+    characteristic row (``props_limit >= 1`` keeps at least one row of every
+    group). So the top-N cut is found on products semi-joined to the distinct
+    articles, before any text is built, and becomes a literal id filter pushed
+    into the product scan; only the exported articles' characteristics are
+    concatenated (the semi-join side is at most N products plus ties), and an
+    inner join with the text drops the blank products. The aggregate never
+    runs over the whole characteristics table.
     """
+    if props_limit is not None and props_limit < 1:
+        raise ValueError("props_limit must be >= 1 (or None for no cap)")
+    prods = products.select(*EXPORT_COLS)
+    if top is not None:
+        ranked = prods
+        if drop_blank:
+            has_text = characteristics.select(F.col("article").alias(article_col)).distinct()
+            ranked = prods.join(has_text, article_col, "left_semi")
+        prods = prods.filter(ties_cut(ranked, top, ["id"], desc=True))
+        characteristics = characteristics.join(prods.select(F.col(article_col).alias("article")), "article", "left_semi")
     text = concat_ordered(characteristics, key="article", name="name", value="value", order="sort_order",
                           limit=props_limit, top_desc=True, out_col="product_properties")
     text = text.withColumnRenamed("article", article_col)
-    out = products.select(*EXPORT_COLS).join(text, article_col, "left")
-    if drop_blank:
-        out = out.filter(F.col("product_properties").isNotNull())
-    out = out.select(*EXPORT_COLS, "product_properties")
-    if top is not None:
-        out = topn_with_ties(out, top, ["id"], desc=True)
-    return out
+    out = prods.join(text, article_col, "inner" if drop_blank else "left")
+    return out.select(*EXPORT_COLS, "product_properties")
 
 
 def as_bi_rows(export: DataFrame, table: str = "CompanyProducts") -> DataFrame:

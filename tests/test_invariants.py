@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from catalog_sync import fixtures as fx
 from catalog_sync.operators import aggregate as agg
 from catalog_sync.operators import props as pr
+from catalog_sync.operators.topn import topn_with_ties
 from catalog_sync.plans.export import as_bi_rows, product_export
 from catalog_sync.plans.sync_catalog import sync_catalog
 
@@ -36,3 +37,19 @@ def test_guard_keeps_table_when_snapshot_is_mostly_foreign(spark):
     run = sync_catalog(tgt, as_bi_rows(foreign.withColumn("product_properties", F.lit("a: b"))), now=fx.NOW)
     assert run.cleanup.status == "error" and run.cleanup.deleted == 0
     assert run.table.count() == tgt.join(foreign, "id", "full_outer").count()
+
+
+def test_export_cut_before_text_equals_naive_order(spark):
+    # naive: join every product's text, drop blanks, then TOPN; the plan cuts first
+    products, ch = fx.catalog(spark, SF), fx.characteristics(spark, SF)
+    dup = products.filter(F.col("id") <= 3).withColumn("id", F.lit(150).cast("long"))  # ties at a cut
+    products = products.unionByName(dup)
+    text = agg.concat_ordered(ch, "article", "name", "value", "sort_order", out_col="product_properties")
+    naive_all = products.select("id", "description", "brand", "category", "withdrawn_from_range", "item_number").join(
+        text.withColumnRenamed("article", "item_number"), "item_number", "left")
+    for drop_blank in (True, False):
+        naive = naive_all.filter(F.col("product_properties").isNotNull()) if drop_blank else naive_all
+        for top in (5, 51, None):
+            want = topn_with_ties(naive, top, ["id"], desc=True) if top else naive
+            got = product_export(products, ch, top=top, drop_blank=drop_blank)
+            assert sorted(map(tuple, got.collect())) == sorted(tuple(r[c] for c in got.columns) for r in want.collect())
