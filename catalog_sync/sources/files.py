@@ -24,14 +24,21 @@ CATALOG_CSV_SCHEMA = T.StructType([
 ])
 
 
-def read_catalog_csv(spark: SparkSession, path: str, schema: T.StructType = CATALOG_CSV_SCHEMA) -> DataFrame:
-    """Snapshot CSV: header, UTF-8, RFC-4180 doubled quotes, quoted newlines; an empty field is NULL."""
+def read_catalog_csv(spark: SparkSession, path: str, schema: T.StructType = CATALOG_CSV_SCHEMA,
+                     multi_line: bool = True) -> DataFrame:
+    """Snapshot CSV: header, UTF-8, RFC-4180 doubled quotes, quoted newlines; an empty field is NULL.
+
+    ``multi_line=True`` (needed when a quoted field may hold a newline) reads
+    each file in one task, so large exports should arrive as many files (as
+    :func:`write_catalog_csv` writes them, one per partition). With
+    ``multi_line=False`` files are split into byte ranges across tasks.
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("encoding", "UTF-8")
         .option("mode", "FAILFAST")
         .csv(path)
