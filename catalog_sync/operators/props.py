@@ -116,13 +116,14 @@ def _pair_cond(filters: dict[str, str]) -> Column:
 
 
 def search_by_properties(products: DataFrame, props: DataFrame, filters: dict[str, str], id_col: str = "id",
-                         limit: int | None = None, method: str = "having") -> DataFrame:
+                         limit: int | None = None, method: str = "having", with_properties: bool = False) -> DataFrame:
     """Products having *all* the given (key, value) pairs.
 
     ``having`` (default): one pass over the properties with an OR of the pairs
     (pushed to the scan), group by product, keep products matching every key,
     semi-join. ``selfjoin``: one semi-join per pair. ``single``: the first pair only.
-    ``limit`` keeps the first products by id.
+    ``limit`` keeps the first products by id. ``with_properties`` adds each
+    hit's ``properties`` map, built only for the hits (after the limit).
     """
     if method == "having":
         hits = (
@@ -144,6 +145,9 @@ def search_by_properties(products: DataFrame, props: DataFrame, filters: dict[st
         raise ValueError(f"unknown method {method!r}")
     if limit is not None:
         out = out.orderBy(id_col).limit(limit)
+    if with_properties:
+        hit_props = props.join(out.select(F.col(id_col).alias("product_id")), "product_id", "left_semi")
+        out = with_property_map(out, hit_props, id_col)
     return out
 
 
