@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 
 from ..functions.names import normalize_names, quote
 
-# Product-export mapping of BI column names to table columns.
+# The product export's BI column names -> table columns, and the
+# columns that are forced to boolean by name.
 PRODUCT_MAPPING = {
     "CompanyProducts[ID]": "id",
     "CompanyProducts[Description]": "description",
@@ -26,8 +27,6 @@ PRODUCT_MAPPING = {
     "CompanyProducts[count_rows]": "count_rows",
     "[Product_Properties]": "product_properties",
 }
-
-# Columns a type is forced on by name.
 BOOLEAN_COLS = ("is_vector", "on_order", "withdrawn_from_range")
 
 

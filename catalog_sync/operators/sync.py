@@ -13,9 +13,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Change columns the live flow ends up using (business columns of the export).
+# The change columns the live flow ends up using (business columns of
+# the export), and the technical columns that never take part in change detection.
 DEFAULT_CHANGE_COLS = ("description", "brand", "category", "withdrawn_from_range")
-# Technical columns that never take part in change detection.
 TECHNICAL_COLS = ("id", "item_number", "is_vector", "upload_timestamp", "updated_at", "vector")
 
 ACTION_INSERT = "insert"
