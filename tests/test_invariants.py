@@ -53,3 +53,11 @@ def test_export_cut_before_text_equals_naive_order(spark):
             want = topn_with_ties(naive, top, ["id"], desc=True) if top else naive
             got = product_export(products, ch, top=top, drop_blank=drop_blank)
             assert sorted(map(tuple, got.collect())) == sorted(tuple(r[c] for c in got.columns) for r in want.collect())
+
+
+def test_sync_cuts_lineage_into_the_checkpoint_folder(spark):
+    export = product_export(fx.catalog(spark, SF).filter(F.col("id") % 7 != 0), fx.characteristics(spark, SF), top=None)
+    run = sync_catalog(fx.cat_target(spark, SF), as_bi_rows(export), now=fx.NOW)
+    plan = run.table._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan  # reads the written copy, not the upsert
+    assert spark.conf.get("spark.checkpoint.dir") in run.table.inputFiles()[0]
