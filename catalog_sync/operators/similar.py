@@ -76,22 +76,36 @@ def find_similar(df: DataFrame, ref_id, k: int = 4, exclude_same_brand: bool = F
 
 
 def search_then_similar(df: DataFrame, text: str, k: int = 5, exclude_same_brand: bool = False, w: float = 1.0,
-                        id_col: str = "id") -> DataFrame:
-    """Text search picks the first hit (by id), then its similar products with
-    similarity and score as 2-decimal text. No hit -> empty result."""
+                        id_col: str = "id", style: str = "fixed") -> DataFrame:
+    """Text search picks the first hit (by id), then its similar products. No hit -> empty result.
+
+    ``style="fixed"``: similarity and score as 2-decimal text, category match as
+    a boolean (the web lookup). ``style="percent"``: similarity and score as
+    percentages with 2 decimals (``87.53%``), category match as ``Yes``/``No``
+    (the console lookup).
+    """
+    if style not in ("fixed", "percent"):
+        raise ValueError(f"unknown style {style!r}")
+    percent = style == "percent"
     hit = search_text(df, text, limit=1, order_by=id_col).select(id_col).collect()
     if not hit:
         return find_similar(df, None, k).select(
             id_col, "description", "brand", "category",
-            F.lit(None).cast("string").alias("vector_similarity"), F.lit(None).cast("boolean").alias("category_match"),
+            F.lit(None).cast("string").alias("vector_similarity"),
+            F.lit(None).cast("string" if percent else "boolean").alias("category_match"),
             F.lit(None).cast("string").alias("combined_score"),
         )
     sim = find_similar(df, hit[0][0], k, exclude_same_brand, w, id_col)
+
+    def fmt(c: Column) -> Column:
+        return F.concat(F.format_number(c * F.lit(100.0), 2), F.lit("%")) if percent else F.format_number(c, 2)
+
+    is_match = F.col("category_match") == 1.0
     return sim.select(
         id_col, "description", "brand", "category",
-        F.format_number(F.lit(1.0) - F.col("vector_distance"), 2).alias("vector_similarity"),
-        (F.col("category_match") == 1.0).alias("category_match"),
-        F.format_number(F.col("combined_score"), 2).alias("combined_score"),
+        fmt(F.lit(1.0) - F.col("vector_distance")).alias("vector_similarity"),
+        (F.when(is_match, F.lit("Yes")).otherwise(F.lit("No")) if percent else is_match).alias("category_match"),
+        fmt(F.col("combined_score")).alias("combined_score"),
     )
 
 

@@ -72,6 +72,11 @@ def test_search_then_similar_formats(spark):
     out = sim.search_then_similar(df, "item 1", k=2, w=0.5).collect()
     assert len(out) == 2 and all(len(r["combined_score"].split(".")[1]) == 2 for r in out)
     assert sim.search_then_similar(df, "nothing like this", k=2).count() == 0
+    pct = sim.search_then_similar(df, "item 1", k=2, w=0.5, style="percent").collect()
+    raw = sim.find_similar(df, 1, k=2, w=0.5).collect()
+    for p, r in zip(pct, raw):
+        assert p["vector_similarity"] == f"{1 - r['vector_distance']:.2%}" and p["combined_score"] == f"{r['combined_score']:.2%}"
+        assert p["category_match"] == ("Yes" if r["category_match"] == 1.0 else "No")
 
 
 def test_block_cut_is_bounded_under_ties(spark):
