@@ -347,18 +347,31 @@ def validate_load(profile: DataFrame, rules: str = "A") -> DataFrame:
     raise ValueError(f"unknown rule set {rules!r}")
 
 
+def null_key_salt(df: DataFrame, keys: list[str], buckets: int = 1 << 16) -> Column:
+    """Extra join key that spreads NULL-key rows: 0 when every key is set, else a
+    hash of the row. NULL keys never match, so results are unchanged, but the
+    rows no longer all hash to one reducer (AQE cannot split a skewed
+    partition of a full outer join)."""
+    any_null = _any([F.col(k).isNull() for k in keys])
+    return F.when(any_null, F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(buckets))).otherwise(F.lit(0))
+
+
 def diff_snapshots(old: DataFrame, new: DataFrame, keys: list[str] | str = "id", compare_cols: list[str] | None = None) -> DataFrame:
     """Classify every key as new / deleted / changed / unchanged between two exports.
 
     A 64-bit xxhash fingerprint of the compared columns is returned for change
     tracking, but the decision uses the exact null-safe column comparison.
+    Rows with a NULL key never match (new / deleted) and are spread over the
+    reducers by :func:`null_key_salt`.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if compare_cols is None:
         compare_cols = [c for c in new.columns if c not in keys and c in old.columns]
-    o = old.select(*keys, *[F.col(c).alias(f"__o_{c}") for c in compare_cols], F.lit(True).alias("__in_o"))
-    n = new.select(*keys, *[F.col(c).alias(f"__n_{c}") for c in compare_cols], F.lit(True).alias("__in_n"))
-    j = o.join(n, keys, "full_outer")
+    o = old.select(*keys, *[F.col(c).alias(f"__o_{c}") for c in compare_cols], F.lit(True).alias("__in_o"),
+                   null_key_salt(old, keys).alias("__salt"))
+    n = new.select(*keys, *[F.col(c).alias(f"__n_{c}") for c in compare_cols], F.lit(True).alias("__in_n"),
+                   null_key_salt(new, keys).alias("__salt"))
+    j = o.join(n, [*keys, "__salt"], "full_outer")
     same = _all([F.col(f"__o_{c}").eqNullSafe(F.col(f"__n_{c}")) for c in compare_cols])
     status = (
         F.when(F.col("__in_o").isNull(), F.lit("new"))

@@ -170,3 +170,24 @@ def test_lsh_hot_bucket_is_scanned_exactly(spark):
     for i in hot_ids:  # distance 0 to every other copy; ties by id
         assert got[i] == [j for j in hot_ids if j != i][:3]
     assert np.isclose(approx.filter(F.col("id").isin(hot_ids)).agg(F.max("vector_distance")).first()[0], 0.0, atol=1e-6)
+
+
+def test_diff_spreads_null_keys(spark):
+    # a third of both exports have a blank key: they never match and must not share one reducer
+    c = fx.catalog(spark, SF).select("id", "description", "brand")
+    blank = F.when(F.col("id") % 3 == 0, F.lit(None).cast("long")).otherwise(F.col("id")).alias("id")
+    old = c.filter(F.col("id") % 5 != 0).select(blank, "description", "brand")
+    new = c.filter(F.col("id") % 7 != 0).select(blank, F.concat("description", F.lit("!")).alias("description"), "brand")
+    d = sync.diff_snapshots(old, new, "id")
+    assert "__salt" in plan(d) and "hashpartitioning(id" in plan(d)
+    got = {}
+    for r in d.groupBy("status").count().collect():
+        got[r["status"]] = r["count"]
+    o, n = old.collect(), new.collect()
+    ok, nk = {r["id"] for r in o if r["id"] is not None}, {r["id"] for r in n if r["id"] is not None}
+    want = {
+        "new": len(nk - ok) + sum(r["id"] is None for r in n),
+        "deleted": len(ok - nk) + sum(r["id"] is None for r in o),
+        "changed": len(ok & nk),
+    }
+    assert got == want
