@@ -284,6 +284,8 @@ def similar_for_all_lsh(df: DataFrame, k: int = 4, exclude_same_brand: bool = Fa
     share of the rows) is split into several blocks, so no group exceeds two
     blocks. The bucket-size table has at most ``bands * 2**bits`` rows, which
     bounds the broadcast. Found scores are exact; recall depends on bands/bits.
+    For n rows, ``bits`` near ``log2(n / block_rows)`` keeps buckets around one
+    block, so each row is shuffled about ``bands`` times.
     """
     items = df.filter(F.col(flag_col) == F.lit(True)).select(
         F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"), "brand", "category"
@@ -295,13 +297,12 @@ def similar_for_all_lsh(df: DataFrame, k: int = 4, exclude_same_brand: bool = Fa
     keyed = items.withColumn("__codes", lsh_codes("vector", dim, bands, bits, seed)).select(
         "id", "vector", "brand", "category", F.posexplode_outer("__codes").alias("band", "code")
     ).filter(F.col("code").isNotNull())  # outer: no inferred size() filter that would run the UDF twice
-    spark = df.sparkSession
-    sizes = keyed.groupBy("band", "code").agg(F.count(F.lit(1)).alias("n")).collect()
-    subs = spark.createDataFrame(
-        [(r["band"], r["code"], max(1, math.ceil(r["n"] / block_rows))) for r in sizes] or [(0, 0, 1)],
-        "band int, code int, __nsub int",
+    # sub-blocks per bucket; the table has at most bands * 2**bits rows whatever the data
+    # size, so broadcasting it is bounded by the parameters (no round trip via the driver)
+    subs = keyed.groupBy("band", "code").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("__nsub")
     )
-    keyed = keyed.join(F.broadcast(subs), ["band", "code"])  # at most bands * 2**bits rows
+    keyed = keyed.join(F.broadcast(subs), ["band", "code"])
     b = F.pmod(F.xxhash64("id"), F.col("__nsub")).cast("int")
     keyed = keyed.select("id", "vector", "brand", "category", "band", "code", "__nsub")
     pairs = _pair_groups(keyed, b, F.col("__nsub")).drop("__nsub").groupBy("band", "code", "__lo", "__hi").applyInPandas(
