@@ -62,3 +62,26 @@ def test_property_map_and_sync(spark):
     assert got == {(1, "a"): "1", (1, "c"): "3", (2, "a"): "9"}
     m = {r["product_id"]: r["properties"] for r in pr.property_map(out.drop("updated_at")).collect()}
     assert m[1] == {"a": "1", "c": "3"}
+
+
+def _reference_reading(text):
+    """The documented pattern read with Python's re: strip() both groups, drop empties, last key wins."""
+    import re
+
+    out = {}
+    for m in re.finditer(pr.PROPERTY_PATTERN, text):
+        k, v = m.group(1).strip(), m.group(2).strip()
+        if k and v:
+            out[k] = v
+    return out
+
+
+def test_parser_agrees_with_the_documented_pattern_on_random_text(spark):
+    import random
+
+    rng = random.Random(7)
+    alphabet = ["a", "b", "K", "é", "Ц", "1", " ", " ", ":", ":", "|", "|", "\n", "\t", "\r", "\xa0", "\u3000", '"', "("]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))) for _ in range(400)]
+    got = parse(spark, texts)
+    for i, t in enumerate(texts):
+        assert got.get(i, {}) == _reference_reading(t), repr(t)
