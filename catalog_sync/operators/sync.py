@@ -81,6 +81,7 @@ def upsert(
     order_col: str | None = None,
     reject_null_keys: bool = True,
     with_action: bool = False,
+    partitions: int | None = None,
 ) -> DataFrame:
     """MERGE ``source`` into ``target`` on ``keys`` as one full-outer join.
 
@@ -94,6 +95,12 @@ def upsert(
 
     ``change_cols=None`` uses the business columns in ``DEFAULT_CHANGE_COLS``
     that exist in the source; pass ``[]`` for "no change detection".
+
+    ``partitions``: hash-partition the source on the keys into this many
+    partitions before the duplicate check. Pass the bucket count of a target
+    stored with :func:`~catalog_sync.sources.files.write_bucketed_version`:
+    the target is then joined without a shuffle and the source is shuffled
+    once for both the duplicate check and the join.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     t_names, s_names = set(target.columns), set(source.columns)
@@ -107,6 +114,8 @@ def upsert(
         src = src.filter(F.assert_true(_all([F.col(k).isNotNull() for k in keys]), F.lit("NULL key in upsert source")).isNull())
     else:
         src = src.filter(_all([F.col(k).isNotNull() for k in keys]))
+    if partitions:
+        src = src.repartition(partitions, *keys)
     src = dedupe_source(src, keys, on_duplicate, order_col)
     if order_col and order_col in src.columns and order_col not in target.columns:
         src = src.drop(order_col)

@@ -123,6 +123,27 @@ def read_snapshot(spark: SparkSession, base: str, version: str | None = None) ->
     return spark.read.parquet(os.path.join(base, version))
 
 
+def write_bucketed_version(df: DataFrame, table: str, keys: list[str] | str, buckets: int, base: str,
+                           version: str | None = None) -> str:
+    """Write ``df`` as a new version of catalog table ``table``, bucketed and sorted by ``keys``.
+
+    The data goes to ``<base>/<version>`` (shared storage) as table
+    ``<table>__<version>``; then the view ``<table>`` is re-pointed to it, so
+    readers see the old or the new version. A recurring upsert that reads
+    ``spark.table(table)`` as its target and passes ``partitions=buckets``
+    joins without shuffling the target: only the new snapshot is shuffled,
+    once. Returns the physical table name.
+    """
+    spark = df.sparkSession
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    version = version or f"v{_dt.datetime.now(_dt.timezone.utc).strftime('%Y%m%dT%H%M%S')}_{uuid.uuid4().hex[:8]}"
+    physical = f"{table}__{version}"
+    (df.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", os.path.join(base, version))
+     .mode("errorifexists").saveAsTable(physical))
+    spark.sql(f"CREATE OR REPLACE VIEW `{table}` AS SELECT * FROM `{physical}`")
+    return physical
+
+
 def backup(df: DataFrame, base: str, name: str, ts: str | _dt.datetime) -> str:
     """Copy a table to ``<base>/<name>_backup_<YYYYmmdd_HHMMSS>`` and return that path."""
     stamp = ts.strftime("%Y%m%d_%H%M%S") if isinstance(ts, _dt.datetime) else _dt.datetime.fromisoformat(str(ts)).strftime("%Y%m%d_%H%M%S")

@@ -116,3 +116,22 @@ def test_diff_snapshots(spark):
     new = spark.createDataFrame([(1, "a"), (2, "B"), (3, None), (4, "d")], "id long, d string")
     got = {r["id"]: r["status"] for r in sync.diff_snapshots(old, new).collect()}
     assert got == {1: "unchanged", 2: "changed", 3: "unchanged", 4: "new"}
+
+
+def test_bucketed_target_is_joined_without_a_shuffle(spark):
+    from catalog_sync import fixtures as fx
+    from catalog_sync.session import scratch_path
+    from catalog_sync.sources import files as fs
+
+    sf = "/root/testdata/sf0.001"
+    base = scratch_path(spark, "t-bucketed")
+    fs.write_bucketed_version(fx.cat_target(spark, sf), "t_catalog", "id", 4, base, version="v1")
+    merged = sync.upsert(spark.table("t_catalog"), fx.cat_source(spark, sf), "id", now=NOW, partitions=4)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert len(exchanges) == 1 and "REPARTITION_BY_NUM" in exchanges[0]  # the snapshot only, once
+    plain = sync.upsert(fx.cat_target(spark, sf), fx.cat_source(spark, sf), "id", now=NOW)
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, plain.collect()))
+    # the next version is written from a plan that reads the current one, then the view moves
+    fs.write_bucketed_version(merged, "t_catalog", "id", 4, base, version="v2")
+    assert spark.table("t_catalog").count() == plain.count()
