@@ -23,7 +23,8 @@ class SyncRun:
 
 def sync_catalog(target: DataFrame, export_rows: DataFrame, now, mapping: dict[str, str] | None = None,
                  types: dict[str, str] | None = None, key: str = "id", change_cols=None,
-                 ignore_absent: bool = False, min_overlap: float = 0.1, checkpoint: bool = True) -> SyncRun:
+                 ignore_absent: bool = False, min_overlap: float = 0.1, checkpoint: bool = True,
+                 partitions: int | None = None) -> SyncRun:
     """extract -> map -> cast -> upsert -> validate -> cleanup as one lazy job.
 
     The upsert is the only join: merge statistics, the cleanup guard and the
@@ -31,12 +32,13 @@ def sync_catalog(target: DataFrame, export_rows: DataFrame, now, mapping: dict[s
     (default) the merged table is written once as Parquet to the shared
     checkpoint folder (``spark.checkpoint.dir``) and everything after reads
     that copy, so the join is not recomputed per action and a lost executor
-    re-reads files instead of re-running the shuffle.
+    re-reads files instead of re-running the shuffle. ``partitions``: the
+    bucket count of a bucketed target (see :func:`sync.upsert`).
     """
     mapping = mapping or schema.PRODUCT_MAPPING
     mapped = schema.map_columns(export_rows, mapping, extracted_at=now, ignore_absent=ignore_absent)
     typed = schema.cast_columns(mapped, types or {"count_rows": "int"})
-    merged = sync.upsert(target, typed, key, change_cols=change_cols, now=now, with_action=True)
+    merged = sync.upsert(target, typed, key, change_cols=change_cols, now=now, with_action=True, partitions=partitions)
     if checkpoint:
         merged = materialize(merged, "sync-merged")
     stats = sync.merge_stats(merged)
