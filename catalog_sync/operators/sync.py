@@ -216,7 +216,8 @@ def _keys_pair(target: DataFrame, source: DataFrame, key: str, as_string: bool |
 
 
 def find_orphans(target: DataFrame, source: DataFrame, key: str = "id", as_string: bool | None = None) -> DataFrame:
-    """Target rows whose key is absent from the new snapshot (NULL snapshot keys ignored).
+    """Target rows whose key is absent from the new snapshot (NULL keys on either side
+    are never orphans, as ``DELETE ... WHERE key IN (...)`` never hits them).
 
     Keys are compared natively when both sides have the same type, else as
     ``lower(trim(cast(key as string)))`` (UUID text from any source).
@@ -224,7 +225,7 @@ def find_orphans(target: DataFrame, source: DataFrame, key: str = "id", as_strin
     if as_string is None:
         as_string = dict(target.dtypes)[key] != dict(source.dtypes)[key]
     _, sk, _ = _keys_pair(target, source, key, as_string)
-    tk = target.withColumn("__k", _key_col(target, key, as_string))
+    tk = target.withColumn("__k", _key_col(target, key, as_string)).filter(F.col("__k").isNotNull())
     return tk.join(sk.distinct(), "__k", "left_anti").drop("__k")
 
 
@@ -289,7 +290,9 @@ def cleanup_orphans(
     else:
         _, sk, _ = _keys_pair(target, source, key, as_string)
         keyed = target.withColumn("__k", _key_col(target, key, as_string))
-        table = keyed.join(sk.distinct(), "__k", "left_semi").drop("__k")
+        hits = sk.distinct().withColumn("__hit", F.lit(True))
+        # keep matched rows and NULL-key rows (never orphans); AQE can split a hot left side
+        table = keyed.join(hits, "__k", "left").filter(F.col("__hit").isNotNull() | F.col("__k").isNull()).drop("__k", "__hit")
         status, deleted = "success", orphans
         msg = f"Successfully deleted {orphans} orphaned records"
     stats = spark.createDataFrame(
@@ -300,22 +303,26 @@ def cleanup_orphans(
 
 
 def cleanup_after_upsert(merged_with_action: DataFrame, min_overlap: float = 0.1,
-                         max_orphan_share: float = 0.9) -> CleanupResult:
+                         max_orphan_share: float = 0.9, keys: list[str] | str = "id") -> CleanupResult:
     """Orphan cleanup fused with the preceding upsert (no second join).
 
     After ``upsert(target, source, with_action=True)`` every key is in the
-    table, so existing = all rows, new = common = source rows and orphans =
-    untouched rows. The guard is decided from one aggregate; the kept table is
-    a filter of the same plan. Checkpoint the merged plan first when it is
-    expensive to recompute.
+    table, so existing = all keyed rows, new = common = source rows and
+    orphans = untouched keyed rows (a NULL-key target row matches nothing and
+    is never deleted, as in the standalone cleanup). The guard is decided from
+    one aggregate; the kept table is a filter of the same plan. Checkpoint the
+    merged plan first when it is expensive to recompute.
     """
     spark = merged_with_action.sparkSession
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    has_key = _all([F.col(k).isNotNull() for k in keys])
     a = F.col("_action")
+    orphan = (a == ACTION_KEEP) & has_key  # a NULL-key target row is never an orphan
     row = merged_with_action.agg(
-        F.count(F.lit(1)).alias("existing"), F.count_if(a != ACTION_KEEP).alias("common"),
-        F.count_if(a == ACTION_KEEP).alias("orphans"),
+        F.count(F.lit(1)).alias("total"), F.count_if(has_key).alias("existing"),
+        F.count_if(a != ACTION_KEEP).alias("common"), F.count_if(orphan).alias("orphans"),
     ).first()
-    existing, common, orphans = row["existing"], row["common"], row["orphans"]
+    total, existing, common, orphans = row["total"], row["existing"], row["common"], row["orphans"]
     table = merged_with_action.drop("_action")
     if existing > 0 and orphans > max_orphan_share * existing and common < min_overlap * existing:
         status, deleted = "error", 0
@@ -323,10 +330,10 @@ def cleanup_after_upsert(merged_with_action: DataFrame, min_overlap: float = 0.1
     elif orphans == 0:
         status, deleted, msg = "success", 0, "No orphaned records found"
     else:
-        table = merged_with_action.filter(a != ACTION_KEEP).drop("_action")
+        table = merged_with_action.filter(~orphan).drop("_action")
         status, deleted, msg = "success", orphans, f"Successfully deleted {orphans} orphaned records"
     stats = spark.createDataFrame(
-        [(existing, common, common, orphans, deleted, existing - deleted, status, msg)],
+        [(existing, common, common, orphans, deleted, total - deleted, status, msg)],
         "total_existing long, total_new long, common long, orphans long, deleted_records long, final_count long, status string, message string",
     )
     return CleanupResult(table, stats, status, deleted)

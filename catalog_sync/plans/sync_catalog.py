@@ -44,7 +44,7 @@ def sync_catalog(target: DataFrame, export_rows: DataFrame, now, mapping: dict[s
     stats = sync.merge_stats(merged)
     table = merged.drop("_action")
     validation = sync.validate_load(aggregate.profile_completeness(table), "A")
-    cleaned = sync.cleanup_after_upsert(merged, min_overlap=min_overlap)
+    cleaned = sync.cleanup_after_upsert(merged, min_overlap=min_overlap, keys=key)
     ops = stats.select(
         F.lit("export").alias("source"), F.lit("catalog").alias("target"),
         F.col("source_rows").alias("total_rows"), F.col("source_rows").alias("processed_rows"),

@@ -41,7 +41,7 @@ def apply_snapshot(current: DataFrame, snapshot: DataFrame, key: str, now, chang
     merged = sync.upsert(current, snapshot, key, change_cols=change_cols, now=now, with_action=True)
     if checkpoint:
         merged = materialize(merged, "stream-merged")
-    return merged.drop("_action"), sync.cleanup_after_upsert(merged, min_overlap=min_overlap)
+    return merged.drop("_action"), sync.cleanup_after_upsert(merged, min_overlap=min_overlap, keys=key)
 
 
 def stream_sync(spark: SparkSession, snapshot_dir: str, schema: T.StructType, table_base: str, checkpoint: str,

@@ -135,3 +135,17 @@ def test_bucketed_target_is_joined_without_a_shuffle(spark):
     # the next version is written from a plan that reads the current one, then the view moves
     fs.write_bucketed_version(merged, "t_catalog", "id", 4, base, version="v2")
     assert spark.table("t_catalog").count() == plain.count()
+
+
+def test_null_key_target_rows_are_never_orphans(spark):
+    tgt = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n"), (4, "d")], "id long, description string")
+    src = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id long, description string")
+    assert [r["id"] for r in sync.find_orphans(tgt, src, "id").collect()] == [4]
+    res = sync.cleanup_orphans(tgt, src, "id")
+    assert sorted(r["description"] for r in res.table.collect()) == ["a", "b", "n"]
+    assert res.deleted == 1
+    merged = sync.upsert(tgt, src, "id", now=NOW, with_action=True, change_cols=[])
+    fused = sync.cleanup_after_upsert(merged, keys="id")
+    assert sorted(r["description"] for r in fused.table.collect()) == ["a", "b", "c", "n"]
+    st = fused.stats.first()
+    assert (st["total_existing"], st["orphans"], st["deleted_records"], st["final_count"]) == (4, 1, 1, 4)
