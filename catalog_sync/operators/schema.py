@@ -179,30 +179,32 @@ def schema_drift(rows: DataFrame, required: T.StructType | list[tuple[str, str]]
     type) or ``extra`` (a key in the file that is neither required nor special).
     Files whose key set matches exactly produce no row.
     """
-    spark = rows.sparkSession
     special = special or {}
     if isinstance(required, T.StructType):
         req = [(f.name, f.dataType.simpleString()) for f in required.fields]
     else:
         req = list(required)
     req_all = req + [(k, v) for k, v in special.items() if k not in dict(req)]
-    req_df = spark.createDataFrame(req_all, "column string, type string")
     fcol = F.col(file_col) if file_col else F.col("_metadata.file_name")
-    keys = (
-        # explode_outer: an inner explode would make Catalyst re-parse the JSON in an inferred size() filter
-        rows.select(fcol.alias("file"), F.explode_outer(F.json_object_keys(F.col(json_col))).alias("column"))
-        .filter(F.col("column").isNotNull())
-        .distinct()
+
+    def mark(column: Column, typ: Column, data: bool) -> Column:
+        return F.struct(column.alias("column"), typ.alias("type"), F.lit(data).alias("data"), F.lit(not data).alias("req"))
+
+    # Every row emits its JSON keys (data) and the fixed required list (req); one
+    # group by (file, column) - partial aggregation map-side, so only distinct pairs
+    # per task are shuffled - then decides: required but never seen -> add, seen but
+    # not required -> extra. One scan, no joins, and a file whose rows carry no key
+    # still appears through its required rows.
+    required_marks = F.array(*[mark(F.lit(n), F.lit(t), False) for n, t in req_all])
+    data_marks = F.transform(
+        F.coalesce(F.json_object_keys(F.col(json_col)), F.array().cast("array<string>")),
+        lambda k: mark(k, F.lit(None).cast("string"), True),
     )
-    files = rows.select(fcol.alias("file")).distinct()
-    # every (file, required column) pair: the required list is a fixed literal array
-    pairs = F.array(*[F.struct(F.lit(n).alias("column"), F.lit(t).alias("type")) for n, t in req_all])
-    wanted = files.select("file", F.explode(pairs).alias("r")).select("file", "r.column", "r.type")
-    add = wanted.join(keys, ["file", "column"], "left_anti").select(
-        "file", F.lit("add").alias("action"), "column", "type"
+    marks = rows.select(fcol.alias("file"), F.explode(F.concat(data_marks, required_marks)).alias("m"))
+    per_column = marks.groupBy("file", F.col("m.column").alias("column")).agg(
+        F.max("m.data").alias("seen"), F.max("m.req").alias("wanted"), F.max("m.type").alias("type")
     )
-    # broadcast bound: the required-column list is an argument (a schema), not data
-    extra = keys.join(F.broadcast(req_df), "column", "left_anti").select(
-        "file", F.lit("extra").alias("action"), "column", F.lit(None).cast("string").alias("type")
+    action = F.when(F.col("wanted") & ~F.col("seen"), F.lit("add")).when(F.col("seen") & ~F.col("wanted"), F.lit("extra"))
+    return per_column.select("file", action.alias("action"), "column", F.when(action == "add", F.col("type")).alias("type")).filter(
+        F.col("action").isNotNull()
     )
-    return add.unionByName(extra)

@@ -46,3 +46,10 @@ def test_schema_drift(spark):
     out = sch.schema_drift(rows, [("a", "bigint"), ("b", "bigint")], file_col="file")
     got = sorted(tuple(r) for r in out.collect())
     assert got == [("f2", "add", "b", "bigint"), ("f2", "extra", "z", None)]
+    # special columns carry their own type; a file whose rows have no key (or bad JSON) still shows up
+    more = spark.createDataFrame([('{"a": 1, "b": 2, "ts": 5}', "g1"), ("{}", "g2"), ("not json", "g2"), ('{"a": 2, "b": 1}', "g3")],
+                                 "value string, file string")
+    out = sch.schema_drift(more, [("a", "bigint"), ("b", "bigint")], {"ts": "timestamp"}, file_col="file")
+    got = sorted(tuple(r) for r in out.collect())
+    assert got == [("g2", "add", "a", "bigint"), ("g2", "add", "b", "bigint"), ("g2", "add", "ts", "timestamp"),
+                   ("g3", "add", "ts", "timestamp")]
