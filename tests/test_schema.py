@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql.types import _parse_datatype_string
 
 from catalog_sync.functions.names import normalize_names

@@ -1,5 +1,4 @@
 import numpy as np
-from pyspark.sql import functions as F
 
 from catalog_sync.operators import similar as sim
 

@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from catalog_sync.operators import sync
