@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import aggregate, schema, sync
-from ..session import materialize
+from ..session import materialize_at, release
 
 
 @dataclass
@@ -19,6 +19,14 @@ class SyncRun:
     validation: DataFrame
     cleanup: sync.CleanupResult
     operations: DataFrame
+    scratch: str | None = None
+
+    def release(self) -> None:
+        """Delete the merged copy in the checkpoint folder. Call it after the
+        table and reports have been written: they are read from that copy."""
+        if self.scratch:
+            release(self.table.sparkSession, self.scratch)
+            self.scratch = None
 
 
 def sync_catalog(target: DataFrame, export_rows: DataFrame, now, mapping: dict[str, str] | None = None,
@@ -39,8 +47,9 @@ def sync_catalog(target: DataFrame, export_rows: DataFrame, now, mapping: dict[s
     mapped = schema.map_columns(export_rows, mapping, extracted_at=now, ignore_absent=ignore_absent)
     typed = schema.cast_columns(mapped, types or {"count_rows": "int"})
     merged = sync.upsert(target, typed, key, change_cols=change_cols, now=now, with_action=True, partitions=partitions)
+    scratch = None
     if checkpoint:
-        merged = materialize(merged, "sync-merged")
+        merged, scratch = materialize_at(merged, "sync-merged")
     stats = sync.merge_stats(merged)
     table = merged.drop("_action")
     validation = sync.validate_load(aggregate.profile_completeness(table), "A")
@@ -57,4 +66,4 @@ def sync_catalog(target: DataFrame, export_rows: DataFrame, now, mapping: dict[s
             F.when(F.col("status") != "success", F.col("message")).alias("error"),
         )
     )
-    return SyncRun(cleaned.table, stats, validation, cleaned, ops)
+    return SyncRun(cleaned.table, stats, validation, cleaned, ops, scratch)

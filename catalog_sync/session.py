@@ -57,9 +57,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Cut lineage by writing ``df`` as Parquet under the shared checkpoint folder
-    and reading it back.
+    and reading it back; returns the copy and its path (see :func:`release`).
 
     One job computes and writes the plan (a reliable ``checkpoint()`` runs it
     twice unless cached, and stores Java-serialized rows); the copy is
@@ -68,4 +68,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.parquet(path), path
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """:func:`materialize_at` without the path."""
+    return materialize_at(df, name)[0]
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Delete a copy made by :func:`materialize_at` once nothing reads it any more,
+    so a recurring job does not pile up copies in the shared folder."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

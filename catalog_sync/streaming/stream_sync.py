@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import sync
-from ..session import materialize
+from ..session import materialize_at, release
 from ..sources.files import current_version, is_committed, read_snapshot, set_current, write_snapshot
 
 
@@ -29,19 +29,22 @@ def _version_name(batch_id: int, idx: int) -> str:
 
 
 def apply_snapshot(current: DataFrame, snapshot: DataFrame, key: str, now, change_cols=None,
-                   min_overlap: float = 0.1, checkpoint: bool = True) -> tuple[DataFrame, sync.CleanupResult]:
+                   min_overlap: float = 0.1, checkpoint: bool = True) -> tuple[DataFrame, sync.CleanupResult, str | None]:
     """One snapshot onto the current table: upsert, then guarded orphan cleanup.
 
     The cleanup is fused with the upsert (its counts and the kept rows come
     from the upsert's action column, no second join). With ``checkpoint`` the
     merged table is written once as Parquet to the shared checkpoint folder, so the guard
     aggregate and the version write read that copy instead of re-running the
-    join, and a lost executor costs a file re-read, not the shuffle.
+    join, and a lost executor costs a file re-read, not the shuffle. Returns
+    the merged table, the cleanup and the copy's path (release it once the
+    result is written).
     """
     merged = sync.upsert(current, snapshot, key, change_cols=change_cols, now=now, with_action=True)
+    copy = None
     if checkpoint:
-        merged = materialize(merged, "stream-merged")
-    return merged.drop("_action"), sync.cleanup_after_upsert(merged, min_overlap=min_overlap, keys=key)
+        merged, copy = materialize_at(merged, "stream-merged")
+    return merged.drop("_action"), sync.cleanup_after_upsert(merged, min_overlap=min_overlap, keys=key), copy
 
 
 def stream_sync(spark: SparkSession, snapshot_dir: str, schema: T.StructType, table_base: str, checkpoint: str,
@@ -67,8 +70,10 @@ def stream_sync(spark: SparkSession, snapshot_dir: str, schema: T.StructType, ta
                 continue
             snap = batch.filter(F.col("__file") == f).drop("__file")
             current = read_snapshot(spark, table_base)
-            merged, cleaned = apply_snapshot(current, snap, key, ts, change_cols, min_overlap)
+            merged, cleaned, copy = apply_snapshot(current, snap, key, ts, change_cols, min_overlap)
             write_snapshot(cleaned.table, table_base, version)
+            if copy:
+                release(spark, copy)  # the new version is written; nothing reads the copy any more
             reports.append({"batch_id": batch_id, "file": f, "status": cleaned.status, "deleted": cleaned.deleted})
 
     stream = (

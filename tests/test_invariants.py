@@ -61,3 +61,21 @@ def test_sync_cuts_lineage_into_the_checkpoint_folder(spark):
     plan = run.table._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and "Aggregate" not in plan  # reads the written copy, not the upsert
     assert spark.conf.get("spark.checkpoint.dir") in run.table.inputFiles()[0]
+
+
+def test_sync_run_releases_its_copy_after_the_write(spark):
+    import os
+
+    from catalog_sync.session import scratch_path
+    from catalog_sync.sources import files as fs
+
+    export = product_export(fx.catalog(spark, SF).filter(F.col("id") % 7 != 0), fx.characteristics(spark, SF), top=None)
+    run = sync_catalog(fx.cat_target(spark, SF), as_bi_rows(export), now=fx.NOW)
+    copy = run.scratch
+    assert copy and os.path.isdir(copy)
+    base = scratch_path(spark, "t-released")
+    fs.write_snapshot(run.table, base)
+    n = fs.read_snapshot(spark, base).count()
+    run.release()
+    assert not os.path.exists(copy) and run.scratch is None
+    assert fs.read_snapshot(spark, base).count() == n > 0

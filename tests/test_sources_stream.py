@@ -112,3 +112,20 @@ def test_stream_replay_after_a_crash_mid_write(spark):
     fs.set_current(spark, base, "initial")
     rep2 = stream_sync(spark, os.path.join(snaps, "d=*"), schema, base, os.path.join(root, "ck2"), now="2024-06-01 00:00:00")
     assert [r["status"] for r in rep2] == ["replayed"] and fs.current_version(spark, base) == "batch-00000000-000"
+
+
+def test_stream_sync_leaves_no_merged_copies(spark):
+    import glob
+
+    ck = spark.conf.get("spark.checkpoint.dir")
+    before = set(glob.glob(os.path.join(ck, "stream-merged-*")))
+    root = scratch_path(spark, "t-stream-release")
+    base = os.path.join(root, "table")
+    fs.write_snapshot(spark.createDataFrame([(1, "a"), (2, "b")], "id long, description string"), base, "initial")
+    snaps = os.path.join(root, "snaps")
+    spark.createDataFrame([(1, "a"), (3, "c")], "id long, description string").coalesce(1).write.parquet(os.path.join(snaps, "d=1"))
+    schema = spark.read.parquet(os.path.join(snaps, "d=1")).schema
+    rep = stream_sync(spark, os.path.join(snaps, "d=*"), schema, base, os.path.join(root, "ck"), now="2024-06-01 00:00:00")
+    assert [r["status"] for r in rep] == ["success"]
+    assert set(glob.glob(os.path.join(ck, "stream-merged-*"))) == before
+    assert sorted(r["id"] for r in fs.read_snapshot(spark, base).collect()) == [1, 3]
