@@ -116,6 +116,35 @@ def current_version(spark: SparkSession, base: str) -> str | None:
     return latest[0]["version"] if latest else None
 
 
+def prune_versions(spark: SparkSession, base: str, keep: int = 3) -> list[str]:
+    """Delete version folders under ``base`` except the ``keep`` most recently
+    pointed-to versions (the current one always among them). Folders never
+    pointed to (a failed attempt's leftovers) go too. Run it between syncs:
+    a version being written at the same time has no pointer yet. Returns the
+    deleted version names.
+    """
+    if keep < 1:
+        raise ValueError("keep must be >= 1: the current version is never deleted")
+    path = os.path.join(base, _POINTERS)
+    if not path_exists(spark, path):
+        return []
+    log = spark.read.schema(_POINTER_SCHEMA).json(path).orderBy(F.col("switched_at").desc()).collect()
+    kept: list[str] = []
+    for r in log:  # the log holds one small line per switch
+        if r["version"] not in kept:
+            kept.append(r["version"])
+        if len(kept) == keep:
+            break
+    fs_, root = _hadoop_path(spark, base)
+    deleted = []
+    for st in fs_.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and not name.startswith(("_", ".")) and name not in kept:
+            fs_.delete(st.getPath(), True)
+            deleted.append(name)
+    return sorted(deleted)
+
+
 def read_snapshot(spark: SparkSession, base: str, version: str | None = None) -> DataFrame:
     version = version or current_version(spark, base)
     if version is None:

@@ -129,3 +129,15 @@ def test_stream_sync_leaves_no_merged_copies(spark):
     assert [r["status"] for r in rep] == ["success"]
     assert set(glob.glob(os.path.join(ck, "stream-merged-*"))) == before
     assert sorted(r["id"] for r in fs.read_snapshot(spark, base).collect()) == [1, 3]
+
+
+def test_prune_versions_keeps_the_latest_pointed_ones(spark):
+    base = scratch_path(spark, "t-prune")
+    df = spark.range(3).withColumnRenamed("id", "k")
+    for v in ("v1", "v2", "v3", "v4"):
+        fs.write_snapshot(df, base, v)
+    fs.set_current(spark, base, "v2")  # a roll-back: v2 is current again
+    os.makedirs(os.path.join(base, "v5", "_temporary"))  # a failed attempt, never pointed to
+    assert fs.prune_versions(spark, base, keep=2) == ["v1", "v3", "v5"]
+    assert fs.current_version(spark, base) == "v2" and fs.read_snapshot(spark, base).count() == 3
+    assert sorted(d for d in os.listdir(base) if not d.startswith("_")) == ["v2", "v4"]
