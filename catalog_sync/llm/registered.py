@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog_sync.llm import chat, mixing, quality_rules, simhash
+from catalog_sync.llm import chat, mixing, packing, quality_rules, simhash, tokens, warc
 from catalog_sync.llm.tables import Scratch
 
 
@@ -21,6 +21,25 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.select("doc_id", simhash.fingerprint_hex(F.col("simhash")).alias("fingerprint"), "component_id", "n_docs", "n_links")
 
 
+def _bpe() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The cache is new for each call, so the query's cost is that of encoding every distinct text.
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = tokens.token_counts(docs, _bpe(), f"{Scratch(spark, 'op2').path}/cache")
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    packed = packing.pack_documents(docs, _bpe(), Scratch(spark, "op4"), with_ids=False)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     features = Scratch(spark, "op6").write(quality_rules.with_features(docs).drop("text"), "features")
@@ -30,6 +49,27 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.concat_ws(",", "rejected_by").alias("rejected_by"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    scratch = Scratch(spark, "op9")
+    folder = f"{scratch.path}/archive"
+    manifest = warc.write_warc(warc.plan_records(pages), folder, scratch)
+    records = scratch.write(warc.read_warc(manifest, folder).drop("payload"), "records")
+    kind = dict(pages.dtypes)["page_id"]
+    return warc.resolve_revisits(records).select(
+        F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
+
+
+OP9_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha256(b) AS payload_digest FROM p),
+f AS (SELECT payload_digest, min(page_id) AS first_id FROM d WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM d LEFT JOIN f USING (payload_digest)
+"""
+
+
 def op8_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return mixing.mix(docs, mixing.repetition_rates(docs))
@@ -81,7 +121,9 @@ FROM rows GROUP BY conv_id
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup, op6_quality_rules, op8_poisson_mixing, op10_chat_formatting)
+    f.__name__: f for f in (
+        op1_simhash_near_dedup, op2_token_counts, op4_best_fit_packing, op6_quality_rules, op8_poisson_mixing, op9_warc,
+        op10_chat_formatting)
 }
 
-ORACLE_SQL: dict[str, str] = {"op8_poisson_mixing": OP8_SQL, "op10_chat_formatting": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op9_warc": OP9_SQL, "op8_poisson_mixing": OP8_SQL, "op10_chat_formatting": OP10_SQL}
