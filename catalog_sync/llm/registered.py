@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog_sync.llm import chat, mixing, packing, quality_rules, simhash, tokens, warc
+from catalog_sync.llm import ann, chat, importance, mixing, packing, quality_rules, simhash, tokens, warc
 from catalog_sync.llm.tables import Scratch
 
 
@@ -21,7 +21,8 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.select("doc_id", simhash.fingerprint_hex(F.col("simhash")).alias("fingerprint"), "component_id", "n_docs", "n_links")
 
 
-def _bpe() -> str:
+def bpe_tokenizer() -> str:
+    """The public byte-level BPE file that the queries count and pack with."""
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
@@ -30,13 +31,19 @@ def _bpe() -> str:
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The cache is new for each call, so the query's cost is that of encoding every distinct text.
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    counted = tokens.token_counts(docs, _bpe(), f"{Scratch(spark, 'op2').path}/cache")
+    counted = tokens.token_counts(docs, bpe_tokenizer(), f"{Scratch(spark, 'op2').path}/cache")
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
+def op3_adaptive_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest_neighbours(vectors, vectors.filter("vec_id % 100 = 0"), Scratch(spark, "op3"), k=10).select(
+        F.col("query_id").cast("long"), "rank", "vec_id", "score")
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    packed = packing.pack_documents(docs, _bpe(), Scratch(spark, "op4"), with_ids=False)
+    packed = packing.pack_documents(docs, bpe_tokenizer(), Scratch(spark, "op4"), with_ids=False)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
@@ -49,6 +56,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.concat_ws(",", "rejected_by").alias("rejected_by"))
 
 
+def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return importance.resample(docs, _table(spark, sf_dir, "labels"), Scratch(spark, "op7")).select("doc_id", "log_weight", "gumbel_score", "kept")
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     scratch = Scratch(spark, "op9")
@@ -122,7 +134,8 @@ FROM rows GROUP BY conv_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_simhash_near_dedup, op2_token_counts, op4_best_fit_packing, op6_quality_rules, op8_poisson_mixing, op9_warc,
+        op1_simhash_near_dedup, op2_token_counts, op3_adaptive_ann, op4_best_fit_packing, op6_quality_rules,
+        op7_importance_resampling, op8_poisson_mixing, op9_warc,
         op10_chat_formatting)
 }
 
