@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog_sync.llm import ann, chat, importance, mixing, packing, quality_rules, simhash, tokens, warc
+from catalog_sync.llm import ann, chat, importance, katz, mixing, packing, quality_rules, simhash, tokens, warc
 from catalog_sync.llm.tables import Scratch
 
 
@@ -47,6 +47,12 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op5_katz_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    return katz.score(docs.select("doc_id", held_out.alias("held_out"), "text"), Scratch(spark, "op5"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     features = Scratch(spark, "op6").write(quality_rules.with_features(docs).drop("text"), "features")
@@ -134,7 +140,7 @@ FROM rows GROUP BY conv_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_simhash_near_dedup, op2_token_counts, op3_adaptive_ann, op4_best_fit_packing, op6_quality_rules,
+        op1_simhash_near_dedup, op2_token_counts, op3_adaptive_ann, op4_best_fit_packing, op5_katz_scoring, op6_quality_rules,
         op7_importance_resampling, op8_poisson_mixing, op9_warc,
         op10_chat_formatting)
 }
