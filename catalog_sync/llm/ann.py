@@ -259,7 +259,7 @@ def search(index: Index, queries: DataFrame, scratch: Scratch, *, recall: float
 
 
 def nearest_neighbours(vectors: DataFrame, queries: DataFrame, scratch: Scratch, *, k: int = 10, vec_id: str = "vec_id", vector: str = "embedding",
-                       recall: float = 0.97, **build: int) -> DataFrame:
+                       recall: float = 0.97, tune_queries: int = 200, **build: int) -> DataFrame:
     """``query_id, rank, vec_id, score`` (Euclidean): the ``k`` nearest rows of ``vectors`` of each row of ``queries``, its own id left out."""
     rows = usable(vectors, vec_id, vector)
     wanted = usable(queries, vec_id, vector).select(F.col("vec_id").alias("query_id"), "vector")
@@ -270,7 +270,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, scratch: Scratch,
     distinct = scratch.write(wanted.groupBy("vector").agg(F.min("query_id").alias("query_key")), "distinct-queries")
     # a key names one vector: an id that repeats with other vectors gets more keys
     distinct = scratch.write(distinct.select(F.monotonically_increasing_id().alias("query_key"), "vector"), "query-keys")
-    found = search(index, distinct, scratch, recall=recall)
+    found = search(index, distinct, scratch, recall=recall, tune_queries=tune_queries)
     named = wanted.join(distinct, "vector").select("query_id", "query_key").distinct()
     pairs = named.join(found, "query_key").filter("query_id != vec_id").groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     return _nearest_rows(pairs, "query_id", k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -386,7 +386,7 @@ def score(docs: DataFrame, scratch: Scratch, *, order: int = 2, n_buckets: int |
 
     Returns ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``:
     ``score`` is the log10 probability of the text, ``base_score`` that of
-    add-one unigrams. The model lies in the tables ``order-1`` ... of the
+    add-one unigrams. The model lies in the tables ``order-N`` of the
     scratch folder, partitioned by kind, a row per bucket.
     """
     spark = docs.sparkSession
@@ -407,7 +407,7 @@ def score(docs: DataFrame, scratch: Scratch, *, order: int = 2, n_buckets: int |
         else:
             asked = blocks.groupBy("block_id").cogroup(replies.groupBy("block_id")).applyInArrow(_ask_grams(n, list(orders), buckets), MESSAGE)
             counted = asked.groupBy("bucket").applyInArrow(_add_grams(n, buckets, n == order), MESSAGE)
-        where = f"{scratch.path}/order-{n}"
+        where = scratch.place(f"order-{n}")
         counted.write.partitionBy("kind").parquet(where)
         counted = spark.read.schema(MESSAGE).parquet(where).select(*_FIELDS)
         orders.append(_finish(counted, n))

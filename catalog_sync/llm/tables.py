@@ -34,11 +34,17 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+        self.n_written = 0
         Scratch.live.append(self)
 
+    def place(self, name: str) -> str:
+        """A new folder for a table; a name may be used again."""
+        self.n_written += 1
+        return f"{self.path}/{self.n_written:03d}-{name}"
+
     def write(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` once and return the written table."""
-        where = f"{self.path}/{name}"
+        where = self.place(name)
         df.write.parquet(where)
         return self.spark.read.schema(df.schema).parquet(where)
 

@@ -1,0 +1,123 @@
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from catalog_sync.llm import katz, registered
+from pyspark.sql import functions as F
+
+SF = "/root/testdata/sf0.001"
+
+
+class Plain:
+    """The same model with dictionaries: counts per order, discounts, recursive probabilities."""
+
+    def __init__(self, texts, order):
+        self.order = order
+        self.count = [Counter() for _ in range(order + 1)]
+        for t in texts:
+            w = katz.tokens_of(t)
+            for n in range(1, order + 1):
+                self.count[n].update(tuple(w[i:i + n]) for i in range(len(w) - n + 1))
+        self.d = [None] + [katz.discounts(np.array([sum(c == r for c in self.count[n].values()) for r in range(1, katz.TOP + 2)])) for n in range(1, order + 1)]
+        self.after = [None, None] + [{} for _ in range(order - 1)]
+        for n in range(2, order + 1):
+            for g, c in self.count[n].items():
+                self.after[n].setdefault(g[:-1], {})[g[-1]] = c
+        self.n = sum(self.count[1].values())
+        self.freed = sum((1 - self.d[1][min(c, katz.TOP + 1)]) * c for c in self.count[1].values())
+
+    def unigram(self, w):
+        base = self.n if self.freed > 0 else self.n + 1
+        c = self.count[1][(w,)]
+        return self.d[1][min(c, katz.TOP + 1)] * c / max(base, 1) if c else (self.freed or 1) / max(base, 1)
+
+    def p(self, context, w):
+        if not context:
+            return self.unigram(w)
+        n = len(context) + 1
+        follow = self.after[n].get(context)
+        # a context that was not seen, or was seen at the end of documents alone, backs off whole
+        if follow is None:
+            return self.p(context[1:], w)
+        d, total = self.d[n], sum(follow.values())
+        freed = sum((1 - d[min(c, katz.TOP + 1)]) * c for c in follow.values())
+        base = total if freed > 1e-12 else total + 1
+        if w in follow:
+            return d[min(follow[w], katz.TOP + 1)] * follow[w] / base
+        left = (freed if freed > 1e-12 else 1) / base
+        return left / (1 - sum(self.p(context[1:], x) for x in follow)) * self.p(context[1:], w)
+
+    def score(self, text):
+        w = katz.tokens_of(text)
+        return sum(math.log10(self.p(tuple(w[max(0, i - self.order + 1):i]), x)) for i, x in enumerate(w))
+
+
+def held_out(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 7 == 2
+
+
+def test_query_equals_plain_model(spark):
+    docs = {r["doc_id"]: (r["text"] or "").encode() for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    model = Plain([t for i, t in docs.items() if not held_out(i)], 2)
+    kinds = len(model.count[1])
+    rows = registered.op5_katz_scoring(spark, SF).collect()
+    assert {r["doc_id"] for r in rows} == docs.keys() and len(rows) == len(docs)
+    for r in rows:
+        w = katz.tokens_of(docs[r["doc_id"]])
+        c = [model.count[1][(x,)] for x in w]
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held_out(r["doc_id"]), len(w), sum(x > 0 for x in c), model.n)
+        assert r["base_score"] == pytest.approx(sum(math.log10((x + 1) / (model.n + kinds + 1)) for x in c), rel=1e-9)
+        assert r["score"] == pytest.approx(model.score(docs[r["doc_id"]]), rel=1e-9)
+    held = [r for r in rows if r["held_out"]]
+    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
+def small(spark, n=120):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(n).collect()
+    return {r["doc_id"]: " ".join((r["text"] or "").split()[:60]) for r in rows} | {10_000: "", 10_001: None, 10_002: "the the the the", 10_003: "The\tTHE\n"}
+
+
+@pytest.mark.parametrize("order,buckets,block", [(1, 3, 500), (2, 2, 300), (2, 64, 10**6), (3, 5, 400), (4, 7, 700)])
+def test_orders_buckets_and_blocks(spark, scratch, order, buckets, block):
+    docs = small(spark)
+    frame = spark.createDataFrame([(k, held_out(k), v) for k, v in docs.items()], "doc_id long, held_out boolean, text string")
+    model = Plain([(t or "").encode() for i, t in docs.items() if not held_out(i)], order)
+    rows = katz.score(frame, scratch, order=order, n_buckets=buckets, block_tokens=block).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        assert r["score"] == pytest.approx(model.score((docs[r["doc_id"]] or "").encode()), rel=1e-9)
+
+
+def test_plain_model_sums_to_one(spark):
+    docs = small(spark)
+    model = Plain([(t or "").encode() for i, t in docs.items() if not held_out(i)], 3)
+    words = [w for w, in model.count[1]]
+    contexts = [(), *list(model.after[2])[:6], *list(model.after[3])[:6], (b"never", b"seen")]
+    for c in contexts:
+        assert sum(model.p(c, w) for w in [*words, b"\n unknown"]) == pytest.approx(1, abs=1e-9)
+
+
+def test_discounts():
+    n = np.array([42000, 14000, 7000, 4200, 2800, 2000])  # as 1 / (r (r + 1)): Good-Turing gives (r + 1) / (r + 2)
+    tail = 6 * 2000 / 42000
+    want = [((r + 1) / (r + 2) - tail) / (1 - tail) for r in range(1, 6)]
+    assert katz.discounts(n).tolist() == pytest.approx([1, *want, 1])
+    assert katz.discounts(np.zeros(6)).tolist() == [1, 0.5, 1, 1, 1, 1, 1]
+    assert katz.discounts(np.array([1, 90, 0, 0, 0, 0]))[1] == 0.5
+
+
+def test_squeeze():
+    for a in (np.array([], np.int64), np.arange(300), np.array([0, 2**40]), np.array([0.25, 1e-300]), np.array([True, False])):
+        assert np.array_equal(katz.unsqueeze(katz.squeeze(a)), a)
+
+
+def test_odd_rows(spark, scratch, odd_docs, no_docs):
+    flag = F.coalesce(F.col("doc_id") % 3 == 1, F.lit(False))
+    assert katz.score(no_docs.withColumn("held_out", flag), scratch).count() == 0
+    rows = katz.score(odd_docs.withColumn("held_out", flag).withColumn("score", F.lit("clash")), scratch).collect()
+    assert len(rows) == odd_docs.count() and all(math.isfinite(r["score"]) and r["score"] < 0 for r in rows)
+    alone = katz.score(odd_docs.withColumn("held_out", F.lit(True)), scratch).collect()
+    assert all(r["score"] == 0 and r["train_tokens"] == 0 and r["n_known"] == 0 for r in alone)
