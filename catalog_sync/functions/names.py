@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-import re
+from itertools import chain, count
 
-_BRACKET = re.compile(r"\[([^\]]*)\]")
+_SEPARATORS = str.maketrans({" ": "_", "-": "_"})
+#: Stands in for a name of which no letter, digit or underscore is left.
+NAMELESS = "column"
 
 
 def quote(name: str) -> str:
@@ -12,36 +14,29 @@ def quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def bracketed(name: str) -> str:
+    """What stands in the first pair of brackets (``Table[Col Name]`` -> ``Col Name``), else the whole name."""
+    _, opened, rest = name.partition("[")
+    inner, closed, _ = rest.partition("]")
+    return inner if opened and closed else name
+
+
 def normalize_name(name: str, bracket: bool = False) -> str:
     """lower case, spaces and hyphens to ``_``, keep Unicode letters, digits and ``_``.
 
-    With ``bracket=True`` the text inside the last ``[...]`` is used first
+    With ``bracket=True`` the text inside the first ``[...]`` is used
     (``Table[Col Name]`` -> ``col_name``).
     """
-    if bracket:
-        found = _BRACKET.findall(name)
-        if found:
-            name = found[-1]
-    out = name.lower().replace(" ", "_").replace("-", "_")
-    return "".join(ch for ch in out if ch.isalnum() or ch == "_")
-
-
-def _ascii_fallback(name: str) -> str:
-    out = re.sub(r"[^a-zA-Z0-9_]", "_", name.lower())
-    out = re.sub(r"_+", "_", out)
-    return out.strip("_")
+    kept = [c for c in (bracketed(name) if bracket else name).lower().translate(_SEPARATORS) if c == "_" or c.isalnum()]
+    return "".join(kept)
 
 
 def normalize_names(names: list[str], bracket: bool = False) -> list[str]:
-    """Normalise a list of names; repeats get ``_1, _2, ...``; empty results fall back to ASCII."""
-    seen: set[str] = set()
-    result = []
+    """Normalise a list of names: the first to claim a name has it, later ones get the lowest
+    free number (``id, id_1, id_2``); a name that loses all its characters becomes :data:`NAMELESS`."""
+    taken: dict[str, str] = {}  # in order: given name -> nothing else has it
     for raw in names:
-        base = normalize_name(raw, bracket) or _ascii_fallback(raw)
-        cand, n = base, 1
-        while cand in seen:
-            cand = f"{base}_{n}"
-            n += 1
-        seen.add(cand)
-        result.append(cand)
-    return result
+        wanted = normalize_name(raw, bracket) or NAMELESS
+        free = next(n for n in chain([wanted], (f"{wanted}_{i}" for i in count(1))) if n not in taken)
+        taken[free] = raw
+    return list(taken)
