@@ -25,13 +25,13 @@ CATALOG_CSV_SCHEMA = T.StructType([
 
 
 def read_catalog_csv(spark: SparkSession, path: str, schema: T.StructType = CATALOG_CSV_SCHEMA,
-                     multi_line: bool = True) -> DataFrame:
-    """Snapshot CSV: header, UTF-8, RFC-4180 doubled quotes, quoted newlines; an empty field is NULL.
+                     multi_line: bool = False) -> DataFrame:
+    """Snapshot CSV: header, UTF-8, RFC-4180 doubled quotes; an empty field is NULL.
 
-    ``multi_line=True`` (needed when a quoted field may hold a newline) reads
-    each file in one task, so large exports should arrive as many files (as
-    :func:`write_catalog_csv` writes them, one per partition). With
-    ``multi_line=False`` files are split into byte ranges across tasks.
+    Files are split into byte ranges across tasks; a record that a quoted
+    newline cuts in two does not fit the schema and fails the read
+    (``FAILFAST``). Only for such files pass ``multi_line=True``, which reads
+    each file in one task, so large exports should then arrive as many files.
     """
     return (
         spark.read.schema(schema)
@@ -116,6 +116,14 @@ def current_version(spark: SparkSession, base: str) -> str | None:
     return latest[0]["version"] if latest else None
 
 
+def applied_versions(spark: SparkSession, base: str) -> set[str]:
+    """All versions that were ever current (the pointer log holds one small line per switch)."""
+    path = os.path.join(base, _POINTERS)
+    if not path_exists(spark, path):
+        return set()
+    return {r["version"] for r in spark.read.schema(_POINTER_SCHEMA).json(path).select("version").distinct().collect()}
+
+
 def prune_versions(spark: SparkSession, base: str, keep: int = 3) -> list[str]:
     """Delete version folders under ``base`` except the ``keep`` most recently
     pointed-to versions (the current one always among them). Folders never
@@ -190,11 +198,6 @@ def restore(spark: SparkSession, backup_path: str, base: str | None = None) -> D
     return df
 
 
-def with_source_file(df: DataFrame, col: str = "source_file") -> DataFrame:
-    """Add the file each row was read from (file-based sources only)."""
-    return df.withColumn(col, F.col("_metadata.file_name"))
-
-
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, str] | None = None,
               partition_column: str | None = None, lower: int | None = None, upper: int | None = None,
               num_partitions: int = 64, fetch_size: int = 10_000) -> DataFrame:

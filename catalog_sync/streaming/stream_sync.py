@@ -1,18 +1,27 @@
-"""Incremental sync over arriving snapshot files with Structured Streaming.
-
-Every new export file in ``snapshot_dir`` is synced into the versioned table
-at ``table_base`` exactly once: ``readStream`` (one file per micro-batch) ->
-``foreachBatch`` (upsert with change detection + guarded orphan cleanup) ->
-``write_snapshot``. The streaming checkpoint remembers which files were done,
-so a second run processes nothing. A batch writes a version named after its
-batch id, so a batch replayed after a failure finds its committed version and
-only re-points to it instead of applying the snapshot twice; a version left
-half-written by the failure is written again.
+"""Incremental sync over arriving snapshots with Structured Streaming.
+
+A snapshot is the whole catalog as one export wrote it: a folder of files
+(``unit="folder"``, the default; complete when its ``_SUCCESS`` marker is
+there) or one file (``unit="file"``). ``readStream`` notices what arrives; a
+batch's files only name the snapshots, each of which is then read whole, so a
+snapshot of many files that the stream sees in several batches is still one
+sync. Snapshots are applied in name order (names sort by time: ``day=2024-06-01``)
+as ``foreachBatch`` -> upsert with change detection and guarded orphan
+cleanup -> ``write_snapshot``.
+
+Versions are named after their snapshot, not after the batch, so the same
+holds under a new streaming checkpoint: a snapshot whose version was
+committed and pointed to is not applied again and never becomes current
+again; one whose version was committed but not yet pointed to (a crash in between) is pointed to; one
+whose version was left half-written is written again; one that is older than the newest applied one is left out as stale.
+A batch that meets an unfinished folder fails, and the stream repeats it at its next start.
 """
 
 from __future__ import annotations
 
 import os
+import re
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,68 +29,79 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import sync
-from ..session import materialize_at, release
-from ..sources.files import current_version, is_committed, read_snapshot, set_current, write_snapshot
+from ..sources.files import applied_versions, current_version, is_committed, read_snapshot, set_current, write_snapshot
 
 
-def _version_name(batch_id: int, idx: int) -> str:
-    return f"batch-{batch_id:08d}-{idx:03d}"
+class UnfinishedSnapshotError(RuntimeError):
+    pass
 
 
-def apply_snapshot(current: DataFrame, snapshot: DataFrame, key: str, now, change_cols=None,
-                   min_overlap: float = 0.1, checkpoint: bool = True) -> tuple[DataFrame, sync.CleanupResult, str | None]:
+def version_name(snapshot: str) -> str:
+    """Version of a snapshot path: its name, for reading, and a checksum of the path, for telling apart."""
+    name = os.path.basename(snapshot.rstrip("/"))
+    return f"snapshot-{re.sub(r'[^0-9A-Za-z=._-]', '_', name)}-{zlib.crc32(snapshot.encode()):08x}"
+
+
+def _snapshot_name(version: str) -> str | None:
+    found = re.fullmatch(r"snapshot-(.*)-[0-9a-f]{8}", version)
+    return found[1] if found else None
+
+
+def apply_snapshot(current: DataFrame, snapshot: DataFrame, key: str, now, change_cols=None, min_overlap: float = 0.1,
+                   key_rule: str | None = None) -> tuple[DataFrame, sync.CleanupResult]:
     """One snapshot onto the current table: upsert, then guarded orphan cleanup.
 
-    The cleanup is fused with the upsert (its counts and the kept rows come
-    from the upsert's action column, no second join). With ``checkpoint`` the
-    merged table is written once as Parquet to the shared checkpoint folder, so the guard
-    aggregate and the version write read that copy instead of re-running the
-    join, and a lost executor costs a file re-read, not the shuffle. Returns
-    the merged table, the cleanup and the copy's path (release it once the
-    result is written).
+    The guard is decided from the key columns of both sides; the kept rows are
+    a filter of the upsert's own plan, so writing them is the only pass over
+    the whole table. Returns the merged table and the cleanup.
     """
-    merged = sync.upsert(current, snapshot, key, change_cols=change_cols, now=now, with_action=True)
-    copy = None
-    if checkpoint:
-        merged, copy = materialize_at(merged, "stream-merged")
-    return merged.drop("_action"), sync.cleanup_after_upsert(merged, min_overlap=min_overlap, keys=key), copy
+    rule = key_rule or (sync.KEY_UUID if dict(current.dtypes)[key] == "string" else sync.KEY_EXACT)
+    merged = sync.upsert(current, snapshot, key, change_cols=change_cols, now=now, with_action=True, key_rule=rule)
+    counts = sync.cleanup_stats(current, snapshot, key, rule).first()
+    return merged.drop("_action"), sync.cleanup_after_upsert(merged, min_overlap=min_overlap, keys=key, counts=counts)
 
 
 def stream_sync(spark: SparkSession, snapshot_dir: str, schema: T.StructType, table_base: str, checkpoint: str,
-                key: str = "id", now: Callable[[int], str] | str | None = None, change_cols=None,
-                min_overlap: float = 0.1, file_format: str = "parquet", await_seconds: float | None = None) -> list[dict]:
-    """Sync all files that arrived since the last run, in file order; returns one report per file.
-
-    ``now`` is a timestamp string or a function of the batch id (repeatable
-    results). The table at ``table_base`` must already have a current version.
+                key: str = "id", now: Callable[[str], str] | str | None = None, change_cols=None,
+                min_overlap: float = 0.1, file_format: str = "parquet", await_seconds: float | None = None,
+                unit: str = "folder", key_rule: str | None = None) -> list[dict]:
+    """Sync all snapshots that arrived since the last run; returns one report per snapshot seen.
+
+    ``now`` is a timestamp string or a function of the snapshot's name
+    (repeatable results). The table at ``table_base`` must already have a
+    current version.
     """
+    if unit not in ("folder", "file"):
+        raise ValueError(f"unknown unit {unit!r}")
     reports: list[dict] = []
 
+    def sync_one(snapshot: str, batch_id: int) -> dict:
+        name, version = os.path.basename(snapshot), version_name(snapshot)
+        report = {"batch_id": batch_id, "snapshot": name, "version": version}
+        applied = applied_versions(spark, table_base)
+        if version in applied:
+            return report | {"status": "already applied"}
+        newest = max((n for v in applied if (n := _snapshot_name(v))), default=None)
+        if newest is not None and _snapshot_name(version) < newest:
+            return report | {"status": "stale"}
+        if is_committed(spark, os.path.join(table_base, version)):
+            set_current(spark, table_base, version)  # written before a crash, not yet pointed to
+            return report | {"status": "replayed"}
+        if unit == "folder" and not is_committed(spark, snapshot):
+            raise UnfinishedSnapshotError(f"snapshot {snapshot} has no _SUCCESS marker yet")
+        rows = spark.read.schema(schema).format(file_format).load(snapshot)
+        ts = now(name) if callable(now) else now
+        _, cleaned = apply_snapshot(read_snapshot(spark, table_base), rows, key, ts, change_cols, min_overlap, key_rule)
+        write_snapshot(cleaned.table, table_base, version)
+        return report | {"status": cleaned.status, "deleted": cleaned.deleted}
+
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        files = sorted(r[0] for r in batch.select("__file").distinct().collect())
-        ts = now(batch_id) if callable(now) else now
-        for idx, f in enumerate(files):
-            version = _version_name(batch_id, idx)
-            path = os.path.join(table_base, version)
-            if is_committed(spark, path):
-                # replayed batch: the version was committed before the failure
-                set_current(spark, table_base, version)
-                reports.append({"batch_id": batch_id, "file": f, "status": "replayed"})
-                continue
-            snap = batch.filter(F.col("__file") == f).drop("__file")
-            current = read_snapshot(spark, table_base)
-            merged, cleaned, copy = apply_snapshot(current, snap, key, ts, change_cols, min_overlap)
-            write_snapshot(cleaned.table, table_base, version)
-            if copy:
-                release(spark, copy)  # the new version is written; nothing reads the copy any more
-            reports.append({"batch_id": batch_id, "file": f, "status": cleaned.status, "deleted": cleaned.deleted})
-
-    stream = (
-        spark.readStream.schema(schema).format(file_format)
-        .option("maxFilesPerTrigger", 1)
-        .load(snapshot_dir)
-        .withColumn("__file", F.col("_metadata.file_path"))
-    )
+        path = F.col("_metadata.file_path")
+        seen = batch.select((F.regexp_replace(path, "/[^/]*$", "") if unit == "folder" else path).alias("s")).distinct()
+        for r in seen.orderBy("s").collect():  # one small row per arrived snapshot
+            reports.append(sync_one(r["s"], batch_id))
+
+    stream = spark.readStream.schema(schema).format(file_format).load(snapshot_dir).select("*", "_metadata")
     query = (
         stream.writeStream.foreachBatch(run_batch)
         .option("checkpointLocation", checkpoint)
@@ -92,4 +112,4 @@ def stream_sync(spark: SparkSession, snapshot_dir: str, schema: T.StructType, ta
     return reports
 
 
-__all__ = ["apply_snapshot", "current_version", "stream_sync"]
+__all__ = ["UnfinishedSnapshotError", "apply_snapshot", "current_version", "stream_sync", "version_name"]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from catalog_sync.session import scratch_path
 from catalog_sync.sources import export as exp
 from catalog_sync.sources import files as fs
-from catalog_sync.streaming.stream_sync import stream_sync
+from catalog_sync.streaming.stream_sync import stream_sync, version_name
 
 
 def test_export_roundtrip_keeps_nulls(spark):
@@ -94,24 +94,84 @@ def test_half_written_version_is_replaced_committed_one_kept(spark):
     assert fs.read_snapshot(spark, base).count() == 4
 
 
+def snapshot_run(spark, name):
+    """A table with two rows and a first snapshot of many files; paths and a function that syncs."""
+    root = scratch_path(spark, name)
+    base, snaps = os.path.join(root, "table"), os.path.join(root, "snaps")
+    fs.write_snapshot(spark.createDataFrame([(1, "a", True), (2, "b", True)], "id long, description string, is_vector boolean"), base, "initial")
+    schema = "id long, description string"
+
+    def arrive(folder, rows, files=3):
+        spark.createDataFrame(rows, schema).repartition(files).write.mode("append").parquet(os.path.join(snaps, folder))
+
+    def run(checkpoint="ck"):
+        reports = stream_sync(spark, os.path.join(snaps, "d=*"), spark.createDataFrame([], schema).schema, base, os.path.join(root, checkpoint), now="2024-06-01 00:00:00")
+        return [r["status"] for r in reports]
+
+    def table():
+        return {r["id"]: (r["description"], r["is_vector"]) for r in fs.read_snapshot(spark, base).collect()}
+
+    return arrive, run, table, base, snaps
+
+
 def test_stream_replay_after_a_crash_mid_write(spark):
-    root = scratch_path(spark, "t-stream-crash")
-    tgt = spark.createDataFrame([(1, "a", True), (2, "b", True)], "id long, description string, is_vector boolean")
-    base = os.path.join(root, "table")
-    fs.write_snapshot(tgt, base, "initial")
-    snaps = os.path.join(root, "snaps")
-    spark.createDataFrame([(1, "a"), (2, "B")], "id long, description string").coalesce(1).write.parquet(os.path.join(snaps, "d=1"))
-    schema = spark.read.parquet(os.path.join(snaps, "d=1")).schema
-    # the first attempt of batch 0 died while writing its version
-    os.makedirs(os.path.join(base, "batch-00000000-000", "_temporary", "0"))
-    rep = stream_sync(spark, os.path.join(snaps, "d=*"), schema, base, os.path.join(root, "ck"), now="2024-06-01 00:00:00")
-    assert [r["status"] for r in rep] == ["success"]
-    got = {r["id"]: (r["description"], r["is_vector"]) for r in fs.read_snapshot(spark, base).collect()}
-    assert got == {1: ("a", True), 2: ("B", False)}
-    # a batch replayed after its version was committed only re-points to it
-    fs.set_current(spark, base, "initial")
-    rep2 = stream_sync(spark, os.path.join(snaps, "d=*"), schema, base, os.path.join(root, "ck2"), now="2024-06-01 00:00:00")
-    assert [r["status"] for r in rep2] == ["replayed"] and fs.current_version(spark, base) == "batch-00000000-000"
+    arrive, run, table, base, snaps = snapshot_run(spark, "t-stream-crash")
+    arrive("d=1", [(1, "a"), (2, "B")])
+    version = version_name(f"file:{snaps}/d=1")
+    # an attempt died while writing its version
+    os.makedirs(os.path.join(base, version, "_temporary", "0"))
+    assert run() == ["success"]
+    assert fs.current_version(spark, base) == version
+    assert table() == {1: ("a", True), 2: ("B", False)}
+    # an attempt died between its write and the switch of the pointer
+    arrive("d=2", [(1, "x")])
+    later = version_name(f"file:{snaps}/d=2")
+    fs.read_snapshot(spark, base).filter("id = 1").write.parquet(os.path.join(base, later))
+    assert run() == ["replayed"] and fs.current_version(spark, base) == later
+
+
+def test_snapshot_of_many_files_is_one_sync(spark):
+    arrive, run, table, base, _ = snapshot_run(spark, "t-stream-files")
+    arrive("d=1", [(i, f"p{i}") for i in range(1, 201)], files=7)
+    assert run() == ["success"]
+    assert len(table()) == 200 and table()[1] == ("p1", False)
+    arrive("d=2", [(i, f"p{i}") for i in range(1, 199)], files=4)
+    assert run() == ["success"] and len(table()) == 198 and run() == []
+
+
+def test_new_streaming_checkpoint_never_goes_back(spark):
+    arrive, run, table, base, _ = snapshot_run(spark, "t-stream-checkpoint")
+    arrive("d=1", [(1, "a"), (2, "b")])
+    arrive("d=2", [(1, "a2"), (3, "c")])
+    assert run() == ["success", "success"]
+    current, rows = fs.current_version(spark, base), table()
+    assert run("other") == ["already applied", "already applied"]
+    assert fs.current_version(spark, base) == current and table() == rows == {1: ("a2", False), 3: ("c", False)}
+    arrive("d=3", [(3, "c")])
+    assert run("third") == ["already applied", "already applied", "success"] and set(table()) == {3}
+    arrive("d=0", [(9, "old")])  # an older snapshot that arrives late
+    assert run("third") == ["stale"] and set(table()) == {3}
+
+
+def test_unfinished_snapshot_waits(spark):
+    arrive, run, table, base, snaps = snapshot_run(spark, "t-stream-unfinished")
+    arrive("d=1", [(1, "a"), (2, "B")])
+    os.remove(os.path.join(snaps, "d=1", "_SUCCESS"))
+    with pytest.raises(Exception, match="_SUCCESS"):
+        run()
+    assert fs.current_version(spark, base) == "initial"
+    arrive("d=1", [(3, "c")])  # the rest of the export and its marker
+    assert run()[0] == "success" and set(table()) == {1, 2, 3}
+
+
+def test_stream_of_single_files(spark):
+    root = scratch_path(spark, "t-stream-file-unit")
+    base, snaps = os.path.join(root, "table"), os.path.join(root, "snaps")
+    fs.write_snapshot(spark.createDataFrame([(1, "a")], "id long, description string"), base, "initial")
+    spark.createDataFrame([(1, "a"), (5, "e")], "id long, description string").coalesce(1).write.parquet(snaps)
+    schema = spark.read.parquet(snaps).schema
+    rep = stream_sync(spark, snaps, schema, base, os.path.join(root, "ck"), now="2024-06-01 00:00:00", unit="file")
+    assert [r["status"] for r in rep] == ["success"] and sorted(r["id"] for r in fs.read_snapshot(spark, base).collect()) == [1, 5]
 
 
 def test_stream_sync_leaves_no_merged_copies(spark):
