@@ -12,7 +12,15 @@ with category match: ``(1 - distance) * (1 - w) + category_match * w``.
   is symmetric, so the product serves both directions) and emits only the k
   best candidates per row; a window group limit merges the per-pair winners.
   A row is shuffled once per block, no group holds more than two blocks and
-  no task emits all pairs.
+  no task emits all pairs. Its work is the square of the rows, so at scale it
+  is for one bounded slice (a category, a brand) at a time.
+* :func:`similar_for_all_lsh` — the same for large tables: candidates from
+  random-hyperplane buckets, and an exact scan for the products whose buckets hold too few.
+
+Distances are rounded to :data:`DIGITS` digits before anything is ranked or blended, so
+equal vectors tie whatever matrix position or batch they were computed at,
+and ties fall to the smaller id. Rows without a vector take no part;
+vectors of another length than the rest fail the job. Ids may be of any type.
 """
 
 from __future__ import annotations
@@ -26,16 +34,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.vectors import cosine_distance_to, dot, norm
+from ..session import scratch_path
 from .filters import search_text
 
 
+#: Digits to which distances are rounded: far above the noise of a dot product, far below any difference that matters.
+DIGITS = 10
+
+
 def _score(distance: Column, match: Column, w: float) -> Column:
     return (F.lit(1.0) - distance) * F.lit(1.0 - w) + match * F.lit(w)
 
 
 def reference_row(df: DataFrame, ref_id, id_col: str = "id", flag_col: str = "is_vector"):
     """The reference product (one row) with a current embedding, or None."""
-    rows = df.filter((F.col(id_col) == F.lit(ref_id)) & (F.col(flag_col) == F.lit(True))).limit(1).collect()
+    rows = df.filter((F.col(id_col) == F.lit(ref_id)) & (F.col(flag_col) == F.lit(True)))
+    rows = (rows.filter(F.col("vector").isNotNull()) if "vector" in df.columns else rows).limit(1).collect()
     return rows[0] if rows else None
 
 
@@ -60,7 +74,7 @@ def find_similar(df: DataFrame, ref_id, k: int = 4, exclude_same_brand: bool = F
     ref_vec = [float(x) for x in ref[vector_col]]
     ref_norm = math.sqrt(sum(x * x for x in ref_vec))
     lit_vec = F.array(*[F.lit(x).cast("double") for x in ref_vec])
-    cand = df.filter((F.col(flag_col) == F.lit(True)) & (F.col(id_col) != F.lit(ref_id)))
+    cand = df.filter((F.col(flag_col) == F.lit(True)) & (F.col(id_col) != F.lit(ref_id)) & F.col(vector_col).isNotNull())
     if exclude_same_brand:
         cand = cand.filter(F.col("brand") != F.lit(ref["brand"]))
     if engine == "arrow":
@@ -68,6 +82,7 @@ def find_similar(df: DataFrame, ref_id, k: int = 4, exclude_same_brand: bool = F
     else:  # JVM higher-order functions
         denom = norm(vector_col) * F.lit(ref_norm)
         distance = F.lit(1.0) - F.when(denom == 0, F.lit(float("nan"))).otherwise(dot(vector_col, lit_vec) / denom)
+    distance = F.round(distance, DIGITS) + F.lit(0.0)  # no negative zero
     match = F.when(F.col("category") == F.lit(ref["category"]), F.lit(1.0)).otherwise(F.lit(0.0))
     scored = cand.select(id_col, "description", "brand", "category", distance.alias("vector_distance"),
                          match.alias("category_match"))
@@ -109,13 +124,17 @@ def search_then_similar(df: DataFrame, text: str, k: int = 5, exclude_same_brand
     )
 
 
-_PAIR_SCHEMA = T.StructType([
-    T.StructField("id", T.LongType()),
-    T.StructField("neighbor_id", T.LongType()),
-    T.StructField("vector_distance", T.DoubleType()),
-    T.StructField("category_match", T.DoubleType()),
-    T.StructField("combined_score", T.DoubleType()),
-])
+def _pair_schema(id_type: T.DataType) -> T.StructType:
+    return T.StructType([
+        T.StructField("id", id_type),
+        T.StructField("neighbor_id", id_type),
+        T.StructField("vector_distance", T.DoubleType()),
+        T.StructField("category_match", T.DoubleType()),
+        T.StructField("combined_score", T.DoubleType()),
+    ])
+
+
+_PAIR_COLS = ["id", "neighbor_id", "vector_distance", "category_match", "combined_score"]
 
 
 def _exact_topk_mask(sort_score: np.ndarray, dist: np.ndarray, cand_ids: np.ndarray, valid: np.ndarray, k: int) -> np.ndarray:
@@ -134,7 +153,8 @@ def _exact_topk_mask(sort_score: np.ndarray, dist: np.ndarray, cand_ids: np.ndar
     tie = (sort_score == kth[:, None]) & valid
     ti, tj = np.nonzero(tie)
     if len(ti):
-        order = np.lexsort((cand_ids[tj], dist[ti, tj], ti))
+        by_id = np.unique(cand_ids, return_inverse=True)[1]  # places in id order, for ids of any type
+        order = np.lexsort((by_id[tj], dist[ti, tj], ti))
         ti, tj = ti[order], tj[order]
         starts = np.searchsorted(ti, np.arange(rows))
         pos = np.arange(len(ti)) - starts[ti]
@@ -143,10 +163,6 @@ def _exact_topk_mask(sort_score: np.ndarray, dist: np.ndarray, cand_ids: np.ndar
     return better
 
 
-def _empty_pairs() -> pd.DataFrame:
-    return pd.DataFrame({f.name: pd.Series(dtype="float64" if f.dataType == T.DoubleType() else "int64") for f in _PAIR_SCHEMA})
-
-
 def _topk_rows(q_ids, c_ids, score, dist, match, valid, k: int) -> pd.DataFrame:
     """The k best candidates (columns) of every query (row) of one score matrix."""
     # rank key: NaN scores first (PostgreSQL DESC), then score desc, distance asc, id asc
@@ -155,8 +171,8 @@ def _topk_rows(q_ids, c_ids, score, dist, match, valid, k: int) -> pd.DataFrame:
     keep = _exact_topk_mask(sort_score, dist, c_ids, valid, k)
     qi, ci = np.nonzero(keep)
     return pd.DataFrame({
-        "id": q_ids[qi].astype("int64"),
-        "neighbor_id": c_ids[ci].astype("int64"),
+        "id": q_ids[qi],
+        "neighbor_id": c_ids[ci],
         "vector_distance": dist[qi, ci],
         "category_match": match[qi, ci],
         "combined_score": score[qi, ci],
@@ -168,7 +184,7 @@ def _topk_rows(q_ids, c_ids, score, dist, match, valid, k: int) -> pd.DataFrame:
 CHUNK_ROWS = 1024
 
 
-def _block_pair_topk(k: int, w: float, exclude_same_brand: bool, chunk_rows: int = CHUNK_ROWS):
+def _block_pair_topk(k: int, w: float, exclude_same_brand: bool, chunk_rows: int = CHUNK_ROWS, both_ways: bool = True):
     """pandas function for one unordered block pair ``(lo, hi)``.
 
     The score is symmetric (cosine, category match and the brand rule all
@@ -177,7 +193,7 @@ def _block_pair_topk(k: int, w: float, exclude_same_brand: bool, chunk_rows: int
     and, when the blocks differ, rows of ``hi`` against this chunk of ``lo``
     (a partial top-k that the final window merges). Block ``lo`` is taken
     ``chunk_rows`` rows at a time, so memory per task stays bounded. Each group
-    holds at most two blocks.
+    holds at most two blocks. ``both_ways=False`` ranks for ``lo`` only.
     """
 
     def run(key, pdf):
@@ -185,7 +201,7 @@ def _block_pair_topk(k: int, w: float, exclude_same_brand: bool, chunk_rows: int
         a_all = pdf[pdf["__b"] == lo]
         b = pdf[pdf["__b"] == hi] if hi != lo else a_all
         if a_all.empty or b.empty:
-            return _empty_pairs()
+            return pd.DataFrame({c: [] for c in _PAIR_COLS})
         bv = np.vstack(b["vector"].to_numpy()).astype(np.float64)
         bn = np.linalg.norm(bv, axis=1)
         bcat = b["category"].to_numpy(dtype=object)
@@ -198,7 +214,7 @@ def _block_pair_topk(k: int, w: float, exclude_same_brand: bool, chunk_rows: int
             with np.errstate(divide="ignore", invalid="ignore"):
                 sim = (av @ bv.T) / np.outer(np.linalg.norm(av, axis=1), bn)
             sim[~np.isfinite(sim)] = np.nan
-            dist = 1.0 - sim
+            dist = np.round(1.0 - sim, DIGITS) + 0.0  # no negative zero
             acat = a["category"].to_numpy(dtype=object)
             match = ((acat[:, None] == bcat[None, :]) & pd.notna(acat)[:, None] & pd.notna(bcat)[None, :]).astype(np.float64)
             score = (1.0 - dist) * (1.0 - w) + match * w
@@ -208,7 +224,7 @@ def _block_pair_topk(k: int, w: float, exclude_same_brand: bool, chunk_rows: int
                 ab = a["brand"].to_numpy(dtype=object)
                 valid &= (ab[:, None] != bb[None, :]) & pd.notna(ab)[:, None] & pd.notna(bb)[None, :]
             outs.append(_topk_rows(a_ids, b_ids, score, dist, match, valid, k))
-            if hi != lo:
+            if hi != lo and both_ways:
                 outs.append(_topk_rows(b_ids, a_ids, score.T, dist.T, match.T, valid.T, k))
         return pd.concat(outs, ignore_index=True)
 
@@ -226,27 +242,43 @@ def _pair_groups(items: DataFrame, block: Column, n_blocks: Column) -> DataFrame
     )
 
 
+def _items(df: DataFrame, id_col: str, vector_col: str, flag_col: str) -> DataFrame:
+    """``id, vector, brand, category`` of the rows that take part, all vectors of one length."""
+    items = df.filter((F.col(flag_col) == F.lit(True)) & F.col(vector_col).isNotNull()).select(
+        F.col(id_col).alias("id"), F.col(vector_col).alias("vector"), "brand", "category"
+    )
+    first = items.select(F.size("vector")).first()
+    dim = first[0] if first else 0
+    check = F.assert_true(F.size("vector") == dim, F.lit(f"vectors must all have {dim} components"))
+    return items.filter(check.isNull())
+
+
+def _best(pairs: DataFrame, k: int, name: str = "rank") -> DataFrame:
+    """The k best neighbours of each id; the cut also runs before the shuffle (window group limit)."""
+    order = Window.partitionBy("id").orderBy(
+        F.col("combined_score").desc_nulls_first(), F.col("vector_distance").asc(), F.col("neighbor_id").asc()
+    )
+    return pairs.withColumn(name, F.row_number().over(order)).filter(F.col(name) <= k)
+
+
 def similar_for_all(df: DataFrame, k: int = 4, exclude_same_brand: bool = False, w: float = 1.0,
                     block_rows: int = 4096, id_col: str = "id", vector_col: str = "vector",
                     flag_col: str = "is_vector", chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Exact top-k neighbours of every product with a current embedding.
 
     Output (id, neighbor_id, vector_distance, category_match, combined_score,
-    rank) with rank 1..k in the same order as :func:`find_similar`.
+    rank) with rank 1..k in the same order as :func:`find_similar`. A row is
+    shuffled once per block of ``block_rows`` rows: call it per category or
+    brand where the table is large, or :func:`similar_for_all_lsh`.
     """
-    items = df.filter(F.col(flag_col) == F.lit(True)).select(
-        F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"), "brand", "category"
-    )
+    items = _items(df, id_col, vector_col, flag_col)
     n = items.count()
     blocks = max(1, math.ceil(n / block_rows))
     b = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
     pairs = _pair_groups(items, b, F.lit(blocks)).groupBy("__lo", "__hi").applyInPandas(
-        _block_pair_topk(k, w, exclude_same_brand, chunk_rows), _PAIR_SCHEMA
+        _block_pair_topk(k, w, exclude_same_brand, chunk_rows), _pair_schema(items.schema["id"].dataType)
     )
-    order = Window.partitionBy("id").orderBy(
-        F.col("combined_score").desc_nulls_first(), F.col("vector_distance").asc(), F.col("neighbor_id").asc()
-    )
-    return pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return _best(pairs, k)
 
 
 def _hyperplanes(dim: int, bands: int, bits: int, seed: int) -> np.ndarray:
@@ -272,51 +304,78 @@ def lsh_codes(vector_col: str, dim: int, bands: int = 4, bits: int = 8, seed: in
     return codes(F.col(vector_col))
 
 
+#: Buckets up to which their sizes are broadcast.
+BROADCAST_BUCKETS = 1 << 16
+
+
+def _scan_against(wanted: DataFrame, items: DataFrame, n_items: int, n_wanted: int, k: int, w: float, exclude_same_brand: bool,
+                  block_rows: int, chunk_rows: int) -> DataFrame:
+    """Exact candidates of the ``wanted`` items among all ``items``: blocks of one side meet blocks of the other."""
+    a_blocks, b_blocks = max(1, math.ceil(n_wanted / block_rows)), max(1, math.ceil(n_items / block_rows))
+    cell = lambda side, mine, others: side.withColumn("__own", F.pmod(F.xxhash64("id"), F.lit(mine)).cast("int")).withColumn(
+        "__other", F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
+    left = cell(wanted, a_blocks, b_blocks).withColumnsRenamed({"__own": "__lo", "__other": "__hi"})
+    right = cell(items, b_blocks, a_blocks).withColumnsRenamed({"__own": "__hi", "__other": "__lo"})
+    score = _block_pair_topk(k, w, exclude_same_brand, chunk_rows, both_ways=False)
+
+    def run(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        return score((0, 1), pd.concat([a.assign(__b=0), b.assign(__b=1)], ignore_index=True))
+
+    return left.groupBy("__lo", "__hi").cogroup(right.groupBy("__lo", "__hi")).applyInPandas(run, _pair_schema(items.schema["id"].dataType))
+
+
 def similar_for_all_lsh(df: DataFrame, k: int = 4, exclude_same_brand: bool = False, w: float = 1.0,
-                        bands: int = 4, bits: int = 8, block_rows: int = 4096, seed: int = 17,
+                        bands: int = 16, rows_per_bucket: int = 4096, block_rows: int = 4096, seed: int = 17,
                         id_col: str = "id", vector_col: str = "vector", flag_col: str = "is_vector",
                         chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Approximate top-k neighbours of every product (same output as :func:`similar_for_all`).
 
-    Candidates are the products sharing a SimHash bucket in at least one of
-    ``bands`` bands. Each bucket is scanned exactly with the bounded block
-    scheme: a bucket larger than ``block_rows`` (a hot bucket can hold a big
-    share of the rows) is split into several blocks, so no group exceeds two
-    blocks. The bucket-size table has at most ``bands * 2**bits`` rows, which
-    bounds the broadcast. Found scores are exact; recall depends on bands/bits.
-    For n rows, ``bits`` near ``log2(n / block_rows)`` keeps buckets around one
-    block, so each row is shuffled about ``bands`` times.
+    Candidates are the products that share a random-hyperplane bucket in at
+    least one of ``bands`` bands. The number of buckets of a band follows the
+    rows: about ``rows_per_bucket`` each. Buckets are scanned exactly with the
+    bounded block scheme; one that is larger than ``block_rows`` (a hot bucket
+    can hold a big share of the rows) is split into several blocks. Scores are
+    exact; recall grows with ``bands`` and ``rows_per_bucket``. A product whose
+    buckets hold fewer than ``k`` others is scanned against all rows, so
+    every product has its k neighbours (where there are that many).
+
+    Codes are computed once: the coded rows are written to the shared
+    checkpoint folder and read for the bucket sizes and for the scan.
     """
-    items = df.filter(F.col(flag_col) == F.lit(True)).select(
-        F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"), "brand", "category"
-    )
+    spark = df.sparkSession
+    items = _items(df, id_col, vector_col, flag_col)
     first = items.select(F.size("vector")).first()
     if first is None:
         return similar_for_all(df, k, exclude_same_brand, w, block_rows, id_col, vector_col, flag_col, chunk_rows)
-    dim = int(first[0])
-    keyed = items.withColumn("__codes", lsh_codes("vector", dim, bands, bits, seed)).select(
-        "id", "vector", "brand", "category", F.posexplode_outer("__codes").alias("band", "code")
-    ).filter(F.col("code").isNotNull())  # outer: no inferred size() filter that would run the UDF twice
-    # sub-blocks per bucket; the table has at most bands * 2**bits rows whatever the data
-    # size, so broadcasting it is bounded by the parameters (no round trip via the driver)
-    subs = keyed.groupBy("band", "code").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("__nsub")
-    )
-    keyed = keyed.join(F.broadcast(subs), ["band", "code"])
+    base = scratch_path(spark, "lsh")
+    items.write.parquet(f"{base}/items")
+    items = spark.read.parquet(f"{base}/items")
+    n = items.count()
+    bits = max(1, min(30, math.ceil(math.log2(max(2, n / rows_per_bucket)))))
+    coded = items.withColumn("__codes", lsh_codes("vector", int(first[0]), bands, bits, seed))
+    coded.write.parquet(f"{base}/coded")
+    coded = spark.read.parquet(f"{base}/coded")
+    of_band = F.posexplode("__codes").alias("band", "code")
+    subs = coded.select(of_band).groupBy("band", "code").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("__nsub"))
+    if bands * 2**bits <= BROADCAST_BUCKETS:  # else Spark shuffles both sides
+        subs = F.broadcast(subs)
+    keyed = coded.select("id", "vector", "brand", "category", of_band).join(subs, ["band", "code"])
     b = F.pmod(F.xxhash64("id"), F.col("__nsub")).cast("int")
-    keyed = keyed.select("id", "vector", "brand", "category", "band", "code", "__nsub")
     pairs = _pair_groups(keyed, b, F.col("__nsub")).drop("__nsub").groupBy("band", "code", "__lo", "__hi").applyInPandas(
-        _block_pair_topk(k, w, exclude_same_brand, chunk_rows), _PAIR_SCHEMA
-    )
-    order = Window.partitionBy("id").orderBy(
-        F.col("combined_score").desc_nulls_first(), F.col("vector_distance").asc(), F.col("neighbor_id").asc()
+        _block_pair_topk(k, w, exclude_same_brand, chunk_rows), _pair_schema(items.schema["id"].dataType)
     )
-    # A pair is found at most once per band, so the k * bands best rows of an id
-    # hold at least k distinct neighbours. That cut runs map-side (window group
-    # limit) before the one shuffle on id; the duplicate merge and the final
-    # rank reuse that partitioning (no second shuffle of the candidates).
-    cut = pairs.withColumn("__r", F.row_number().over(order)).filter(F.col("__r") <= k * bands)
-    best = cut.groupBy("id", "neighbor_id").agg(
+    # A pair is found at most once per band, so the k * bands best rows of an id hold at
+    # least k distinct neighbours; the merge and the final rank reuse that partitioning.
+    best = _best(pairs, k * bands, "__r").groupBy("id", "neighbor_id").agg(
         F.min(F.struct("vector_distance", "category_match", "combined_score")).alias("__m")
     ).select("id", "neighbor_id", "__m.*")
-    return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    _best(best, k).write.parquet(f"{base}/found")
+    found = spark.read.parquet(f"{base}/found")
+    enough = found.groupBy("id").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") >= k)
+    items.join(enough, "id", "left_anti").write.parquet(f"{base}/few")
+    few = spark.read.parquet(f"{base}/few")
+    n_few = few.count()
+    if not n_few:
+        return found
+    whole = _scan_against(few, items, n, n_few, k, w, exclude_same_brand, block_rows, chunk_rows)
+    return found.join(enough, "id", "left_semi").unionByName(_best(whole, k))

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from catalog_sync.operators import similar as sim
 
@@ -108,8 +109,8 @@ def test_lsh_recall_on_clustered_vectors(spark):
         rows.append((i, f"p{i}", f"B{i % 5}", f"C{i % 8}", True, [float(x) for x in v]))
     df = spark.createDataFrame(rows, "id long, description string, brand string, category string, is_vector boolean, vector array<double>")
     exact = {(r["id"], r["neighbor_id"]) for r in sim.similar_for_all(df, k=5, w=0.0, block_rows=64).collect()}
-    approx = sim.similar_for_all_lsh(df, k=5, w=0.0, bands=8, bits=6, block_rows=32).collect()
-    assert len({r["id"] for r in approx}) > 200
+    approx = sim.similar_for_all_lsh(df, k=5, w=0.0, bands=8, rows_per_bucket=4, block_rows=32).collect()
+    assert len({r["id"] for r in approx}) == 240 and len(approx) == 5 * 240  # none is left with fewer than k
     recall = len(exact & {(r["id"], r["neighbor_id"]) for r in approx}) / len(exact)
     assert recall >= 0.8, recall
     # every pair found carries its exact distance and distinct neighbours ranked 1..n
@@ -122,3 +123,53 @@ def test_lsh_recall_on_clustered_vectors(spark):
         ranks.setdefault(r["id"], []).append((r["rank"], r["neighbor_id"]))
     for got in ranks.values():
         assert sorted(x for x, _ in got) == list(range(1, len(got) + 1)) and len({n for _, n in got}) == len(got)
+
+
+def vector_rows(n=60, dim=6):
+    rng = np.random.default_rng(8)
+    return [(f"id-{i:03d}", f"p{i}", f"B{i % 5}", f"C{i % 4}", True, [float(x) for x in rng.normal(size=dim)]) for i in range(n)]
+
+
+VECTOR_SCHEMA = "id string, description string, brand string, category string, is_vector boolean, vector array<double>"
+
+
+def test_text_ids_and_null_vectors(spark):
+    rows = vector_rows()
+    odd = [("id-null", "x", "B0", "C0", True, None), ("id-off", "x", "B0", "C0", False, [1.0] * 6)]
+    df = spark.createDataFrame(rows + odd, VECTOR_SCHEMA)
+    for out in (sim.similar_for_all(df, k=3, w=0.0, block_rows=16), sim.similar_for_all_lsh(df, k=3, w=0.0, bands=24, rows_per_bucket=30, block_rows=16)):
+        got = {}
+        for r in out.collect():
+            got.setdefault(r["id"], []).append((r["rank"], r["neighbor_id"]))
+        assert got.keys() == {r[0] for r in rows}
+        vec = {r[0]: np.array(r[5]) for r in rows}
+        hit = 0
+        for i, found in got.items():
+            d = {j: 1 - vec[i] @ v / (np.linalg.norm(vec[i]) * np.linalg.norm(v)) for j, v in vec.items() if j != i}
+            hit += len({n for _, n in found} & set(sorted(d, key=lambda j: (round(d[j], 10), j))[:3]))
+            assert sorted(x for x, _ in found) == [1, 2, 3]
+        assert hit >= 0.9 * 3 * len(rows)
+    assert sim.find_similar(df, "id-003", k=4, w=0.0).count() == 4
+    assert sim.find_similar(df, "id-null", k=4).count() == 0
+
+
+def test_products_with_poor_buckets_are_scanned_against_all(spark):
+    df = spark.createDataFrame(vector_rows(50), VECTOR_SCHEMA)
+    out = sim.similar_for_all_lsh(df, k=7, w=0.0, bands=1, rows_per_bucket=1, block_rows=8)
+    n = {r["id"]: r["n"] for r in out.groupBy("id").count().withColumnRenamed("count", "n").collect()}
+    assert len(n) == 50 and set(n.values()) == {7}
+    few = sim.similar_for_all_lsh(df.limit(3), k=7, w=0.0)
+    assert few.count() == 6 and sim.similar_for_all_lsh(df.limit(0), k=7).count() == 0
+
+
+def test_vectors_of_another_length_fail(spark):
+    df = spark.createDataFrame(vector_rows(5) + [("z", "x", "B", "C", True, [1.0])], VECTOR_SCHEMA)
+    for scan in (sim.similar_for_all, sim.similar_for_all_lsh):
+        with pytest.raises(Exception, match="components"):
+            scan(df, k=2).collect()
+
+
+def test_lsh_codes_are_computed_once(spark):
+    df = spark.createDataFrame(vector_rows(40), VECTOR_SCHEMA)
+    out = sim.similar_for_all_lsh(df, k=2, w=0.0, rows_per_bucket=8)
+    assert "codes(" not in out._jdf.queryExecution().optimizedPlan().toString()

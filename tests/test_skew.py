@@ -155,21 +155,24 @@ def test_hot_parent_delete_rules(spark):
                                                    False: sum(r["article"] not in dead for r in all_rows)}
 
 
-def test_lsh_hot_bucket_is_scanned_exactly(spark):
+@pytest.mark.parametrize("block_rows", [32, 37, 45, 64])
+def test_hot_vector_ties_fall_to_the_smaller_id(spark, block_rows):
     # a third of the vectors are one point: they share every LSH bucket (a hot bucket)
     e = fx.table(spark, SF, "embeddings").orderBy("vec_id").collect()
     same = [float(x) for x in e[0]["embedding"]]
     rows = [(r["vec_id"], f"p{r['vec_id']}", "B", "C", True, same if i % 3 == 0 else [float(x) for x in r["embedding"]])
             for i, r in enumerate(e)]
     df = spark.createDataFrame(rows, "id long, description string, brand string, category string, is_vector boolean, vector array<float>")
-    approx = sim.similar_for_all_lsh(df, k=3, w=0.0, bands=4, bits=6, block_rows=32)
     hot_ids = sorted(r[0] for i, r in enumerate(rows) if i % 3 == 0)
-    got = defaultdict(list)
-    for r in approx.filter(F.col("id").isin(hot_ids)).orderBy("id", "rank").collect():
-        got[r["id"]].append(r["neighbor_id"])
-    for i in hot_ids:  # distance 0 to every other copy; ties by id
-        assert got[i] == [j for j in hot_ids if j != i][:3]
-    assert np.isclose(approx.filter(F.col("id").isin(hot_ids)).agg(F.max("vector_distance")).first()[0], 0.0, atol=1e-6)
+    exact = sim.similar_for_all(df, k=3, w=0.0, block_rows=block_rows, chunk_rows=20)
+    approx = sim.similar_for_all_lsh(df, k=3, w=0.0, bands=4, rows_per_bucket=16, block_rows=block_rows)
+    for out in (exact, approx):
+        got = defaultdict(list)
+        for r in out.filter(F.col("id").isin(hot_ids)).orderBy("id", "rank").collect():
+            got[r["id"]].append(r["neighbor_id"])
+        for i in hot_ids:  # distance 0 to every other copy; ties by id
+            assert got[i] == [j for j in hot_ids if j != i][:3]
+        assert out.filter(F.col("id").isin(hot_ids)).agg(F.max("vector_distance")).first()[0] == 0.0
 
 
 def test_diff_spreads_null_keys(spark):
