@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 
 def _blank(c: Column) -> Column:
-    """DAX ISBLANK on a column value: NULL (or empty text)."""
+    """DAX ISBLANK on a column value: NULL (empty text is a value)."""
     return c.isNull()
 
 

@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 
 from ..functions.names import normalize_names, quote
 
-# The product export's BI column names -> table columns, and the
-# columns that are forced to boolean by name.
+# The BI column names of the product and partner exports -> table columns,
+# and the columns that are forced to boolean by name.
 PRODUCT_MAPPING = {
     "CompanyProducts[ID]": "id",
     "CompanyProducts[Description]": "description",
@@ -21,11 +21,22 @@ PRODUCT_MAPPING = {
     "CompanyProducts[Category]": "category",
     "CompanyProducts[Withdrawn_from_range]": "withdrawn_from_range",
     "CompanyProducts[item_number]": "item_number",
-    "CompanyProducts[product_category]": "product_category",
-    "CompanyProducts[on_order]": "on_order",
-    "CompanyProducts[is_vector]": "is_vector",
-    "CompanyProducts[count_rows]": "count_rows",
     "[Product_Properties]": "product_properties",
+    "УТ_Товарные категории[_description]": "product_category",
+    "УТ_РСвДополнительныеСведения2_0[Под заказ]": "on_order",
+    "Выводится_без_остатков": "is_vector",
+    "CountRowsУТ_РСвДополнительныеСведения2_0": "count_rows",
+}
+PARTNER_MAPPING = {
+    "УТ_Партнеры[Партнер.УТ11]": "partner",
+    "УТ_Контактные лица партнеров[Контактное лицо]": "contact",
+    "УТ_Контактные лица партнеров[email]": "contact_email",
+    "УТ_Пользователи[_description]": "responsible_manager",
+    "УТ_Партнеры[id_1c]": "id_1c_partner",
+    "УТ_Партнеры[is_client]": "is_client",
+    "УТ_Партнеры[is_supplier]": "is_supplier",
+    "УТ_Контактные лица партнеров[Роль]": "role",
+    "УТ_Контактные лица партнеров[id_1c]": "id_1c_contact",
 }
 BOOLEAN_COLS = ("is_vector", "on_order", "withdrawn_from_range")
 
@@ -35,7 +46,7 @@ def map_columns(df: DataFrame, mapping: dict[str, str], extracted_at=None, ignor
 
     A source column missing from ``df`` becomes a NULL column (or is left out
     with ``ignore_absent=True``); unmapped columns are dropped; when two sources
-    map to one target the later one wins. ``extracted_at`` (a timestamp string
+    map to one target the later one wins, also with NULL if it is missing. ``extracted_at`` (a timestamp string
     or Column) is added as a literal column.
     """
     present = set(df.columns)
@@ -44,7 +55,7 @@ def map_columns(df: DataFrame, mapping: dict[str, str], extracted_at=None, ignor
         if src in present:
             chosen[tgt] = F.col(quote(src))
         elif not ignore_absent:
-            chosen.setdefault(tgt, F.lit(None).cast("string"))
+            chosen[tgt] = F.lit(None).cast("string")
     cols = [c.alias(t) for t, c in chosen.items()]
     if extracted_at is not None:
         ts = extracted_at if isinstance(extracted_at, Column) else F.lit(str(extracted_at)).cast("timestamp_ntz")
@@ -173,7 +184,8 @@ def schema_drift(rows: DataFrame, required: T.StructType | list[tuple[str, str]]
     """Per file, which columns to add and which are extra, over JSON rows.
 
     ``rows`` holds one JSON object per row in ``json_col`` and the file it came
-    from in ``file_col`` (default: the ``_metadata.file_name`` a reader adds).
+    from in ``file_col`` (default: the full path a reader adds as ``_metadata.file_path``, so
+    files of one name in two folders stay apart).
     Output rows ``(file, action, column, type)`` with action ``add`` (a required
     column no row of that file carries; special columns always carry their own
     type) or ``extra`` (a key in the file that is neither required nor special).
@@ -185,22 +197,20 @@ def schema_drift(rows: DataFrame, required: T.StructType | list[tuple[str, str]]
     else:
         req = list(required)
     req_all = req + [(k, v) for k, v in special.items() if k not in dict(req)]
-    fcol = F.col(file_col) if file_col else F.col("_metadata.file_name")
+    fcol = F.col(file_col) if file_col else F.col("_metadata.file_path")
+
+    # Rows shrink to the distinct key sets of each file before anything is exploded (rows
+    # of one file mostly share one), so the required list goes out once per key set. Partial
+    # aggregates run before each shuffle, and a file whose rows carry no key still appears.
+    found = F.sort_array(F.coalesce(F.json_object_keys(F.col(json_col)), F.array().cast("array<string>")))
+    key_sets = rows.select(fcol.alias("file"), found.alias("keys")).distinct()
 
     def mark(column: Column, typ: Column, data: bool) -> Column:
         return F.struct(column.alias("column"), typ.alias("type"), F.lit(data).alias("data"), F.lit(not data).alias("req"))
 
-    # Every row emits its JSON keys (data) and the fixed required list (req); one
-    # group by (file, column) - partial aggregation map-side, so only distinct pairs
-    # per task are shuffled - then decides: required but never seen -> add, seen but
-    # not required -> extra. One scan, no joins, and a file whose rows carry no key
-    # still appears through its required rows.
     required_marks = F.array(*[mark(F.lit(n), F.lit(t), False) for n, t in req_all])
-    data_marks = F.transform(
-        F.coalesce(F.json_object_keys(F.col(json_col)), F.array().cast("array<string>")),
-        lambda k: mark(k, F.lit(None).cast("string"), True),
-    )
-    marks = rows.select(fcol.alias("file"), F.explode(F.concat(data_marks, required_marks)).alias("m"))
+    data_marks = F.transform("keys", lambda k: mark(k, F.lit(None).cast("string"), True))
+    marks = key_sets.select("file", F.explode(F.concat(data_marks, required_marks)).alias("m"))
     per_column = marks.groupBy("file", F.col("m.column").alias("column")).agg(
         F.max("m.data").alias("seen"), F.max("m.req").alias("wanted"), F.max("m.type").alias("type")
     )

@@ -12,7 +12,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,20 +59,32 @@ def write_export(rows: DataFrame, path: str, rows_per_page: int = 50_000, mode:
 def read_export(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False) -> DataFrame:
     """Rows of ``results[0].tables[0].rows`` from every envelope under ``path``.
 
-    Raises :class:`ExportFormatError` when a level of the envelope is missing.
-    With ``schema`` (the row schema) no inference pass is made.
+    Every page is checked on its own, inside the plan: text that is not JSON
+    and an envelope without results, tables or rows (an ``{"error": ...}``
+    page, a cut-off line) fail the job. Without ``schema`` (the row schema) it
+    is inferred first, and an export in which no page has rows raises
+    :class:`ExportFormatError`.
     """
-    reader = spark.read.option("multiLine", multi_line)
-    if schema is not None:
-        env_schema = T.StructType([T.StructField("results", T.ArrayType(T.StructType([
-            T.StructField("tables", T.ArrayType(T.StructType([T.StructField("rows", T.ArrayType(schema))])))])))])
-        reader = reader.schema(env_schema)
-    env = reader.json(path)
-    try:
-        results = env.schema["results"].dataType
-        tables = results.elementType["tables"].dataType
-        tables.elementType["rows"]
-    except (KeyError, AttributeError) as exc:
-        raise ExportFormatError(f"export at {path} is not a results/tables/rows envelope") from exc
-    rows = env.select(F.explode(F.col("results")[0]["tables"][0]["rows"]).alias("r"))
-    return rows.select("r.*")
+    if schema is None:
+        inferred = spark.read.option("multiLine", multi_line).json(path).schema
+        try:
+            tables = inferred["results"].dataType.elementType["tables"].dataType
+            schema = tables.elementType["rows"].dataType.elementType
+        except (KeyError, AttributeError) as exc:
+            raise ExportFormatError(f"export at {path} is not a results/tables/rows envelope") from exc
+    table = T.StructType([T.StructField("rows", T.ArrayType(schema))])
+    envelope = T.StructType([T.StructField("results", T.ArrayType(T.StructType([T.StructField("tables", T.ArrayType(table))])))])
+    pages = spark.read.text(path, wholetext=multi_line).filter(F.trim("value") != "")
+    env = pages.select(F.from_json("value", envelope, {"mode": "FAILFAST"}).alias("e"))
+
+    def level(there: Column, value: Column, missing: str) -> Column:
+        return F.when(there, value).otherwise(F.raise_error(F.lit(f"export page without {missing}")))
+
+    results = F.col("e.results")
+    tables = level(F.size(results) > 0, F.get(results, F.lit(0))["tables"], "results")
+    rows = F.get(tables, F.lit(0))["rows"]
+    checked = env.select(level(F.size(tables) > 0, rows, "tables").alias("rows"))
+    checked = checked.select(level(F.col("rows").isNotNull(), F.col("rows"), "rows").alias("rows"))
+    # outer: an inner explode would let Spark drop pages before they are checked
+    out = checked.select(F.explode_outer("rows").alias("r"), (F.size("rows") == 0).alias("none")).filter("NOT none")
+    return out.select("r.*")
