@@ -147,8 +147,9 @@ def props(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def legacy_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Property rows as the old parser left them: a leading ``| `` on the keys of
-    every third product (except Brand), and for every sixth product an older
-    clean ``Type`` row that collides with the repaired key."""
+    every third product (except Brand), for every sixth product an older
+    clean ``Type`` row that collides with the repaired key, and for every tenth
+    one a key with a pipe inside, which is no fault."""
     p = props(spark, sf_dir)
     pid, key = F.col("product_id"), F.col("prop_key")
     piped = p.select(
@@ -161,7 +162,10 @@ def legacy_props(spark: SparkSession, sf_dir: str) -> DataFrame:
         "product_id", "prop_key", F.concat(F.col("prop_value"), F.lit(" old")).alias("prop_value"),
         ts(TARGET_LOADED_AT).alias("updated_at"),
     )
-    return piped.unionByName(older)
+    inner = p.filter((pid % 10 == 0) & (key == "Type")).select(
+        "product_id", F.lit("Width|Height").alias("prop_key"), F.lit("1|2").alias("prop_value"), ts(TARGET_LOADED_AT).alias("updated_at"),
+    )
+    return piped.unionByName(older).unionByName(inner)
 
 
 def old_props(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,7 +221,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("role") == "user", "email_received").when(F.col("role") == "assistant", "email_sent")
         .otherwise(F.col("role")).alias("message_type"),
         F.col("text").alias("body"),
-        F.substring("text", 1, 80).alias("subject"),
+        F.col("text").alias("subject"),
     )
 
 
@@ -297,7 +301,9 @@ legacy_props AS (
          prop_value, TIMESTAMP '{TARGET_LOADED_AT}' AS updated_at FROM props
   UNION ALL
   SELECT product_id, prop_key, concat(prop_value, ' old'), TIMESTAMP '{TARGET_LOADED_AT}' FROM props
-  WHERE product_id % 6 = 0 AND prop_key = 'Type')""",
+  WHERE product_id % 6 = 0 AND prop_key = 'Type'
+  UNION ALL
+  SELECT product_id, 'Width|Height', '1|2', TIMESTAMP '{TARGET_LOADED_AT}' FROM props WHERE product_id % 10 = 0 AND prop_key = 'Type')""",
     "old_props": f"""
 old_props AS (
   SELECT product_id, prop_key,
@@ -324,7 +330,7 @@ messages AS (
   SELECT concat(CAST(conv_id AS VARCHAR), '-', CAST(turn AS VARCHAR)) AS message_id, CAST(conv_id AS VARCHAR) AS thread_id,
          CASE WHEN role = 'user' THEN 'inbound' ELSE 'outbound' END AS direction,
          CASE WHEN role = 'user' THEN 'email_received' WHEN role = 'assistant' THEN 'email_sent' ELSE role END AS message_type,
-         text AS body, substr(text, 1, 80) AS subject
+         text AS body, text AS subject
   FROM conversations)""",
 })
 

@@ -89,15 +89,25 @@ def summarize(df: DataFrame, keys: list[str], measures: dict[str, Column] | None
     return out
 
 
-def concat_ordered(df: DataFrame, key: str, name: str, value: str, order: str, limit: int | None = 1000,
+def at_most_per_key(rows: DataFrame, key: str, most: int, what: str) -> DataFrame:
+    """``rows``, failing the job if a key has more than ``most`` of them: bounds what a
+    later collect gathers for one key without dropping anything."""
+    n = F.row_number().over(Window.partitionBy(key).orderBy(F.lit(0)))
+    check = F.assert_true(F.col("__n") <= most, F.lit(f"more than {most} {what} for one {key}"))
+    return rows.withColumn("__n", n).filter(check.isNull()).drop("__n")
+
+
+def concat_ordered(df: DataFrame, key: str, name: str, value: str, order: str, limit: int | None = None,
                    sep: str = " | ", pair_sep: str = ": ", top_desc: bool = True, concat_desc: bool = False,
-                   tie_break: str | None = None, out_col: str = "properties") -> DataFrame:
+                   tie_break: str | None = None, out_col: str = "properties", max_items: int | None = None) -> DataFrame:
     """Per ``key``: ``name: value`` joined by ``sep`` in ``order`` order.
 
-    The rows concatenated are the ``limit`` top rows by ``order`` (descending
-    when ``top_desc``), ties at the cut kept (``rank``). The per-key cap runs as
-    a window group limit, partial before the shuffle, so a hot key is cut down
-    map-side. A NULL value concatenates as empty text.
+    All rows of a key are concatenated, or with ``limit`` (a TOPN) the top
+    ones by ``order`` (descending when ``top_desc``), ties at the cut kept
+    (``rank``). The TOPN runs as a window group limit, partial before the
+    shuffle, so a hot key is cut down map-side. A key's text is one value by
+    nature; ``max_items`` fails the job where a key would gather more (see
+    :func:`at_most_per_key`). A NULL value concatenates as empty text.
     """
     tie = tie_break or name
     item = F.concat(F.col(name), F.lit(pair_sep), F.coalesce(F.col(value), F.lit("")))
@@ -105,6 +115,8 @@ def concat_ordered(df: DataFrame, key: str, name: str, value: str, order: str, l
     if limit is not None:
         o = F.col(order).desc() if top_desc else F.col(order).asc()
         rows = rows.withColumn("__r", F.rank().over(Window.partitionBy(key).orderBy(o))).filter(F.col("__r") <= limit)
+    if max_items is not None:
+        rows = at_most_per_key(rows, key, max_items, "items")
     # sort key packed with the text so array_sort orders by (order, tie) and transform takes the text
     packed = F.struct((-F.col(order) if concat_desc else F.col(order)).alias("o"), F.col(tie).alias("t"), item.alias("v"))
     return rows.groupBy(key).agg(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import strip_ws, trim_ws
 from . import sync
+from .aggregate import at_most_per_key
 
 # Fixed value: the documented pattern for "key: value | key: value" text.
 PROPERTY_PATTERN = r"(?:^|\|\s*)([^:|]+):\s*([^|]*?)(?=\s*\||$)"
@@ -87,8 +88,10 @@ def repair_property_keys(props: DataFrame, now, stamp_col: str = "updated_at") -
     """Keys starting with ``|``: remove every ``|``, trim, stamp ``stamp_col``.
 
     A repaired key may collide with an existing (product_id, key): the row with
-    the latest ``stamp_col`` wins (the repaired one, stamped ``now``).
-    Returns (repaired table, one-row stats: found, fixed, remaining).
+    the latest ``stamp_col`` wins (the repaired one, stamped ``now``). A key of
+    pipes only becomes an empty key and its row stays. Returns (repaired
+    table, one-row stats: found, fixed, and remaining, the keys that still
+    start with a pipe after the repair; pipes inside a key are no fault).
     """
     now_c = F.lit(str(now)).cast("timestamp_ntz")
     bad = F.col("prop_key").startswith("|")
@@ -106,7 +109,7 @@ def repair_property_keys(props: DataFrame, now, stamp_col: str = "updated_at") -
     stats = fixed.agg(
         F.count_if(F.col("__bad")).alias("found"),
         F.count_if(F.col("__bad")).alias("fixed"),
-        F.count_if(F.col("prop_key").contains("|")).alias("remaining"),
+        F.count_if(F.col("prop_key").startswith("|")).alias("remaining"),
     )
     return table, stats
 
@@ -151,10 +154,19 @@ def search_by_properties(products: DataFrame, props: DataFrame, filters: dict[st
     return out
 
 
-def property_map(props: DataFrame) -> DataFrame:
-    """All properties of each product as ``map<string,string>`` (keys sorted)."""
+def property_map(props: DataFrame, order_col: str | None = None, max_items: int | None = None) -> DataFrame:
+    """All properties of each product as ``map<string,string>`` (keys sorted).
+
+    A key that repeats for a product keeps its last value by ``order_col``
+    (without one the greatest value), chosen by a partial aggregate before the
+    map is built. ``max_items`` fails the job where a product has more keys.
+    """
+    last = F.max_by("prop_value", F.struct(order_col, "prop_value")) if order_col else F.max("prop_value")
+    single = props.groupBy("product_id", "prop_key").agg(last.alias("prop_value"))
+    if max_items is not None:
+        single = at_most_per_key(single, "product_id", max_items, "properties")
     entries = F.array_sort(F.collect_list(F.struct("prop_key", "prop_value")))
-    return props.groupBy("product_id").agg(F.map_from_entries(entries).alias("properties"))
+    return single.groupBy("product_id").agg(F.map_from_entries(entries).alias("properties"))
 
 
 def with_property_map(products: DataFrame, props: DataFrame, id_col: str = "id") -> DataFrame:
@@ -163,12 +175,18 @@ def with_property_map(products: DataFrame, props: DataFrame, id_col: str = "id")
 
 
 def property_stats(props: DataFrame) -> DataFrame:
-    """total properties, products with properties, distinct keys."""
-    return props.agg(
-        F.count(F.lit(1)).alias("total_properties"),
-        F.count_distinct("product_id").alias("products_with_properties"),
-        F.count_distinct("prop_key").alias("unique_keys"),
-    )
+    """total properties, products with properties, distinct keys.
+
+    Rows are counted per product and per key with partial aggregation, then
+    the small counts are added up (two distinct counts at once would copy
+    every row three times).
+    """
+    per_product = props.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
+    per_key = props.groupBy("prop_key").agg(F.count(F.lit(1)).alias("n"))
+    none = F.lit(None).cast("long")
+    totals = per_product.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("a"), F.count("product_id").alias("b"), none.alias("c"))
+    totals = totals.unionByName(per_key.agg(none.alias("a"), none.alias("b"), F.count("prop_key").alias("c")))
+    return totals.agg(F.max("a").alias("total_properties"), F.max("b").alias("products_with_properties"), F.max("c").alias("unique_keys"))
 
 
 def property_run_stats(snapshot: DataFrame, text_col: str = "product_properties") -> DataFrame:

@@ -13,10 +13,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# The change columns the live flow ends up using (business columns of
-# the export), and the technical columns that never take part in change detection.
+# The change columns the live flow ends up using (business columns of the export).
 DEFAULT_CHANGE_COLS = ("description", "brand", "category", "withdrawn_from_range")
-TECHNICAL_COLS = ("id", "item_number", "is_vector", "upload_timestamp", "updated_at", "vector")
+
+# How keys are compared: as they are, or as UUIDs are (text, whatever its case, blanks around it ignored).
+KEY_EXACT, KEY_UUID = "exact", "uuid"
 
 ACTION_INSERT = "insert"
 ACTION_UPDATE = "update"  # matched, business columns changed
@@ -82,6 +83,7 @@ def upsert(
     reject_null_keys: bool = True,
     with_action: bool = False,
     partitions: int | None = None,
+    key_rule: str = KEY_EXACT,
 ) -> DataFrame:
     """MERGE ``source`` into ``target`` on ``keys`` as one full-outer join.
 
@@ -101,12 +103,18 @@ def upsert(
     stored with :func:`~catalog_sync.sources.files.write_bucketed_version`:
     the target is then joined without a shuffle and the source is shuffled
     once for both the duplicate check and the join.
+
+    ``key_rule="uuid"`` compares keys as lower-case trimmed text and writes
+    them so, on both sides (see :func:`key_expr`).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     t_names, s_names = set(target.columns), set(source.columns)
     for k in keys:
         if k not in t_names or k not in s_names:
             raise ValueError(f"key column {k!r} must exist in target and source")
+    if key_rule != KEY_EXACT:
+        target = target.withColumns({k: key_expr(k, key_rule) for k in keys})
+        source = source.withColumns({k: key_expr(k, key_rule) for k in keys})
     src = source.drop(flag_col) if flag_col and flag_col in s_names else source
     if on_duplicate != "last" and order_col and order_col in src.columns:
         src = src.drop(order_col)
@@ -198,34 +206,37 @@ def merge_stats(merged_with_action: DataFrame) -> DataFrame:
     )
 
 
-def _key_col(df: DataFrame, key: str, as_string: bool) -> Column:
-    c = F.col(key)
-    return F.lower(F.trim(c.cast("string"))) if as_string else c
+def key_expr(key: str, rule: str) -> Column:
+    """The key as it is compared: ``exact`` as it is, ``uuid`` as lower-case trimmed text."""
+    if rule not in (KEY_EXACT, KEY_UUID):
+        raise ValueError(f"unknown key rule {rule!r}")
+    return F.lower(F.trim(F.col(key).cast("string"))) if rule == KEY_UUID else F.col(key)
 
 
-def _keys_pair(target: DataFrame, source: DataFrame, key: str, as_string: bool | None):
+def _rule(target: DataFrame, source: DataFrame, key: str, rule: str | None) -> str:
+    """The rule asked for; without one keys of different types are compared as text."""
     if key not in target.columns:
         raise ValueError(f"key column {key!r} not in target")
     if key not in source.columns:
-        raise ValueError(f"Required key column {key!r} not found in data")
-    if as_string is None:
-        as_string = dict(target.dtypes)[key] != dict(source.dtypes)[key]
-    tk = target.select(_key_col(target, key, as_string).alias("__k"))
-    sk = source.select(_key_col(source, key, as_string).alias("__k")).filter(F.col("__k").isNotNull())
-    return tk, sk, as_string
+        raise ValueError(f"key column {key!r} not in the snapshot")
+    return rule or (KEY_EXACT if dict(target.dtypes)[key] == dict(source.dtypes)[key] else KEY_UUID)
+
+
+def _keys_pair(target: DataFrame, source: DataFrame, key: str, rule: str):
+    tk = target.select(key_expr(key, rule).alias("__k"))
+    sk = source.select(key_expr(key, rule).alias("__k")).filter(F.col("__k").isNotNull())
+    return tk, sk
 
 
-def find_orphans(target: DataFrame, source: DataFrame, key: str = "id", as_string: bool | None = None) -> DataFrame:
+def find_orphans(target: DataFrame, source: DataFrame, key: str = "id", key_rule: str | None = None) -> DataFrame:
     """Target rows whose key is absent from the new snapshot (NULL keys on either side
     are never orphans, as ``DELETE ... WHERE key IN (...)`` never hits them).
 
-    Keys are compared natively when both sides have the same type, else as
-    ``lower(trim(cast(key as string)))`` (UUID text from any source).
+    ``key_rule`` as in :func:`key_expr`; without one, keys of the same type are compared as they are.
     """
-    if as_string is None:
-        as_string = dict(target.dtypes)[key] != dict(source.dtypes)[key]
-    _, sk, _ = _keys_pair(target, source, key, as_string)
-    tk = target.withColumn("__k", _key_col(target, key, as_string)).filter(F.col("__k").isNotNull())
+    rule = _rule(target, source, key, key_rule)
+    _, sk = _keys_pair(target, source, key, rule)
+    tk = target.withColumn("__k", key_expr(key, rule)).filter(F.col("__k").isNotNull())
     return tk.join(sk.distinct(), "__k", "left_anti").drop("__k")
 
 
@@ -237,17 +248,20 @@ class CleanupResult:
     deleted: int
 
 
-def cleanup_stats(target: DataFrame, source: DataFrame, key: str = "id", as_string: bool | None = None) -> DataFrame:
-    """existing / new / common / orphan key counts in one pass (distinct keys, one full-outer join)."""
-    tk, sk, _ = _keys_pair(target, source, key, as_string)
-    t = tk.filter(F.col("__k").isNotNull()).distinct().withColumn("__t", F.lit(True))
+def cleanup_stats(target: DataFrame, source: DataFrame, key: str = "id", key_rule: str | None = None) -> DataFrame:
+    """existing / new / common / orphan key counts in one pass (distinct keys, one full-outer join),
+    and ``unkeyed``, the target rows without a key."""
+    tk, sk = _keys_pair(target, source, key, _rule(target, source, key, key_rule))
+    t = tk.groupBy("__k").agg(F.count(F.lit(1)).alias("__t"))
     s = sk.distinct().withColumn("__s", F.lit(True))
     j = t.join(s, "__k", "full_outer")
+    in_t, in_s = F.col("__t").isNotNull() & F.col("__k").isNotNull(), F.col("__s").isNotNull()
     return j.agg(
-        F.count_if(F.col("__t").isNotNull()).alias("total_existing"),
-        F.count_if(F.col("__s").isNotNull()).alias("total_new"),
-        F.count_if(F.col("__t").isNotNull() & F.col("__s").isNotNull()).alias("common"),
-        F.count_if(F.col("__t").isNotNull() & F.col("__s").isNull()).alias("orphans"),
+        F.count_if(in_t).alias("total_existing"),
+        F.count_if(in_s).alias("total_new"),
+        F.count_if(in_t & in_s).alias("common"),
+        F.count_if(in_t & ~in_s).alias("orphans"),
+        F.coalesce(F.sum(F.when(F.col("__k").isNull(), F.col("__t"))), F.lit(0)).alias("unkeyed"),
     )
 
 
@@ -257,7 +271,7 @@ def cleanup_orphans(
     key: str = "id",
     min_overlap: float = 0.1,
     max_orphan_share: float = 0.9,
-    as_string: bool | None = None,
+    key_rule: str | None = None,
 ) -> CleanupResult:
     """Delete target rows missing from the snapshot unless the guard trips.
 
@@ -269,32 +283,30 @@ def cleanup_orphans(
     spark = target.sparkSession
     if source is None or key not in source.columns:
         if source is not None and len(source.columns) > 0:
-            raise ValueError(f"Required key column {key!r} not found in data")
+            raise ValueError(f"key column {key!r} not in the snapshot")
         stats = spark.createDataFrame(
-            [(None, None, 0, "failed", "snapshot has no key column")],
+            [(None, None, 0, "failed", "empty snapshot")],
             "total_existing long, total_new long, deleted_records long, status string, message string",
         )
         return CleanupResult(target, stats, "failed", 0)
-    if as_string is None:
-        as_string = dict(target.dtypes)[key] != dict(source.dtypes)[key]
-    counts = cleanup_stats(target, source, key, as_string)
-    row = counts.first()
+    rule = _rule(target, source, key, key_rule)
+    row = cleanup_stats(target, source, key, rule).first()
     existing, new, common, orphans = row["total_existing"], row["total_new"], row["common"], row["orphans"]
     guard = existing > 0 and orphans > max_orphan_share * existing and common < min_overlap * existing
     if guard:
         status, deleted, table = "error", 0, target
-        msg = f"Cleanup cancelled: only {common} common IDs found, possible key column mismatch"
+        msg = guard_text(common, existing)
     elif orphans == 0:
         status, deleted, table = "success", 0, target
-        msg = "No orphaned records found"
+        msg = "nothing to delete"
     else:
-        _, sk, _ = _keys_pair(target, source, key, as_string)
-        keyed = target.withColumn("__k", _key_col(target, key, as_string))
+        _, sk = _keys_pair(target, source, key, rule)
+        keyed = target.withColumn("__k", key_expr(key, rule))
         hits = sk.distinct().withColumn("__hit", F.lit(True))
         # keep matched rows and NULL-key rows (never orphans); AQE can split a hot left side
         table = keyed.join(hits, "__k", "left").filter(F.col("__hit").isNotNull() | F.col("__k").isNull()).drop("__k", "__hit")
         status, deleted = "success", orphans
-        msg = f"Successfully deleted {orphans} orphaned records"
+        msg = f"{orphans} keys gone from the snapshot"
     stats = spark.createDataFrame(
         [(existing, new, common, orphans, deleted, existing - deleted, status, msg)],
         "total_existing long, total_new long, common long, orphans long, deleted_records long, final_count long, status string, message string",
@@ -302,38 +314,46 @@ def cleanup_orphans(
     return CleanupResult(table, stats, status, deleted)
 
 
-def cleanup_after_upsert(merged_with_action: DataFrame, min_overlap: float = 0.1,
-                         max_orphan_share: float = 0.9, keys: list[str] | str = "id") -> CleanupResult:
-    """Orphan cleanup fused with the preceding upsert (no second join).
+def guard_text(common: int, existing: int) -> str:
+    return f"guard: snapshot shares {common} of {existing} keys"
+
+
+def cleanup_after_upsert(merged_with_action: DataFrame, min_overlap: float = 0.1, max_orphan_share: float = 0.9,
+                         keys: list[str] | str = "id", counts=None) -> CleanupResult:
+    """Orphan cleanup fused with the preceding upsert: a filter of the same plan, no second join.
 
     After ``upsert(target, source, with_action=True)`` every key is in the
     table, so existing = all keyed rows, new = common = source rows and
     orphans = untouched keyed rows (a NULL-key target row matches nothing and
     is never deleted, as in the standalone cleanup). The guard is decided from
-    one aggregate; the kept table is a filter of the same plan. Checkpoint the
-    merged plan first when it is expensive to recompute.
+    one aggregate. ``counts``, a row of :func:`cleanup_stats` (a scan of the two key
+    columns), spares the aggregate over the whole merged plan: the deleted
+    rows are then decided before the table is written, once.
     """
     spark = merged_with_action.sparkSession
     keys = [keys] if isinstance(keys, str) else list(keys)
     has_key = _all([F.col(k).isNotNull() for k in keys])
     a = F.col("_action")
     orphan = (a == ACTION_KEEP) & has_key  # a NULL-key target row is never an orphan
-    row = merged_with_action.agg(
-        F.count(F.lit(1)).alias("total"), F.count_if(has_key).alias("existing"),
-        F.count_if(a != ACTION_KEEP).alias("common"), F.count_if(orphan).alias("orphans"),
-    ).first()
-    total, existing, common, orphans = row["total"], row["existing"], row["common"], row["orphans"]
+    if counts is None:
+        row = merged_with_action.agg(
+            F.count_if(has_key).alias("existing"), F.count_if(a != ACTION_KEEP).alias("common"), F.count_if(orphan).alias("orphans"),
+            F.count_if(~has_key).alias("unkeyed"),
+        ).first()
+        existing, common, orphans, unkeyed = row["existing"], row["common"], row["orphans"], row["unkeyed"]
+    else:
+        common, orphans, unkeyed = counts["total_new"], counts["orphans"], counts["unkeyed"]
+        existing = common + orphans
     table = merged_with_action.drop("_action")
     if existing > 0 and orphans > max_orphan_share * existing and common < min_overlap * existing:
-        status, deleted = "error", 0
-        msg = f"Cleanup cancelled: only {common} common IDs found, possible key column mismatch"
+        status, deleted, msg = "error", 0, guard_text(common, existing)
     elif orphans == 0:
-        status, deleted, msg = "success", 0, "No orphaned records found"
+        status, deleted, msg = "success", 0, "nothing to delete"
     else:
         table = merged_with_action.filter(~orphan).drop("_action")
-        status, deleted, msg = "success", orphans, f"Successfully deleted {orphans} orphaned records"
+        status, deleted, msg = "success", orphans, f"{orphans} keys gone from the snapshot"
     stats = spark.createDataFrame(
-        [(existing, common, common, orphans, deleted, total - deleted, status, msg)],
+        [(existing, common, common, orphans, deleted, existing + unkeyed - deleted, status, msg)],
         "total_existing long, total_new long, common long, orphans long, deleted_records long, final_count long, status string, message string",
     )
     return CleanupResult(table, stats, status, deleted)

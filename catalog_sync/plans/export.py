@@ -7,21 +7,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.aggregate import concat_ordered
+from ..operators.filters import lookup_item
 from ..operators.topn import ties_cut
 
 EXPORT_COLS = ("id", "description", "brand", "category", "withdrawn_from_range", "item_number")
 
 
 def product_export(products: DataFrame, characteristics: DataFrame, article_col: str = "item_number",
-                   top: int | None = 15000, props_limit: int = 1000, drop_blank: bool = True) -> DataFrame:
+                   top: int | None = None, props_limit: int | None = None, drop_blank: bool = True) -> DataFrame:
     """``products`` left-joined to ``Product_Properties`` text built per article.
 
     The per-product lookup is decorrelated: characteristics are grouped by
     article once and joined (no per-product query). With ``drop_blank`` a product
     without characteristics drops out, as a group whose measures are all blank
-    does. ``top`` keeps the N highest ids, ties included.
+    does. ``top`` (a TOPN the caller asks for; a sync passes none) keeps the N
+    highest ids, ties included; ``props_limit`` the top characteristics of a product.
 
-    Plan order: a product's text is blank exactly when its article has no
+    Plan order with ``top``: a product's text is blank exactly when its article has no
     characteristic row (``props_limit >= 1`` keeps at least one row of every
     group). So the top-N cut is found on products semi-joined to the distinct
     articles, before any text is built, and becomes a literal id filter pushed
@@ -47,11 +49,23 @@ def product_export(products: DataFrame, characteristics: DataFrame, article_col:
     return out.select(*EXPORT_COLS, "product_properties")
 
 
+def export_lookup(products: DataFrame, characteristics: DataFrame, item_number: str, article_col: str = "item_number") -> DataFrame:
+    """The item lookup over the grouped export: a product's keys with its property text.
+
+    Both sides are cut to the one item before the text is built, so the
+    equality reaches both scans. A product without text is a blank group and drops out.
+    """
+    one = lookup_item(products.select(*EXPORT_COLS), article_col, item_number)
+    return product_export(one, lookup_item(characteristics, "article", item_number), article_col).drop("withdrawn_from_range")
+
+
 def as_bi_rows(export: DataFrame, table: str = "CompanyProducts") -> DataFrame:
     """Rename export columns to BI result names (``Table[Column]``, ``[Measure]``)."""
     names = {
         "id": f"{table}[ID]", "description": f"{table}[Description]", "brand": f"{table}[Brand]",
         "category": f"{table}[Category]", "withdrawn_from_range": f"{table}[Withdrawn_from_range]",
         "item_number": f"{table}[item_number]", "product_properties": "[Product_Properties]",
+        # Columns that come from related tables
+        "product_category": "УТ_Товарные категории[_description]", "on_order": "УТ_РСвДополнительныеСведения2_0[Под заказ]",
     }
     return export.select(*[F.col(c).alias(names.get(c, c)) for c in export.columns])

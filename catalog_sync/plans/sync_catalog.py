@@ -31,33 +31,40 @@ class SyncRun:
 
 def sync_catalog(target: DataFrame, export_rows: DataFrame, now, mapping: dict[str, str] | None = None,
                  types: dict[str, str] | None = None, key: str = "id", change_cols=None,
-                 ignore_absent: bool = False, min_overlap: float = 0.1, checkpoint: bool = True,
-                 partitions: int | None = None) -> SyncRun:
+                 ignore_absent: bool = False, min_overlap: float = 0.1, checkpoint: bool = False,
+                 partitions: int | None = None, key_rule: str | None = None) -> SyncRun:
     """extract -> map -> cast -> upsert -> validate -> cleanup as one lazy job.
 
-    The upsert is the only join: merge statistics, the cleanup guard and the
-    cleaned table all derive from its action column. With ``checkpoint=True``
-    (default) the merged table is written once as Parquet to the shared
-    checkpoint folder (``spark.checkpoint.dir``) and everything after reads
-    that copy, so the join is not recomputed per action and a lost executor
-    re-reads files instead of re-running the shuffle. ``partitions``: the
-    bucket count of a bucketed target (see :func:`sync.upsert`).
+    The guard is decided from the two key columns alone, before anything is
+    written; the returned table is one plan (the upsert's join and a filter
+    for the deleted rows), so a caller that writes it as the new version
+    writes the rows once. Statistics and validation are aggregates over the
+    same plan, pruned to the columns they need. ``checkpoint=True`` writes
+    the merged table once to ``spark.checkpoint.dir`` and reads all from that copy instead: for
+    an export that is costly to compute. ``partitions``: the bucket count of
+    a bucketed target (see :func:`sync.upsert`). ``key_rule``: see
+    :func:`sync.key_expr`; text keys are compared as UUIDs unless told otherwise.
     """
     mapping = mapping or schema.PRODUCT_MAPPING
     mapped = schema.map_columns(export_rows, mapping, extracted_at=now, ignore_absent=ignore_absent)
     typed = schema.cast_columns(mapped, types or {"count_rows": "int"})
-    merged = sync.upsert(target, typed, key, change_cols=change_cols, now=now, with_action=True, partitions=partitions)
-    scratch = None
+    if key_rule is None:
+        key_rule = sync.KEY_UUID if dict(target.dtypes)[key] == "string" else sync.KEY_EXACT
+    merged = sync.upsert(target, typed, key, change_cols=change_cols, now=now, with_action=True, partitions=partitions, key_rule=key_rule)
+    scratch = counts = None
     if checkpoint:
         merged, scratch = materialize_at(merged, "sync-merged")
+    else:
+        counts = sync.cleanup_stats(target, typed.withColumn(key, F.col(key).cast(dict(target.dtypes)[key])), key, key_rule).first()
     stats = sync.merge_stats(merged)
-    table = merged.drop("_action")
-    validation = sync.validate_load(aggregate.profile_completeness(table), "A")
-    cleaned = sync.cleanup_after_upsert(merged, min_overlap=min_overlap, keys=key)
+    validation = sync.validate_load(aggregate.profile_completeness(merged.drop("_action")), "A")
+    cleaned = sync.cleanup_after_upsert(merged, min_overlap=min_overlap, keys=key, counts=counts)
+    loaded = F.col("source_rows") > 0
     ops = stats.select(
         F.lit("export").alias("source"), F.lit("catalog").alias("target"),
         F.col("source_rows").alias("total_rows"), F.col("source_rows").alias("processed_rows"),
-        F.col("updated_rows"), F.lit("success").alias("status"), F.lit(None).cast("string").alias("error"),
+        F.col("updated_rows"), F.when(loaded, F.lit("success")).otherwise(F.lit("failed")).alias("status"),
+        F.when(~loaded, F.lit("empty export")).alias("error"),
     ).unionByName(
         cleaned.stats.select(
             F.lit("catalog").alias("source"), F.lit("catalog").alias("target"),

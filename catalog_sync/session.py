@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -37,13 +38,17 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "cat
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is. Only when it is unset (local tests) a scratch folder is created.
+    ``spark.checkpoint.dir`` points at shared storage and is used as is. Where
+    it is unset this raises: a folder of one machine is of no use to the
+    others. Only a single-process session (``local[...]``, as in tests and the
+    bench) gets a scratch folder of its own.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="catalog-sync-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -51,10 +56,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for written tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh sub-folder of the shared checkpoint folder for written tables.
+
+    It is deleted by :func:`release_scratch`, at the latest when the driver's Python ends.
+    """
+    path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    _SCRATCH.append((spark, path))
+    return path
+
+
+def release_scratch() -> None:
+    """Delete all scratch folders so far; the results that read them must have been used."""
+    while _SCRATCH:
+        spark, path = _SCRATCH.pop()
+        if spark.sparkContext._jsc is not None:  # else the session has ended before
+            release(spark, path)
+
+
+atexit.register(release_scratch)
 
 
 def materialize_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
@@ -71,11 +94,6 @@ def materialize_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.parquet(path), path
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """:func:`materialize_at` without the path."""
-    return materialize_at(df, name)[0]
-
-
 def release(spark: SparkSession, path: str) -> None:
     """Delete a copy made by :func:`materialize_at` once nothing reads it any more,
     so a recurring job does not pile up copies in the shared folder."""

@@ -57,7 +57,7 @@ def test_export_cut_before_text_equals_naive_order(spark):
 
 def test_sync_cuts_lineage_into_the_checkpoint_folder(spark):
     export = product_export(fx.catalog(spark, SF).filter(F.col("id") % 7 != 0), fx.characteristics(spark, SF), top=None)
-    run = sync_catalog(fx.cat_target(spark, SF), as_bi_rows(export), now=fx.NOW)
+    run = sync_catalog(fx.cat_target(spark, SF), as_bi_rows(export), now=fx.NOW, checkpoint=True)
     plan = run.table._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and "Aggregate" not in plan  # reads the written copy, not the upsert
     assert spark.conf.get("spark.checkpoint.dir") in run.table.inputFiles()[0]
@@ -70,7 +70,7 @@ def test_sync_run_releases_its_copy_after_the_write(spark):
     from catalog_sync.sources import files as fs
 
     export = product_export(fx.catalog(spark, SF).filter(F.col("id") % 7 != 0), fx.characteristics(spark, SF), top=None)
-    run = sync_catalog(fx.cat_target(spark, SF), as_bi_rows(export), now=fx.NOW)
+    run = sync_catalog(fx.cat_target(spark, SF), as_bi_rows(export), now=fx.NOW, checkpoint=True)
     copy = run.scratch
     assert copy and os.path.isdir(copy)
     base = scratch_path(spark, "t-released")

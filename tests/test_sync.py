@@ -99,7 +99,7 @@ def test_cleanup_empty_snapshot_and_missing_key(spark):
 def test_orphans_compare_as_strings_and_ignore_null(spark):
     tgt = spark.createDataFrame([("ABC",), ("def",)], "id string")
     src = spark.createDataFrame([(" abc ",), (None,)], "id string")
-    assert [r[0] for r in sync.find_orphans(tgt, src, "id", as_string=True).collect()] == ["def"]
+    assert [r[0] for r in sync.find_orphans(tgt, src, "id", key_rule="uuid").collect()] == ["def"]
 
 
 def test_validate_rules(spark):
