@@ -62,6 +62,42 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.concat_ws(",", "rejected_by").alias("rejected_by"))
 
 
+def _op6_sql(alpha: float = 0.05, delta: float = 0.05) -> str:
+    """The rules in SQL: windows and labels as rows, the binomial tail as a sum of its terms."""
+    rules = quality_rules.RULES
+    tests = ", ".join(f"('{r.name}', {i}, {c}::DOUBLE)" for r in rules for i, c in enumerate(r.cutoffs))
+    ratio = lambda r: "{}::DOUBLE / nullif({}, 0)".format(*r.value.split(" / "))
+    values = " UNION ALL ".join(f"SELECT doc_id, '{r.name}' AS rule, {ratio(r)} * {1 if r.above else -1} AS v, {1 if r.above else -1} AS side FROM f" for r in rules)
+    per_rule = alpha / len(rules)
+    return rf"""
+WITH w AS (SELECT doc_id, lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+u AS (SELECT doc_id, i, array_to_string(ws[i:i + 4], ' ') AS win FROM w, unnest(range(1, len(ws) - 3)) AS g(i)),
+again AS (SELECT doc_id, win FROM u GROUP BY ALL HAVING count(*) > 1),
+cover AS (SELECT u.doc_id, count(DISTINCT u.i + k) AS n FROM u JOIN again USING (doc_id, win), unnest(range(0, 5)) AS h(k) GROUP BY u.doc_id),
+lines AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT x) AS n_dup_lines
+          FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM w) WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+f AS (SELECT w.doc_id, w.lang, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
+             len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+             coalesce(cover.n, 0)::BIGINT AS n_repeat_words, n_lines
+      FROM w LEFT JOIN lines USING (doc_id) LEFT JOIN cover USING (doc_id)),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM f),
+v AS ({values}),
+lab AS (SELECT doc_id, min(quality) = 1 AS good FROM labels WHERE quality IN (0, 1) AND doc_id IS NOT NULL GROUP BY doc_id HAVING min(quality) = max(quality)),
+held AS (SELECT b.doc_id, b.lang, lab.good FROM b JOIN lab USING (doc_id) WHERE NOT base_failed),
+strata AS (SELECT lang, count(*) FILTER (good) AS n_good FROM held GROUP BY lang),
+hits AS (SELECT s.lang, s.n_good, c.rule, c.i, c.cutoff, count(*) FILTER (x.good) AS r, count(*) FILTER (NOT x.good) AS bad
+         FROM strata s CROSS JOIN (VALUES {tests}) AS c(rule, i, cutoff)
+         LEFT JOIN (held JOIN v USING (doc_id)) AS x ON x.lang IS NOT DISTINCT FROM s.lang AND x.rule = c.rule AND x.v > c.cutoff * x.side GROUP BY ALL),
+p AS (SELECT *, r < n_good * {per_rule!r} AND (SELECT sum(exp(lgamma(n_good + 1) - lgamma(k + 1) - lgamma(n_good - k + 1) + k * ln({per_rule!r}) + (n_good - k) * ln(1 - {per_rule!r})))
+                FROM unnest(range(0, r + 1)) AS z(k)) <= {delta!r} / ({len(rules)} * (SELECT count(*) FROM strata)) AS ok FROM hits),
+proven AS (SELECT *, bool_and(ok) OVER (PARTITION BY lang, rule ORDER BY i) AS all_ok FROM p),
+cut AS (SELECT lang, rule, cutoff FROM proven WHERE all_ok AND bad > 0 QUALIFY row_number() OVER (PARTITION BY lang, rule ORDER BY bad DESC, i) = 1),
+gone AS (SELECT b.doc_id, list(v.rule) AS rules FROM b JOIN v USING (doc_id) JOIN cut ON cut.lang IS NOT DISTINCT FROM b.lang AND cut.rule = v.rule AND v.v > cut.cutoff * v.side GROUP BY b.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND gone.rules IS NULL AS kept,
+  concat_ws(',', CASE WHEN base_failed THEN 'base' END, {", ".join(f"CASE WHEN list_contains(gone.rules, '{r.name}') THEN '{r.name}' END" for r in rules)}) AS rejected_by
+FROM b LEFT JOIN gone USING (doc_id)"""
+
+
 def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return importance.resample(docs, _table(spark, sf_dir, "labels"), Scratch(spark, "op7")).select("doc_id", "log_weight", "gumbel_score", "kept")
@@ -145,4 +181,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_chat_formatting)
 }
 
-ORACLE_SQL: dict[str, str] = {"op9_warc": OP9_SQL, "op8_poisson_mixing": OP8_SQL, "op10_chat_formatting": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_quality_rules": _op6_sql(), "op9_warc": OP9_SQL, "op8_poisson_mixing": OP8_SQL, "op10_chat_formatting": OP10_SQL}
