@@ -17,7 +17,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from catalog_sync.plans import registered  # noqa: E402
-from catalog_sync.session import local_session  # noqa: E402
+from catalog_sync.session import local_session, release_scratch  # noqa: E402
 
 HEADLINE = [
     "upsert_with_change_detection",
@@ -37,7 +37,9 @@ def run_once(spark, name: str, sf_dir: str) -> float:
     t0 = time.perf_counter()
     df = registered.QUERIES[name](spark, sf_dir)
     df.write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - t0
+    seconds = time.perf_counter() - t0
+    release_scratch()
+    return seconds
 
 
 def main() -> None:

@@ -48,14 +48,13 @@ def dedupe_source(source: DataFrame, keys: list[str], on_duplicate: str = "error
     Both are windows over the key whose exchange and sort are the ones the
     following sort-merge join on the same key needs, so with unique keys (the
     normal case) the check costs no shuffle, no sort and no extra scan. A
-    separate key-only aggregate would shuffle every key a second time. A hot
-    duplicated key only occurs when ``error`` fails the run anyway; under
-    ``last`` the ``row_number() = 1`` window group limit also runs before the
-    shuffle, cutting a hot key to one row per map task.
+    separate key-only aggregate would shuffle every key a second time. Both
+    cut a hot key before the shuffle (window group limit): ``last`` to one
+    row per map task, ``error`` to the two that show the duplicate.
     """
     if on_duplicate == "error":
-        n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-        checked = source.withColumn("__n", n)
+        n = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+        checked = source.withColumn("__n", n).filter(F.col("__n") <= 2)
         check = F.assert_true(F.col("__n") == 1, F.lit("duplicate source key in upsert"))
         return checked.filter(check.isNull()).drop("__n")
     if on_duplicate == "last":
