@@ -135,12 +135,12 @@ def resample(docs: DataFrame, labels: DataFrame, scratch: Scratch, *, lost_good:
     good = good_labels(labels).join(present, "doc_id", "left_semi").withColumn("h", F.xxhash64("doc_id"))
     chosen = scratch.write(good.orderBy("h").limit(max_labelled).withColumn("fit", F.pmod(F.xxhash64("h"), F.lit(2)) == 0), "labelled")
     ratios = fit_ratios(docs, chosen.filter("fit"), n_buckets=n_buckets, text=text, doc_id=doc_id)
-    weighted = with_log_weight(docs, ratios, text=text)
     noise = -F.log(-F.log(hash_uniform(seed, F.col(f"`{doc_id}`"))))
-    scored = replace_columns(weighted if keep_text else weighted.drop(text), {"gumbel_score": F.col("log_weight") + noise})
-    scored = scratch.write(scored, "scored")
+    weighted = replace_columns(with_log_weight(docs, ratios, text=text), {"gumbel_score": F.col("log_weight") + noise})
+    scored = scratch.write(weighted.drop(text), "scored")
     held = scored.join(F.broadcast(chosen.filter("NOT fit").select(F.col("doc_id").alias("__llm_id"))), F.col(f"`{doc_id}`") == F.col("__llm_id"), "left_semi")
     cutoff = held.agg(F.percentile("log_weight", F.lit(lost_good))).first()[0]  # of a bounded number of rows
     k = scored.count() if cutoff is None else scored.filter(F.col("log_weight") >= cutoff).count()
     least = kth_largest(scored, "gumbel_score", k) if k else 0.0
-    return replace_columns(scored, {"kept": F.col("gumbel_score") >= least})
+    # with the texts the weights are computed once more, rather than writing or shuffling all texts
+    return replace_columns(weighted if keep_text else scored, {"kept": F.col("gumbel_score") >= least})

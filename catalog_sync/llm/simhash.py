@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,7 +88,8 @@ def _ball(fp: Column, radius: int) -> Column:
 def linked_fingerprints(fingerprints: DataFrame, max_distance: int) -> DataFrame:
     """All pairs ``a < b`` (signed order) of distinct fingerprints (column ``fp``) at most ``max_distance`` bits apart."""
     half = (max_distance + 1) // 2
-    variants = fingerprints.select("fp").distinct().select("fp", F.explode(_ball(F.col("fp"), half)).alias("variant"))
+    spread = int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # rows grow by the ball's size here
+    variants = fingerprints.select("fp").distinct().repartition(spread, "fp").select("fp", F.explode(_ball(F.col("fp"), half)).alias("variant"))
     a, b = variants.select("variant", F.col("fp").alias("a")), variants.select("variant", F.col("fp").alias("b"))
     met = a.join(b, "variant").filter("a < b").select("a", "b").distinct()
     return met.filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance)
@@ -121,21 +122,15 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "components") ->
     return roots.union(state.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-def mark(docs: DataFrame, shingle: int, scratch: Scratch, *, text: str = "text", keep_text: bool = False) -> DataFrame:
-    """``docs`` written with ``simhash`` and a row number ``__llm_row`` that tells repeated rows apart."""
-    marked = with_fingerprint(docs, shingle, text=text)
-    marked = marked if keep_text else marked.drop(text)
-    return scratch.write(marked.withColumn("__llm_row", F.monotonically_increasing_id()), "marked")
-
-
 def classes(marked: DataFrame, max_distance: int, scratch: Scratch, *, doc_id: str = "doc_id") -> DataFrame:
-    """One row per distinct fingerprint of ``marked`` (see :func:`mark`).
+    """One row per distinct fingerprint of ``marked`` (``doc_id, simhash``).
 
     Columns: ``fp``; ``component_id``, the smallest id of a document reachable
-    over links; ``keeper``, the row number of that document; ``n_docs`` with
-    this fingerprint; ``n_links``, the linked other fingerprints.
+    over links; ``keeper``, that document's fingerprint (the smallest, if rows
+    of several fingerprints share the id); ``n_docs`` with this fingerprint;
+    ``n_links``, the linked other fingerprints.
     """
-    identity = F.struct(F.col(f"`{doc_id}`").isNull().alias("none"), F.col(f"`{doc_id}`").alias("id"), F.col("__llm_row").alias("row"))
+    identity = F.struct(F.col(f"`{doc_id}`").isNull().alias("none"), F.col(f"`{doc_id}`").alias("id"), F.col("simhash").alias("fp"))
     own = marked.groupBy(F.col("simhash").alias("fp")).agg(F.min(identity).alias("first"), F.count(F.lit(1)).alias("n_docs"))
     own = scratch.write(own, "fingerprints")
     links = scratch.write(linked_fingerprints(own, max_distance), "links")
@@ -144,25 +139,39 @@ def classes(marked: DataFrame, max_distance: int, scratch: Scratch, *, doc_id: s
     by_fp = own.join(roots, F.col("fp") == F.col("node"), "left").drop("node").withColumn("root", F.coalesce("root", "fp"))
     named = by_fp.groupBy("root").agg(F.min("first").alias("least"))
     out = by_fp.join(named, "root").join(degree, F.col("fp") == F.col("node"), "left")
-    return scratch.write(out.select("fp", F.col("least.id").alias("component_id"), F.col("least.row").alias("keeper"), "n_docs",
+    return scratch.write(out.select("fp", F.col("least.id").alias("component_id"), F.col("least.fp").alias("keeper"), "n_docs",
                                     F.coalesce("n_links", F.lit(0)).alias("n_links")), "classes")
 
 
 def near_duplicates(docs: DataFrame, *, shingle: int, max_distance: int, scratch: Scratch, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per document: its columns without the text, with ``simhash, component_id, n_docs, n_links``."""
-    marked = mark(docs, shingle, scratch, text=text)
+    marked = scratch.write(with_fingerprint(docs, shingle, text=text).drop(text), "marked")
     found = classes(marked, max_distance, scratch, doc_id=doc_id)
     side = found.select(F.col("fp").alias("__llm_fp"), F.struct("component_id", "n_docs", "n_links").alias("__llm_c"))
     joined = marked.join(side, F.col("simhash") == F.col("__llm_fp"))
-    return replace_columns(joined, {c: F.col(f"__llm_c.{c}") for c in ("component_id", "n_docs", "n_links")}).drop("__llm_fp", "__llm_c", "__llm_row")
+    return replace_columns(joined, {c: F.col(f"__llm_c.{c}") for c in ("component_id", "n_docs", "n_links")}).drop("__llm_fp", "__llm_c")
 
 
 def drop_near_duplicates(docs: DataFrame, *, shingle: int, max_distance: int, scratch: Scratch, doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id (of rows repeating it, one)."""
-    marked = mark(docs, shingle, scratch, keep_text=True)
-    found = classes(marked.select(doc_id, "simhash", "__llm_row"), max_distance, scratch, doc_id=doc_id)
-    kept = marked.join(found.select(F.col("keeper").alias("__llm_row")).distinct(), "__llm_row", "left_semi")
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` with one document of each component: the one with the smallest id (of rows repeating it, one).
+
+    Fingerprints are computed once more for the texts, rather than writing all
+    texts; each text is shuffled once, by its fingerprint and id. The keepers
+    grow with the documents, so they are never broadcast.
+    """
+    marked = scratch.write(with_fingerprint(docs, shingle).select(F.col(f"`{doc_id}`"), "simhash"), "marked")
+    found = classes(marked, max_distance, scratch, doc_id=doc_id)
+    key = ["__llm_fp", "__llm_id", "__llm_none"]  # a null id is an id of its own
+
+    def keyed(rows: DataFrame, fp: str, name: str) -> DataFrame:
+        named = F.col(f"`{name}`")
+        return rows.withColumns({"__llm_fp": F.col(fp), "__llm_id": F.coalesce(named.cast("string"), F.lit("")), "__llm_none": named.isNull()})
+
+    keepers = keyed(found, "keeper", "component_id").select(*key).distinct()
+    rows = keyed(with_fingerprint(docs, shingle, name="__llm_fp"), "__llm_fp", doc_id)
+    kept = rows.join(keepers.hint("merge"), key)
+    one = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0)))
+    return kept.withColumn("__llm_n", one).filter("__llm_n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def fingerprint_hex(fp: Column) -> Column:

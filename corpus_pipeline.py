@@ -27,8 +27,9 @@ def _columns(rows: DataFrame, docs: DataFrame) -> DataFrame:
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``docs`` that neither the base rules nor a proven cutoff rejects."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    features = quality_rules.with_features(docs.select("doc_id", "lang", "text")).drop("text")
-    cutoffs = Scratch(spark, "rules").write(quality_rules.fit_cutoffs(features, labels), "cutoffs")
+    scratch = Scratch(spark, "rules")
+    features = scratch.write(quality_rules.with_features(docs.select("doc_id", "lang", "text")).drop("text"), "features")
+    cutoffs = scratch.write(quality_rules.fit_cutoffs(features, labels), "cutoffs")
     judged = quality_rules.apply_rules(quality_rules.with_features(docs), cutoffs)
     return _columns(judged.filter("kept"), docs)
 
