@@ -47,9 +47,9 @@ def repetition_rates(docs: DataFrame, weights: DataFrame | None = None, *, sourc
         given = weights.groupBy(F.col("source").alias("__llm_s")).agg(F.sum("weight").cast("double").alias("__llm_w"))
         n = n.join(given, F.col("source").eqNullSafe(F.col("__llm_s")), "left")
         n = n.withColumn("raw", F.greatest(F.coalesce("__llm_w", F.lit(0.0)), F.lit(0.0))).drop("__llm_s", "__llm_w")
-    total = n.agg(F.sum("raw").alias("raw_all"), F.sum("n_docs").alias("n_all"))
-    n = n.join(F.broadcast(total)).withColumn("weight", F.coalesce(F.try_divide(F.col("raw"), F.col("raw_all")), F.lit(0.0)))
-    return n.select("source", "n_docs", "weight", (F.col("weight") * F.col("n_all") * F.lit(float(size_ratio)) / F.col("n_docs")).alias("rate"))
+    all_raw, all_docs = n.agg(F.sum("raw"), F.sum("n_docs")).first()
+    n = n.withColumn("weight", F.col("raw") / F.lit(all_raw) if all_raw else F.lit(0.0))
+    return n.select("source", "n_docs", "weight", (F.col("weight") * F.lit((all_docs or 0) * float(size_ratio)) / F.col("n_docs")).alias("rate"))
 
 
 def with_distribution(rates: DataFrame) -> DataFrame:

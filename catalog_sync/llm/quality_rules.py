@@ -141,7 +141,7 @@ def fit_cutoffs(features: DataFrame, labels: DataFrame, *, stratum: str = "lang"
     fail the base rule take no part, as they go anyway. Of the proven cutoffs
     of a rule the one that rejects most bad documents is taken, the most
     lenient of equals, and none if no bad document is rejected. One pass over
-    the labelled rows with partial aggregation; nothing is collected.
+    the labelled rows with partial aggregation; the number of strata alone reaches the driver.
     """
     label = (
         labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
@@ -159,9 +159,8 @@ def fit_cutoffs(features: DataFrame, labels: DataFrame, *, stratum: str = "lang"
         *[F.count_if(F.col("good") & _rejects(rule, F.lit(c))).alias(f"g_{k}_{i}") for k, i, c, rule in tests],
         *[F.count_if(~F.col("good") & _rejects(rule, F.lit(c))).alias(f"b_{k}_{i}") for k, i, c, rule in tests],
     )
-    n_strata = counts.agg(F.count(F.lit(1)).alias("n_strata"))
     per_rule = alpha / len(rules)
-    level = F.lit(delta) / (F.lit(len(rules)) * F.col("n_strata"))
+    level = delta / (len(rules) * max(1, counts.count()))  # Bonferroni over rules and strata
 
     def proven(k: int, rule: Rule) -> Column:
         tested = F.array(*[
@@ -179,8 +178,7 @@ def fit_cutoffs(features: DataFrame, labels: DataFrame, *, stratum: str = "lang"
         return let(tested, choose)
 
     entries = F.array_compact(F.array(*[proven(k, rule) for k, rule in enumerate(rules)]))
-    # one row of n_strata is joined to one row per stratum
-    return counts.join(F.broadcast(n_strata)).select("stratum", "n_good", F.map_from_entries(entries).alias("cutoffs"))
+    return counts.select("stratum", "n_good", F.map_from_entries(entries).alias("cutoffs"))
 
 
 def apply_rules(features: DataFrame, cutoffs: DataFrame, *, stratum: str = "lang", rules: tuple[Rule, ...] = RULES) -> DataFrame:
