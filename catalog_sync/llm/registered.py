@@ -31,7 +31,8 @@ def bpe_tokenizer() -> str:
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The cache is new for each call, so the query's cost is that of encoding every distinct text.
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    counted = tokens.token_counts(docs, bpe_tokenizer(), f"{Scratch(spark, 'op2').path}/cache")
+    scratch = Scratch(spark, "op2")
+    counted = tokens.token_counts(docs, bpe_tokenizer(), scratch.place("cache"), scratch)
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 

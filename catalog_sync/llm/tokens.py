@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog_sync.llm.tables import once_per_process, replace_columns
+from catalog_sync.llm.tables import Scratch, once_per_process, replace_columns
 
 #: Characters outside the planes on which both byte-level BPE libraries were compared, one by one (see the tests).
 _OTHER = re.compile("[\U00030000-\U0010ffff]")
@@ -148,10 +148,15 @@ def encode_misses(docs: DataFrame, tokenizer: str, cache_path: str, *, text: str
     counted.withColumn("tokenizer", F.lit(version)).write.mode("append").parquet(cache_path)
 
 
-def token_counts(docs: DataFrame, tokenizer: str, cache_path: str, *, text: str = "text") -> DataFrame:
-    """``docs`` without the text, with ``n_bytes`` and ``n_tokens``; the cache gains what it lacked."""
+def token_counts(docs: DataFrame, tokenizer: str, cache_path: str, scratch: Scratch, *, text: str = "text") -> DataFrame:
+    """``docs`` without the text, with ``n_bytes`` and ``n_tokens``; the cache gains what it lacked.
+
+    The counts are written as a table of one row per digest before they are
+    joined: straight from that table the join's rows are dealt by digest alone, so
+    AQE splits the digest of a text that very many documents share.
+    """
     encode_misses(docs, tokenizer, cache_path, text=text)
-    counts = _cached(docs.sparkSession, cache_path, tokenizer_version(tokenizer)).withColumnRenamed("digest", "__llm_d").withColumnRenamed("n_tokens", "__llm_n")
+    counts = scratch.write(_cached(docs.sparkSession, cache_path, tokenizer_version(tokenizer)), "counts").withColumnRenamed("digest", "__llm_d").withColumnRenamed("n_tokens", "__llm_n")
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     keyed = docs.withColumn("__llm_k", content_digest(whole)).withColumn("__llm_b", F.octet_length(whole).cast("long")).drop(text)
     joined = keyed.join(counts, F.col("__llm_k") == F.col("__llm_d"))

@@ -59,25 +59,25 @@ def test_token_counts_query(spark, own):
 
 def test_cache_encodes_only_distinct_misses(spark, scratch, odd_docs, no_docs, own):
     cache = f"{scratch.path}/cache"
-    assert tokens.token_counts(no_docs, BPE, cache).count() == 0
-    first = tokens.token_counts(odd_docs.limit(4).withColumn("n_tokens", F.lit("clash")), BPE, cache)
+    assert tokens.token_counts(no_docs, BPE, cache, scratch).count() == 0
+    first = tokens.token_counts(odd_docs.limit(4).withColumn("n_tokens", F.lit("clash")), BPE, cache, scratch)
     assert first.count() == 4 and dict(first.dtypes)["n_tokens"] == "bigint"
     stored = spark.read.parquet(cache).count()
     assert stored == len({r["text"] or "" for r in odd_docs.limit(4).collect()})
-    out = tokens.token_counts(odd_docs, BPE, cache).collect()
+    out = tokens.token_counts(odd_docs, BPE, cache, scratch).collect()
     texts = [r["text"] or "" for r in odd_docs.collect()]
     assert spark.read.parquet(cache).count() == len(set(texts))
     assert sorted(r["n_tokens"] for r in out) == sorted(len(own.encode(t, add_special_tokens=False).ids) for t in texts)
-    tokens.token_counts(odd_docs, BPE, cache)
+    tokens.token_counts(odd_docs, BPE, cache, scratch)
     assert spark.read.parquet(cache).count() == len(set(texts))  # all were found
     # a stored count is used, not made again
     text = "never encoded"
     digest = spark.range(1).select(tokens.content_digest(F.lit(text)).alias("digest"))
     digest.select("digest", F.lit(4242).cast("long").alias("n_tokens"), F.lit(tokens.tokenizer_version(BPE)).alias("tokenizer")).write.mode("append").parquet(cache)
-    one = tokens.token_counts(spark.createDataFrame([(1, text)], "doc_id long, text string"), BPE, cache).first()
+    one = tokens.token_counts(spark.createDataFrame([(1, text)], "doc_id long, text string"), BPE, cache, scratch).first()
     assert one["n_tokens"] == 4242
     other = public_tokenizers.path("word_bpe_49k.json")
-    assert tokens.token_counts(spark.createDataFrame([(1, text)], "doc_id long, text string"), other, cache).first()["n_tokens"] != 4242
+    assert tokens.token_counts(spark.createDataFrame([(1, text)], "doc_id long, text string"), other, cache, scratch).first()["n_tokens"] != 4242
 
 
 def check_packing(rows, docs, own, most=1024, most_docs=1024):
