@@ -7,8 +7,8 @@ digest; a cut-off member, a wrong length or a wrong digest raises.
 Of pages with equal payloads of at least ``min_revisit_bytes`` the one with
 the smallest id is written as response and the others as revisits that refer to it.
 
-Writers give each attempt's file its own name and pass the names on through a written
-manifest: files of failed or repeated attempts are in no manifest and are never read. Executors reach the archives by the file system of the
+Writers give each attempt's file its own name. What the tasks report that Spark counts as
+done, a line per file, is the manifest: files of failed or repeated attempts are in none and are never read. Executors reach the archives by the file system of the
 folder's URI (local, HDFS or an object store, as pyarrow opens it).
 
 Defined cases: a null payload is empty; a null id is written as none, read back as null,
@@ -116,7 +116,9 @@ def write_warc(rows: DataFrame, folder: str, scratch: Scratch, *, date: str = "2
         yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64())],
                                          names=["file", "n_records", "n_bytes"])
 
-    return scratch.write(rows.select("page_id", "url", "payload", "digest", "refers_to").mapInArrow(run, MANIFEST), "manifest")
+    written = rows.select("page_id", "url", "payload", "digest", "refers_to").mapInArrow(run, MANIFEST)
+    files = [tuple(r) for r in written.collect()]  # a line per file, as Spark's own writers report theirs
+    return scratch.write(rows.sparkSession.createDataFrame(files, MANIFEST).coalesce(1), "manifest")
 
 
 class _Member:
@@ -179,14 +181,17 @@ def read_records(stream: BinaryIO) -> Iterator[Record]:
         yield Record(headers, block)
 
 
-def read_warc(manifest: DataFrame, folder: str) -> DataFrame:
-    """All records of the manifest's files (:data:`RECORD`); one task reads a file from its start to its end.
+def read_warc(manifest: DataFrame, folder: str, *, task_bytes: int = 32 << 20) -> DataFrame:
+    """All records of the manifest's files (:data:`RECORD`); one task reads a file from its start to its end,
+    and small files together up to about ``task_bytes``.
 
     Responses carry their payload, its length and its digest as computed
     from what was read (a digest other than the declared one raises);
     revisits carry the declared digest and the id they refer to.
     """
-    n_files = max(1, manifest.count())
+    n_files, n_bytes = manifest.agg(F.count(F.lit(1)), F.sum("n_bytes")).first()
+    cores = manifest.sparkSession.sparkContext.defaultParallelism
+    n_tasks = max(1, min(n_files, max(2 * cores, -(-(n_bytes or 0) // task_bytes))))
 
     def one(r: Record) -> tuple:
         h = r.headers
@@ -219,7 +224,7 @@ def read_warc(manifest: DataFrame, folder: str) -> DataFrame:
                     if rows:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
-    return manifest.select("file").repartition(n_files, "file").mapInArrow(run, RECORD)
+    return manifest.select("file").repartition(n_tasks).mapInArrow(run, RECORD)
 
 
 def resolve_revisits(records: DataFrame) -> DataFrame:
