@@ -11,9 +11,9 @@ how often it has them in training documents; a bucket's task adds up, stores its
 the model and answers each block in the block's own order. So an n-gram crosses the
 network once per block as a small number, and no table has to fit into one task.
 
-* A bucket holds whole contexts, but contexts with more than a quarter of a bucket's fair
-  share of the tokens (at most four per bucket, so a bounded number) are spread by
-  their next word; their sums are added up in a small table that all tasks get.
+* A bucket holds whole contexts, but contexts with more than a bucket's fair share of the
+  tokens (at most one per bucket, so a bounded number) are spread by their next
+  word; their sums are added up in a small table that all tasks get.
 * What a context's weight needs is additive (its count, how many of its n-grams were
   seen once, twice, ... and the shorter model's mass of its seen words), so the
   discounts, which need all buckets, are applied afterwards.
@@ -26,6 +26,7 @@ an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -36,8 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalog_sync.llm.tables import Scratch
-from catalog_sync.llm.tokens import text_batches
+from catalog_sync.llm.tables import Scratch, free_shuffles
 
 END = b""  # no word is empty
 #: Counts above this are not discounted.
@@ -129,32 +129,61 @@ def _table(messages: list[dict]) -> pa.Table:
     return pa.table({n: pa.array([m[n] for m in messages], k) for n, k in zip(_FIELDS, kinds, strict=True)})
 
 
-def encode_blocks(docs: DataFrame, *, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Blocks of whole documents (``doc_id, held_out, text``): ids, lengths and dictionary-encoded tokens."""
+def _add_bytes(parts: list[bytes]) -> bytes:
+    return b"".join(len(x).to_bytes(8, "little") + x for x in parts)
+
+
+def _split_bytes(data: bytes) -> list[bytes]:
+    out, at = [], 0
+    while at < len(data):
+        n = int.from_bytes(data[at : at + 8], "little")
+        out.append(data[at + 8 : at + 8 + n])
+        at += 8 + n
+    return out
+
+
+def encode_blocks(docs: DataFrame, folder: str, *, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+    """Cut ``docs`` (``doc_id, held_out, text``) into blocks of whole documents, stored below ``folder``.
+
+    A row per block: its documents' ids and where its words and its
+    dictionary-encoded tokens lie. Later steps read them from there, so the
+    tokens are never shuffled. Each task attempt writes a file of its own;
+    only the rows of attempts that Spark commits name theirs.
+    """
     id_type = docs.schema["doc_id"].dataType
-    schema = T.StructType([T.StructField("block_id", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("doc_ids", T.ArrayType(id_type)),
-                           *[T.StructField(c, T.BinaryType()) for c in ("held_out", "lengths", "words", "tokens")]])
+    schema = T.StructType([*[T.StructField(c, T.LongType()) for c in ("block_id", "n_tokens", "start", "middle", "stop")],
+                           T.StructField("file", T.StringType()), T.StructField("doc_ids", T.ArrayType(id_type))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
         from pyspark import TaskContext
 
         seen: dict[bytes, int] = {}
         ids, held, lengths, tokens, n_blocks, total, kind = [], [], [], [], 0, 0, None
+        store, base = fs.FileSystem.from_uri(folder)
+        store.create_dir(base, recursive=True)
+        name, sink = f"{uuid.uuid4().hex}.blocks", None
 
         def block() -> pa.RecordBatch:
             local = np.concatenate(tokens)
             order = np.argsort(-np.bincount(local, minlength=len(seen)), kind="stable")  # frequent words get small numbers
             place = np.empty_like(order)
             place[order] = np.arange(len(order))
-            words = list(seen)
-            row = [pa.array([(TaskContext.get().partitionId() << 32) + n_blocks]), pa.array([len(local)]), pa.array([ids], pa.list_(kind)),
-                   *[pa.array([x], pa.binary()) for x in (squeeze(np.array(held)), squeeze(np.array(lengths)), b"\n".join(words[i] for i in order), squeeze(place[local]))]]
-            return pa.RecordBatch.from_arrays(row, names=["block_id", "n_tokens", "doc_ids", "held_out", "lengths", "words", "tokens"])
+            listed = list(seen)
+            words = pa.compress(b"\n".join(listed[i] for i in order), "zstd", asbytes=True)
+            words = _add_bytes([sum(len(w) + 1 for w in listed).to_bytes(8, "little"), words])
+            body = _add_bytes([squeeze(np.array(held)), squeeze(np.array(lengths)), squeeze(place[local])])
+            start = sink.tell()
+            sink.write(words + body)
+            places = [start, start + len(words), start + len(words) + len(body)]
+            row = [pa.array([x], pa.int64()) for x in ((TaskContext.get().partitionId() << 32) + n_blocks, len(local), *places)]
+            return pa.RecordBatch.from_arrays([*row, pa.array([name]), pa.array([ids], pa.list_(kind))], names=schema.names)
 
         for batch in batches:
             kind = batch.column(0).type
             texts = batch.column(2).cast(pa.large_binary() if pa.types.is_large_string(batch.column(2).type) else pa.binary())
             for doc_id, out, text in zip(batch.column(0), batch.column(1).to_pylist(), texts, strict=True):
+                sink = sink or store.open_output_stream(f"{base}/{name}", compression=None)
                 own = tokens_of(text.as_py() or b"")
                 tokens.append(np.array([seen.setdefault(w, len(seen)) for w in own], np.int64))
                 ids.append(doc_id.as_py())
@@ -166,45 +195,63 @@ def encode_blocks(docs: DataFrame, *, block_tokens: int = BLOCK_TOKENS) -> DataF
                     seen, ids, held, lengths, tokens, n_blocks, total = {}, [], [], [], [], n_blocks + 1, 0
         if ids:
             yield block()
+        if sink:
+            sink.close()
 
     return docs.select("doc_id", "held_out", "text").mapInArrow(run, schema)
 
 
+def _read(folder: str, row: pa.Table, words: bool) -> list[bytes]:
+    from pyarrow import fs
+
+    store, base = fs.FileSystem.from_uri(folder)
+    start, middle, stop = (row[c][0].as_py() for c in ("start", "middle", "stop"))
+    a, b = (start, middle) if words else (middle, stop)
+    with store.open_input_file(f"{base}/{row['file'][0].as_py()}") as f:
+        f.seek(a)
+        return _split_bytes(f.read(b - a))
+
+
+def word_requests(folder: str, row: pa.Table, n_buckets: int) -> list[dict]:
+    """A block's distinct words with their training counts, per bucket of words."""
+    size, packed = _read(folder, row, True)
+    words = pa.decompress(packed, int.from_bytes(size, "little") - 1, "zstd", asbytes=True).split(b"\n")
+    b = Block(folder, row, None, [], n_buckets)
+    counts = np.bincount(b.tokens[b.train], minlength=len(words))
+    bucket = np.array([zlib.crc32(w) % n_buckets for w in words], np.int64)
+    out = []
+    for k in np.unique(bucket):
+        at = np.flatnonzero(bucket == k)
+        listed = b"\n".join(words[i] for i in at)
+        out.append(_message("words", int(k), b.id, pa.compress(listed, "zstd", asbytes=True), squeeze(np.array([len(listed)])), squeeze(counts[at]), squeeze(np.diff(at, prepend=0))))
+    return out
+
+
 class Block:
     """One decoded block, and its tokens' probabilities as far as the orders in ``replies`` go."""
 
-    def __init__(self, row: pa.Table, replies: pa.Table | None, orders: list[Order], n_buckets: int):
-        self.hot_count = orders[0].total / (4 * n_buckets) if orders else 0.0
+    def __init__(self, folder: str, row: pa.Table, replies: pa.Table | None, orders: list[Order], n_buckets: int):
+        self.hot_count = orders[0].total / n_buckets if orders else 0.0
         self.id, self.n_buckets, self.orders = row["block_id"][0].as_py(), n_buckets, orders
-        self.words = row["words"][0].as_py().split(b"\n")
-        self.tokens = unsqueeze(row["tokens"][0].as_py()).astype(np.int64)
-        self.lengths = unsqueeze(row["lengths"][0].as_py()).astype(np.int64)
-        self.doc = np.repeat(np.arange(len(self.lengths)), self.lengths)
-        self.train = ~unsqueeze(row["held_out"][0].as_py()).astype(bool)[self.doc]
+        held, lengths, tokens = (unsqueeze(x) for x in _read(folder, row, False))
+        self.held, self.lengths, self.tokens = held.astype(bool), lengths.astype(np.int64), tokens.astype(np.int64)
+        self.train = ~np.repeat(self.held, self.lengths)
         self.first = np.cumsum(self.lengths) - self.lengths
-        self.word_bucket = np.array([zlib.crc32(w) % n_buckets for w in self.words], np.int64)
         answers: dict[str, dict[int, list[np.ndarray]]] = {}
         if replies is not None:
             for m in replies.to_pylist():
-                answers.setdefault(m["kind"], {})[m["bucket"]] = [unsqueeze(m[c]) if m[c] else np.empty(0) for c in "abcdef"]
+                answers.setdefault(m["kind"], {})[m["bucket"]] = [unsqueeze(m[c]) if m[c] else np.empty(0) for c in "abcdefg"]
         if orders:
             self._words(answers["reply1"])
             for n in range(2, len(orders) + 1):
                 self._order(n, answers.get(f"reply{n}", {}))
 
-    def word_requests(self) -> list[dict]:
-        counts = np.bincount(self.tokens[self.train], minlength=len(self.words))
-        out = []
-        for b in np.unique(self.word_bucket):
-            at = np.flatnonzero(self.word_bucket == b)
-            out.append(_message("words", int(b), self.id, b"\n".join(self.words[i] for i in at), squeeze(counts[at])))
-        return out
-
     def _words(self, answer: dict[int, list[np.ndarray]]) -> None:
-        self.word_id, self.word_count = np.empty(len(self.words), np.int64), np.empty(len(self.words), np.int64)
-        for b in np.unique(self.word_bucket):
-            at = self.word_bucket == b
-            self.word_id[at], self.word_count[at] = answer[b][0].astype(np.int64) - 1, answer[b][1]
+        n_words = int(self.tokens.max()) + 1
+        self.word_id, self.word_count = np.empty(n_words, np.int64), np.empty(n_words, np.int64)
+        for ids, counts, steps, *_ in answer.values():
+            at = np.cumsum(steps.astype(np.int64))
+            self.word_id[at], self.word_count[at] = ids.astype(np.int64) - 1, counts
         self.p = self.orders[0].unigram(self.word_count)[self.tokens]
         self.gram, self.gram_count = self.word_id[self.tokens], self.word_count[self.tokens]
 
@@ -219,8 +266,8 @@ class Block:
         self.is_hot = counts >= self.hot_count
         known = self.word_id[self.tokens[self.at]] >= 0
         self.paired = np.flatnonzero(known)  # places in self.at
-        keys, self.pair_of = np.unique(self.context_of[self.paired] * len(self.words) + self.tokens[self.at[self.paired]], return_inverse=True)
-        self.pair_context, self.pair_word = keys // len(self.words), keys % len(self.words)
+        keys, self.pair_of = np.unique(self.context_of[self.paired] * len(self.word_id) + self.tokens[self.at[self.paired]], return_inverse=True)
+        self.pair_context, self.pair_word = keys // len(self.word_id), keys % len(self.word_id)
         ids, words = self.contexts[self.pair_context], self.word_id[self.pair_word]
         bucket = np.where(self.is_hot[self.pair_context], _mix(ids, words), _mix(ids)) % np.uint64(self.n_buckets)
         self.pair_order = np.lexsort((self.pair_context, bucket))
@@ -240,30 +287,40 @@ class Block:
         train = np.bincount(self.pair_of, weights=self.train[self.at[self.paired]], minlength=len(self.pair_word)).astype(np.int64)
         lower = np.zeros(len(self.pair_word))
         lower[self.pair_of] = self.p[self.at[self.paired]]
-        values, code = np.unique(lower, return_inverse=True)
+        lower[train == 0] = 0  # only n-grams of training documents count
+        if n == 2:  # the shorter model's probability follows from the word's count, which is a smaller number
+            values, code = np.empty(0), np.where(train > 0, self.word_count[self.pair_word], 0)
+        else:
+            values, code = np.unique(lower, return_inverse=True)
+        before_unknown = np.zeros(len(self.contexts), bool)
+        before_unknown[np.delete(self.context_of, self.paired)] = True
         out = []
         for b in range(self.n_buckets):
             contexts, pairs = self._asked(b)
             if len(contexts):
                 width = np.bincount(np.searchsorted(contexts, self.pair_context[pairs]), minlength=len(contexts))
-                used, small = np.unique(code[pairs], return_inverse=True)
+                used, small = np.unique(code[pairs], return_inverse=True) if n > 2 else ([], code[pairs])
                 out.append(_message(f"grams{n}", b, self.id, squeeze(self.contexts[contexts]), squeeze(width), squeeze(self.word_id[self.pair_word[pairs]]),
-                                    squeeze(train[pairs]), squeeze(small), squeeze(values[used]), squeeze(self.is_hot[contexts])))
+                                    squeeze(train[pairs]), squeeze(small), squeeze(values[used] if n > 2 else values), squeeze(2 * self.is_hot[contexts] + before_unknown[contexts])))
         return out
 
     def _order(self, n: int, answer: dict[int, list[np.ndarray]]) -> None:
         self._layout()
         order = self.orders[n - 1]
         count, gram = np.zeros(len(self.pair_word), np.int64), np.full(len(self.pair_word), -1, np.int64)
+        # of contexts after which the block has an unseen word all sums are told, of others the count and the smallest count after them
         stats, lower = np.zeros((len(self.contexts), TOP + 1)), np.zeros(len(self.contexts))
         for b in range(self.n_buckets):
             contexts, pairs = self._asked(b)
             if len(contexts):
-                got, ids, sums, mass = answer[b][:4]
+                got, ids, totals, least, whole, sums, mass = answer[b]
                 count[pairs] = got
                 if len(ids):
                     gram[pairs] = ids.astype(np.int64) - 1
-                stats[contexts], lower[contexts] = sums.reshape(-1, TOP + 1), mass
+                stats[contexts, 0] = totals
+                stats[contexts, least.astype(np.int64)] += (least > 0)
+                at = contexts[whole.astype(np.int64)]
+                stats[at, 1:], lower[at] = sums.reshape(-1, TOP), mass
         for i in np.flatnonzero(self.is_hot):
             stats[i], lower[i] = order.hot[int(self.contexts[i])]
         base, weight = weights(stats, lower, order.d)
@@ -282,16 +339,16 @@ def _add_words(n_buckets: int):
     def run(table: pa.Table) -> pa.Table:
         bucket, asked = table["bucket"][0].as_py(), []
         total: dict[bytes, int] = {}
-        for m in table.select(["block_id", "a", "b"]).to_pylist():
-            words = m["a"].split(b"\n")
-            asked.append((m["block_id"], words))
-            for w, c in zip(words, unsqueeze(m["b"]).tolist(), strict=True):
+        for m in table.to_pylist():
+            words = pa.decompress(m["a"], int(unsqueeze(m["b"])[0]), "zstd", asbytes=True).split(b"\n")
+            asked.append((m["block_id"], words, m["d"]))
+            for w, c in zip(words, unsqueeze(m["c"]).tolist(), strict=True):
                 total[w] = total.get(w, 0) + c
         model = sorted(((-c, w) for w, c in total.items() if c))
         number = {w: k * n_buckets + bucket + 1 for k, (_, w) in enumerate(model)}
         counts = np.array([-c for c, _ in model], np.int64)
-        out = [_message("reply1", bucket, block_id, squeeze(np.array([number.get(w, 0) for w in words], np.int64)), squeeze(np.array([total[w] for w in words], np.int64)))
-               for block_id, words in asked]
+        out = [_message("reply1", bucket, block_id, squeeze(np.array([number.get(w, 0) for w in words], np.int64)), squeeze(np.array([total[w] for w in words], np.int64)), steps)
+               for block_id, words, steps in asked]
         out.append(_message("stats1", bucket, -1, squeeze(np.concatenate((np.bincount(counts[counts <= TOP + 1], minlength=TOP + 2)[1:], [counts.sum(), len(counts)])).astype(np.int64))))
         out.append(_message("model1", bucket, -1, b"\n".join(w for _, w in model), squeeze(counts)))
         return _table(out)
@@ -299,16 +356,16 @@ def _add_words(n_buckets: int):
     return run
 
 
-def _add_grams(n: int, n_buckets: int, last: bool):
+def _add_grams(n: int, n_buckets: int, last: bool, words: Order):
     def run(table: pa.Table) -> pa.Table:
         bucket = table["bucket"][0].as_py()
         asked, parts, hot = [], [], []
         for m in table.sort_by("block_id").to_pylist():
-            context, width, word, train, code, values, is_hot = (unsqueeze(m[c]) for c in "abcdefg")
+            context, width, word, train, code, values, marks = (unsqueeze(m[c]) for c in "abcdefg")
             context = context.astype(np.int64)
-            asked.append((m["block_id"], len(word), context))
-            hot.append(context[is_hot.astype(bool)])
-            parts.append((np.repeat(context, width.astype(np.int64)), word.astype(np.int64), train.astype(np.int64), values[code] if len(code) else np.empty(0)))
+            asked.append((m["block_id"], len(word), context, width.astype(np.int64), marks % 2 == 1))
+            hot.append(context[marks >= 2])
+            parts.append((np.repeat(context, width.astype(np.int64)), word.astype(np.int64), train.astype(np.int64), np.where(code > 0, words.unigram(code.astype(np.int64)), 0) if n == 2 else values[code] if len(code) else np.empty(0)))
         context, word, train, lower = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.lexsort((word, context))
         sorted_context, sorted_word = context[order], word[order]
@@ -318,10 +375,10 @@ def _add_grams(n: int, n_buckets: int, last: bool):
         total = np.add.reduceat(train[order], starts) if len(starts) else np.empty(0, np.int64)
         gram_of = np.empty(len(order), np.int64)
         gram_of[order] = np.cumsum(new) - 1
-        gram_context, gram_word, gram_lower = sorted_context[starts], sorted_word[starts], lower[order][starts]
+        gram_context, gram_word, gram_lower = sorted_context[starts], sorted_word[starts], np.maximum.reduceat(lower[order], starts) if len(starts) else lower
         seen = total > 0
         number = np.where(seen, (np.cumsum(seen) - 1) * n_buckets + bucket + 1, 0)
-        contexts = np.unique(np.concatenate([c for _, _, c in asked]))
+        contexts = np.unique(np.concatenate([x[2] for x in asked]))
         place = np.searchsorted(contexts, gram_context)
         stats = np.empty((len(contexts), TOP + 1), np.int64)
         stats[:, 0] = np.bincount(place, weights=total, minlength=len(contexts))
@@ -329,9 +386,13 @@ def _add_grams(n: int, n_buckets: int, last: bool):
             stats[:, r] = np.bincount(place[total == r], minlength=len(contexts))
         mass = np.bincount(place[seen], weights=gram_lower[seen], minlength=len(contexts))
         out, at = [], 0
-        for block_id, size, own in asked:
+        least = np.where((stats[:, 1:] > 0).any(axis=1), (stats[:, 1:] > 0).argmax(axis=1) + 1, 0)
+        for block_id, size, own, width, before_unknown in asked:
             mine, rows = gram_of[at : at + size], np.searchsorted(contexts, own)
-            out.append(_message(f"reply{n}", bucket, block_id, squeeze(total[mine]), b"" if last else squeeze(number[mine]), squeeze(stats[rows].ravel()), squeeze(mass[rows])))
+            unseen = np.bincount(np.repeat(np.arange(len(own)), width), weights=total[mine] == 0, minlength=len(own)) > 0
+            whole = np.flatnonzero(unseen | before_unknown)
+            out.append(_message(f"reply{n}", bucket, block_id, squeeze(total[mine]), b"" if last else squeeze(number[mine]), squeeze(stats[rows, 0]), squeeze(least[rows]),
+                                squeeze(whole), squeeze(stats[rows[whole], 1:].ravel()), squeeze(mass[rows[whole]])))
             at += size
         few = total[seen & (total <= TOP + 1)]
         out.append(_message(f"stats{n}", bucket, -1, squeeze(np.concatenate((np.bincount(few, minlength=TOP + 2)[1:], [total.sum(), seen.sum()])).astype(np.int64))))
@@ -344,15 +405,15 @@ def _add_grams(n: int, n_buckets: int, last: bool):
     return run
 
 
-def _ask_grams(n: int, orders: list[Order], n_buckets: int):
+def _ask_grams(folder: str, n: int, orders: list[Order], n_buckets: int):
     def run(row: pa.Table, answers: pa.Table) -> pa.Table:
-        return _table(Block(row, answers, orders, n_buckets).requests(n) if len(row) else [])
+        return _table(Block(folder, row, answers, orders, n_buckets).requests(n) if len(row) else [])
 
     return run
 
 
 def _finish(counted: DataFrame, n: int) -> Order:
-    """The order's discounts from its buckets' statistics, and the sums of its spread contexts (at most four per bucket)."""
+    """The order's discounts from its buckets' statistics, and the sums of its spread contexts (at most one per bucket)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -390,7 +451,8 @@ def score(docs: DataFrame, scratch: Scratch, *, order: int = 2, n_buckets: int |
     scratch folder, partitioned by kind, a row per bucket.
     """
     spark = docs.sparkSession
-    blocks = scratch.write(encode_blocks(docs, block_tokens=block_tokens), "blocks")
+    folder = scratch.place("block-files")
+    blocks = scratch.write(encode_blocks(docs, folder, block_tokens=block_tokens), "blocks")
     if n_buckets is None:
         total = blocks.agg(F.sum("n_tokens")).first()[0] or 0
         n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_TOKENS))
@@ -399,16 +461,18 @@ def score(docs: DataFrame, scratch: Scratch, *, order: int = 2, n_buckets: int |
     def ask_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                yield from _table(Block(pa.Table.from_batches([batch.slice(i, 1)]), None, [], buckets).word_requests()).to_batches()
+                yield from _table(word_requests(folder, pa.Table.from_batches([batch.slice(i, 1)]), buckets)).to_batches()
 
     for n in range(1, order + 1):
         if n == 1:
             counted = blocks.mapInArrow(ask_words, MESSAGE).groupBy("bucket").applyInArrow(_add_words(buckets), MESSAGE)
         else:
-            asked = blocks.groupBy("block_id").cogroup(replies.groupBy("block_id")).applyInArrow(_ask_grams(n, list(orders), buckets), MESSAGE)
-            counted = asked.groupBy("bucket").applyInArrow(_add_grams(n, buckets, n == order), MESSAGE)
+            asked = blocks.groupBy("block_id").cogroup(replies.groupBy("block_id")).applyInArrow(_ask_grams(folder, n, list(orders), buckets), MESSAGE)
+            counted = asked.groupBy("bucket").applyInArrow(_add_grams(n, buckets, n == order, orders[0]), MESSAGE)
         where = scratch.place(f"order-{n}")
         counted.write.partitionBy("kind").parquet(where)
+        counted = asked = None
+        free_shuffles(spark)
         counted = spark.read.schema(MESSAGE).parquet(where).select(*_FIELDS)
         orders.append(_finish(counted, n))
         own = counted.filter(F.col("kind") == f"reply{n}")
@@ -423,13 +487,12 @@ def score(docs: DataFrame, scratch: Scratch, *, order: int = 2, n_buckets: int |
     def judge(row: pa.Table, answers: pa.Table) -> pa.Table:
         if not len(row):
             return schema_table.slice(0, 0)
-        b = Block(row, answers, orders, buckets)
+        b = Block(folder, row, answers, orders, buckets)
         add = lambda x: np.add.reduceat(x, b.first)  # noqa: E731  every document has a token
         counts = b.word_count[b.tokens]
-        held = unsqueeze(row["held_out"][0].as_py()).astype(bool)
         ids = row["doc_ids"].combine_chunks().flatten()
-        return pa.table({"doc_id": ids, "held_out": pa.array(held), "n_tokens": pa.array(b.lengths), "n_known": pa.array(add((counts > 0).astype(np.int64))),
-                         "train_tokens": pa.array(np.full(len(held), train)), "base_score": pa.array(add(np.log10((counts + 1) / (train + kinds + 1)))),
+        return pa.table({"doc_id": ids, "held_out": pa.array(b.held), "n_tokens": pa.array(b.lengths), "n_known": pa.array(add((counts > 0).astype(np.int64))),
+                         "train_tokens": pa.array(np.full(len(b.held), train)), "base_score": pa.array(add(np.log10((counts + 1) / (train + kinds + 1)))),
                          "score": pa.array(add(np.log10(b.p)))})
 
     from pyspark.sql.pandas.types import to_arrow_schema
