@@ -15,7 +15,9 @@ with category match: ``(1 - distance) * (1 - w) + category_match * w``.
   no task emits all pairs. Its work is the square of the rows, so at scale it
   is for one bounded slice (a category, a brand) at a time.
 * :func:`similar_for_all_lsh` — the same for large tables: candidates from
-  random-hyperplane buckets, and an exact scan for the products whose buckets hold too few.
+  random-hyperplane buckets, of all rows and of each category, as many and as
+  large as the recall measured on sampled products asks for, and an exact scan
+  for the products whose buckets hold too few.
 
 Distances are rounded to :data:`DIGITS` digits before anything is ranked or blended, so
 equal vectors tie whatever matrix position or batch they were computed at,
@@ -26,6 +28,7 @@ vectors of another length than the rest fail the job. Ids may be of any type.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -282,7 +285,8 @@ def similar_for_all(df: DataFrame, k: int = 4, exclude_same_brand: bool = False,
 
 
 def _hyperplanes(dim: int, bands: int, bits: int, seed: int) -> np.ndarray:
-    return np.random.default_rng(seed).normal(size=(dim, bands * bits))
+    """Columns are the planes, band after band. Fewer bands or bits are the first ones of more."""
+    return np.concatenate([np.random.default_rng((seed, b)).normal(size=(bits, dim)).T for b in range(bands)], axis=1)
 
 
 def lsh_codes(vector_col: str, dim: int, bands: int = 4, bits: int = 8, seed: int = 17) -> Column:
@@ -306,6 +310,102 @@ def lsh_codes(vector_col: str, dim: int, bands: int = 4, bits: int = 8, seed: in
 
 #: Buckets up to which their sizes are broadcast.
 BROADCAST_BUCKETS = 1 << 16
+#: Most bands that are tried before buckets are made larger.
+MAX_BANDS = 256
+#: Seconds of one Arrow group, one copied row and one scored pair, by which settings of equal recall are ranked.
+GROUP_S, COPY_S, PAIR_S = 3e-3, 1e-5, 2e-8
+
+
+@dataclass(frozen=True)
+class Buckets:
+    """Setting of :func:`similar_for_all_lsh`: ``2**bits`` buckets of all rows in each of ``bands`` bands (0 bits: one
+    bucket, an exact scan), and buckets of about ``category_rows`` rows of one category in each of ``category_bands``.
+    ``recall`` is that measured on the sampled products, the lower one of those with and without a category."""
+
+    bits: int
+    bands: int
+    category_rows: int
+    category_bands: int
+    recall: float
+
+
+def _work(rows, bits, block_rows: int, ceil=np.ceil):
+    """Estimated seconds of one band: ``rows`` in ``2**bits`` equal buckets (numbers, or columns with ``ceil=F.ceil``)."""
+    n_buckets = 2.0**bits if isinstance(bits, int) else F.pow(F.lit(2.0), bits)
+    subs = ceil(rows / n_buckets / block_rows)
+    return n_buckets * subs * (subs + 1) / 2 * GROUP_S + rows * subs * COPY_S + rows * rows / n_buckets * PAIR_S
+
+
+def _category_bits(rows: Column, rows_per_bucket: int, most: int) -> Column:
+    return F.least(F.greatest(F.ceil(F.log2(rows / F.lit(rows_per_bucket))), F.lit(0)), F.lit(most)).cast("int")
+
+
+def _tune(items: DataFrame, sizes: DataFrame | None, n: int, dim: int, most_bits: int, k: int, w: float, exclude_same_brand: bool, bands: int,
+          rows_per_bucket: int, block_rows: int, seed: int, chunk_rows: int, recall: float, tune_queries: int) -> Buckets:
+    """The cheapest setting from ``bands`` and ``rows_per_bucket`` upwards that reaches ``recall``.
+
+    The true neighbours of ``tune_queries`` products with and as many without a category are found by an exact scan of all
+    rows. Both groups must reach ``recall`` by two standard errors (by itself where the sample is the whole group).
+    ``sizes`` has the rows per category, None where categories do not count.
+    """
+    groups = [F.lit(True)] if sizes is None else [F.col("category").isNotNull(), F.col("category").isNull()]
+    samples = [items.filter(g).orderBy(F.xxhash64("id"), "id").limit(tune_queries).withColumn("__group", F.lit(i)) for i, g in enumerate(groups)]
+    sample = samples[0] if len(samples) == 1 else samples[0].unionByName(samples[1])
+    path = scratch_path(items.sparkSession, "lsh-sample")
+    sample.write.parquet(path)
+    sample = items.sparkSession.read.parquet(path)
+    taken = {r["__group"]: r["count"] for r in sample.groupBy("__group").count().collect()}
+    true = _best(_scan_against(sample.drop("__group"), items, n, sum(taken.values()), k, w, exclude_same_brand, block_rows, chunk_rows), k)
+    mine = sample.select("id", "__group", F.col("vector").alias("__a"), F.col("category").alias("__c"))
+    other = items.select(F.col("id").alias("neighbor_id"), F.col("vector").alias("__b"))
+    true = true.select("id", "neighbor_id", "category_match").join(mine, "id").join(other, "neighbor_id")
+    true = true.withColumn("__rows", F.lit(0)) if sizes is None else true.join(sizes, F.col("__c") == F.col("category"), "left")
+    rows = true.select("id", "__group", "__a", "__b", "category_match", "__rows").collect()  # at most 2 * tune_queries * k rows
+    if not rows:  # nothing has a neighbour
+        return Buckets(0, 1, rows_per_bucket, 0, 1.0)
+    tries = [bands]
+    while tries[-1] * 3 // 2 <= MAX_BANDS:
+        tries.append(max(tries[-1] + 1, tries[-1] * 3 // 2))
+    planes = _hyperplanes(dim, tries[-1], most_bits, seed)
+    side = lambda c: (np.array([r[c] for r in rows], np.float64) @ planes >= 0).reshape(len(rows), tries[-1], most_bits)
+    shared = np.cumprod(side("__a") == side("__b"), axis=2, dtype=np.int8).sum(axis=2)  # first bits that a pair has in common, per band
+    shared = np.maximum.accumulate(shared, axis=1)
+    # settings of the buckets of all rows, each with its work and the pairs it misses
+    whole = [(bits, b) for bits in range(1, most_bits + 1) for b in tries] + [(0, 1)]
+    whole_work = np.array([b * _work(n, bits, block_rows) for bits, b in whole])
+    whole_miss = np.array([shared[:, b - 1] < bits for bits, b in whole], float)
+    # and of those of each category
+    per, per_work, per_miss = [(rows_per_bucket, 0)], np.zeros(1), np.ones((1, len(rows)))
+    if sizes is not None:
+        same = np.array([r["category_match"] == 1.0 for r in rows])
+        own = np.array([r["__rows"] or 1 for r in rows], float)
+        levels = [rows_per_bucket << i for i in range(most_bits + 1)]
+        costs = []
+        for level in levels:  # a category in one bucket needs one band
+            bits = _category_bits(F.col("__rows"), level, most_bits)
+            work = _work(F.col("__rows").cast("double"), bits, block_rows, F.ceil)
+            costs += [F.sum(F.when(bits == 0, work).otherwise(0.0)), F.sum(F.when(bits > 0, work).otherwise(0.0))]
+        costs = [x or 0.0 for x in sizes.agg(*costs).first()]
+        for i, level in enumerate(levels):
+            bits = np.clip(np.ceil(np.log2(own / level)), 0, most_bits)
+            for b in tries:
+                per.append((level, b))
+                per_work = np.append(per_work, costs[2 * i] + b * costs[2 * i + 1])
+                per_miss = np.vstack([per_miss, ~same | (shared[:, b - 1] < bits)])
+    work = whole_work[:, None] + per_work[None, :]
+    if sizes is not None:  # without category buckets only if all rows are scanned anyway
+        work[:-1, 0] = np.inf
+    reached, fine = np.ones(work.shape), np.isfinite(work)
+    for g, n_taken in taken.items():
+        of = np.array([r["__group"] == g for r in rows])
+        if of.any():
+            got = 1.0 - whole_miss[:, of] @ per_miss[:, of].T / of.sum()
+            n_queries = len({r["id"] for r, x in zip(rows, of, strict=True) if x})
+            error = np.sqrt(got * (1 - got) / n_queries) if n_taken >= tune_queries else 0.0
+            fine &= got - 2 * error >= recall - 1e-9
+            reached = np.minimum(reached, got)
+    i, j = np.unravel_index(np.argmin(np.where(fine, work, np.inf)), work.shape)
+    return Buckets(*whole[i], *per[j], float(reached[i, j]))
 
 
 def _scan_against(wanted: DataFrame, items: DataFrame, n_items: int, n_wanted: int, k: int, w: float, exclude_same_brand: bool,
@@ -327,15 +427,20 @@ def _scan_against(wanted: DataFrame, items: DataFrame, n_items: int, n_wanted: i
 def similar_for_all_lsh(df: DataFrame, k: int = 4, exclude_same_brand: bool = False, w: float = 1.0,
                         bands: int = 16, rows_per_bucket: int = 4096, block_rows: int = 4096, seed: int = 17,
                         id_col: str = "id", vector_col: str = "vector", flag_col: str = "is_vector",
-                        chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                        chunk_rows: int = CHUNK_ROWS, recall: float = 0.9, tune_queries: int = 200) -> DataFrame:
     """Approximate top-k neighbours of every product (same output as :func:`similar_for_all`).
 
     Candidates are the products that share a random-hyperplane bucket in at
-    least one of ``bands`` bands. The number of buckets of a band follows the
-    rows: about ``rows_per_bucket`` each. Buckets are scanned exactly with the
-    bounded block scheme; one that is larger than ``block_rows`` (a hot bucket
-    can hold a big share of the rows) is split into several blocks. Scores are
-    exact; recall grows with ``bands`` and ``rows_per_bucket``. A product whose
+    least one band. Where the category counts (``w > 0``) the rows of each
+    category have buckets of their own as well: the best by blended score are
+    among the nearest of the same category and the nearest of all. ``bands`` and
+    ``rows_per_bucket`` are where the search for a setting starts: bands are added
+    and buckets made larger, up to an exact scan, until ``recall`` is reached on
+    ``tune_queries`` products whose true neighbours are found by brute force
+    (:func:`_tune`); of the settings that reach it the cheapest is used.
+    Buckets are scanned exactly with the bounded block scheme; one that is
+    larger than ``block_rows`` (a hot bucket can hold a big share of the rows)
+    is split into several blocks. Scores are exact. A product whose
     buckets hold fewer than ``k`` others is scanned against all rows, so
     every product has its k neighbours (where there are that many).
 
@@ -352,16 +457,37 @@ def similar_for_all_lsh(df: DataFrame, k: int = 4, exclude_same_brand: bool = Fa
     items = spark.read.parquet(f"{base}/items")
     n = items.count()
     bits = max(1, min(30, math.ceil(math.log2(max(2, n / rows_per_bucket)))))
-    coded = items.withColumn("__codes", lsh_codes("vector", int(first[0]), bands, bits, seed))
+    sizes = None
+    if w:
+        items.filter("category IS NOT NULL").groupBy("category").agg(F.count(F.lit(1)).alias("__rows")).write.parquet(f"{base}/sizes")
+        sizes = spark.read.parquet(f"{base}/sizes")
+    use = _tune(items, sizes, n, int(first[0]), bits, k, w, exclude_same_brand, bands, rows_per_bucket, block_rows, seed, chunk_rows, recall, tune_queries)
+    bands = use.bands + use.category_bands
+    coded = items.withColumn("__codes", lsh_codes("vector", int(first[0]), max(use.bands, use.category_bands), bits, seed))
+    if use.category_bands:
+        own_bits = sizes.select(F.col("category").alias("__c"), _category_bits(F.col("__rows"), use.category_rows, bits).alias("__bits"))
+        coded = coded.join(own_bits, F.col("category") == F.col("__c"), "left").drop("__c")
     coded.write.parquet(f"{base}/coded")
     coded = spark.read.parquet(f"{base}/coded")
-    of_band = F.posexplode("__codes").alias("band", "code")
-    subs = coded.select(of_band).groupBy("band", "code").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("__nsub"))
-    if bands * 2**bits <= BROADCAST_BUCKETS:  # else Spark shuffles both sides
+
+    def keyed_by(rows: DataFrame, group: Column, n_bands: Column, n_bits: Column) -> DataFrame:
+        rows = rows.select("id", "vector", "brand", "category", group.alias("__g"), n_bits.alias("__n"),
+                           F.posexplode(F.slice("__codes", F.lit(1), n_bands)).alias("band", "code"))
+        return rows.withColumn("code", F.expr("code & (shiftleft(1, __n) - 1)")).drop("__n")
+
+    # the first bits of a code are its lowest
+    keyed, n_buckets = keyed_by(coded, F.lit("all"), F.lit(use.bands), F.lit(use.bits)), use.bands * 2**use.bits
+    if use.category_bands:
+        own = F.when(F.col("__bits") == 0, F.lit(1)).otherwise(F.lit(use.category_bands))  # a category in one bucket needs one band
+        keyed = keyed.unionByName(keyed_by(coded.filter("category IS NOT NULL"), F.concat(F.lit("of "), F.col("category").cast("string")), own, F.col("__bits")))
+        n_buckets += own_bits.agg(F.sum(F.pow(F.lit(2.0), "__bits") * own)).first()[0] or 0
+    bucket = ["__g", "band", "code"]
+    subs = keyed.groupBy(*bucket).agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("__nsub"))
+    if n_buckets <= BROADCAST_BUCKETS:  # else Spark shuffles both sides
         subs = F.broadcast(subs)
-    keyed = coded.select("id", "vector", "brand", "category", of_band).join(subs, ["band", "code"])
+    keyed = keyed.join(subs, bucket)
     b = F.pmod(F.xxhash64("id"), F.col("__nsub")).cast("int")
-    pairs = _pair_groups(keyed, b, F.col("__nsub")).drop("__nsub").groupBy("band", "code", "__lo", "__hi").applyInPandas(
+    pairs = _pair_groups(keyed, b, F.col("__nsub")).drop("__nsub").groupBy(*bucket, "__lo", "__hi").applyInPandas(
         _block_pair_topk(k, w, exclude_same_brand, chunk_rows), _pair_schema(items.schema["id"].dataType)
     )
     # A pair is found at most once per band, so the k * bands best rows of an id hold at

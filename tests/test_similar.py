@@ -173,3 +173,20 @@ def test_lsh_codes_are_computed_once(spark):
     df = spark.createDataFrame(vector_rows(40), VECTOR_SCHEMA)
     out = sim.similar_for_all_lsh(df, k=2, w=0.0, rows_per_bucket=8)
     assert "codes(" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("w, costs", [(0.0, None), (0.0, (0.0, 0.0)), (0.5, (0.0, 0.0)), (1.0, None)])
+def test_lsh_recall_holds_where_buckets_are_poor(spark, monkeypatch, w, costs):
+    # vectors without clusters; some products have no category. Without costs of groups and copies the buckets are small ones.
+    if costs:
+        monkeypatch.setattr(sim, "GROUP_S", costs[0])
+        monkeypatch.setattr(sim, "COPY_S", costs[1])
+    rng = np.random.default_rng(3)
+    rows = [(i, f"p{i}", f"B{i % 5}", f"C{i % 3}" if i % 4 else None, True, [float(x) for x in rng.normal(size=32)]) for i in range(900)]
+    df = spark.createDataFrame(rows, "id long, description string, brand string, category string, is_vector boolean, vector array<double>")
+    exact = {(r["id"], r["neighbor_id"]) for r in sim.similar_for_all(df, k=4, w=w).collect()}
+    got = {(r["id"], r["neighbor_id"]) for r in sim.similar_for_all_lsh(df, k=4, w=w, bands=4, rows_per_bucket=16, block_rows=128).collect()}
+    assert len(got) == 4 * 900
+    for none in (False, True):  # with and without a category
+        want = {p for p in exact if (p[0] % 4 == 0) == none}
+        assert len(want & got) >= 0.9 * len(want), (none, len(want & got) / len(want))
