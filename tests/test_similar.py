@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 from catalog_sync.operators import similar as sim
+from catalog_sync.plans import registered
 
 
 def frame(spark, n=60, d=8, seed=3):
@@ -190,3 +191,11 @@ def test_lsh_recall_holds_where_buckets_are_poor(spark, monkeypatch, w, costs):
     for none in (False, True):  # with and without a category
         want = {p for p in exact if (p[0] % 4 == 0) == none}
         assert len(want & got) >= 0.9 * len(want), (none, len(want & got) / len(want))
+
+
+def test_registered_lsh_returns_blended_neighbours(spark):
+    sf = "/root/testdata/sf0.001"
+    got = {(r["id"], r["neighbor_id"]): r["combined_score"] for r in registered.QUERIES["similar_for_all_lsh_neighbours"](spark, sf).collect()}
+    true = {(r["id"], r["neighbor_id"]): r["combined_score"] for r in registered.QUERIES["similar_for_all"](spark, sf).collect()}  # w=0.5, exact
+    assert len(got) == len(true) and len(got.keys() & true.keys()) >= 0.9 * len(true)
+    assert all(abs(got[p] - true[p]) < 1e-6 for p in got.keys() & true.keys())
