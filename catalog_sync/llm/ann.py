@@ -87,6 +87,7 @@ class Index:
     sizes: np.ndarray  # rows per list, at most k + 1 per distinct vector
     n_blocks: np.ndarray  # blocks per list
     k: int
+    n_ids: int = 0  # distinct ids in the lists
 
 
 def build_index(rows: DataFrame, scratch: Scratch, *, k: int, sample_rows: int = 16_384, max_lists: int = 4_096, block_rows: int = 4_096, seed: int = 7) -> Index | None:
@@ -130,7 +131,8 @@ def build_index(rows: DataFrame, scratch: Scratch, *, k: int, sample_rows: int =
 
     blocks = dealt.withColumn("n", F.size("ids")).groupBy("list_id", "block").applyInArrow(
         lay_out, "list_id int, block int, ids array<array<bigint>>, points binary, rotated binary")
-    return Index(assigned, scratch.write(blocks, "blocks"), centres, rotation, sizes, n_blocks, k)
+    n_ids = assigned.select(F.explode("ids").alias("i")).distinct().count()
+    return Index(assigned, scratch.write(blocks, "blocks"), centres, rotation, sizes, n_blocks, k, n_ids)
 
 
 def probe_order(points: np.ndarray, index: Index) -> np.ndarray:
@@ -151,12 +153,20 @@ def measure_probes(queries: DataFrame, index: Index, *, recall: float, tune_quer
                 continue
             rows, lists = _matrix(batch.column(0)), batch.column(1).to_numpy()
             apart = (points * points).sum(axis=1)[:, None] + (rows * rows).sum(axis=1) - 2 * points @ rows.T
-            near = np.argsort(apart, axis=1, kind="stable")[:, :k]
-            q = np.repeat(np.arange(len(points)), near.shape[1])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(q, pa.int32()), pa.array(np.take_along_axis(apart, near, 1).ravel()), pa.array(lists[near].ravel(), pa.int32())], names=["q", "d", "list_id"])
-
-    found = index.entries.select("vector", "list_id").mapInArrow(best, "q int, d double, list_id int")
+            ids, out = batch.column(2).to_pylist(), []
+            for q, order in enumerate(np.argsort(apart, axis=1, kind="stable")):
+                taken: set[int] = set()
+                for e in order:
+                    if len(taken) >= k:
+                        break
+                    out += [(q, apart[q, e], lists[e], i) for i in ids[e] if i not in taken]
+                    taken.update(ids[e])
+            names = ["q", "d", "list_id", "vec_id"]
+            kinds = [pa.int32(), pa.float64(), pa.int32(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+
+    found = index.entries.select("vector", "list_id", "ids").mapInArrow(best, "q int, d double, list_id int, vec_id bigint")
+    found = found.groupBy("q", "vec_id").agg(F.min(F.struct("d", "list_id")).alias("n")).select("q", "n.*")
     ranked = found.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy("d", "list_id"))).filter(F.col("r") <= k)
     place = np.argsort(probe_order(points, index), axis=1)
     needed = np.sort([place[r["q"], r["list_id"]] for r in ranked.collect()])  # at most tune_queries * (k + 1) rows
@@ -190,7 +200,7 @@ def probes(queries: DataFrame, index: Index, n_probe: int) -> DataFrame:
 
 
 def scan_block(query: np.ndarray, rotated_query: np.ndarray, points: np.ndarray, rotated: np.ndarray, ids: list[list[int]], k: int, bound: float) -> list[tuple[float, int]]:
-    """The ``k`` nearest (distance, id) of one block, those beyond ``bound`` left out.
+    """The ``k`` nearest (distance, id) of one block, each id once, those beyond ``bound`` left out.
 
     ``rotated`` has a row per dimension. Vectors are taken in runs; the first
     run sets the distance that the later ones are tested against.
@@ -214,7 +224,10 @@ def scan_block(query: np.ndarray, rotated_query: np.ndarray, points: np.ndarray,
         if len(alive):
             exact = np.sqrt(((points[alive] - query) ** 2).sum(axis=1))
             best += [(d, i) for d, a in zip(exact.tolist(), alive.tolist(), strict=True) if d <= bound for i in ids[a]]
-            best = sorted(best)[:k]
+            nearest: dict[int, float] = {}
+            for d, i in sorted(best):  # an id counts once, at its smallest distance
+                nearest.setdefault(i, d)
+            best = [(d, i) for i, d in nearest.items()][:k]
             if len(best) == k:
                 bound = min(bound, best[-1][0])
     return best
@@ -246,16 +259,30 @@ def _nearest_rows(found: DataFrame, by: str, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
+def _once(found: DataFrame) -> DataFrame:
+    """Each id of a query once, at its smallest distance."""
+    return found.groupBy("query_key", "vec_id").agg(F.min("score").alias("score"))
+
+
 def search(index: Index, queries: DataFrame, scratch: Scratch, *, recall: float = 0.97, tune_queries: int = 200) -> DataFrame:
     """``query_key, vec_id, score`` of the ``k + 1`` nearest rows of each query (``query_key, vector``; keys are distinct)."""
     n_probe = measure_probes(queries, index, recall=recall, tune_queries=tune_queries)
     probed = scratch.write(probes(queries, index, n_probe), "probes")
     near = scratch.write(_scan(probed.filter("rank = 0").withColumn("bound", F.lit(float("inf"))), index), "nearest-list")
-    bounds = _nearest_rows(near, "query_key", index.k + 1).groupBy("query_key").agg(F.max("score").alias("far"), F.count(F.lit(1)).alias("n"))
+    bounds = _nearest_rows(_once(near), "query_key", index.k + 1).groupBy("query_key").agg(F.max("score").alias("far"), F.count(F.lit(1)).alias("n"))
     bounds = bounds.select(F.col("query_key").alias("q"), F.when(F.col("n") > index.k, F.col("far")).alias("far"))
     rest = probed.filter("rank > 0").join(bounds, F.col("query_key") == F.col("q"), "left").drop("q")
     rest = rest.withColumn("bound", F.coalesce("far", F.lit(float("inf")))).drop("far")
-    return _nearest_rows(near.unionByName(_scan(rest, index)).distinct(), "query_key", index.k + 1).select("query_key", "vec_id", "score")
+    found = _nearest_rows(_once(near.unionByName(_scan(rest, index))), "query_key", index.k + 1).select("query_key", "vec_id", "score")
+    if int(index.sizes.sum()) == index.n_ids:  # no id is shared: the probed lists hold enough
+        return found
+    # the probed lists of a query can hold few ids: then all lists are searched
+    found = scratch.write(found, "found")
+    enough = found.groupBy("query_key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min(index.k + 1, index.n_ids)).select("query_key")
+    short = scratch.write(queries.join(enough, "query_key", "left_anti"), "short-queries")
+    everywhere = probes(short, index, len(index.centres)).withColumn("bound", F.lit(float("inf")))
+    whole = _nearest_rows(_once(_scan(everywhere, index)), "query_key", index.k + 1).select("query_key", "vec_id", "score")
+    return found.join(enough, "query_key", "left_semi").unionByName(whole)
 
 
 def nearest_neighbours(vectors: DataFrame, queries: DataFrame, scratch: Scratch, *, k: int = 10, vec_id: str = "vec_id", vector: str = "embedding",

@@ -58,6 +58,19 @@ def test_hot_vector_ties_and_odd_rows(spark, scratch):
     assert recall(got, usable, [(i, np.array(v)) for i, v in points if i % 50 == 0]) == 1.0
 
 
+@pytest.mark.parametrize("block_rows", [16, 4096])
+def test_ids_shared_by_many_vectors(spark, scratch, block_rows):
+    # 60 vectors near the queries share the query's id, 200 more share three ids, and lie in lists of their own
+    rng = np.random.default_rng(1)
+    rows = [(0, (1 + rng.standard_normal(8) / 100).tolist()) for _ in range(60)]
+    rows += [(1 + i % 3, (1.1 + rng.standard_normal(8) / 100).tolist()) for i in range(200)]
+    rows += [(10 + i, (9 + rng.standard_normal(8)).tolist()) for i in range(100)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    queries = spark.createDataFrame([rows[0], rows[60], rows[300]], "vec_id long, embedding array<double>")
+    got = ann.nearest_neighbours(frame, queries, scratch, k=10, recall=1.0, tune_queries=500, block_rows=block_rows).collect()
+    assert recall(got, [(i, np.array(v)) for i, v in rows], [(i, np.array(v)) for i, v in (rows[0], rows[60], rows[300])]) == 1.0
+
+
 def test_few_and_no_vectors(spark, scratch):
     schema = "vec_id long, embedding array<float>"
     few = spark.createDataFrame([(100 * i, [float(i + 1), 1.0]) for i in range(4)], schema)
