@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog_sync.llm import ann, chat, importance, katz, mixing, packing, quality_rules, simhash, tokens, warc
+from catalog_sync.llm import ann, bpe, chat, clustering, importance, katz, mixing, packing, quality_rules, simhash, tokens, vector_codes, warc
 from catalog_sync.llm.tables import Scratch
 
 
@@ -175,11 +175,86 @@ SELECT conv_id, count(*) AS n_turns,
 FROM rows GROUP BY conv_id
 """
 
+
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    coded = bpe.encode_texts(_table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, pattern).drop("text")
+    return bpe.decode_ids(coded, ranks, pattern).select(
+        "doc_id", "n_tokens", bpe.hex_digest(F.col("ids")).alias("ids_sha256"), bpe.hex_digest(F.col("decoded")).alias("decoded_sha256"))
+
+
+def op12_shallot_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = F.sha2(F.concat(F.lit("2:"), F.col("id").cast("string")), 256)
+    return clustering.cluster(_table(spark, sf_dir, "embeddings"), Scratch(spark, "op12"), k=40, n_rounds=5, scale=256, dim=64, order=order)
+
+
+def _finite_sql(scale: int, only: str) -> str:
+    """Rows numbered, with their integer components."""
+    return f"""SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND {only} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+
+def _floor_div(total: str, n: str) -> str:
+    return f"(({total} - (({total} % {n}) + {n}) % {n}) // {n})::BIGINT"
+
+
+def _op12_sql(k: int = 40, n_rounds: int = 5) -> str:
+    """The rounds as CTEs: all distances, the nearest by distance and number, floor means where a cluster has vectors."""
+    steps = []
+    for i in range(n_rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (SELECT r, arg_min(c, (dist, c)) AS c, min(dist) AS dist
+  FROM (SELECT x.r, e.c, sum((x.x - e.x) * (x.x - e.x)) AS dist FROM x JOIN c{i} AS e USING (d) GROUP BY ALL) GROUP BY r)""")
+        if i < n_rounds:
+            steps.append(f"""c{i + 1} AS MATERIALIZED (SELECT o.c, o.d, coalesce({_floor_div("m.s", "m.n")}, o.x) AS x
+  FROM c{i} AS o LEFT JOIN (SELECT c, d, sum(x) AS s, count(*) AS n FROM x JOIN a{i} USING (r) GROUP BY ALL) AS m USING (c, d))""")
+    return f"""
+WITH kept AS MATERIALIZED ({_finite_sql(256, "len(embedding) = 64")}),
+x AS MATERIALIZED (SELECT r, unnest(range(64)) AS d, unnest(v) AS x FROM kept),
+s AS (SELECT r, row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, v) - 1 AS c FROM kept QUALIFY c < {k}),
+c0 AS MATERIALIZED (SELECT c, d, x FROM x JOIN s USING (r)),
+{", ".join(steps)},
+h AS (SELECT c, sha256(string_agg(x::BIGINT, ',' ORDER BY d)) AS centroid_sha256 FROM c{n_rounds} GROUP BY c)
+SELECT vec_id, c::INT AS cluster, dist::BIGINT AS distance, (sum(dist) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+  (sum(dist) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM kept JOIN a{n_rounds} USING (r) JOIN h USING (c)"""
+
+
+def op13_orchard_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = vector_codes.compress(_table(spark, sf_dir, "embeddings"), Scratch(spark, "op13"), n_parts=8, n_entries=16, n_rounds=6, scale=4096)
+    return vector_codes.with_label_error(codes.vectors).select(
+        F.col("id").alias("vec_id"), F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(codes.digest()).alias("codebooks_sha256"))
+
+
+def _op13_sql(n_parts: int = 8, n_entries: int = 16, n_rounds: int = 6) -> str:
+    """The rounds as CTEs, every part by its position ``p``; entries ``e`` of codebook ``p`` have components by ``d``."""
+    steps = []
+    for i in range(n_rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (SELECT r, p, arg_min(e, (dist, e)) AS e, min(dist) AS dist
+  FROM (SELECT x.r, x.p, b.e, sum((x.x - b.x) * (x.x - b.x)) AS dist FROM x JOIN b{i} AS b USING (p, d) GROUP BY ALL) GROUP BY r, p)""")
+        if i < n_rounds:
+            steps.append(f"""b{i + 1} AS MATERIALIZED (SELECT o.p, o.e, o.d, coalesce({_floor_div("m.s", "m.n")}, o.x) AS x
+  FROM b{i} AS o LEFT JOIN (SELECT p, e, d, sum(x) AS s, count(*) AS n FROM x JOIN a{i} USING (r, p) GROUP BY ALL) AS m USING (p, e, d))""")
+    return f"""
+WITH fine AS ({_finite_sql(4096, f"len(embedding) > 0 AND len(embedding) % {n_parts} = 0")}),
+kept AS MATERIALIZED (SELECT * FROM fine WHERE len(v) = (SELECT len(embedding) FROM embeddings WHERE len(embedding) > 0 AND len(embedding) % {n_parts} = 0 GROUP BY 1 ORDER BY count(*) DESC, 1 DESC LIMIT 1)),
+w AS (SELECT r, unnest(range(len(v))) AS i, unnest(v) AS x, len(v) // {n_parts} AS width FROM kept),
+x AS MATERIALIZED (SELECT r, i // width AS p, i % width AS d, x FROM w),
+s AS (SELECT r, row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS e FROM kept QUALIFY e < {n_entries}),
+b0 AS MATERIALIZED (SELECT p, e, d, x FROM x JOIN s USING (r)),
+{", ".join(steps)},
+coded AS (SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(dist)::BIGINT AS error FROM a{n_rounds} GROUP BY r)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(x::BIGINT, ',' ORDER BY p, e, d)) FROM b{n_rounds}) AS codebooks_sha256
+FROM kept JOIN coded USING (r)"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash_near_dedup, op2_token_counts, op3_adaptive_ann, op4_best_fit_packing, op5_katz_scoring, op6_quality_rules,
         op7_importance_resampling, op8_poisson_mixing, op9_warc,
-        op10_chat_formatting)
+        op10_chat_formatting, op11_byte_bpe, op12_shallot_kmeans, op13_orchard_codes)
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_quality_rules": _op6_sql(), "op9_warc": OP9_SQL, "op8_poisson_mixing": OP8_SQL, "op10_chat_formatting": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_quality_rules": _op6_sql(), "op9_warc": OP9_SQL, "op8_poisson_mixing": OP8_SQL, "op10_chat_formatting": OP10_SQL,
+                              "op12_shallot_kmeans": _op12_sql(), "op13_orchard_codes": _op13_sql()}

@@ -1,0 +1,104 @@
+"""Byte-level BPE against the library on whole texts, the other library, and exact round trips."""
+
+import base64
+import hashlib
+import random
+
+import public_tokenizers
+import pytest
+import tiktoken
+from tokenizers import Tokenizer
+
+from catalog_sync.llm import bpe, registered
+from pyspark.sql import functions as F
+
+SF = "/root/testdata/sf0.001"
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def whole():
+    with open(RANKS, "rb") as lines:
+        table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    return tiktoken.Encoding("whole", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={}).encode_ordinary
+
+
+@pytest.fixture(scope="module")
+def codec():
+    return bpe.Codec(RANKS, public_tokenizers.PATTERN)
+
+
+def packed(ids):
+    return b"".join(i.to_bytes(4, "little") for i in ids)
+
+
+def test_cutting_changes_no_id_beside_any_character(codec, whole):
+    most = 3
+    points = [c for c in range(0x30000) if not 0xD800 <= c <= 0xDFFF]
+    for at in range(0, len(points), 512):
+        text = "".join(f"a{chr(c)}b {chr(c)}{chr(c)} 1{chr(c)}2 .{chr(c)}! {chr(c)} \n{chr(c)}\t'{chr(c)}s  {chr(c)}'re" for c in points[at:at + 512])
+        parts = list(bpe.chunks(text, most))
+        assert "".join(parts) == text and len(parts) > 512
+        assert codec.encode(text, most) == packed(whole(text))
+
+
+def test_random_texts_at_every_chunk_length(codec, whole):
+    rng = random.Random(5)
+    signs = ["<|endoftext|>", " ", "  ", "\n", "\t", " ", "　", "\x1c", "\x85", "word", "Wörter", "don't", "we'll", "'", "''s", "12345", "…", "🙂", "\U000e0001", "aaaa", "!?", "日本語", "́"]
+    for _ in range(600):
+        text = "".join(rng.choice(signs) for _ in range(rng.randint(0, 40)))
+        ids = codec.encode(text, rng.randint(1, 30))
+        assert ids == packed(whole(text)) and codec.decode(ids, rng.randint(1, 9)) == text.encode()
+
+
+@pytest.mark.parametrize("text", ["a" * 3_000_000, " " * 500_000, " \n" * 200_000 + "x", "ab1" * 200_000, "'" * 300_000 + "s", "long " * 400_000, "é" * 500_000])
+def test_very_long_texts(codec, whole, text):
+    ids = codec.encode(text)
+    assert ids == packed(whole(text)) and codec.decode(ids) == text.encode()
+
+
+def test_white_space_too_long_for_the_library(codec):
+    text = "x" + " " * 3_000_000 + "y"  # one match of all but the last space
+    other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = codec.encode(text)
+    assert codec.decode(ids) == text.encode()
+    assert ids == packed(other.encode(text, add_special_tokens=False).ids)
+
+
+def test_query_equals_both_libraries(spark, whole):
+    docs = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = registered.op11_byte_bpe(spark, SF).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(docs)
+    for r in rows:
+        text = docs[r["doc_id"]]
+        ids = whole(text)
+        if "<|endoftext|>" not in text:
+            assert ids == other.encode(text, add_special_tokens=False).ids
+        assert (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) == (
+            len(ids), hashlib.sha256(packed(ids)).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
+
+
+def test_odd_rows(spark, odd_docs, no_docs):
+    clash = odd_docs.withColumn("IDS", F.lit("x")).withColumn("n_tokens", F.lit(-1)).withColumn("decoded", F.lit("y"))
+    coded = bpe.encode_texts(clash, RANKS, public_tokenizers.PATTERN, chunk=16)
+    back = bpe.decode_ids(coded, RANKS, public_tokenizers.PATTERN)
+    assert back.columns == ["doc_id", "lang", "source", "n_chars", "text", "n_tokens", "ids", "decoded"]
+    rows = back.collect()
+    assert len(rows) == odd_docs.count()
+    for r in rows:
+        assert bytes(r["decoded"]) == (r["text"] or "").encode() and len(r["ids"]) == 4 * r["n_tokens"]
+    assert bpe.decode_ids(bpe.encode_texts(no_docs, RANKS, public_tokenizers.PATTERN), RANKS, public_tokenizers.PATTERN).count() == 0
+    own = bpe.encode_texts(odd_docs, RANKS, public_tokenizers.PATTERN, ids="text")  # in place of the text
+    assert own.columns == ["doc_id", "lang", "source", "n_chars", "text", "n_tokens"] and dict(own.dtypes)["text"] == "binary"
+
+
+def test_bytes_that_are_no_text_and_bad_ids(spark):
+    raw = spark.sql("SELECT cast(X'61FF62' AS string) AS text")
+    out = bpe.decode_ids(bpe.encode_texts(raw, RANKS, public_tokenizers.PATTERN), RANKS, public_tokenizers.PATTERN).first()
+    assert bytes(out["decoded"]) == "a�b".encode()
+    none = spark.createDataFrame([(None,)], "ids binary")
+    assert bpe.decode_ids(none, RANKS, public_tokenizers.PATTERN).first()["decoded"] is None
+    for bad in (packed([60_000]), b"abc"):
+        with pytest.raises(Exception):
+            bpe.decode_ids(spark.createDataFrame([(bad,)], "ids binary"), RANKS, public_tokenizers.PATTERN).collect()
