@@ -10,15 +10,20 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# The columns a load's profile counts.
+PROFILED = ["description", "brand", "category", "item_number"]
+
+
+def completeness_columns(cols: list[str], total_name: str = "total_products", prefix: str = "products_with_") -> list[Column]:
+    """The aggregates of :func:`profile_completeness`."""
+    return [F.count(F.lit(1)).alias(total_name), *[F.count(F.col(f"`{c}`")).alias(f"{prefix}{c}") for c in cols]]
+
 
 def profile_completeness(df: DataFrame, cols: list[str] | None = None, total_name: str = "total_products",
                          prefix: str = "products_with_") -> DataFrame:
     """``COUNT(*)`` and the non-null count of each column, one row, one pass."""
-    cols = cols if cols is not None else ["description", "brand", "category", "item_number"]
-    return df.agg(
-        F.count(F.lit(1)).alias(total_name),
-        *[F.count(F.col(c)).alias(f"{prefix}{c}") for c in cols],
-    )
+    cols = cols if cols is not None else PROFILED
+    return df.agg(*completeness_columns(cols, total_name, prefix))
 
 
 def profile_uniqueness(df: DataFrame, key: str = "id", text_col: str = "description", approx: bool = False) -> DataFrame:

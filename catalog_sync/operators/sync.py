@@ -103,17 +103,19 @@ def upsert(
     the target is then joined without a shuffle and the source is shuffled
     once for both the duplicate check and the join.
 
-    ``key_rule="uuid"`` compares keys as lower-case trimmed text and writes
-    them so, on both sides (see :func:`key_expr`).
+    ``key_rule="uuid"`` compares keys as lower-case trimmed text (see
+    :func:`key_expr`); the table keeps the target's spelling, and an inserted row its source's.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     t_names, s_names = set(target.columns), set(source.columns)
     for k in keys:
         if k not in t_names or k not in s_names:
             raise ValueError(f"key column {k!r} must exist in target and source")
+    spelled = list(keys)  # the key columns as the table shows them; ``keys`` are what is compared
     if key_rule != KEY_EXACT:
-        target = target.withColumns({k: key_expr(k, key_rule) for k in keys})
-        source = source.withColumns({k: key_expr(k, key_rule) for k in keys})
+        keys = [f"__k_{k}" for k in spelled]
+        target = target.withColumns({c: key_expr(k, key_rule) for c, k in zip(keys, spelled, strict=True)})
+        source = source.withColumns({c: key_expr(k, key_rule) for c, k in zip(keys, spelled, strict=True)})
     src = source.drop(flag_col) if flag_col and flag_col in s_names else source
     if on_duplicate != "last" and order_col and order_col in src.columns:
         src = src.drop(order_col)
@@ -142,11 +144,9 @@ def upsert(
     j = t_side.join(s_side, keys, "full_outer")
     in_t = F.col("__in_t").isNotNull()
     in_s = F.col("__in_s").isNotNull()
-
     if change_cols is None:
-        change_cols = [c for c in DEFAULT_CHANGE_COLS if c in s_cols]
-    else:
-        change_cols = [c for c in change_cols if c in s_cols and c not in keys and c != flag_col]
+        change_cols = DEFAULT_CHANGE_COLS
+    change_cols = [c for c in change_cols if c in s_cols and c not in spelled and c != flag_col]
     flag_col = flag_col or None
     stamp_col = stamp_col or None
     diffs = [
@@ -157,9 +157,10 @@ def upsert(
     j = j.withColumn("__changed", changed)
     now_c = _now(now)
 
-    out: list[Column] = [F.col(k) for k in keys]
+    as_shown = keys != spelled
+    out: list[Column] = [F.coalesce(f"__t_{k}", F.col(f"__s_{k}").cast(t_types[k])).alias(k) if as_shown else F.col(k) for k in spelled]
     for c in t_cols:
-        if c in keys:
+        if c in keys or c in spelled:
             continue
         if flag_col and c == flag_col:
             out.append(F.when(~in_t | F.col("__changed"), F.lit(False)).otherwise(F.col(f"__t_{c}")).alias(c))
@@ -170,7 +171,7 @@ def upsert(
         else:
             out.append(F.col(f"__t_{c}").alias(c))
     for c in s_cols:
-        if c not in t_types:
+        if c not in t_types and c not in spelled:
             out.append(F.col(f"__s_{c}").alias(c))
     if flag_col and flag_col not in t_types:
         out.append(F.when(~in_t | F.col("__changed"), F.lit(False)).alias(flag_col))
@@ -187,13 +188,13 @@ def upsert(
     return j.select(*out)
 
 
-def merge_stats(merged_with_action: DataFrame) -> DataFrame:
-    """One-row statistics over ``upsert(..., with_action=True)``.
+STAT_NAMES = ["source_rows", "inserted", "matched", "changed", "unchanged", "untouched", "updated_rows", "total_rows"]
 
-    ``updated_rows`` follows the reference's row count: every matched or inserted row.
-    """
+
+def stat_columns() -> list[Column]:
+    """The aggregates of :func:`merge_stats`; they may also be observed on the plan that writes the table."""
     a = F.col("_action")
-    return merged_with_action.agg(
+    return [
         F.count_if(a != ACTION_KEEP).alias("source_rows"),
         F.count_if(a == ACTION_INSERT).alias("inserted"),
         F.count_if(a.isin(ACTION_UPDATE, ACTION_SAME)).alias("matched"),
@@ -202,7 +203,20 @@ def merge_stats(merged_with_action: DataFrame) -> DataFrame:
         F.count_if(a == ACTION_KEEP).alias("untouched"),
         F.count_if(a != ACTION_KEEP).alias("updated_rows"),
         F.count(F.lit(1)).alias("total_rows"),
-    )
+    ]
+
+
+def merge_stats(merged_with_action: DataFrame) -> DataFrame:
+    """One-row statistics over ``upsert(..., with_action=True)``.
+
+    ``updated_rows`` follows the reference's row count: every matched or inserted row.
+    """
+    return merged_with_action.agg(*stat_columns())
+
+
+def orphan_row(keys: list[str]) -> Column:
+    """Whether a row of ``upsert(..., with_action=True)`` vanished from the source (a NULL key matches nothing and never vanishes)."""
+    return (F.col("_action") == ACTION_KEEP) & _all([F.col(k).isNotNull() for k in keys])
 
 
 def key_expr(key: str, rule: str) -> Column:
@@ -212,6 +226,20 @@ def key_expr(key: str, rule: str) -> Column:
     return F.lower(F.trim(F.col(key).cast("string"))) if rule == KEY_UUID else F.col(key)
 
 
+_UUID_FORM = r"^\s*[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}\s*$"
+
+
+def detect_key_rule(target: DataFrame, source: DataFrame, key: str) -> str:
+    """``uuid`` if the keys are text and all of both sides look like UUIDs, else ``exact``.
+
+    One scan of the key column of each side, without a shuffle; keys of other types are never scanned.
+    """
+    if "string" not in (dict(target.dtypes)[key], dict(source.dtypes)[key]):
+        return KEY_EXACT
+    both = target.select(F.col(key).cast("string").alias("k")).union(source.select(F.col(key).cast("string").alias("k")))
+    return KEY_UUID if both.agg(F.bool_and(F.col("k").rlike(_UUID_FORM))).first()[0] else KEY_EXACT
+
+
 def _rule(target: DataFrame, source: DataFrame, key: str, rule: str | None) -> str:
     """The rule asked for; without one keys of different types are compared as text."""
     if key not in target.columns:
@@ -333,7 +361,7 @@ def cleanup_after_upsert(merged_with_action: DataFrame, min_overlap: float = 0.1
     keys = [keys] if isinstance(keys, str) else list(keys)
     has_key = _all([F.col(k).isNotNull() for k in keys])
     a = F.col("_action")
-    orphan = (a == ACTION_KEEP) & has_key  # a NULL-key target row is never an orphan
+    orphan = orphan_row(keys)
     if counts is None:
         row = merged_with_action.agg(
             F.count_if(has_key).alias("existing"), F.count_if(a != ACTION_KEEP).alias("common"), F.count_if(orphan).alias("orphans"),
@@ -367,12 +395,15 @@ def validate_load(profile: DataFrame, rules: str = "A") -> DataFrame:
     ids = total -> success else warning; an empty profile -> error.
     """
     if rules == "A":
+        def none_has(col: str) -> Column:  # a column that the profile lacks says nothing
+            return F.col(col) == 0 if col in profile.columns else F.lit(False)
+
         status = (
             F.when(F.col("total_products") == 0, F.lit("error"))
-            .when(F.col("products_with_description") == 0, F.lit("warning"))
+            .when(none_has("products_with_description"), F.lit("warning"))
             .otherwise(F.lit("success"))
         )
-        note = F.when((F.col("total_products") > 0) & (F.col("products_with_brand") == 0), F.lit("no brands")).otherwise(F.lit(None).cast("string"))
+        note = F.when((F.col("total_products") > 0) & none_has("products_with_brand"), F.lit("no brands")).otherwise(F.lit(None).cast("string"))
         return profile.select("*", status.alias("status"), note.alias("note"))
     if rules == "B":
         status = F.when(

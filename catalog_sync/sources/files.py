@@ -24,25 +24,33 @@ CATALOG_CSV_SCHEMA = T.StructType([
 ])
 
 
+#: A line that ends within a quoted field: whole fields and their commas, then a quote that no other closes.
+OPEN_QUOTE = r'^(?:(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|[^",][^,]*+|),)*+"[^"]*+(?:""[^"]*+)*+$'
+
+
 def read_catalog_csv(spark: SparkSession, path: str, schema: T.StructType = CATALOG_CSV_SCHEMA,
                      multi_line: bool = False) -> DataFrame:
     """Snapshot CSV: header, UTF-8, RFC-4180 doubled quotes; an empty field is NULL.
 
-    Files are split into byte ranges across tasks; a record that a quoted
-    newline cuts in two does not fit the schema and fails the read
-    (``FAILFAST``). Only for such files pass ``multi_line=True``, which reads
+    Files are split into byte ranges across tasks, and a line is a record. A record that a quoted
+    newline cuts in two fails the read, whatever columns the query asks for: each physical line is read whole, checked for an open quote,
+    parsed with all its columns (``FAILFAST``) and only then projected. Only for such files pass ``multi_line=True``, which reads
     each file in one task, so large exports should then arrive as many files.
     """
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("encoding", "UTF-8")
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
+    how = {"quote": '"', "escape": '"', "mode": "FAILFAST"}
+    if multi_line:
+        return spark.read.schema(schema).options(header=True, multiLine=True, encoding="UTF-8", columnPruning=False, **how).csv(path)
+    # the CSV source with signs that no text holds: it drops each file's header and blank lines, and splits files
+    lines = spark.read.schema("line string").options(header=True, encoding="UTF-8", sep="\x01", quote="", escape="\x02", mode="FAILFAST").csv(path)
+    line = F.col("line")
+    cut = F.assert_true(~(line.contains('"') & line.rlike(OPEN_QUOTE)), F.lit("a quoted newline cuts a record in two: read with multi_line=True"))
+    whole = lines.filter(cut.isNull())
+    # a generator is evaluated once a row and never pruned
+    return whole.select(F.inline(F.array(F.from_csv(line, _ddl(schema), how))))
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
 def write_catalog_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -78,21 +86,62 @@ def is_committed(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
 
 
-def write_snapshot(df: DataFrame, base: str, version: str | None = None) -> str:
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its scheme, as Spark names the files it reads."""
+    fs, p = _hadoop_path(spark, path)
+    return fs.makeQualified(p).toString()
+
+
+def modified_at(spark: SparkSession, path: str) -> int:
+    """Modification time of a file in milliseconds."""
+    fs, p = _hadoop_path(spark, path)
+    return fs.getFileStatus(p).getModificationTime()
+
+
+_NOTE = "_note"  # a name that Spark's readers pass over
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """A short text beside the data of a version folder."""
+    fs, p = _hadoop_path(spark, os.path.join(path, _NOTE))
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    """The text of :func:`write_note`; None for a folder without one."""
+    fs, p = _hadoop_path(spark, os.path.join(path, _NOTE))
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_snapshot(df: DataFrame, base: str, version: str | None = None, note: str | None = None, point: bool = True) -> str:
     """Write ``df`` as a new version under ``base`` and switch the pointer to it.
 
     The data lands in its own folder first; only then the small pointer is
     replaced, so readers see the old or the new version, never a mix, and a
     table can be rewritten from a plan that reads its current version. A
     committed version is never overwritten; the leftovers of a failed attempt
-    at the same version (no ``_SUCCESS`` marker) are replaced.
+    at the same version (no ``_SUCCESS`` marker) are replaced. ``note``: see :func:`write_note`.
+    ``point=False`` leaves the pointer where it is.
     """
     spark = df.sparkSession
     version = version or f"v-{_dt.datetime.now(_dt.timezone.utc).strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}"
     path = os.path.join(base, version)
     partial = path_exists(spark, path) and not is_committed(spark, path)
     df.write.mode("overwrite" if partial else "errorifexists").parquet(path)
-    set_current(spark, base, version)
+    if note is not None:
+        write_note(spark, path, note)
+    if point:
+        set_current(spark, base, version)
     return version
 
 

@@ -1,0 +1,200 @@
+"""Snapshot order and folders, key spelling, records cut by newlines, and the one-join sync."""
+
+import os
+import time
+
+import pytest
+
+from catalog_sync import fixtures as fx
+from catalog_sync.operators import sync
+from catalog_sync.plans.export import as_bi_rows, product_export
+from catalog_sync.plans.sync_catalog import sync_catalog, sync_version
+from catalog_sync.session import scratch_path
+from catalog_sync.sources import files as fs
+from catalog_sync.streaming.stream_sync import natural_order, stream_sync
+from pyspark.sql import functions as F
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = "id long, description string, category string"
+
+
+@pytest.fixture
+def feed(spark):
+    """A table, and functions that let a snapshot arrive, sync, and read the table."""
+    root = scratch_path(spark, "t-order")
+    base, snaps = os.path.join(root, "table"), os.path.join(root, "snaps")
+    fs.write_snapshot(spark.createDataFrame([(0, "zero", "c0")], SCHEMA), base, "initial")
+
+    def arrive(folder, rows, by=()):
+        spark.createDataFrame(rows, SCHEMA).repartition(2).write.partitionBy(*by).mode("append").parquet(os.path.join(snaps, folder))
+
+    def run(pattern="*", **how):
+        schema = spark.createDataFrame([], SCHEMA).schema
+        reports = stream_sync(spark, os.path.join(snaps, pattern) if pattern else snaps, schema, base, os.path.join(root, "ck"), now=fx.NOW, **how)
+        return [(r["snapshot"], r["status"]) for r in reports]
+
+    def table():
+        return {r["id"]: (r["description"], r["category"]) for r in fs.read_snapshot(spark, base).collect()}
+
+    return arrive, run, table, snaps
+
+
+def test_natural_order():
+    names = ["export-10", "export-9", "export-9b", "day=2024-12-01", "day=2024-2-1", "part-00001-0f3e1c52-aaaa-bbbb-cccc-0123456789ab.c000", "part-00001-9f3e1c52-aaaa-bbbb-cccc-0123456789ab.c000"]
+    assert sorted(names[:5], key=natural_order) == ["day=2024-2-1", "day=2024-12-01", "export-9", "export-9b", "export-10"]
+    assert natural_order(names[5]) == natural_order(names[6])
+
+
+@pytest.mark.parametrize("pattern", ["*", "export-*", None])
+def test_numbers_in_names_count_as_numbers(feed, pattern):
+    arrive, run, table, _ = feed
+    arrive("export-10", [(1, "ten", "c")])
+    arrive("export-9", [(1, "nine", "c")])
+    assert run(pattern) == [("export-9", "success"), ("export-10", "success")] and table() == {1: ("ten", "c")}
+    arrive("export-11", [(1, "eleven", "c"), (2, "b", "c")])
+    arrive("export-8", [(8, "old", "c")])
+    assert run(pattern) == [("export-8", "stale"), ("export-11", "success")] and table() == {1: ("eleven", "c"), 2: ("b", "c")}
+
+
+def test_the_callers_order_decides(feed):
+    arrive, run, table, _ = feed
+    arrive("b", [(1, "b", "c")])
+    arrive("a", [(1, "a", "c")])
+    assert run(order=lambda name: -ord(name[0])) == [("b", "success"), ("a", "success")] and table() == {1: ("a", "c")}
+    arrive("c", [(1, "c", "c")])
+    assert run(order=lambda name: -ord(name[0])) == [("c", "stale")]
+
+
+def test_equal_names_go_by_the_markers_time(feed):
+    arrive, run, table, snaps = feed
+    arrive("v-01", [(1, "later", "c")])
+    arrive("v-1", [(1, "sooner", "c")])
+    now = time.time()
+    os.utime(os.path.join(snaps, "v-01", "_SUCCESS"), (now, now))
+    os.utime(os.path.join(snaps, "v-1", "_SUCCESS"), (now - 50, now - 50))
+    assert run() == [("v-1", "success"), ("v-01", "success")] and table() == {1: ("later", "c")}
+    arrive("v-001", [(1, "stale", "c")])
+    os.utime(os.path.join(snaps, "v-001", "_SUCCESS"), (now - 20, now - 20))
+    assert run() == [("v-001", "stale")]
+
+
+@pytest.mark.parametrize("pattern", ["*", None])
+def test_partitioned_snapshots(feed, pattern):
+    arrive, run, table, snaps = feed
+    arrive("day=1", [(i, f"p{i}", f"c{i % 3}") for i in range(12)], by=["category"])
+    arrive("day=2", [(i, f"q{i}", f"c{i % 2}") for i in range(8)])
+    arrive("day=3", [(i, f"r{i}", f"c {i % 4}/%") for i in range(9)], by=["category"])  # a name that folders escape
+    assert run(pattern) == [("day=1", "success"), ("day=2", "success"), ("day=3", "success")]
+    assert table() == {i: (f"r{i}", f"c {i % 4}/%") for i in range(9)}
+    arrive("day=4", [(1, "s", "c1")], by=["category"])
+    os.remove(os.path.join(snaps, "day=4", "_SUCCESS"))
+    with pytest.raises(Exception, match="_SUCCESS"):
+        run(pattern)
+    open(os.path.join(snaps, "day=4", "_SUCCESS"), "w").close()
+    assert run(pattern) == [("day=4", "success")] and table() == {1: ("s", "c1")}
+
+
+def test_files_that_spark_names(feed):
+    arrive, run, table, snaps = feed
+    now = time.time()
+    for k in range(4):  # each job writes one file part-00000-<uuid>; the files' times give the order
+        before = set(os.listdir(snaps)) if os.path.isdir(snaps) else set()
+        from pyspark.sql import SparkSession
+
+        SparkSession.active().createDataFrame([(1, f"v{k}", "c")], SCHEMA).coalesce(1).write.mode("append").parquet(snaps)
+        for f in set(os.listdir(snaps)) - before:
+            if f.startswith("part-"):
+                os.utime(os.path.join(snaps, f), (now + 10 * k, now + 10 * k))
+    assert [s for _, s in run(None, unit="file")] == ["success"] * 4 and table() == {1: ("v3", "c")}
+
+
+def test_text_keys_keep_their_spelling(spark):
+    target = spark.createDataFrame([("AB-0", "x"), ("A1", "upper"), ("a1", "lower"), ("Gone", "y")], "id string, description string")
+    source = spark.createDataFrame([("AB-0", "new"), ("A1", "changed"), ("a1", "lower"), ("nEw", "z")], "id string, description string")
+    assert sync.detect_key_rule(target, source, "id") == "exact"
+    run = sync_version(target, source, scratch_path(spark, "t-keys"), fx.NOW, mapping={"id": "id", "description": "description"})
+    assert {r["id"]: r["description"] for r in run.table.collect()} == {"AB-0": "new", "A1": "changed", "a1": "lower", "nEw": "z"}
+    lazy = sync_catalog(target, source, fx.NOW, mapping={"id": "id", "description": "description"})
+    assert sorted(map(str, lazy.table.collect())) == sorted(map(str, run.table.collect()))
+
+
+def test_uuid_keys_compare_by_rule_and_keep_the_tables_spelling(spark):
+    a, b, c, d = (f"{x}0000000-1111-2222-3333-44444444444{x}" for x in "ABCD")
+    target = spark.createDataFrame([(a, "x"), (b.lower(), "y"), (c, "gone"), (None, "no key")], "id string, description string")
+    source = spark.createDataFrame([(f" {a.lower()} ", "x"), (b, "Y"), (d.lower(), "new")], "id string, description string")
+    assert sync.detect_key_rule(target, source, "id") == "uuid"
+    run = sync_version(target, source, scratch_path(spark, "t-uuids"), fx.NOW, mapping={"id": "id", "description": "description"})
+    assert {r["id"]: r["description"] for r in run.table.collect()} == {a: "x", b.lower(): "Y", d.lower(): "new", None: "no key"}
+    assert run.cleanup.deleted == 1 and run.merge_stats.first()["unchanged"] == 1
+    assert sync.detect_key_rule(spark.createDataFrame([], "id string"), spark.createDataFrame([(None,)], "id string"), "id") == "exact"
+
+
+def nodes(frame):
+    return frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_sync_joins_once(spark, monkeypatch):
+    export = as_bi_rows(product_export(fx.catalog(spark, SF).filter("id % 7 != 0"), fx.characteristics(spark, SF)))
+    written, write = [], fs.write_snapshot
+
+    def watch(df, *a, **b):
+        written.append(nodes(df))
+        return write(df, *a, **b)
+
+    monkeypatch.setattr(fs, "write_snapshot", watch)
+    run = sync_version(fx.cat_target(spark, SF), export, scratch_path(spark, "t-once"), fx.NOW)
+    assert len(written) == 1 and written[0].count("FullOuter") == 1 and "CollectMetrics" in written[0]
+    for report in (run.table, run.merge_stats, run.validation, run.operations, run.cleanup.stats):
+        assert "Join" not in nodes(report)
+    lazy = sync_catalog(fx.cat_target(spark, SF), export, fx.NOW)
+    for name in ("table", "merge_stats", "validation", "operations"):
+        a, b = getattr(run, name), getattr(lazy, name)
+        assert a.columns == b.columns and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert run.cleanup.stats.first() == lazy.cleanup.stats.first()
+
+
+def test_guard_rewrites_all_rows(spark):
+    foreign = as_bi_rows(fx.cat_source(spark, SF, guard_case=True).withColumn("product_properties", F.lit("a: b")))
+    base, target = scratch_path(spark, "t-guard"), fx.cat_target(spark, SF)
+    run = sync_version(target, foreign, base, fx.NOW)
+    lazy = sync_catalog(target, foreign, fx.NOW)
+    assert run.cleanup.status == "error" and run.cleanup.deleted == 0
+    assert sorted(map(str, run.table.collect())) == sorted(map(str, lazy.table.collect()))
+    assert fs.current_version(spark, base) == run.version and [d for d in os.listdir(base) if not d.startswith("_")] == [run.version]
+
+
+def test_profile_of_a_mapping_without_item_numbers(spark):
+    target = spark.createDataFrame([(1, "x")], "id long, description string")
+    source = spark.createDataFrame([(1, "x"), (2, None)], "id long, description string")
+    for run in (sync_catalog(target, source, fx.NOW, mapping={"id": "id", "description": "description"}),
+                sync_version(target, source, scratch_path(spark, "t-profile"), fx.NOW, mapping={"id": "id", "description": "description"})):
+        row = run.validation.first()
+        assert (row["total_products"], row["products_with_description"], row["status"], row["note"]) == (2, 1, "success", None)
+
+
+CSV = [('1,"two\nlines",b\n2,x,y\n', False), ('1,"a,""q""",b\n2,"","z"\n', True), ('1,"x\ny",z\n', False), ('1,a,"b\nc"\n', False),
+       ('1,5" pipe,b\n2,,c\n', True), ('1,5" pipe,"b\n9,c",\n', False), ('1,a,"b\n', False), ('1,"a" ,b\n\n2,c,d\n', True)]
+
+
+@pytest.mark.parametrize(("text", "fine"), CSV)
+def test_a_cut_record_fails_whatever_is_asked_for(spark, tmp_path, text, fine):
+    (tmp_path / "one.csv").write_text("id,description,brand\n" + text)
+    (tmp_path / "two.csv").write_text("id,description,brand\n7,plain,b\n")
+    schema = spark.createDataFrame([], "id string, description string, brand string").schema
+    rows = fs.read_catalog_csv(spark, str(tmp_path), schema)
+    asked = [lambda: rows.count(), lambda: rows.select("id").collect(), lambda: rows.select("brand").distinct().collect(), lambda: rows.collect(), lambda: rows.filter("id = '7'").count()]
+    for ask in asked:
+        if fine:
+            ask()
+        else:
+            with pytest.raises(Exception):
+                ask()
+    if fine:
+        plain = spark.read.schema(schema).options(header=True, quote='"', escape='"', mode="FAILFAST").csv(str(tmp_path))
+        assert sorted(map(str, rows.collect())) == sorted(map(str, plain.collect())) and rows.count() == plain.count() == rows.select("id").count()
+
+
+def test_very_long_quoted_fields(spark, tmp_path):
+    (tmp_path / "one.csv").write_text('id,description,brand\n1,"' + 'a""b,' * 300_000 + '",c\n')
+    schema = spark.createDataFrame([], "id string, description string, brand string").schema
+    assert len(fs.read_catalog_csv(spark, str(tmp_path), schema).first()["description"]) == 4 * 300_000
