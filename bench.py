@@ -29,7 +29,6 @@ HEADLINE = [
     "sync_catalog",
     "find_similar",
     "similar_for_all",
-    "similar_for_all_lsh",
 ]
 
 

@@ -427,9 +427,11 @@ def _scan_against(wanted: DataFrame, items: DataFrame, n_items: int, n_wanted: i
 def similar_for_all_lsh(df: DataFrame, k: int = 4, exclude_same_brand: bool = False, w: float = 1.0,
                         bands: int = 16, rows_per_bucket: int = 4096, block_rows: int = 4096, seed: int = 17,
                         id_col: str = "id", vector_col: str = "vector", flag_col: str = "is_vector",
-                        chunk_rows: int = CHUNK_ROWS, recall: float = 0.9, tune_queries: int = 200) -> DataFrame:
+                        chunk_rows: int = CHUNK_ROWS, recall: float = 0.9, tune_queries: int = 200, setting: Buckets | None = None) -> DataFrame:
     """Approximate top-k neighbours of every product (same output as :func:`similar_for_all`).
 
+    ``setting``: buckets to use as they are, without the search for a setting (whose recall the caller has measured).
+
     Candidates are the products that share a random-hyperplane bucket in at
     least one band. Where the category counts (``w > 0``) the rows of each
     category have buckets of their own as well: the best by blended score are
@@ -456,12 +458,12 @@ def similar_for_all_lsh(df: DataFrame, k: int = 4, exclude_same_brand: bool = Fa
     items.write.parquet(f"{base}/items")
     items = spark.read.parquet(f"{base}/items")
     n = items.count()
-    bits = max(1, min(30, math.ceil(math.log2(max(2, n / rows_per_bucket)))))
+    bits = setting.bits if setting else max(1, min(30, math.ceil(math.log2(max(2, n / rows_per_bucket)))))
     sizes = None
     if w:
         items.filter("category IS NOT NULL").groupBy("category").agg(F.count(F.lit(1)).alias("__rows")).write.parquet(f"{base}/sizes")
         sizes = spark.read.parquet(f"{base}/sizes")
-    use = _tune(items, sizes, n, int(first[0]), bits, k, w, exclude_same_brand, bands, rows_per_bucket, block_rows, seed, chunk_rows, recall, tune_queries)
+    use = setting or _tune(items, sizes, n, int(first[0]), bits, k, w, exclude_same_brand, bands, rows_per_bucket, block_rows, seed, chunk_rows, recall, tune_queries)
     bands = use.bands + use.category_bands
     coded = items.withColumn("__codes", lsh_codes("vector", int(first[0]), max(use.bands, use.category_bands), bits, seed))
     if use.category_bands:
