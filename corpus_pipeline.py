@@ -3,6 +3,12 @@
 Quality rules, then the quality classifier, drop documents; of each group of
 near-duplicates one document stays; sources are mixed to target weights;
 the mix is packed into training sequences.
+
+Defined cases, for every stage: null texts are empty (the rules reject them, having no words); a null language or source
+is a stratum or source of its own; a null id is an id like others (such documents are unlabelled); rows that repeat an id with equal texts count as
+copies, so near-dedup keeps one of them; without labels neither the rules' cutoffs nor the classifier reject
+anything; empty tables give empty results. All but the last stage return the input's columns with their values, also those named like a column that
+an operator adds (``kept``, ``n_words``, ``copy`` ...): an operator sees other names for all columns it doesn't read.
 """
 
 from __future__ import annotations
@@ -20,34 +26,43 @@ from catalog_sync.llm.tables import Scratch
 ORACLE_SQL: str | None = None
 
 
-def _columns(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+def _apart(docs: DataFrame, *read: str) -> DataFrame:
+    """``docs`` with the columns that an operator reads, and all others under names that no operator uses."""
+    return docs.select(*[F.col(f"`{c}`") if c in read else F.col(f"`{c}`").alias(f"__in_{i}") for i, c in enumerate(docs.columns)])
+
+
+def _back(rows: DataFrame, docs: DataFrame, *read: str) -> DataFrame:
+    """The columns of ``docs`` from rows of :func:`_apart`."""
+    return rows.select(*[F.col(f"`{c}`") if c in read else F.col(f"__in_{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``docs`` that neither the base rules nor a proven cutoff rejects."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    labels, read = spark.read.parquet(f"{sf_dir}/labels.parquet"), ("doc_id", "lang", "text")
     scratch = Scratch(spark, "rules")
-    features = scratch.write(quality_rules.with_features(docs.select("doc_id", "lang", "text")).drop("text"), "features")
+    features = scratch.write(quality_rules.with_features(docs.select(*read)).drop("text"), "features")
     cutoffs = scratch.write(quality_rules.fit_cutoffs(features, labels), "cutoffs")
-    judged = quality_rules.apply_rules(quality_rules.with_features(docs), cutoffs)
-    return _columns(judged.filter("kept"), docs)
+    judged = quality_rules.apply_rules(quality_rules.with_features(_apart(docs, *read)), cutoffs)
+    return _back(judged.filter("kept"), docs, *read)
 
 
 def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``docs`` that importance resampling keeps."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return _columns(importance.resample(docs, labels, Scratch(spark, "classifier"), keep_text=True).filter("kept"), docs)
+    labels, read = spark.read.parquet(f"{sf_dir}/labels.parquet"), ("doc_id", "text")
+    judged = importance.resample(_apart(docs, *read), labels, Scratch(spark, "classifier"), keep_text=True)
+    return _back(judged.filter("kept"), docs, *read)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group of ``docs``."""
-    return simhash.drop_near_duplicates(docs, shingle=3, max_distance=2, scratch=Scratch(spark, "near-dedup"))
+    read = ("doc_id", "text")
+    return _back(simhash.drop_near_duplicates(_apart(docs, *read), shingle=3, max_distance=2, scratch=Scratch(spark, "near-dedup")), docs, *read)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The copies of ``docs`` that the target weights ask for, shuffled."""
-    return _columns(mixing.mix(docs, mixing.repetition_rates(docs)), docs)
+    read = ("doc_id", "source")
+    return _back(mixing.mix(_apart(docs, *read), mixing.repetition_rates(docs)), docs, *read)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
