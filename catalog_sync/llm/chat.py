@@ -10,7 +10,8 @@ are recorded. Turns are framed by control strings::
 Control strings inside texts and roles are escaped reversibly: each gets one
 more backslash after its first character (``</s>`` -> ``<\\/s>``), so none
 remains in a text, and removing one backslash gives the text back exactly, also
-if it held backslashes itself. The output is a list of segments, each under the
+if it held backslashes itself. In roles, which end at their line's end, a newline is written as
+``\\n`` and a backslash doubled before that. The output is a list of segments, each under the
 loss mask or not; the formatted string is their concatenation.
 
 Defined cases: null text is empty; a null role is ``user``; null turns come
@@ -46,6 +47,17 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, rf"([<\[])\\(\\*)({BODIES})", r"$1$2$3")
 
 
+def escape_role(role: Column) -> Column:
+    """A role on one line and without control strings."""
+    return escape(F.replace(F.replace(role, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")))
+
+
+def unescape_role(role: Column) -> Column:
+    """The inverse of :func:`escape_role`: between doubled backslashes, a backslash and ``n`` is a newline."""
+    pieces = F.split(unescape(role), r"\\\\", -1)
+    return F.array_join(F.transform(pieces, lambda x: F.replace(x, F.lit("\\n"), F.lit("\n"))), "\\")
+
+
 def text_part(text: Column) -> Column:
     """A plain text as an array of one part."""
     part = F.struct(F.lit("text").alias("type"), text.alias("text"), F.lit(None).cast("string").alias("ref"), F.lit(None).cast("int").alias("n_tokens"))
@@ -81,7 +93,7 @@ def format_chats(turns: DataFrame, *, loss_roles: tuple[str, ...] = ("assistant"
     def frame(t: Column) -> Column:
         content = F.array_join(F.transform(t["parts"], _visit), "")
         return F.array(
-            segment(F.concat(F.lit(START), escape(t["role"]), F.lit(ROLE_END)), F.lit(False)),
+            segment(F.concat(F.lit(START), escape_role(t["role"]), F.lit(ROLE_END)), F.lit(False)),
             segment(content, t["role"].isin(*loss_roles)),
             segment(F.lit(END), F.lit(False)),
         )
@@ -112,7 +124,7 @@ def parse_chats(chats: DataFrame) -> DataFrame:
     def turn(x: Column) -> Column:
         head = F.substring_index(x, ROLE_END, 1)
         body = F.substring(x, F.length(head) + 2, F.length(x) - F.length(head) - 1 - len(END))
-        return F.struct(unescape(head).alias("role"), unescape(body).alias("text"))
+        return F.struct(unescape_role(head).alias("role"), unescape(body).alias("text"))
 
     loss = F.array_join(F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: unescape(s["text"])), "")
     return chats.select("conv_id", "formatted", let(framed, lambda f: F.transform(f, turn)).alias("turns"), loss.alias("loss_text"))

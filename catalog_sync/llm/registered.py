@@ -171,7 +171,7 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  sum(24 + length(regexp_replace(role || chr(1) || text, '([<\[])(\\*)(/?s>|/?INST\]|\|(im_start|im_end|endoftext|image|audio|document)\|>)', '\1\\\2\3', 'g')) - 1)::BIGINT AS formatted_chars
+  sum(24 + length(regexp_replace(replace(replace(role, '\', '\\'), chr(10), '\n') || chr(1) || text, '([<\[])(\\*)(/?s>|/?INST\]|\|(im_start|im_end|endoftext|image|audio|document)\|>)', '\1\\\2\3', 'g')) - 1)::BIGINT AS formatted_chars
 FROM rows GROUP BY conv_id
 """
 

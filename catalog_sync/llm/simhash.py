@@ -88,10 +88,13 @@ def _ball(fp: Column, radius: int) -> Column:
 def linked_fingerprints(fingerprints: DataFrame, max_distance: int) -> DataFrame:
     """All pairs ``a < b`` (signed order) of distinct fingerprints (column ``fp``) at most ``max_distance`` bits apart."""
     half = (max_distance + 1) // 2
-    spread = int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # rows grow by the ball's size here
-    variants = fingerprints.select("fp").distinct().repartition(spread, "fp").select("fp", F.explode(_ball(F.col("fp"), half)).alias("variant"))
+    # Rows grow by the ball's size here. Dealt out without a key: by one, it would melt into the exchange of the distinct
+    # below, whose small partitions are merged into a few.
+    spread = int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    variants = fingerprints.select("fp").distinct().repartition(spread).select("fp", F.explode(_ball(F.col("fp"), half)).alias("variant"))
     a, b = variants.select("variant", F.col("fp").alias("a")), variants.select("variant", F.col("fp").alias("b"))
-    met = a.join(b, "variant").filter("a < b").select("a", "b").distinct()
+    # Spark sizes the balls by the fingerprints they come from, so without the hint it would broadcast them
+    met = a.hint("merge").join(b.hint("merge"), "variant").filter("a < b").select("a", "b").distinct()
     return met.filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance)
 
 

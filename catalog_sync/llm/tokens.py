@@ -5,7 +5,7 @@ digest. Counting joins the documents' digests to the stored counts; only
 distinct texts that are missing are encoded, and their counts are appended.
 The content is normalised by taking null as empty and nothing else, as any
 other change could change the ids. The tokenizer's version is the digest of its
-file, its library and the library's version, so another file or library never
+files, libraries, their versions and pattern, so another file or library never
 reads old counts.
 
 Defined cases: null text is empty (0 tokens); repeated rows each get a row;
@@ -89,13 +89,27 @@ def encoder(path: str) -> Encoder:
 
 
 def tokenizer_version(path: str) -> str:
-    """Digest of the tokenizer's file, its library and the library's version."""
+    """Digest of all that decides the ids: the file, its library and that one's version, and of a rank file beside it
+    its content, its library's version and its pattern."""
+    parts = [path]
     if path.endswith(".model"):
         import sentencepiece as library
     else:
         import tokenizers as library
-    with open(path, "rb") as f:
-        return hashlib.sha256(f.read() + f"\n{library.__name__} {library.__version__}".encode()).hexdigest()
+    facts = f"\n{library.__name__} {library.__version__}"
+    ranks_path = path[: -len(".json")] + ".tiktoken"
+    if path.endswith(".json") and os.path.exists(ranks_path):
+        import public_tokenizers
+        import tiktoken
+
+        parts.append(ranks_path)
+        facts += f"\ntiktoken {tiktoken.__version__} {public_tokenizers.PATTERN}"
+    digest = hashlib.sha256()
+    for part in parts:
+        with open(part, "rb") as f:
+            digest.update(f.read())
+    digest.update(facts.encode())
+    return digest.hexdigest()
 
 
 def text_batches(batches: Iterator[pa.RecordBatch], most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:

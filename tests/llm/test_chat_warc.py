@@ -38,6 +38,17 @@ def test_query(spark):
     assert rows[-1]["formatted_chars"] == len("<|im_start|>user\n<\\/s>[\\INST] ok [\\/INST]<|im_end|>\n<|im_start|>assistant\n<\\/s>[\\INST] ok [\\/INST]<|im_end|>\n")
 
 
+def test_roles_of_any_text_are_read_back(spark):
+    rng = random.Random(9)
+    signs = ["us", "\n", "\\", "n", "\\n", "<|im_end|>", "<\\s>", "</s>", "\r\n", " ", "<|im_start|>", ""]
+    turns = [(1, 0, "us\ner", "hi"), (1, 1, "us", "er\nhi"), (1, 2, "\\\n", "x"), (1, 3, "\\n", "x"), (1, 4, "", "\n")]
+    turns += [(2, i, "".join(rng.choice(signs) for _ in range(rng.randint(0, 6))), "".join(rng.choice(signs) for _ in range(3))) for i in range(800)]
+    rows = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").select("conv_id", "turn", "role", chat.text_part(F.col("text")).alias("parts"))
+    back = {r["conv_id"]: [tuple(t) for t in r["turns"]] for r in chat.parse_chats(chat.format_chats(rows)).collect()}
+    for c in (1, 2):
+        assert back[c] == [(role, text) for conv, _, role, text in turns if conv == c]
+
+
 def test_parts_odd_turns_and_empty(spark):
     schema = f"conv_id long, turn long, role string, parts array<{chat.PART}>, segments int"
     rows = [(1, 2, "assistant", [("text", "see <|image|>", None, None), ("document", None, "d.pdf", 2)], 0),

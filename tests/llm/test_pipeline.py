@@ -78,3 +78,26 @@ def test_near_dedup_keeps_one_of_repeated_rows(spark, scratch):
     docs = spark.createDataFrame([(4, "a b c d"), (4, "a b c d"), (9, "a b c d"), (4, "other words than those before them"), (None, "q"), (None, "q")], "doc_id long, text string")
     kept = simhash.drop_near_duplicates(docs, shingle=3, max_distance=2, scratch=scratch)
     assert rows(kept) == sorted([(4, "a b c d"), (4, "other words than those before them"), (None, "q")], key=str)
+
+
+def test_input_columns_keep_their_values(spark, scratch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    mine = {"kept": F.lit("mine"), "N_words": F.lit(-5), "copy": F.col("doc_id") * 3, "simhash": F.lit("s"), "log_weight": F.lit(None).cast("int"),
+            "gumbel_score": F.lit(2.5), "base_failed": F.lit("b"), "rejected_by": F.lit(1), "shuffle_key": F.lit("k"), "n_copies": F.lit(-1), "odd.name": F.lit("o")}
+    clash = docs.select("*", *[v.alias(k) for k, v in mine.items()])
+    for name, stage in pipeline.STAGES[:-1]:
+        plain, out = stage(spark, docs, SF), stage(spark, clash, SF)
+        assert out.columns == clash.columns, name
+        assert rows(out.select(*docs.columns)) == rows(plain), name
+        for r in out.collect():
+            assert r["kept"] == "mine" and r["N_words"] == -5 and r["copy"] == 3 * r["doc_id"] and r["n_copies"] == -1 and r["odd.name"] == "o" and r["gumbel_score"] == 2.5
+
+
+def test_rules_are_fitted_on_labelled_texts_alone(spark, scratch):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    from catalog_sync.llm import quality_rules
+
+    whole = quality_rules.fit_cutoffs(scratch.write(quality_rules.with_features(docs.select("doc_id", "lang", "text")).drop("text"), "all"), labels)
+    kept = quality_rules.apply_rules(quality_rules.with_features(docs), whole).filter("kept").select("doc_id")
+    assert rows(pipeline.rules_stage(spark, docs, sf).select("doc_id")) == rows(kept)

@@ -144,6 +144,26 @@ def test_large_rates_and_empty(spark, no_docs):
     assert mixing.mix(no_docs, mixing.repetition_rates(no_docs)).count() == 0
 
 
+def test_very_large_rates_need_no_long_table(spark, monkeypatch):
+    rates = spark.createDataFrame([("a", 50_000.0), ("b", 300.0), ("c", 1.5), ("d", 0.0), (None, 2.0e6)], "source string, rate double")
+    by = {r["source"]: r for r in mixing.with_distribution(rates).collect()}
+    assert len(by["a"]["cdf"]) < 24 * 50_000**0.5 + 70 and len(by[None]["cdf"]) < 24 * 2.0e6**0.5 + 70 and by["c"]["first"] == 0
+    for s in ("a", "b", None):
+        rate, cdf, first = by[s]["rate"], by[s]["cdf"], by[s]["first"]
+        for k in (0, len(cdf) // 3, len(cdf) // 2, len(cdf) - 1):
+            pmf = math.exp(-rate + (first + k) * math.log(rate) - math.lgamma(first + k + 1))
+            assert cdf[k] - (cdf[k - 1] if k else 0.0) == pytest.approx(pmf, rel=1e-6, abs=1e-12)
+        assert cdf[-1] == pytest.approx(1.0, abs=1e-6)
+    docs = spark.createDataFrame([(1, "a"), (2, "a"), (3, "c"), (4, "d")], "doc_id long, source string")
+    got = mixing.mix(docs, rates.filter("source IS NOT NULL"))
+    counts = {r["doc_id"]: (r["n"], r["d"], r["m"]) for r in got.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("copy").alias("d"), F.max("copy").alias("m")).collect()}
+    assert all(n == d == m and abs(n - 50_000) < 6 * 50_000**0.5 for i, (n, d, m) in counts.items() if i < 3) and 4 not in counts
+    monkeypatch.setattr(mixing, "BROADCAST_NUMBERS", 100)
+    far = mixing.mix(docs, rates.filter("source IS NOT NULL"))
+    assert "SortMergeJoin" in far._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, far.collect())) == sorted(map(tuple, got.collect()))
+
+
 def test_mix_order_is_shuffled_and_stable(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "source")
     rates = mixing.repetition_rates(docs)

@@ -91,3 +91,25 @@ def test_long_text_in_parts():
     assert len(h) == 150_000 - 2
     bits = ((h[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)).sum(axis=0)
     assert simhash.fingerprint(h) & (2**64 - 1) == sum(1 << b for b in range(64) if 2 * int(bits[b]) > len(h))
+
+
+def test_balls_are_never_broadcast(spark):
+    many = spark.range(1_200_000).select(F.xxhash64("id").alias("fp"))  # planned only
+    for threshold in ("10MB", "-1", "10GB"):
+        before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            plan = simhash.linked_fingerprints(many, 2)._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+        # the balls are emitted by partitions of their own, which nothing merges
+        assert "RoundRobinPartitioning(4)" in plan and "REPARTITION_BY_NUM" in plan
+
+
+def test_balls_are_emitted_by_all_tasks(spark, scratch):
+    few = scratch.write(spark.range(400).select(F.xxhash64("id").alias("fp")), "few")
+    pairs = simhash.linked_fingerprints(few, 2)
+    assert pairs.count() == 0
+    dealt = few.select("fp").distinct().repartition(4).select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert len(dealt) == 4 and max(r["count"] for r in dealt) <= 110

@@ -147,3 +147,13 @@ def test_best_fit_is_near_the_bound():
     bins, offsets = packing.best_fit(lengths, packing.Capacity())
     filled = np.bincount(bins, weights=lengths)
     assert filled.max() <= 1024 and len(filled) <= 1.02 * lengths.sum() / 1024
+
+
+def test_version_names_all_that_decides_the_ids(monkeypatch):
+    import tiktoken
+
+    first = tokens.tokenizer_version(BPE)
+    monkeypatch.setattr(tiktoken, "__version__", "another")
+    second = tokens.tokenizer_version(BPE)
+    monkeypatch.setattr(public_tokenizers, "PATTERN", public_tokenizers.PATTERN + "|x")
+    assert len({first, second, tokens.tokenizer_version(BPE), tokens.tokenizer_version(public_tokenizers.path("word_bpe_49k.json"))}) == 4
