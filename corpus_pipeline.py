@@ -20,12 +20,16 @@ from pyspark.sql import functions as F
 
 from catalog_sync.llm import importance, mixing, packing, quality_rules, simhash
 from catalog_sync.llm.registered import bpe_tokenizer
-from catalog_sync.llm.tables import Scratch
+from catalog_sync.llm.tables import Scratch, bounded_broadcast
 
 #: The classifier and the tokenizer can't be expressed in SQL; the stages are tested against brute force.
 ORACLE_SQL: str | None = None
 
 
+#: Labelled ids (8 bytes each) up to which they are broadcast to pick the labelled documents; more are joined by a shuffle.
+MAX_BROADCAST_IDS = 1_000_000
+
+
 def _apart(docs: DataFrame, *read: str) -> DataFrame:
     """``docs`` with the columns that an operator reads, and all others under names that no operator uses."""
     return docs.select(*[F.col(f"`{c}`") if c in read else F.col(f"`{c}`").alias(f"__in_{i}") for i, c in enumerate(docs.columns)])
@@ -37,10 +41,12 @@ def _back(rows: DataFrame, docs: DataFrame, *read: str) -> DataFrame:
 
 
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``docs`` that neither the base rules nor a proven cutoff rejects."""
+    """``docs`` that neither the base rules nor a proven cutoff rejects; the cutoffs are fitted on the labelled ones' features alone."""
     labels, read = spark.read.parquet(f"{sf_dir}/labels.parquet"), ("doc_id", "lang", "text")
     scratch = Scratch(spark, "rules")
-    features = scratch.write(quality_rules.with_features(docs.select(*read)).drop("text"), "features")
+    labelled = bounded_broadcast(labels.select("doc_id").filter("doc_id IS NOT NULL").distinct(), MAX_BROADCAST_IDS)
+    fit = docs.select(*read).join(labelled, "doc_id", "left_semi")
+    features = scratch.write(quality_rules.with_features(fit).drop("text"), "features")
     cutoffs = scratch.write(quality_rules.fit_cutoffs(features, labels), "cutoffs")
     judged = quality_rules.apply_rules(quality_rules.with_features(_apart(docs, *read)), cutoffs)
     return _back(judged.filter("kept"), docs, *read)
