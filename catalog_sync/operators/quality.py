@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _rule_violation(rule: dict) -> tuple[str, str, Column]:
+def rule_violation(rule: dict) -> tuple[str, str, Column]:
     kind, col = rule["kind"], rule["col"]
     c = F.col(col)
     if kind == "not_null":
@@ -28,7 +28,7 @@ def check_constraints(df: DataFrame, rules: list[dict]) -> DataFrame:
     "max": n}`` (VARCHAR(n)), ``{"kind": "allowed", "col": c, "values": [...]}``
     (NULL passes, as a CHECK does).
     """
-    parts = [_rule_violation(r) for r in rules]
+    parts = [rule_violation(r) for r in rules]
     counts = df.agg(*[F.count_if(v).alias(f"__v{i}") for i, (_, _, v) in enumerate(parts)])
     rows = F.array(*[
         F.struct(F.lit(kind).alias("rule"), F.lit(col).alias("column"), F.col(f"__v{i}").alias("violations"))
