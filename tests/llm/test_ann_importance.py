@@ -82,6 +82,36 @@ def test_few_and_no_vectors(spark, scratch):
     assert ann.nearest_neighbours(few.withColumn("embedding", F.lit(None).cast("array<float>")), few, scratch).count() == 0
 
 
+def test_queries_in_chunks_give_the_same(spark, scratch, monkeypatch):
+    rng = np.random.default_rng(6)
+    frame = spark.createDataFrame([(i, rng.standard_normal(8).tolist()) for i in range(400)], "vec_id long, embedding array<double>")
+    ask = lambda: sorted(map(tuple, ann.nearest_neighbours(frame, frame.filter("vec_id % 20 = 0"), scratch, k=5, recall=1.0, block_rows=64).collect()))
+    whole = ask()
+    monkeypatch.setattr(ann, "CHUNK_QUERIES", 3)
+    assert ask() == whole and len(whole) == 100
+
+
+def test_short_lists_share_a_shard_and_long_ones_have_their_own():
+    n = np.array([3, 4, 0, 9, 25, 2, 10, 1])
+    first, spread = ann.place_lists(n, 10)
+    assert spread.tolist() == [1, 1, 1, 1, 3, 1, 1, 1]
+    assert first.tolist() == [0, 0, 0, 1, 2, 5, 6, 7]
+    held = Counter()
+    for at, rows, wide in zip(first, n, spread, strict=True):
+        held[at] += rows if wide == 1 else 10
+    assert max(held.values()) <= 10 and not set(range(2, 5)) & {int(a) for a, w in zip(first, spread, strict=True) if w == 1}
+
+
+def test_scan_takes_the_rows_given_and_tells_its_work():
+    rng = np.random.default_rng(5)
+    points, q = rng.standard_normal((3000, 64)), rng.standard_normal(64)
+    turn = np.linalg.qr(rng.standard_normal((64, 64)))[0]
+    laid, work, rows = np.ascontiguousarray((points @ turn).T.astype(np.float32)), np.zeros(2, np.int64), np.arange(0, 3000, 2)
+    got = ann.scan_block(q, (q @ turn).astype(np.float32), points, laid, [[i] for i in range(3000)], 10, math.inf, rows, work)
+    assert got == sorted(zip(np.sqrt(((points[rows] - q) ** 2).sum(axis=1)).tolist(), rows.tolist(), strict=True))[:10]
+    assert work[0] == 1500 * 64 and 512 * 64 < work[1] < work[0]
+
+
 def test_scan_abandons_but_keeps_the_nearest():
     rng = np.random.default_rng(4)
     points, q = rng.standard_normal((4000, 64)), rng.standard_normal(64)
