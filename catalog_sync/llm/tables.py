@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import sys
-import time
 import types
 import uuid
 from collections.abc import Callable
@@ -68,19 +66,6 @@ def release_all() -> None:
 atexit.register(release_all)
 
 
-def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of frames that nothing refers to any more.
-
-    Its cleaner does so when the driver's JVM collects garbage, which may be
-    long after a table is written; between large steps it is asked to. The
-    first round drops the plans, the second what only they referred to.
-    """
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(1)
-
-
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast if it has at most ``max_rows`` rows, else as it is (Spark then shuffles)."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
