@@ -7,7 +7,8 @@ with category match: ``(1 - distance) * (1 - w) + category_match * w``.
   higher-order functions, ``engine="hof"``), and ``orderBy.limit`` keeps k rows
   per partition before the single merge task.
 * :func:`similar_for_all` — top-k neighbours of every product, exact. Rows are
-  hashed into blocks of at most ``block_rows``; each unordered block pair is
+  hashed into blocks of ``block_rows`` or more, :data:`BLOCKS` at most until a block
+  holds :data:`BLOCK_VALUES` components; each unordered block pair is
   one Arrow group that multiplies the two matrices once with numpy (the score
   is symmetric, so the product serves both directions) and emits only the k
   best candidates per row; a window group limit merges the per-pair winners.
@@ -166,70 +167,215 @@ def _exact_topk_mask(sort_score: np.ndarray, dist: np.ndarray, cand_ids: np.ndar
     return better
 
 
-def _topk_rows(q_ids, c_ids, score, dist, match, valid, k: int) -> pd.DataFrame:
-    """The k best candidates (columns) of every query (row) of one score matrix."""
-    # rank key: NaN scores first (PostgreSQL DESC), then score desc, distance asc, id asc
-    sort_score = np.where(np.isnan(score), np.inf, score)
-    sort_score = np.where(valid, sort_score, -np.inf)
-    keep = _exact_topk_mask(sort_score, dist, c_ids, valid, k)
-    qi, ci = np.nonzero(keep)
-    return pd.DataFrame({
-        "id": q_ids[qi],
-        "neighbor_id": c_ids[ci],
-        "vector_distance": dist[qi, ci],
-        "category_match": match[qi, ci],
-        "combined_score": score[qi, ci],
-    })
-
-
-# rows of one block scored per matrix product: bounds a task's matrices to
-# CHUNK_ROWS x block_rows doubles (about 32 MB each at 1024 x 4096)
+# rows scored against a tile of TILE_ROWS others per matrix product (16 MB at 1024 x 4096)
 CHUNK_ROWS = 1024
+TILE_ROWS = 4096
+#: Blocks into which a scan deals its rows, that is copies of a row that are shuffled, until a block reaches BLOCK_VALUES components.
+BLOCKS = 24
+BLOCK_VALUES = 1 << 22
+
+
+def _block_size(n: float, block_rows: int, dim: int, blocks: int = BLOCKS) -> int:
+    """Rows of a block: at least ``block_rows``, as many as make ``blocks`` of them, and at most ``BLOCK_VALUES`` components."""
+    return max(1, block_rows, min(math.ceil(n / blocks), BLOCK_VALUES // max(1, dim)))
+
+
+def _candidates(vectors: pd.Series, odd: np.ndarray, category: np.ndarray, brand: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Of equal rows only those with the ``k + 1`` smallest ids can be among anyone's k best; rows whose scores are all NaN count as equal."""
+    value = pd.factorize(np.array([b"" if o else v.tobytes() for v, o in zip(vectors, odd, strict=True)], dtype=object))[0]
+    rows = pd.DataFrame({"value": value, "category": np.where(odd, -1, category), "brand": brand, "id": ids})
+    key = ["value", "category", "brand"]
+    size = rows.groupby(key)["id"].transform("size").to_numpy()
+    keep = size <= k + 1
+    if not keep.all():
+        keep[~keep] = rows[~keep].groupby(key)["id"].rank("dense").to_numpy() <= k + 1
+    return keep
+
+
+def _kth(s: np.ndarray, k: int, axis: int, room: np.ndarray) -> np.ndarray:
+    """A lower bound of the k-th largest value along ``axis``: that of the maxima of disjoint sets of places. ``room``: memory for half of ``s``."""
+    n = s.shape[axis]
+    while n >= 16 * k:
+        half = n // 2
+        if axis == 0:
+            s = np.maximum(s[:half], s[n - half:n], out=room[:half * s.shape[1]].reshape(half, -1))
+        else:
+            s = np.maximum(s[:, :half], s[:, n - half:n], out=s[:, :half] if s.base is room else room[:len(s) * half].reshape(-1, half))
+        n = half
+    s = s.T if axis == 0 else s
+    return np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k] if s.shape[1] >= k else np.full(len(s), -np.inf, s.dtype)
+
+
+def _places(mask: np.ndarray) -> np.ndarray:
+    """The set places of a flat mask that has few, eight at a time."""
+    whole = len(mask) // 8 * 8
+    eights = np.flatnonzero(mask[:whole].view(np.uint64))
+    r, c = np.nonzero(mask[:whole].reshape(-1, 8)[eights])
+    return np.append(eights[r] * 8 + c, np.flatnonzero(mask[whole:]) + whole)
+
+
+class _Rows:
+    """Rows of a group as arrays; ids, categories and brands as numbers (missing ones -1), ids in their order."""
+
+    def __init__(self, pdf: pd.DataFrame, k: int, w: float, exclude_same_brand: bool) -> None:
+        self.k, self.w, self.rule = k, w, exclude_same_brand
+        self.vector = np.vstack(pdf["vector"].to_numpy()).astype(np.float64)
+        with np.errstate(all="ignore"):
+            self.norm = np.linalg.norm(self.vector, axis=1)
+            self.never = ~np.isfinite(self.vector).all(axis=1) | (self.norm == 0)  # NaN against any other
+            self.extreme = ~self.never & ~((self.norm > 1e-140) & (self.norm < 1e140))  # left to double precision
+            self.unit = np.where((self.never | self.extreme)[:, None], 0.0, self.vector / self.norm[:, None]).astype(np.float32)
+        self.id = pd.factorize(pdf["id"].to_numpy(), sort=True)[0]
+        self.category = pd.factorize(pdf["category"].to_numpy(dtype=object))[0]
+        self.brand = pd.factorize(pdf["brand"].to_numpy(dtype=object))[0] if exclude_same_brand else np.zeros(len(pdf), np.int64)
+        self.candidate = _candidates(pdf["vector"], self.never, self.category, self.brand, self.id, k)
+        # single-precision scores rank as the exact ones do, but for eps; at w=1 equal scores rank by distance
+        self.by_cosine, self.by_category = (1.0, 2.0) if w == 1 else (1.0 - w, w)
+        self.eps = np.float32((abs(self.by_cosine) + abs(self.by_category)) * (self.vector.shape[1] + 32) * 2.0**-22)
+
+    def exact(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distance, category match and score of the pairs of rows ``(a, b)``."""
+        cos = np.empty(len(a))
+        with np.errstate(all="ignore"):
+            for i in range(0, len(a), 1 << 16):
+                x, y = a[i:i + (1 << 16)], b[i:i + (1 << 16)]
+                cos[i:i + (1 << 16)] = np.einsum("ij,ij->i", self.vector[x], self.vector[y]) / (self.norm[x] * self.norm[y])
+        cos[~np.isfinite(cos)] = np.nan
+        dist = np.round(1.0 - cos, DIGITS) + 0.0  # no negative zero
+        match = ((self.category[a] == self.category[b]) & (self.category[a] >= 0)).astype(np.float64)
+        return dist, match, (1.0 - dist) * (1.0 - self.w) + match * self.w
+
+    def valid(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        ok = (self.id[a] != self.id[b]) | (self.id[a] < 0)
+        return ok & (self.brand[a] != self.brand[b]) & (self.brand[a] >= 0) & (self.brand[b] >= 0) if self.rule else ok
+
+    def best_of_all(self, a: np.ndarray, b: np.ndarray, at_once: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Pairs with the exact best among ``b`` of each of ``a``, where single precision can't tell enough of them apart."""
+        out = []
+        for i in range(0, len(a), at_once):
+            for j in range(0, len(b), TILE_ROWS):
+                x, y = np.meshgrid(a[i:i + at_once], b[j:j + TILE_ROWS], indexing="ij")
+                dist, _, score = (v.reshape(x.shape) for v in self.exact(x.ravel(), y.ravel()))
+                ok = self.valid(x, y)
+                rank = np.where(ok, np.where(np.isnan(score), np.inf, score), -np.inf)
+                keep = _exact_topk_mask(rank, dist, self.id[b[j:j + TILE_ROWS]], ok, self.k)
+                out.append((x[keep], y[keep]))
+        return out
+
+    def pairs(self, a: np.ndarray, b: np.ndarray, at_once: int, same: bool, both_ways: bool) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Pairs ``(row, candidate)`` that hold the k best in ``b`` of each row in ``a`` and, ``both_ways``, the k best in ``a`` of each in ``b``.
+
+        Tiles of single-precision scores, each read both ways; a pair stays while it may still be among a row's k best. ``same``: the
+        two share ids.
+        """
+        a, b = a[np.argsort(self.category[a], kind="stable")], b[np.argsort(self.category[b], kind="stable")]
+        reach = {0: np.full(len(a), -np.inf, np.float32), 1: np.full(len(b), -np.inf, np.float32)}  # at least so much has the k-th best
+        crowd = {0: self.extreme[a], 1: self.extreme[b]}  # rows with too many equals in single precision
+        kept: dict[int, list] = {0: [], 1: []}
+        left = self.unit[a] * np.float32(self.by_cosine)
+
+        def least(side: int, part: slice) -> np.ndarray:
+            least = np.maximum(reach[side][part] - self.eps, np.float32(-3e38))
+            least[crowd[side][part]] = np.nan
+            return least
+
+        def cut(side: int) -> None:
+            if kept[side]:
+                own, other, score = (np.concatenate(x) for x in zip(*kept[side], strict=True))
+                ok = score >= least(side, slice(None))[own]
+                kept[side] = [(own[ok], other[ok], score[ok])]
+
+        area = min(at_once, len(a)) * min(TILE_ROWS, len(b))
+        scores, room, flags = np.empty(area, np.float32), np.empty(area // 2 + 1, np.float32), np.empty(area, bool)
+        for i in range(0, len(a), at_once):
+            rows = slice(i, i + at_once)
+            x = a[rows]
+            for j in range(0, len(b), TILE_ROWS):
+                cols = slice(j, j + TILE_ROWS)
+                y = b[cols]
+                s = np.matmul(left[rows], self.unit[y].T, out=scores[:len(x) * len(y)].reshape(len(x), len(y)))
+                kinds, first = np.unique(self.category[x], return_index=True)
+                lo, hi = np.searchsorted(self.category[y], kinds, "left"), np.searchsorted(self.category[y], kinds, "right")
+                for kind, r0, r1, c0, c1 in zip(kinds, first, [*first[1:], len(x)], lo, hi, strict=True):
+                    if kind >= 0:
+                        s[r0:r1, c0:c1] += np.float32(self.by_category)
+                s[:, self.never[y]] = np.inf
+                s[self.never[x], :] = np.inf
+                s[:, self.extreme[y]] = -np.inf
+                s[self.extreme[x], :] = -np.inf
+                if self.rule:
+                    s[(self.brand[x][:, None] == self.brand[y][None, :])] = -np.inf
+                    s[self.brand[x] < 0, :] = -np.inf
+                    s[:, self.brand[y] < 0] = -np.inf
+                if same:
+                    order = np.argsort(self.id[y], kind="stable")
+                    lo, hi = np.searchsorted(self.id[y], self.id[x], "left", order), np.searchsorted(self.id[y], self.id[x], "right", order)
+                    n = np.where(self.id[x] < 0, 0, hi - lo)
+                    at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+                    s[np.repeat(np.arange(len(x)), n), order[at]] = -np.inf
+                for side, part, other in ((0, rows, cols), (1, cols, rows))[:1 + both_ways]:
+                    reach[side][part] = np.maximum(reach[side][part], _kth(s, self.k, 1 - side, room))
+                    limit = least(side, part)
+                    flag = np.greater_equal(s, limit[:, None] if side == 0 else limit[None, :], out=flags[:s.size].reshape(s.shape))
+                    r, c = np.divmod(_places(flag.ravel()), s.shape[1])
+                    score = s[r, c]
+                    own, others = (r, c) if side == 0 else (c, r)
+                    many = np.bincount(own, minlength=len(limit)) > 64 * self.k
+                    if many.any():
+                        crowd[side][part] |= many
+                        ok = ~many[own]
+                        own, others, score = own[ok], others[ok], score[ok]
+                    kept[side].append((own + part.start, others + other.start, score))
+            if len(kept[1]) >= 32:
+                cut(1)
+        out = []
+        for side, mine, others in ((0, a, b), (1, b, a))[:1 + both_ways]:
+            cut(side)
+            out += [(mine[own], others[other]) for own, other, _ in kept[side]]
+            if crowd[side].any():
+                out += self.best_of_all(mine[crowd[side]], others, at_once)
+            if self.extreme[others].any():
+                out += self.best_of_all(mine[~crowd[side]], others[self.extreme[others]], at_once)
+        return out
 
 
 def _block_pair_topk(k: int, w: float, exclude_same_brand: bool, chunk_rows: int = CHUNK_ROWS, both_ways: bool = True):
     """pandas function for one unordered block pair ``(lo, hi)``.
 
     The score is symmetric (cosine, category match and the brand rule all
-    are), so each matrix between blocks ``lo`` and ``hi`` is computed once and
-    read both ways: rows of ``lo`` against all of ``hi`` (a complete top-k)
-    and, when the blocks differ, rows of ``hi`` against this chunk of ``lo``
-    (a partial top-k that the final window merges). Block ``lo`` is taken
-    ``chunk_rows`` rows at a time, so memory per task stays bounded. Each group
+    are), so each tile between blocks ``lo`` and ``hi`` is computed once and
+    read both ways: rows of ``lo`` against all of ``hi`` and, when the blocks
+    differ, rows of ``hi`` against all of ``lo``; the final window merges. Tiles
+    are ``chunk_rows`` x ``TILE_ROWS`` and hold scores in single precision, which only leave out pairs
+    that can't be among a row's k best; what stays is scored and ranked in double precision. Each group
     holds at most two blocks. ``both_ways=False`` ranks for ``lo`` only.
     """
 
     def run(key, pdf):
         lo, hi = int(key[-2]), int(key[-1])
-        a_all = pdf[pdf["__b"] == lo]
-        b = pdf[pdf["__b"] == hi] if hi != lo else a_all
-        if a_all.empty or b.empty:
+        is_lo = (pdf["__b"] == lo).to_numpy()
+        if not is_lo.any() or (hi != lo and is_lo.all()):
             return pd.DataFrame({c: [] for c in _PAIR_COLS})
-        bv = np.vstack(b["vector"].to_numpy()).astype(np.float64)
-        bn = np.linalg.norm(bv, axis=1)
-        bcat = b["category"].to_numpy(dtype=object)
-        b_ids = b["id"].to_numpy()
-        bb = b["brand"].to_numpy(dtype=object)
-        outs = []
-        for start in range(0, len(a_all), chunk_rows):
-            a = a_all.iloc[start:start + chunk_rows]
-            av = np.vstack(a["vector"].to_numpy()).astype(np.float64)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                sim = (av @ bv.T) / np.outer(np.linalg.norm(av, axis=1), bn)
-            sim[~np.isfinite(sim)] = np.nan
-            dist = np.round(1.0 - sim, DIGITS) + 0.0  # no negative zero
-            acat = a["category"].to_numpy(dtype=object)
-            match = ((acat[:, None] == bcat[None, :]) & pd.notna(acat)[:, None] & pd.notna(bcat)[None, :]).astype(np.float64)
-            score = (1.0 - dist) * (1.0 - w) + match * w
-            a_ids = a["id"].to_numpy()
-            valid = a_ids[:, None] != b_ids[None, :]
-            if exclude_same_brand:
-                ab = a["brand"].to_numpy(dtype=object)
-                valid &= (ab[:, None] != bb[None, :]) & pd.notna(ab)[:, None] & pd.notna(bb)[None, :]
-            outs.append(_topk_rows(a_ids, b_ids, score, dist, match, valid, k))
-            if hi != lo and both_ways:
-                outs.append(_topk_rows(b_ids, a_ids, score.T, dist.T, match.T, valid.T, k))
-        return pd.concat(outs, ignore_index=True)
+        t = _Rows(pdf, k, w, exclude_same_brand)
+        same, both = hi == lo or not both_ways, hi != lo and both_ways
+        is_hi = is_lo if hi == lo else ~is_lo
+        few = t.candidate & is_hi
+        if not both:
+            found = t.pairs(np.flatnonzero(is_lo), np.flatnonzero(few), chunk_rows, same, False)
+        else:
+            mine, theirs = t.candidate & is_lo, few
+            found = t.pairs(np.flatnonzero(mine), np.flatnonzero(theirs), chunk_rows, same, True)
+            for rest, others in ((is_lo & ~mine, theirs), (is_hi & ~theirs, mine)):
+                if rest.any():
+                    found += t.pairs(np.flatnonzero(rest), np.flatnonzero(others), chunk_rows, same, False)
+        a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+        dist, match, score = t.exact(a, b)
+        # NaN scores first (PostgreSQL DESC), then score desc, distance asc, id asc
+        order = np.lexsort((t.id[b], dist, np.where(np.isnan(score), -np.inf, -score), a))
+        ranked = a[order]
+        order = order[np.arange(len(order)) - np.searchsorted(ranked, ranked) < k]
+        ids = pdf["id"].to_numpy()
+        return pd.DataFrame({"id": ids[a[order]], "neighbor_id": ids[b[order]], "vector_distance": dist[order], "category_match": match[order], "combined_score": score[order]})
 
     return run
 
@@ -271,12 +417,12 @@ def similar_for_all(df: DataFrame, k: int = 4, exclude_same_brand: bool = False,
 
     Output (id, neighbor_id, vector_distance, category_match, combined_score,
     rank) with rank 1..k in the same order as :func:`find_similar`. A row is
-    shuffled once per block of ``block_rows`` rows: call it per category or
-    brand where the table is large, or :func:`similar_for_all_lsh`.
+    shuffled once per block; ``block_rows`` is the least rows of one. The pairs scored are the square of
+    the rows: for very large tables call it per category or brand, or :func:`similar_for_all_lsh`.
     """
     items = _items(df, id_col, vector_col, flag_col)
-    n = items.count()
-    blocks = max(1, math.ceil(n / block_rows))
+    n, dim = items.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+    blocks = max(1, math.ceil(n / _block_size(n, block_rows, dim or 0)))
     b = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
     pairs = _pair_groups(items, b, F.lit(blocks)).groupBy("__lo", "__hi").applyInPandas(
         _block_pair_topk(k, w, exclude_same_brand, chunk_rows), _pair_schema(items.schema["id"].dataType)
@@ -313,7 +459,7 @@ BROADCAST_BUCKETS = 1 << 16
 #: Most bands that are tried before buckets are made larger.
 MAX_BANDS = 256
 #: Seconds of one Arrow group, one copied row and one scored pair, by which settings of equal recall are ranked.
-GROUP_S, COPY_S, PAIR_S = 3e-3, 1e-5, 2e-8
+GROUP_S, COPY_S, PAIR_S = 3e-3, 1e-5, 2e-9
 
 
 @dataclass(frozen=True)
@@ -329,6 +475,13 @@ class Buckets:
     recall: float
 
 
+def _bucket_block(n: int, bits: int, bands: int, block_rows: int, dim: int) -> int:
+    """Rows of a block of a bucket: twice the mean bucket, so that only hot ones are split, or few buckets into ``BLOCKS`` in all."""
+    if bands * 2**bits < BLOCKS:
+        return _block_size(n * bands, block_rows, dim)
+    return _block_size(2 * n / 2**bits, block_rows, dim, 1)
+
+
 def _work(rows, bits, block_rows: int, ceil=np.ceil):
     """Estimated seconds of one band: ``rows`` in ``2**bits`` equal buckets (numbers, or columns with ``ceil=F.ceil``)."""
     n_buckets = 2.0**bits if isinstance(bits, int) else F.pow(F.lit(2.0), bits)
@@ -372,7 +525,7 @@ def _tune(items: DataFrame, sizes: DataFrame | None, n: int, dim: int, most_bits
     shared = np.maximum.accumulate(shared, axis=1)
     # settings of the buckets of all rows, each with its work and the pairs it misses
     whole = [(bits, b) for bits in range(1, most_bits + 1) for b in tries] + [(0, 1)]
-    whole_work = np.array([b * _work(n, bits, block_rows) for bits, b in whole])
+    whole_work = np.array([b * _work(n, bits, _bucket_block(n, bits, b, block_rows, dim)) for bits, b in whole])
     whole_miss = np.array([shared[:, b - 1] < bits for bits, b in whole], float)
     # and of those of each category
     per, per_work, per_miss = [(rows_per_bucket, 0)], np.zeros(1), np.ones((1, len(rows)))
@@ -383,7 +536,7 @@ def _tune(items: DataFrame, sizes: DataFrame | None, n: int, dim: int, most_bits
         costs = []
         for level in levels:  # a category in one bucket needs one band
             bits = _category_bits(F.col("__rows"), level, most_bits)
-            work = _work(F.col("__rows").cast("double"), bits, block_rows, F.ceil)
+            work = _work(F.col("__rows").cast("double"), bits, _block_size(2 * level, block_rows, dim, 1), F.ceil)
             costs += [F.sum(F.when(bits == 0, work).otherwise(0.0)), F.sum(F.when(bits > 0, work).otherwise(0.0))]
         costs = [x or 0.0 for x in sizes.agg(*costs).first()]
         for i, level in enumerate(levels):
@@ -411,7 +564,9 @@ def _tune(items: DataFrame, sizes: DataFrame | None, n: int, dim: int, most_bits
 def _scan_against(wanted: DataFrame, items: DataFrame, n_items: int, n_wanted: int, k: int, w: float, exclude_same_brand: bool,
                   block_rows: int, chunk_rows: int) -> DataFrame:
     """Exact candidates of the ``wanted`` items among all ``items``: blocks of one side meet blocks of the other."""
-    a_blocks, b_blocks = max(1, math.ceil(n_wanted / block_rows)), max(1, math.ceil(n_items / block_rows))
+    dim = (items.select(F.size("vector")).first() or [0])[0]
+    a_blocks = max(1, math.ceil(n_wanted / _block_size(n_wanted, block_rows, dim, 1)))
+    b_blocks = max(1, math.ceil(n_items / _block_size(n_items, block_rows, dim, max(1, BLOCKS // a_blocks))))
     cell = lambda side, mine, others: side.withColumn("__own", F.pmod(F.xxhash64("id"), F.lit(mine)).cast("int")).withColumn(
         "__other", F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
     left = cell(wanted, a_blocks, b_blocks).withColumnsRenamed({"__own": "__lo", "__other": "__hi"})
@@ -441,8 +596,8 @@ def similar_for_all_lsh(df: DataFrame, k: int = 4, exclude_same_brand: bool = Fa
     ``tune_queries`` products whose true neighbours are found by brute force
     (:func:`_tune`); of the settings that reach it the cheapest is used.
     Buckets are scanned exactly with the bounded block scheme; one that is
-    larger than ``block_rows`` (a hot bucket can hold a big share of the rows)
-    is split into several blocks. Scores are exact. A product whose
+    larger than ``block_rows`` and twice the mean (a hot bucket can hold a big share of the rows)
+    is split into several blocks, so a row is shuffled about once per band. Scores are exact. A product whose
     buckets hold fewer than ``k`` others is scanned against all rows, so
     every product has its k neighbours (where there are that many).
 
@@ -484,10 +639,14 @@ def similar_for_all_lsh(df: DataFrame, k: int = 4, exclude_same_brand: bool = Fa
         keyed = keyed.unionByName(keyed_by(coded.filter("category IS NOT NULL"), F.concat(F.lit("of "), F.col("category").cast("string")), own, F.col("__bits")))
         n_buckets += own_bits.agg(F.sum(F.pow(F.lit(2.0), "__bits") * own)).first()[0] or 0
     bucket = ["__g", "band", "code"]
-    subs = keyed.groupBy(*bucket).agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("__nsub"))
-    if n_buckets <= BROADCAST_BUCKETS:  # else Spark shuffles both sides
+    dim = int(first[0])
+    rows_all = _bucket_block(n, use.bits, use.bands, block_rows, dim)
+    rows_own = max(rows_all, _block_size(2 * use.category_rows, block_rows, dim, 1))
+    per_block = F.when(F.col("__g") == "all", F.lit(rows_all)).otherwise(F.lit(rows_own))
+    subs = keyed.groupBy(*bucket).agg(F.ceil(F.count(F.lit(1)) / F.any_value(per_block)).cast("int").alias("__nsub")).filter("__nsub > 1")
+    if n_buckets <= BROADCAST_BUCKETS:  # else Spark chooses; few buckets are split
         subs = F.broadcast(subs)
-    keyed = keyed.join(subs, bucket)
+    keyed = keyed.join(subs, bucket, "left").withColumn("__nsub", F.coalesce("__nsub", F.lit(1)))
     b = F.pmod(F.xxhash64("id"), F.col("__nsub")).cast("int")
     pairs = _pair_groups(keyed, b, F.col("__nsub")).drop("__nsub").groupBy(*bucket, "__lo", "__hi").applyInPandas(
         _block_pair_topk(k, w, exclude_same_brand, chunk_rows), _pair_schema(items.schema["id"].dataType)

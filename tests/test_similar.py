@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 
 from catalog_sync.operators import similar as sim
@@ -199,3 +200,70 @@ def test_registered_lsh_returns_blended_neighbours(spark):
     true = {(r["id"], r["neighbor_id"]): r["combined_score"] for r in registered.QUERIES["similar_for_all"](spark, sf).collect()}  # w=0.5, exact
     assert len(got) == len(true) and len(got.keys() & true.keys()) >= 0.9 * len(true)
     assert all(abs(got[p] - true[p]) < 1e-6 for p in got.keys() & true.keys())
+
+
+def shuffled_rows(monkeypatch):
+    """Rows that block pairs are made of, summed over the scans to come."""
+    seen, dealt = [], sim._pair_groups
+
+    def spread(*a):
+        out = dealt(*a)
+        seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(sim, "_pair_groups", spread)
+    return seen
+
+
+def test_a_row_is_shuffled_a_bounded_number_of_times(spark, monkeypatch):
+    df, rows = frame(spark, n=700)
+    seen = shuffled_rows(monkeypatch)
+    got = {(r["id"], r["neighbor_id"]) for r in sim.similar_for_all(df, k=4, w=0.5, block_rows=4).collect()}
+    n = sum(r[4] for r in rows)
+    assert seen[0] <= sim.BLOCKS * n  # not a copy per block of four rows
+    assert all({b for a, b in got if a == i} == set(brute(rows, i, 4, 0.5, False)) for i in (1, 8, 350, 699))
+
+
+def test_buckets_shuffle_a_row_about_once_per_band(spark, monkeypatch):
+    df, rows = frame(spark, n=700)
+    seen = shuffled_rows(monkeypatch)
+    out = sim.similar_for_all_lsh(df, k=4, w=0.5, block_rows=4, setting=sim.Buckets(2, 10, 1 << 30, 1, 0.0))
+    n = sum(r[4] for r in rows)
+    assert out.count() == 4 * n and seen[0] <= 2 * 11 * n
+
+
+@pytest.mark.parametrize("exclude", [False, True])
+@pytest.mark.parametrize("w", [0.0, 0.5, 1.0])
+def test_tiles_leave_out_nothing(monkeypatch, w, exclude):
+    # equal, zero, non-finite and extreme vectors, missing categories and brands, in small and in large tiles
+    rng = np.random.default_rng(1)
+    vecs = [v for v in rng.normal(size=(90, 8))]
+    vecs[::3] = [vecs[0]] * 30
+    vecs[1::20] = [np.zeros(8)] * 5
+    vecs[5], vecs[7], vecs[8] = np.full(8, np.nan), np.full(8, 1e-150), np.full(8, 1e200)
+    pdf = pd.DataFrame({"id": range(90), "vector": vecs, "category": [f"C{i % 5}" if i % 11 else None for i in range(90)],
+                        "brand": [f"B{i % 4}" if i % 7 else None for i in range(90)]})
+    v = np.vstack(vecs)
+    with np.errstate(all="ignore"):
+        norm = np.linalg.norm(v, axis=1)
+        cos = v @ v.T / np.outer(norm, norm)
+    cos[~np.isfinite(cos)] = np.nan
+    dist = np.round(1 - cos, sim.DIGITS) + 0.0
+    want = set()
+    for i, a in pdf.iterrows():
+        ranked = []
+        for j, b in pdf.iterrows():
+            if i != j and not (exclude and (a["brand"] is None or b["brand"] is None or a["brand"] == b["brand"])):
+                score = (1 - dist[i, j]) * (1 - w) + w * (a["category"] is not None and a["category"] == b["category"])
+                ranked.append((-np.inf if np.isnan(score) else -score, np.inf if np.isnan(dist[i, j]) else dist[i, j], j))
+        want |= {(i, j) for _, _, j in sorted(ranked)[:4]}
+    for chunk, tile in ((7, 16), (1024, 4096)):
+        monkeypatch.setattr(sim, "TILE_ROWS", tile)
+        scan = sim._block_pair_topk(4, w, exclude, chunk)
+        whole = scan((0, 0), pdf.assign(__b=0))
+        assert set(zip(whole["id"], whole["neighbor_id"], strict=True)) == want
+        halves = pdf.assign(__b=pdf["id"] % 2)
+        parts = pd.concat([scan((0, 1), halves), *(scan((b, b), halves[halves["__b"] == b]) for b in (0, 1))])
+        parts["s"] = np.where(np.isnan(parts["combined_score"]), -np.inf, -parts["combined_score"])
+        best = parts.sort_values(["id", "s", "vector_distance", "neighbor_id"]).groupby("id").head(4)
+        assert set(zip(best["id"], best["neighbor_id"], strict=True)) == want
