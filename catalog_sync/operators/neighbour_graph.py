@@ -9,7 +9,8 @@ of rows, and the rounds needed grow slowly, so the scored pairs grow little fast
 the rows.
 
 Where the category counts (``w > 0``) a second graph links the products of each category, in the same rounds: the
-best by blended score are among the nearest of the same category and the nearest of all.
+best by blended score are among the nearest of the same category and the nearest of all. A category of up to
+:data:`EXACT_ROWS` nodes is scored whole, once, and moves through no round.
 
 Equal vectors (of one category, and of one brand where the brand rule holds) are one node with
 their ``k + 1`` smallest ids: more of them can't be in a result, and a vector
@@ -41,6 +42,10 @@ from .similar import CHUNK_ROWS, DIGITS, _best, _items, _pair_schema, _scan_agai
 SAMPLE_ROWS = 1 << 16
 #: Sampled vectors a tree's node must hold to be split at its own median; deeper levels are split at zero.
 NODE_SAMPLE = 64
+#: Nodes of a category up to which its graph is exact: one leaf, scored at once, that takes no part in the rounds.
+EXACT_ROWS = 4096
+#: Before the name of such a category.
+EXACT = "whole of "
 
 
 @dataclass
@@ -118,12 +123,14 @@ def _coded(nodes: DataFrame, dim: int, n: int, trees: int, leaf_rows: int, seed:
     whole = coded.select((F.col("n") * 2).alias("v"), "q", F.posexplode("paths").alias("tree", "leaf"), F.lit("all").alias("cat"))
     if by_category:
         sizes = coded.filter("category IS NOT NULL").groupBy("category").agg(
-            F.greatest(F.lit(0), F.least(F.lit(depth), F.ceil(F.log2(F.count(F.lit(1)) / F.lit(leaf_rows))))).cast("int").alias("levels")).withColumnRenamed("category", "__c")
+            F.greatest(F.lit(0), F.least(F.lit(depth), F.ceil(F.log2(F.count(F.lit(1)) / F.lit(leaf_rows))))).cast("int").alias("levels"),
+            (F.count(F.lit(1)) <= EXACT_ROWS).alias("exact")).withColumnRenamed("category", "__c")
         own = coded.join(sizes, F.col("category") == F.col("__c")).select(
-            (F.col("n") * 2 + 1).alias("v"), "q", F.posexplode("paths").alias("tree", "leaf"), F.concat(F.lit("of "), F.col("category").cast("string")).alias("cat"), "levels")
+            (F.col("n") * 2 + 1).alias("v"), "q", F.posexplode("paths").alias("tree", "leaf"), F.concat(F.when(F.col("exact"), EXACT).otherwise("of "), F.col("category").cast("string")).alias("cat"), "levels", "exact")
         # a category that fits a leaf needs one tree
-        own = own.filter("levels > 0 OR tree = 0").withColumn("leaf", F.expr(f"shiftright(leaf, {depth} - levels)"))
-        whole = whole.unionByName(own.drop("levels"))
+        own = own.filter("(levels > 0 AND NOT exact) OR tree = 0")
+        own = own.withColumn("leaf", F.when(F.col("exact"), F.lit(0).cast("long")).otherwise(F.expr(f"shiftright(leaf, {depth} - levels)")))
+        whole = whole.unionByName(own.drop("levels", "exact"))
     return whole, depth
 
 
@@ -209,9 +216,15 @@ def neighbour_graph(nodes: DataFrame, dim: int, *, degree: int, sample: int, tre
     leaf = ["tree", "cat", "leaf"]
     sizes = coded.groupBy(*leaf).agg(F.ceil(F.count(F.lit(1)) / F.lit(2 * leaf_rows)).cast("int").alias("blocks"))
     blocks = coded.join(sizes, leaf).withColumn("block", F.pmod(F.xxhash64("v", "tree"), F.col("blocks")))
-    seeds, seeds_at = _counted(spark, blocks.groupBy(*leaf, "block").applyInPandas(_leaf_edges(degree, dim), EDGES), "graph-seeds", report)
+    is_exact = F.col("cat").startswith(EXACT)
+    seeds, seeds_at = _counted(spark, blocks.filter(~is_exact).groupBy(*leaf, "block").applyInPandas(_leaf_edges(degree, dim), EDGES), "graph-seeds", report)
     state, state_at = materialize_at(_kept(seeds.withColumn("fresh", F.lit(True)), degree, sample), "graph")
     release(spark, seeds_at)
+    whole = None
+    if by_category:  # no pair comes twice and no round adds any: only the lists are made
+        edges, edges_at = _counted(spark, coded.filter(is_exact).groupBy("cat").applyInPandas(_leaf_edges(degree, dim), EDGES), "graph-own", report)
+        whole = materialize_at(edges.groupBy("v").agg(F.sort_array(F.collect_list(F.struct("d", "u", F.lit(False).alias("fresh")))).alias("edges")), "graph-own-lists")[0]
+        release(spark, edges_at)
     bytes_of = coded.select(F.shiftright("v", 1).alias("n"), "q", "tree").filter("tree = 0").dropDuplicates(["n"]).select("n", "q")
     bytes_of = materialize_at(bytes_of, "graph-bytes")[0]
     for _ in range(max_rounds):
@@ -232,7 +245,7 @@ def neighbour_graph(nodes: DataFrame, dim: int, *, degree: int, sample: int, tre
         before, (state, state_at) = state_at, materialize_at(_kept(old.union(found.withColumn("fresh", F.lit(True))), degree, sample), "graph")
         release(spark, before)
         release(spark, found_at)
-    return state
+    return state if whole is None else state.unionByName(whole)
 
 
 def similar_for_all_graph(df: DataFrame, k: int = 4, exclude_same_brand: bool = False, w: float = 1.0, *, degree: int = 60, sample: int = 50,

@@ -83,3 +83,23 @@ def test_trees_split_at_medians_and_local_joins_emit_what_improves():
     assert len(ng._grow(x[:100], 6, 1)[1]) == 1  # deeper nodes hold too few sampled vectors
     deep = ng._leaves(x, *ng._grow(x[:100], 6, 1), 6)
     assert np.bincount(deep, minlength=64).max() < 400
+
+
+def test_categories_that_fit_are_exact_and_move_through_no_round(spark, monkeypatch):
+    df = spark.createDataFrame(rows_of(600), SCHEMA)
+    joined, join = [], ng._counted
+
+    def counted(session, edges, name, report):
+        out = join(session, edges, name, report)
+        if name == "graph-found":
+            joined.append(out[0].filter("v % 2 = 1").count())
+        return out
+
+    monkeypatch.setattr(ng, "_counted", counted)
+    exact = pairs(sim.similar_for_all(df, k=4, w=0.5))
+    got = pairs(ng.similar_for_all_graph(df, k=4, w=0.5, **SMALL))
+    own = {p for p, r in exact.items() if r["category_match"] == 1.0}
+    assert joined and not any(joined) and own <= got.keys()
+    monkeypatch.setattr(ng, "EXACT_ROWS", 0)  # larger ones do
+    got = pairs(ng.similar_for_all_graph(df, k=4, w=0.5, **SMALL))
+    assert any(joined) and len(got) == 4 * 600 and len(exact.keys() & got.keys()) >= 0.9 * len(exact)
