@@ -1,6 +1,7 @@
 """The neighbour graph against exact neighbours: recall, equal vectors, text ids, brands, missing categories, plans."""
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from catalog_sync.operators import neighbour_graph as ng
@@ -103,3 +104,62 @@ def test_categories_that_fit_are_exact_and_move_through_no_round(spark, monkeypa
     monkeypatch.setattr(ng, "EXACT_ROWS", 0)  # larger ones do
     got = pairs(ng.similar_for_all_graph(df, k=4, w=0.5, **SMALL))
     assert any(joined) and len(got) == 4 * 600 and len(exact.keys() & got.keys()) >= 0.9 * len(exact)
+
+
+def test_rounds_move_packed_parts_not_a_row_per_edge(spark, monkeypatch):
+    df = spark.createDataFrame(rows_of(600), SCHEMA)
+    rows, write = {}, ng.materialize_at
+
+    def written(df, name):
+        out = write(df, name)
+        rows.setdefault(name, []).append(out[0].count())
+        return out
+
+    monkeypatch.setattr(ng, "materialize_at", written)
+    monkeypatch.setattr(ng, "EXACT_ROWS", 0)
+    monkeypatch.setattr(ng, "PART_ROWS", 40, raising=False)
+    exact = pairs(sim.similar_for_all(df, k=4, w=0.5))
+    got = pairs(ng.similar_for_all_graph(df, k=4, w=0.5, **SMALL))
+    assert len(got) == 4 * 600 and len(exact.keys() & got.keys()) >= 0.9 * len(exact)
+    parts = rows["graph"][0]
+    assert len(rows["graph"]) >= 2 and set(rows["graph"]) == {parts} and 20 <= parts <= 60  # a row per part, not per node
+    assert 0 < max(rows["graph-found"]) <= parts * parts + parts < 600 * SMALL["degree"]
+
+
+def test_the_graph_does_not_depend_on_its_parts(spark, monkeypatch):
+    df = spark.createDataFrame(rows_of(500), SCHEMA)
+    wide = {**SMALL, "sample": 200, "max_rounds": 2}  # no reverse edge is left out
+    whole, many = ng.GraphReport(), ng.GraphReport()
+    one = pairs(ng.similar_for_all_graph(df, k=4, w=0.0, report=whole, **wide))
+    monkeypatch.setattr(ng, "PART_ROWS", 30, raising=False)
+    other = pairs(ng.similar_for_all_graph(df, k=4, w=0.0, report=many, **wide))
+    assert len(one) == len(other) == 4 * 500 and len(one.keys() & other.keys()) >= 0.995 * len(one)
+    assert whole.rounds[:1] == many.rounds[:1] == [1.0] and abs(whole.scored - many.scored) <= 0.02 * whole.scored
+
+
+def test_merged_lists_and_joined_pairs_against_brute_force():
+    rng = np.random.default_rng(5)
+    degree, dim, rows, own = 4, 8, 6, 1 << ng.PLACE_BITS
+    at, u, d = rng.integers(0, rows, 80), rng.integers(0, 30, 80), rng.random(30).astype(np.float32)
+    found = ng._packed(np.sort(at) + own, u[np.argsort(at, kind="stable")], d[u[np.argsort(at, kind="stable")]], 7)
+    names = [c.split()[0] for c in ng.STATE.split(", ")]
+    q = rng.integers(-127, 128, (rows, dim)).astype(np.int8)
+    empty = pd.DataFrame([(1, np.arange(rows).tobytes(), q.tobytes(), *[None] * 4, 0, 0, 0)], columns=names)
+    state = ng._merge(degree, 2)((1,), found, empty)
+    lists = np.frombuffer(state["u"][0], np.int64).reshape(rows, degree)
+    for i in range(rows):
+        best = sorted({int(x) for x in u[at == i]}, key=lambda x: (d[x], x))[:degree]
+        assert [x for x in lists[i] if x >= 0] == best
+    assert state["scored"][0] == 7 and state["used"][0] == state["new"][0] == sum(min(2, (x >= 0).sum()) for x in lists)
+    again = ng._merge(degree, 2)((1,), found, state)  # nothing new: what was in use is old, the rest stays new
+    assert again["u"][0] == state["u"][0] and again["new"][0] == 0
+    assert np.frombuffer(again["fresh"][0], bool).reshape(rows, degree)[:, 2:].any()
+
+
+def test_reverse_edges_chosen_twice_are_those_chosen_once():
+    rng = np.random.default_rng(2)
+    u, v = rng.integers(0, 9, 900), rng.permutation(900)
+    once = ng._chosen(u, v, 10, 3)
+    halves = np.concatenate([np.flatnonzero(v % 2 == h)[ng._chosen(u[v % 2 == h], v[v % 2 == h], 10, 3)] for h in (0, 1)])
+    twice = halves[ng._chosen(u[halves], v[halves], 10, 3)]
+    assert sorted(once) == sorted(twice) and np.bincount(u[once]).tolist() == [10] * 9
